@@ -61,26 +61,26 @@ def normal_pdf(x: Column, mu: Column, sigma: Column) -> Column:
     return F.exp(-z * z / 2) / (sigma * F.lit(math.sqrt(2 * math.pi)))
 
 
-def digamma(x: Column) -> Column:
-    """Digamma for x > 0: recurrence up to x + 10, then the asymptotic series."""
-    y = x + 10
-    series = F.ln(y) - 1 / (2 * y)
-    for power, c in ((2, -1 / 12), (4, 1 / 120), (6, -1 / 252), (8, 1 / 240), (10, -1 / 132)):
-        series = series + F.lit(c) / F.pow(y, F.lit(power))
-    for j in range(10):
-        series = series - 1 / (x + j)
-    return series
-
-
-def trigamma(x: Column) -> Column:
-    """Derivative of ``digamma`` for x > 0, by the same scheme."""
-    y = x + 10
-    series = 1 / y + 1 / (2 * y * y)
-    for power, c in ((3, 1 / 6), (5, -1 / 30), (7, 1 / 42), (9, -1 / 30), (11, 5 / 66)):
-        series = series + F.lit(c) / F.pow(y, F.lit(power))
-    for j in range(10):
-        series = series + 1 / ((x + j) * (x + j))
-    return series
+def digamma_sql(x: str) -> str:
+    """Digamma for x > 0 as SQL: recurrence up to x + 10, then the asymptotic series."""
+    y = f"({x} + 10)"
+    shift = " ".join(f"- 1 / ({x} + {j})" for j in range(10))
+    series = (
+        f"ln({y}) - 1 / (2 * {y}) - 1 / (12 * pow({y}, 2)) + 1 / (120 * pow({y}, 4)) "
+        f"- 1 / (252 * pow({y}, 6)) + 1 / (240 * pow({y}, 8)) - 1 / (132 * pow({y}, 10))"
+    )
+    return f"({series} {shift})"
+
+
+def trigamma_sql(x: str) -> str:
+    """Derivative of digamma for x > 0 as SQL, by the same scheme."""
+    y = f"({x} + 10)"
+    shift = " ".join(f"+ 1 / pow({x} + {j}, 2)" for j in range(10))
+    series = (
+        f"1 / {y} + 1 / (2 * pow({y}, 2)) + 1 / (6 * pow({y}, 3)) - 1 / (30 * pow({y}, 5)) "
+        f"+ 1 / (42 * pow({y}, 7)) - 1 / (30 * pow({y}, 9)) + 5 / (66 * pow({y}, 11))"
+    )
+    return f"({series} {shift})"
 
 
 # --- numpy helpers ---------------------------------------------------------

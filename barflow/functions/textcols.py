@@ -1,13 +1,14 @@
 """Text rules as column expressions.
 
 The character classes are spelled out, so that letters, digits and blanks mean the same in
-every script whatever the default of the regex engine. No pattern repeats a group, so that a
-text of any length is matched without recursion.
+every script whatever the default of the regex engine. Groups repeat a fixed, small number of
+times, so that a text of any length is matched without deep recursion.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -21,68 +22,85 @@ from barflow.constants import (
     POSITIVE_AT_LEAST,
 )
 
+# Blanks as Unicode sees them: as a character class, and one by one for trimming.
 BLANK = r"\s\x0B\x1c-\x1f\x85\p{Z}"
+BLANKS = (
+    " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 WORD = r"\p{L}\p{N}_"
-_WORD_EDGE = rf"(?:(?<![{WORD}])(?=[{WORD}])|(?<=[{WORD}])(?![{WORD}]))"
+HOST = "A-Za-z0-9-"
+
+# Up to the first slash only characters a link may have; ordinary text fails here early.
+_LINK_LIKE = rf"^[{HOST}.:{BLANK}]*(?:/|\z)"
+# A host with dots inside, none doubled or at an end, and an optional path.
+_LINK = r"(?i)^(?:https?://)?(?=[^/]*\.)(?![^/]*\.\.)[a-z0-9-][a-z0-9.-]*(?<!\.)(?:/.*)?$"
+
+# Each pattern starts where a word starts.
+_SCHEME = rf"(?i)h(?<![{WORD}]h)ttps?://[{BLANK}]*"
+_WWW = rf"(?i)w(?<![{WORD}]w)ww\.[{BLANK}]*"
+_DOMAIN = (
+    rf"(?:[A-Za-z0-9](?<![{WORD}].)|-(?<=[{WORD}]-))[{HOST}]*\.[{HOST}][^{BLANK}]*"
+)
 
 
 def strip(text: Column) -> Column:
     """Text without leading and trailing blanks of any kind."""
-    return F.regexp_replace(text, rf"^[{BLANK}]+|[{BLANK}]+$", "")
-
-
-def _squeeze(text: Column) -> Column:
-    return F.btrim(F.regexp_replace(text, rf"[{BLANK}]+", " "))
+    return F.btrim(text, F.lit(BLANKS))
 
 
 def is_url_only(text: Column) -> Column:
     """True when the text, blanks removed, is one host name with an optional path."""
-    collapsed = F.lower(F.regexp_replace(text, rf"[{BLANK}]+", ""))
-    host = F.regexp_extract(collapsed, r"^(?:https?://)?([^/]*)(?:/.*)?$", 1)
-    return (
-        F.rlike(host, F.lit(r"^[a-z0-9-][a-z0-9.-]*[a-z0-9-]$"))
-        & F.contains(host, F.lit("."))
-        & ~F.contains(host, F.lit(".."))
-    )
+    collapsed = F.regexp_replace(text, rf"[{BLANK}]+", "")
+    return F.rlike(text, F.lit(_LINK_LIKE)) & F.rlike(collapsed, F.lit(_LINK))
 
 
-def visible_words(text: Column) -> Column:
-    """Text without links, tags, mentions and punctuation, single-spaced."""
-    t = F.regexp_replace(text, rf"(?i){_WORD_EDGE}https?://[{BLANK}]*", " ")
-    t = F.regexp_replace(t, rf"(?i){_WORD_EDGE}www\.[{BLANK}]*", " ")
-    t = F.regexp_replace(t, rf"(?i){_WORD_EDGE}[a-z0-9-]+\.[a-z0-9-][^{BLANK}]*", " ")
-    t = F.regexp_replace(t, rf"[@#][{WORD}]+|[^{WORD}{BLANK}]", " ")
-    return _squeeze(t)
+def without_links(text: Column) -> Column:
+    """Text with links turned into blanks.
+
+    A pattern runs only on texts that hold the characters it cannot do without.
+    """
+    t = F.when(F.contains(text, F.lit("://")), F.regexp_replace(text, _SCHEME, " ")).otherwise(text)
+    t = F.when(F.rlike(text, F.lit(r"(?i)www\.")), F.regexp_replace(t, _WWW, " ")).otherwise(t)
+    dotted = F.rlike(text, F.lit(rf"\.[{HOST}]"))
+    return F.when(dotted, F.regexp_replace(t, _DOMAIN, " ")).otherwise(t)
 
 
 def is_low_info(
     text: Column, min_words: int = MIN_WORDS, min_letters: int = MIN_LETTERS
 ) -> Column:
-    """Empty, only a link, or too few words or letters once links and tags are gone."""
-    words = visible_words(text)
-    few_words = F.size(F.split(words, " ")) < min_words
-    few_letters = F.length(F.regexp_replace(words, r"[^\p{L}]", "")) < min_letters
+    """Empty, only a link, or too few words or letters once links and tags are gone.
+
+    Words are runs of letters, digits and underscores; the counting stops when both limits are
+    reached. Texts without ``@`` and ``#`` hold no tags that would have to be cut out first.
+    """
+    words = rf"(?=^(?:[^{WORD}]*+[{WORD}]++){{{min_words}}})"
+    letters = rf"(?=^(?:[^\p{{L}}]*+\p{{L}}){{{min_letters}}})"
+    enough = F.lit(f"^{words}{letters}")
+    plain = without_links(text)
+    tagged = F.rlike(text, F.lit("[@#]"))
+    untagged = F.regexp_replace(plain, rf"[@#][{WORD}]+", " ")
     return (
         text.isNull()
-        | (F.length(strip(text)) == 0)
         | is_url_only(text)
-        | (F.length(words) == 0)
-        | few_words
-        | few_letters
+        | ~F.when(tagged, F.rlike(untagged, enough)).otherwise(F.rlike(plain, enough))
     )
 
 
 def contains_any(text: Column, keywords: Sequence[str]) -> Column:
     """True when any keyword is a substring of the lower-cased text.
 
-    A keyword that contains another one can never decide the result and is not tested.
+    A keyword that contains another one can never decide the result and is not tested. The
+    one-element array makes the lower-cased text a variable, so it is computed once.
     """
     needed = [k for k in keywords if not any(o != k and o in k for o in keywords)]
-    lowered = F.lower(text)
-    found = F.lit(False)
-    for keyword in needed:
-        found = found | F.contains(lowered, F.lit(keyword))
-    return found
+
+    def found(lowered: Column) -> Column:
+        tests = [F.contains(lowered, F.lit(k)) for k in needed]
+        return reduce(lambda a, b: a | b, tests)
+
+    return F.exists(F.array(F.lower(text)), found)
 
 
 def economic_categories(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from barflow.constants import (
@@ -15,7 +15,7 @@ from barflow.constants import (
 )
 from barflow.functions.numerics import (
     chi2_sf,
-    digamma,
+    digamma_sql,
     kolmogorov_sf,
     normal_cdf,
     normal_ppf,
@@ -23,91 +23,132 @@ from barflow.functions.numerics import (
     student_t_cdf,
     student_t_log_norm,
     student_t_ppf,
-    trigamma,
+    trigamma_sql,
 )
 from barflow.operators.describe import fit_normal, histogram
 from barflow.operators.returns import empirical_rank
-from barflow.session import shared_dir
+from barflow.session import scratch_path
 
 # Degrees of freedom are searched in this range; at the upper end the fit is a normal one.
 DF_RANGE = (0.1, 1000.0)
-_STATE = ["symbol", "n", "loc", "log_scale", "log_df"]
-
-
-def _t_score(data: DataFrame, params: DataFrame, value: str) -> DataFrame:
-    """Sums over the data that one scoring step needs, per symbol."""
-    df, scale = F.exp("log_df"), F.exp("log_scale")
-    z = (F.col(value) - F.col("loc")) / scale
-    weight = (df + 1) / (df + z * z)
+_STATE = ("symbol", "n", "loc", "log_scale", "log_df")
+
+
+# The expressions of one fitting step, as SQL text that is parsed once per step.
+
+# Averages over the data, in terms of the standardised value z, v = df, d = v + z² and
+# w = (v + 1) / d.
+_AVERAGES = {
+    "lq": "log1p(z * z / v)",
+    "wz": "w * z",
+    "wzz": "w * z * z",
+    "w_curve": "w * (v - z * z) / d",
+    "wz_d": "w * z / d",
+    "wzz_d": "w * z * z / d",
+    "zz_d": "z * z / d",
+    "z_dd": "z * (z * z - 1) / (d * d)",
+    "zz_dd": "z * z * (z * z - 1) / (d * d)",
+}
+# Digamma and trigamma differences between (v + 1) / 2 and v / 2.
+_POLYGAMMA = {
+    "psi": f"{digamma_sql('((v + 1) / 2)')} - {digamma_sql('(v / 2)')}",
+    "psi1": f"{trigamma_sql('((v + 1) / 2)')} - {trigamma_sql('(v / 2)')}",
+}
+# Gradient g and negated second derivatives h of the mean log-likelihood in (loc / scale,
+# ln scale, ln df); e holds the expected curvature, which serves where h is not positive.
+_DERIVATIVES = {
+    "g1": "wz",
+    "g2": "wzz - 1",
+    "g3": "v * (psi - 1 / v - lq + wzz / v) / 2",
+    "h11": "w_curve",
+    "h12": "2 * v * wz_d",
+    "h13": "-v * z_dd",
+    "h22": "2 * v * wzz_d",
+    "h23": "-v * zz_dd",
+    "h33": "-v * v * (psi1 / 2 + 1 / (v * v) + zz_d / v + zz_dd / v - wzz / (v * v)) / 2"
+    " - v * (psi - 1 / v - lq + wzz / v) / 2",
+    "e11": "(v + 1) / (v + 3)",
+    "e22": "2 * v / (v + 3)",
+    "e23": "-2 * v / ((v + 1) * (v + 3))",
+    "e33": "v * v * (-psi1 / 4 - (v + 5) / (2 * v * (v + 1) * (v + 3)))",
+}
+_COFACTORS = {
+    "c11": "h22 * h33 - h23 * h23",
+    "c12": "h13 * h23 - h12 * h33",
+    "c13": "h12 * h23 - h13 * h22",
+    "c22": "h11 * h33 - h13 * h13",
+    "c23": "h12 * h13 - h11 * h23",
+    "c33": "h11 * h22 - h12 * h12",
+    "e_det": "e22 * e33 - e23 * e23",
+}
+_DETERMINANT = {
+    "det": "h11 * c11 + h12 * c12 + h13 * c13",
+}
+# A Newton step where the curvature is positive definite, else a scoring step.
+_STEPS = {
+    "step1": ("(c11 * g1 + c12 * g2 + c13 * g3) / det", "g1 / e11"),
+    "step2": ("(c12 * g1 + c22 * g2 + c23 * g3) / det", "(e33 * g2 - e23 * g3) / e_det"),
+    "step3": ("(c13 * g1 + c23 * g2 + c33 * g3) / det", "(e22 * g3 - e23 * g2) / e_det"),
+}
+
+
+def _columns(expressions: dict[str, str]) -> dict[str, Column]:
+    return {name: F.expr(text) for name, text in expressions.items()}
+
+
+def _fit_step(data: DataFrame, params: DataFrame, value: str) -> DataFrame:
+    """One step for every symbol: a join with the parameters, one aggregation, a projection."""
+    steps = {
+        name: "greatest(-1D, least(1D, if(h11 > 0 and c33 > 0 and det > 0, "
+        f"{newton}, {scoring})))"
+        for name, (newton, scoring) in _STEPS.items()
+    }
+    low, high = (repr(math.log(x)) + "D" for x in DF_RANGE)
+    standardised = {"v": "exp(log_df)", "z": f"({value} - loc) / exp(log_scale)"}
     return (
         data.join(params, "symbol")
-        .select("symbol", z.alias("z"), weight.alias("w"), df.alias("df"))
-        .groupBy("symbol")
-        .agg(
-            F.avg(F.col("w") * F.col("z")).alias("wz"),
-            F.avg(F.col("w") * F.col("z") * F.col("z")).alias("wzz"),
-            F.avg(F.log1p(F.col("z") * F.col("z") / F.col("df"))).alias("lq"),
+        .withColumns(_columns(standardised))
+        .withColumns(_columns({"d": "v + z * z", "w": "(v + 1) / (v + z * z)"}))
+        .groupBy(*_STATE)
+        .agg(*[F.expr(f"avg({text})").alias(name) for name, text in _AVERAGES.items()])
+        .withColumn("v", F.expr("exp(log_df)"))
+        .withColumns(_columns(_POLYGAMMA))
+        .withColumns(_columns(_DERIVATIVES))
+        .withColumns(_columns(_COFACTORS))
+        .withColumns(_columns(_DETERMINANT))
+        .withColumns(_columns(steps))
+        .withColumn("new_df", F.expr(f"greatest({low}, least({high}, log_df + step3))"))
+        .selectExpr(
+            "symbol",
+            "n",
+            "loc + exp(log_scale) * step1 AS loc",
+            "log_scale + step2 AS log_scale",
+            "new_df AS log_df",
+            "greatest(abs(step1), abs(step2), abs(new_df - log_df)) AS move",
         )
     )
 
 
-def _scoring_step(params: DataFrame, sums: DataFrame) -> DataFrame:
-    """One Fisher-scoring step for (loc, ln scale, ln df), with bounded moves."""
-    v, scale = F.exp("log_df"), F.exp("log_scale")
-    grad_s = F.col("wzz") - 1
-    grad_v = (
-        digamma((v + 1) / 2) - digamma(v / 2) - 1 / v - F.col("lq") + F.col("wzz") / v
-    ) / 2
-    info_ss = 2 * v / (v + 3)
-    info_sv = -2 / ((v + 1) * (v + 3))
-    info_vv = (trigamma(v / 2) - trigamma((v + 1) / 2)) / 4 - (v + 5) / (
-        2 * v * (v + 1) * (v + 3)
-    )
-    moved = params.join(sums, "symbol").withColumns(
-        {
-            "_gs": grad_s,
-            "_gv": v * grad_v,
-            "_ss": info_ss,
-            "_sv": v * info_sv,
-            "_vv": v * v * info_vv,
-            "_dloc": scale * F.col("wz") * (v + 3) / (v + 1),
-        }
-    )
-    det = F.col("_ss") * F.col("_vv") - F.col("_sv") * F.col("_sv")
-    step_s = (F.col("_vv") * F.col("_gs") - F.col("_sv") * F.col("_gv")) / det
-    step_v = (F.col("_ss") * F.col("_gv") - F.col("_sv") * F.col("_gs")) / det
-    moved = moved.withColumns({"_ds": _bounded(step_s, 1.0), "_dv": _bounded(step_v, 1.0)})
-    low, high = (F.lit(math.log(x)) for x in DF_RANGE)
-    new_df = F.greatest(low, F.least(high, F.col("log_df") + F.col("_dv")))
-    move = F.greatest(
-        F.abs(F.col("_dloc")) / scale, F.abs("_ds"), F.abs(new_df - F.col("log_df"))
-    )
-    return moved.select(
-        "symbol",
-        "n",
-        (F.col("loc") + F.col("_dloc")).alias("loc"),
-        (F.col("log_scale") + F.col("_ds")).alias("log_scale"),
-        new_df.alias("log_df"),
-        move.alias("move"),
-    )
-
-
-def _bounded(step: Column, limit: float) -> Column:
-    return F.greatest(F.lit(-limit), F.least(F.lit(limit), step))
+def _written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table in the shared folder: computed once, without its lineage."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def fit_student_t(
-    df: DataFrame, value: str = "ret", tolerance: float = 1e-9, max_steps: int = 60
+    df: DataFrame, value: str = "ret", tolerance: float = 1e-5, max_steps: int = 60
 ) -> DataFrame:
     """Maximum-likelihood ``df, loc, scale`` per symbol, for at least three observations.
 
-    Fisher scoring: each step is one partially aggregated pass over the series, for all
-    symbols at once; parameters stay a table. The series and the parameters are cut from
-    their lineage by reliable checkpoints. This is the one operator that starts jobs
-    itself, because the number of passes depends on the data.
+    Newton's method for all symbols at once: a step is one partially aggregated pass over the
+    series, and the parameters stay a table. Series and parameters are written to the shared
+    folder, so that each pass runs once and a lost executor costs one pass at most. The largest
+    move is observed during the write; after a Newton step of that size the remaining error is of
+    the order of its square. This is the one operator that starts jobs itself, because
+    the number of passes depends on the data.
     """
-    shared_dir(df.sparkSession)
-    data = df.where(F.col(value).isNotNull()).select("symbol", value).checkpoint()
+    data = _written(df.where(F.col(value).isNotNull()).select("symbol", value), "t-series")
     params = (
         data.groupBy("symbol")
         .agg(
@@ -117,14 +158,12 @@ def fit_student_t(
         )
         .where((F.col("n") >= 3) & F.col("log_scale").isNotNull())
         .withColumn("log_df", F.lit(math.log(4.0)))
-        .select(*_STATE)
-        .checkpoint()
     )
     for _ in range(max_steps):
-        params = _scoring_step(
-            params.select(*_STATE), _t_score(data, params.select(*_STATE), value)
-        ).checkpoint()
-        if (params.agg(F.max("move")).head()[0] or 0.0) < tolerance:
+        seen = Observation()
+        stepped = _fit_step(data, params.select(*_STATE), value)
+        params = _written(stepped.observe(seen, F.max("move").alias("move")), "t-params")
+        if (seen.get["move"] or 0.0) < tolerance:
             break
     return params.select(
         "symbol",
