@@ -51,10 +51,10 @@ from barflow.plans.registry import query
 from barflow.sinks.kafka import kafka_encode
 from barflow.sources.kafka import envelope_project, kafka_envelope_day, offsets_by_time
 
-_BERLIN_DAY = (
+BERLIN_DAY = (
     "CAST((make_timestamp(ts * 1000) AT TIME ZONE 'UTC') AT TIME ZONE 'Europe/Berlin' AS DATE)"
 )
-_DAY_TEXT = f"strftime({_BERLIN_DAY}, '%Y-%m-%d')"
+_DAY_TEXT = f"strftime({BERLIN_DAY}, '%Y-%m-%d')"
 
 
 @query(f"""WITH {TICKS}
@@ -107,14 +107,14 @@ def decode_payload_bars(spark, sf_dir):
     return decoded.withColumn("partition", F.col("partition").cast("bigint"))
 
 
-@query(f"""WITH {BARS}, local AS (SELECT *, {_BERLIN_DAY} AS d FROM bars)
+@query(f"""WITH {BARS}, local AS (SELECT *, {BERLIN_DAY} AS d FROM bars)
 SELECT event_id, ts, symbol, close FROM local WHERE d = DATE '2024-01-15'""")
 def local_day_rows(spark, sf_dir):
     day = local_day_filter(bars(spark, sf_dir), "2024-01-15")
     return day.select("event_id", "ts", "symbol", "close")
 
 
-@query(f"""WITH {BARS} SELECT event_id, strftime({_BERLIN_DAY}, '%Y-%m-%d') AS date,
+@query(f"""WITH {BARS} SELECT event_id, strftime({BERLIN_DAY}, '%Y-%m-%d') AS date,
        symbol AS key FROM bars""")
 def envelope_dates(spark, sf_dir):
     out = envelope_project(envelopes(spark, sf_dir))
@@ -123,7 +123,7 @@ def envelope_dates(spark, sf_dir):
 
 
 @query(f"""WITH {BARS} SELECT event_id % 3 AS partition, event_id // 3 AS "offset", symbol AS key,
-       '2024-01-20' AS date FROM bars WHERE {_BERLIN_DAY} = DATE '2024-01-20'""")
+       '2024-01-20' AS date FROM bars WHERE {BERLIN_DAY} = DATE '2024-01-20'""")
 def kafka_day(spark, sf_dir):
     out = kafka_envelope_day(envelopes(spark, sf_dir), "2024-01-20")
     return text_dates(
@@ -195,12 +195,12 @@ def bars_in_date_range(spark, sf_dir):
     return kept.select("event_id", "ts", "symbol", "close")
 
 
-_VALID = """open > 0 AND high > 0 AND low > 0 AND close > 0 AND high >= low AND volume >= 0"""
+VALID = """open > 0 AND high > 0 AND low > 0 AND close > 0 AND high >= low AND volume >= 0"""
 
 
 @query(f"""WITH {MINUTE_BARS}, ok AS (
   SELECT *, row_number() OVER (PARTITION BY symbol, ts ORDER BY event_id DESC) AS rn
-  FROM minute_bars WHERE {_VALID})
+  FROM minute_bars WHERE {VALID})
 SELECT symbol, ts AS open_ms, open, high, low, close, volume,
        strftime(make_timestamp(ts * 1000), '%Y-%m-%d') AS date,
        CAST(year(make_timestamp(ts * 1000)) AS INTEGER) AS year,
@@ -361,8 +361,8 @@ def last_per_date(spark, sf_dir):
     return text_dates(last, "ds")
 
 
-@query(f"""WITH {BARS} SELECT symbol, count(*) AS attempted, count(*) FILTER (WHERE {_VALID}) AS ok,
-       count(*) FILTER (WHERE NOT ({_VALID})) AS fail FROM bars GROUP BY 1""")
+@query(f"""WITH {BARS} SELECT symbol, count(*) AS attempted, count(*) FILTER (WHERE {VALID}) AS ok,
+       count(*) FILTER (WHERE NOT ({VALID})) AS fail FROM bars GROUP BY 1""")
 def batch_counts(spark, sf_dir):
     broken = F.lit(False)
     for rule in bar_rules().values():

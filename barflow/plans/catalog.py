@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from barflow.plans import bar_queries, event_queries, series_queries  # noqa: F401
+from barflow.plans import (  # noqa: F401
+    bar_queries,
+    event_queries,
+    series_queries,
+    table_queries,
+)
 from barflow.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -34,7 +34,10 @@ def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
 
 
 def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events")
+    return as_ticks(table(spark, sf_dir, "events"))
+
+
+def as_ticks(events: DataFrame) -> DataFrame:
     return events.select(
         F.col("event_type").alias("symbol"),
         F.unix_millis(F.col("ts").cast("timestamp")).alias("ts"),
@@ -55,9 +58,13 @@ def tick_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return as_bars(ticks(spark, sf_dir))
+
+
+def as_bars(t: DataFrame) -> DataFrame:
     """Bars with a spread around the tick; small prices break the positive-price rule."""
     k, price = F.col("volume"), F.col("price")
-    return ticks(spark, sf_dir).select(
+    return t.select(
         "event_id",
         "ts",
         iso_from_ms(F.col("ts")).alias("iso_ts"),
@@ -92,12 +99,16 @@ MINUTE_BARS = f"""{BARS}, minute_bars AS (
 
 
 def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return as_envelopes(bars(spark, sf_dir))
+
+
+def as_envelopes(b: DataFrame) -> DataFrame:
     """Messages as a broker hands them out: JSON for even ids, CSV for odd ones."""
     fields = ["ts", "iso_ts", "symbol", "interval", "open", "high", "low", "close", "volume"]
     as_json = F.to_json(F.struct(*fields))
     as_csv = F.to_csv(F.struct(*fields))
     even = F.col("event_id") % 2 == 0
-    return bars(spark, sf_dir).select(
+    return b.select(
         F.lit("topic_0").alias("topic"),
         (F.col("event_id") % 3).cast("int").alias("partition"),
         F.expr("event_id div 3").alias("offset"),

@@ -62,6 +62,14 @@ MACRO_EVENT_SCHEMA = schema_of(
     "event_year INT, event_month INT"
 )
 
+SENTIMENT_EVENT_SCHEMA = T.StructType(
+    [
+        *MACRO_EVENT_SCHEMA.fields[:10],
+        *schema_of("event_delta DOUBLE, event_sentiment INT").fields,
+        *MACRO_EVENT_SCHEMA.fields[10:],
+    ]
+)
+
 POST_SCHEMA = schema_of("date STRING, text STRING")
 SCORED_POST_SCHEMA = schema_of(
     "event_type STRING, platform STRING, user_handle STRING, truth_id STRING, "

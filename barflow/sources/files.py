@@ -19,6 +19,7 @@ from barflow.schemas import (
     MACRO_EVENT_SCHEMA,
     MACRO_SCHEMA,
     POST_SCHEMA,
+    SENTIMENT_EVENT_SCHEMA,
     schema_of,
 )
 
@@ -88,14 +89,15 @@ def daily_csv_scan(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     return spark.read.schema(schema).option("header", "true").csv(path).select(*names)
 
 
-def event_csv_scan(spark: SparkSession, base: str, source: str | None = None) -> DataFrame:
-    """Flat macro events from the partitioned event lake, optionally of one source."""
-    df = (
-        spark.read.schema(MACRO_EVENT_SCHEMA)
-        .option("header", "true")
-        .option("escape", '"')
-        .csv(base)
-    )
+def event_csv_scan(
+    spark: SparkSession, base: str, source: str | None = None, sentiment: bool = False
+) -> DataFrame:
+    """Flat macro events from the partitioned event lake, optionally of one source.
+
+    ``sentiment`` reads the two columns that sentiment rows carry in addition.
+    """
+    schema = SENTIMENT_EVENT_SCHEMA if sentiment else MACRO_EVENT_SCHEMA
+    df = spark.read.schema(schema).option("header", "true").option("escape", '"').csv(base)
     return df if source is None else df.where(F.col("source") == source)
 
 
