@@ -103,19 +103,20 @@ def contains_any(text: Column, keywords: Sequence[str]) -> Column:
     return F.exists(F.array(F.lower(text)), found)
 
 
+def category_list(crypto: Column, macro: Column) -> Column:
+    """Array of ``crypto`` and ``macro``, or ``other_econ`` when neither applies."""
+    names = (("crypto", crypto), ("macro", macro))
+    found = F.array_compact(F.array(*[F.when(flag, F.lit(name)) for name, flag in names]))
+    return F.when(crypto | macro, found).otherwise(F.array(F.lit("other_econ")))
+
+
 def economic_categories(
     text: Column,
     crypto: Sequence[str] = CRYPTO_KEYWORDS,
     macro: Sequence[str] = MACRO_KEYWORDS,
 ) -> Column:
-    """Array of ``crypto`` and ``macro``, or ``other_econ`` when neither applies."""
-    found = F.array_compact(
-        F.array(
-            F.when(contains_any(text, crypto), F.lit("crypto")),
-            F.when(contains_any(text, macro), F.lit("macro")),
-        )
-    )
-    return F.when(F.size(found) > 0, found).otherwise(F.array(F.lit("other_econ")))
+    """The category list of a text."""
+    return category_list(contains_any(text, crypto), contains_any(text, macro))
 
 
 def is_economic(

@@ -48,10 +48,14 @@ def local_day(ts: Column, zone: str = LOCAL_ZONE) -> Column:
 
 
 def iso_from_ms(ts: Column, suffix: str = "Z") -> Column:
-    """ISO-8601 text of an epoch-ms column; the fraction appears only when non-zero."""
-    at = timestamp_from_ms(ts)
-    fraction = F.when(ts % 1000 != 0, F.date_format(at, ".SSSSSS")).otherwise("")
-    return F.concat(F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss"), fraction, F.lit(suffix))
+    """ISO-8601 text of an epoch-ms column; the fraction appears only when non-zero.
+
+    Casting to text is several times cheaper than formatting with a pattern.
+    """
+    ms = F.pmod(ts, F.lit(1000))
+    seconds = F.timestamp_millis(ts - ms).cast("string")
+    fraction = F.when(ms == 0, "").otherwise(F.concat(F.lit("."), F.lpad(ms, 3, "0"), F.lit("000")))
+    return F.concat(F.translate(seconds, " ", "T"), fraction, F.lit(suffix))
 
 
 def bar_start_ms(ts: Column, interval: str) -> Column:

@@ -38,16 +38,21 @@ def bars_daily(
     dedup: bool = False,
     latest: Sequence[str | Column] = (),
     order: Sequence[str] = ("ts",),
+    unique: bool = False,
 ) -> DataFrame:
     """One candle per symbol and local calendar day.
 
     ``order`` decides open and close; it is UTC time, which never repeats, and may carry a
     tie-break. ``dedup`` first keeps the last arrival per ``(symbol, ts)``, so a re-emitted
-    bar counts once.
+    bar counts once; ``latest`` and ``unique`` are those of ``dedup_rows``.
     """
     require_columns(df, ["ts", "symbol", *VALUE_COLUMNS, *order])
     if dedup:
-        df = dedup_rows(df, ["symbol", "ts"], latest)
+        arrival = [(F.col(c) if isinstance(c, str) else c) for c in latest]
+        names = [f"_latest{i}" for i in range(len(arrival))]
+        needed = dict.fromkeys(["symbol", "ts", *VALUE_COLUMNS, *order])
+        df = df.select(*needed, *[c.alias(n) for n, c in zip(names, arrival)])
+        df = dedup_rows(df, ["symbol", "ts"], names, unique)
     return (
         df.withColumn("day", local_day(F.col("ts"), zone))
         .groupBy("symbol", "day")

@@ -117,22 +117,33 @@ def histogram(df: DataFrame, bins: int = HISTOGRAM_BINS, value: str = "ret") ->
     index = F.least(
         F.floor((F.col(value) - F.col("first_edge")) / F.col("width")), F.lit(bins - 1)
     )
+    # Counts of a symbol meet as one map of at most ``bins`` entries, from which empty bins are
+    # filled in without a join.
+    shape = ("symbol", "n", "first_edge", "width")
     counted = (
         df.where(F.col(value).isNotNull())
+        .select("symbol", value)
         .join(edges, "symbol")
-        .groupBy("symbol", index.cast("int").alias("bin"))
-        .agg(F.count(F.lit(1)).alias("observed"))
+        .groupBy(*shape, index.cast("int").alias("bin"))
+        .agg(F.count(F.lit(1)).alias("rows"))
+        .groupBy(*shape)
+        .agg(F.map_from_entries(F.collect_list(F.struct("bin", "rows"))).alias("_counts"))
     )
-    grid = edges.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
-    lower = F.col("first_edge") + F.col("bin") * F.col("width")
-    return grid.join(counted, ["symbol", "bin"], "left").select(
-        "symbol",
-        "bin",
-        "n",
-        lower.alias("lower"),
-        (F.col("first_edge") + (F.col("bin") + 1) * F.col("width")).alias("upper"),
-        F.coalesce("observed", F.lit(0)).cast("bigint").alias("observed"),
-        (F.coalesce("observed", F.lit(0)) / (F.col("n") * F.col("width"))).alias("density"),
+    observed = F.coalesce(F.try_element_at("_counts", F.col("bin")), F.lit(0))
+    edge = F.col("first_edge") + F.col("bin") * F.col("width")
+    upper = F.col("first_edge") + (F.col("bin") + 1) * F.col("width")
+    return (
+        counted.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
+        .withColumn("observed", observed.cast("bigint"))
+        .select(
+            "symbol",
+            "bin",
+            "n",
+            edge.alias("lower"),
+            upper.alias("upper"),
+            "observed",
+            (F.col("observed") / (F.col("n") * F.col("width"))).alias("density"),
+        )
     )
 
 

@@ -31,6 +31,7 @@ from barflow.session import scratch_path
 
 # Degrees of freedom are searched in this range; at the upper end the fit is a normal one.
 DF_RANGE = (0.1, 1000.0)
+STEPS_PER_PASS = 2
 _STATE = ("symbol", "n", "loc", "log_scale", "log_df")
 
 
@@ -143,7 +144,7 @@ def fit_student_t(
 
     Newton's method for all symbols at once: a step is one partially aggregated pass over the
     series, and the parameters stay a table. Series and parameters are written to the shared
-    folder, so that each pass runs once and a lost executor costs one pass at most. The largest
+    folder, so that each step runs once and a lost executor costs two steps at most. The largest
     move is observed during the write; after a Newton step of that size the remaining error is of
     the order of its square. This is the one operator that starts jobs itself, because
     the number of passes depends on the data.
@@ -159,9 +160,11 @@ def fit_student_t(
         .where((F.col("n") >= 3) & F.col("log_scale").isNotNull())
         .withColumn("log_df", F.lit(math.log(4.0)))
     )
-    for _ in range(max_steps):
+    for _ in range(0, max_steps, STEPS_PER_PASS):
         seen = Observation()
-        stepped = _fit_step(data, params.select(*_STATE), value)
+        stepped = params
+        for _ in range(STEPS_PER_PASS):
+            stepped = _fit_step(data, stepped.select(*_STATE), value)
         params = _written(stepped.observe(seen, F.max("move").alias("move")), "t-params")
         if (seen.get["move"] or 0.0) < tolerance:
             break

@@ -18,6 +18,7 @@ from barflow.constants import (
     TICKER_EVENT_TYPE,
 )
 from barflow.functions.checks import require_columns
+from barflow.functions.once import with_computed
 from barflow.functions.timecols import (
     as_date,
     iso_from_ms,
@@ -27,7 +28,7 @@ from barflow.functions.timecols import (
     timestamp_from_ms,
     utc_range_ms,
 )
-from barflow.schemas import BAR_COLUMNS, BAR_DDL, BAR_SCHEMA
+from barflow.schemas import BAR_DDL, BAR_SCHEMA
 
 PRICE_COLUMNS = ("open", "high", "low", "close")
 VALUE_COLUMNS = (*PRICE_COLUMNS, "volume")
@@ -35,7 +36,6 @@ VALUE_COLUMNS = (*PRICE_COLUMNS, "volume")
 # Text accepted as a number: digits, optional point and exponent. NaN, infinities and
 # the type suffixes a JVM parser would take are rejected.
 NUMBER_TEXT = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
-INTEGER_TEXT = r"^\s*[+-]?[0-9]+\s*$"
 
 
 def decode_payload(df: DataFrame, value: str = "value", keep: Sequence[str] = ()) -> DataFrame:
@@ -49,9 +49,8 @@ def decode_payload(df: DataFrame, value: str = "value", keep: Sequence[str] = ()
     decoded = F.when(
         F.startswith(F.ltrim(text), F.lit("{")), F.from_json(text, BAR_SCHEMA)
     ).otherwise(F.from_csv(text, BAR_DDL, csv_options))
-    return df.select(*keep, decoded.alias("bar")).select(
-        *keep, *[F.col(f"bar.{name}").alias(name) for name in BAR_COLUMNS]
-    )
+    # Unpacking through a generator keeps later filters from decoding the text again.
+    return df.select(*keep, F.inline_outer(F.array(decoded)))
 
 
 def local_day_filter(df: DataFrame, day: str | date, zone: str = LOCAL_ZONE) -> DataFrame:
@@ -70,24 +69,22 @@ def _number(column: str) -> Column:
 
 
 def _parsed_kline(df: DataFrame) -> DataFrame:
-    raw = F.col("open_time").cast("string")
-    number = F.when(F.rlike(raw, F.lit(INTEGER_TEXT)), F.trim(raw).try_cast("bigint"))
-    parsed = df.withColumn("_raw_ts", number).withColumn(
-        "ts",
-        F.when(
-            F.col("_raw_ts") > MICROSECOND_FLOOR, F.expr("_raw_ts div 1000")
-        ).otherwise(F.col("_raw_ts")),
+    """Text fields as numbers next to the input, and why a row is unreadable."""
+    raw = F.trim(F.col("open_time").cast("string")).try_cast("bigint")
+    numbers = {"_raw_ts": raw, **{f"_{name}": _number(name) for name in VALUE_COLUMNS}}
+    ts = F.when(F.col("_raw_ts") > MICROSECOND_FLOOR, F.expr("_raw_ts div 1000")).otherwise(
+        F.col("_raw_ts")
     )
-    return parsed.withColumns({f"_{name}": _number(name) for name in VALUE_COLUMNS})
+    return with_computed(df, numbers).withColumns({"ts": ts, "_reason": _reject_reason(ts)})
 
 
-def _reject_reason() -> Column:
+def _reject_reason(ts: Column) -> Column:
     bad_values = F.lit(False)
     for name in VALUE_COLUMNS:
         bad_values = bad_values | F.col(f"_{name}").isNull()
     return (
-        F.when(F.col("ts").isNull(), "bad_open_time")
-        .when(~F.col("ts").between(MIN_OPEN_TIME_MS, MAX_OPEN_TIME_MS), "out_of_range")
+        F.when(F.col("_raw_ts").isNull(), "bad_open_time")
+        .when(~ts.between(MIN_OPEN_TIME_MS, MAX_OPEN_TIME_MS), "out_of_range")
         .when(bad_values, "bad_values")
     )
 
@@ -101,7 +98,7 @@ def parse_kline_rows(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     require_columns(df, ["open_time", "symbol", "interval", *VALUE_COLUMNS])
     return (
         _parsed_kline(df)
-        .where(_reject_reason().isNull())
+        .where(F.col("_reason").isNull())
         .select(
             *keep,
             "ts",
@@ -118,9 +115,8 @@ def kline_rejects(df: DataFrame) -> DataFrame:
     columns = df.columns
     return (
         _parsed_kline(df)
-        .withColumn("reason", _reject_reason())
-        .where(F.col("reason").isNotNull())
-        .select(*columns, "reason")
+        .where(F.col("_reason").isNotNull())
+        .select(*columns, F.col("_reason").alias("reason"))
     )
 
 
@@ -146,15 +142,25 @@ def rule_violations(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 
 def dedup_rows(
-    df: DataFrame, keys: Sequence[str], latest: Sequence[str | Column] = ()
+    df: DataFrame,
+    keys: Sequence[str],
+    latest: Sequence[str | Column] = (),
+    unique: bool = False,
 ) -> DataFrame:
     """One row per key: the greatest by ``latest``, then by the remaining columns.
 
     An aggregation rather than a window: copies of one key collapse before the shuffle,
-    so a key that holds most of the table never meets in one task.
+    so a key that holds most of the table never meets in one task. ``unique`` promises that
+    ``latest`` is one column without repeats inside a key; every column is then picked by itself,
+    which numeric columns do by hash aggregation, without a sort.
     """
     rest = [name for name in df.columns if name not in keys]
     order = [F.col(c) if isinstance(c, str) else c for c in latest]
+    if unique:
+        if len(order) != 1:
+            raise ValueError("unique needs exactly one column in latest")
+        picked = [F.max_by(name, order[0]).alias(name) for name in rest]
+        return df.groupBy(*keys).agg(*picked).select(*df.columns)
     rank = [c.alias(f"_o{i}") for i, c in enumerate(order)]
     best = F.max(F.struct(*rank, *rest)).alias("_best")
     return (
@@ -164,24 +170,32 @@ def dedup_rows(
     )
 
 
+def is_valid_bar() -> Column:
+    """All rules kept. A null makes its comparison unknown, which a filter drops."""
+    kept = F.col("symbol").isNotNull() & F.col("ts").isNotNull() & (F.col("volume") >= 0)
+    for name in PRICE_COLUMNS:
+        kept = kept & (F.col(name) > 0)
+    return kept & (F.col("high") >= F.col("low"))
+
+
 def validate_bars(
-    df: DataFrame, dedup: bool = True, latest: Sequence[str | Column] = ()
+    df: DataFrame,
+    dedup: bool = True,
+    latest: Sequence[str | Column] = (),
+    unique: bool = False,
 ) -> DataFrame:
     """Bars that keep every rule, typed in time, one per ``(symbol, open_ts)``.
 
-    ``latest`` orders repeated keys (for example by arrival offset); without it the row with the
-    greatest values wins, so the result never depends on partitioning.
+    ``latest`` orders repeated keys (for example by arrival offset), ``unique`` as in ``dedup_rows``;
+    without it the row with the greatest values wins, so the result never depends on partitioning.
     """
     require_columns(df, ["ts", "symbol", *VALUE_COLUMNS])
-    # A rule that compares a null is unknown, and the null rule beside it is true.
-    broken = F.lit(False)
-    for rule in bar_rules().values():
-        broken = broken | rule
     order = [F.col(c) if isinstance(c, str) else c for c in latest]
-    aliased = [c.alias(f"_latest{i}") for i, c in enumerate(order)]
-    bars = df.where(~broken).select("ts", "symbol", *VALUE_COLUMNS, *aliased)
+    names = [f"_latest{i}" for i in range(len(order))]
+    aliased = [c.alias(n) for n, c in zip(names, order)]
+    bars = df.where(is_valid_bar()).select("ts", "symbol", *VALUE_COLUMNS, *aliased)
     if dedup:
-        bars = dedup_rows(bars, ["symbol", "ts"], [f"_latest{i}" for i in range(len(order))])
+        bars = dedup_rows(bars, ["symbol", "ts"], names, unique)
     return bars.select(
         "symbol",
         timestamp_from_ms(F.col("ts")).alias("open_ts"),

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from barflow.constants import (
     CHUNK_OVERLAP,
     CHUNK_TOKENS,
+    CRYPTO_KEYWORDS,
+    MACRO_KEYWORDS,
     POST_EVENT_TYPE,
     POST_LANGUAGE,
     POST_PLACEHOLDERS,
@@ -18,8 +20,11 @@ from barflow.constants import (
     POSTS_SINCE,
 )
 from barflow.functions.checks import require_columns
+from barflow.functions.once import with_computed
 from barflow.functions.textcols import (
     BLANK,
+    category_list,
+    contains_any,
     economic_categories,
     is_economic,
     is_low_info,
@@ -58,12 +63,20 @@ def dedup_posts(df: DataFrame, keys: Sequence[str] = ("date", "text")) -> DataFr
 
 def classify_posts(df: DataFrame, text: str = "text") -> DataFrame:
     """Add ``low_info``, ``is_economic`` and ``economic_categories`` to every post."""
-    return df.withColumns(
-        {
-            "low_info": is_low_info(F.col(text)),
-            "is_economic": F.coalesce(is_economic(F.col(text)), F.lit(False)),
-            "economic_categories": economic_categories(F.col(text)),
-        }
+    flags = {
+        "_crypto": F.coalesce(contains_any(F.col(text), CRYPTO_KEYWORDS), F.lit(False)),
+        "_macro": F.coalesce(contains_any(F.col(text), MACRO_KEYWORDS), F.lit(False)),
+    }
+    return (
+        with_computed(df, flags)
+        .withColumns(
+            {
+                "low_info": is_low_info(F.col(text)),
+                "is_economic": F.col("_crypto") | F.col("_macro"),
+                "economic_categories": category_list(F.col("_crypto"), F.col("_macro")),
+            }
+        )
+        .drop("_crypto", "_macro")
     )
 
 
@@ -100,7 +113,9 @@ def chunk_tokens(
         df.where(F.length(strip(F.col(text))) > 0)
         .select(*keep, tokens.alias("_tokens"))
         .select(*keep, pieces.alias("_pieces"))
-        .select(*keep, F.posexplode("_pieces").alias("chunk", "tokens"))
+        # There is always a first piece. The outer form spares the emptiness filter that would
+        # be inferred below, with the splitting copied into it.
+        .select(*keep, F.posexplode_outer("_pieces").alias("chunk", "tokens"))
     )
 
 

@@ -16,11 +16,11 @@ from barflow.operators.bars import (
     union_symbols,
 )
 from barflow.operators.klines import (
-    bar_rules,
     bars_in_range,
     decode_payload,
     enrich_bars,
     enrich_ticks,
+    is_valid_bar,
     kline_rejects,
     local_day_filter,
     parse_kline_rows,
@@ -73,7 +73,7 @@ SELECT {_DAY_TEXT} AS day, symbol, arg_min(open, ts) AS open, max(high) AS high,
        min(low) AS low, arg_max(close, ts) AS close, sum(volume) AS volume, count(*) AS rows
 FROM ranked WHERE rn = 1 GROUP BY 1, 2""")
 def daily_bars_dedup(spark, sf_dir):
-    candles = bars_daily(minute_bars(spark, sf_dir), dedup=True, latest=("event_id",))
+    candles = bars_daily(minute_bars(spark, sf_dir), dedup=True, latest=("event_id",), unique=True)
     return text_dates(candles, "day")
 
 
@@ -207,7 +207,7 @@ SELECT symbol, ts AS open_ms, open, high, low, close, volume,
        CAST(month(make_timestamp(ts * 1000)) AS INTEGER) AS month
 FROM ok WHERE rn = 1""")
 def valid_bars(spark, sf_dir):
-    valid = with_month(validate_bars(minute_bars(spark, sf_dir), latest=("event_id",)))
+    valid = with_month(validate_bars(minute_bars(spark, sf_dir), latest=("event_id",), unique=True))
     return text_dates(
         valid.withColumn("open_ms", F.unix_millis("open_ts")).drop("open_ts"), "date"
     )
@@ -364,10 +364,7 @@ def last_per_date(spark, sf_dir):
 @query(f"""WITH {BARS} SELECT symbol, count(*) AS attempted, count(*) FILTER (WHERE {VALID}) AS ok,
        count(*) FILTER (WHERE NOT ({VALID})) AS fail FROM bars GROUP BY 1""")
 def batch_counts(spark, sf_dir):
-    broken = F.lit(False)
-    for rule in bar_rules().values():
-        broken = broken | rule
-    return batch_counters(bars(spark, sf_dir), ~broken)
+    return batch_counters(bars(spark, sf_dir), is_valid_bar())
 
 
 @query(f"""WITH {TICKS}, {CLOSES}

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from barflow.functions.once import with_computed
 from barflow.functions.timecols import iso_from_ms
 from barflow.operators.bars import daily_close, ticks_as_bars
 from barflow.operators.macro import decision_class
@@ -64,7 +65,8 @@ def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
 def as_bars(t: DataFrame) -> DataFrame:
     """Bars with a spread around the tick; small prices break the positive-price rule."""
     k, price = F.col("volume"), F.col("price")
-    return t.select(
+    once = with_computed(t.withColumnRenamed("volume", "_k"), {"volume": F.col("_k")})
+    return once.select(
         "event_id",
         "ts",
         iso_from_ms(F.col("ts")).alias("iso_ts"),
