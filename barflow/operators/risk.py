@@ -17,6 +17,7 @@ from barflow.functions.checks import require_columns
 from barflow.operators.returns import rolling_return
 
 _UNIT = 2.0**-52
+PATHS_PER_BLOCK = 250
 
 
 def student_t_draw(df: Column, *key: Column) -> Column:
@@ -44,21 +45,24 @@ def scenario_paths(
 ) -> DataFrame:
     """Final ``days``-day return of each simulated path, per symbol and scenario.
 
-    ``params`` holds ``df, loc, scale`` per symbol. Paths are spread by symbol *and* path number,
-    so one symbol uses the whole cluster. Both scenarios share their draws, as a common seed would
-    give, and a path's draws are summed once for both.
+    ``params`` holds ``df, loc, scale`` per symbol. Blocks of paths are dealt over the cluster, so
+    one symbol uses all of it; paths and days unfold inside a task and are summed there, without
+    another shuffle. Both scenarios share their draws, as a common seed would give, and a path's
+    draws are summed once for both.
     """
     require_columns(params, ["symbol", "df", "loc", "scale"])
     draw = student_t_draw(
         F.col("df"), F.lit(str(seed)), F.col("symbol"), F.col("path"), F.col("day")
     )
+    block, last = F.col("block"), F.lit(paths)
+    inside = F.sequence(block + 1, F.least(block + PATHS_PER_BLOCK, last))
     summed = (
-        params.select(
-            "symbol", "df", "loc", "scale", F.explode(F.sequence(F.lit(1), F.lit(paths))).alias("path")
-        )
-        .repartition("symbol", "path")
+        params.select("symbol", "df", "loc", "scale")
+        .withColumn("block", F.explode(F.sequence(F.lit(0), last - 1, F.lit(PATHS_PER_BLOCK))))
+        .repartition("symbol", "block")
+        .withColumn("path", F.explode_outer(inside))
         .withColumn("day", F.explode(F.sequence(F.lit(1), F.lit(days))))
-        .groupBy("symbol", "path")
+        .groupBy("symbol", "block", "path")
         .agg(F.sum(draw).alias("_t"), F.first("loc").alias("loc"), F.first("scale").alias("scale"))
     )
     scenarios = F.array(
