@@ -16,6 +16,7 @@ from barflow.functions.timecols import as_date
 from barflow.operators.bars import forecast_calendar
 from barflow.operators.returns import by_date, lag_design
 from barflow.schemas import FORECAST_SCHEMA
+from barflow.session import spread
 
 Fitter = Callable[["pd.Series"], "float | None"]
 
@@ -86,7 +87,8 @@ def forecast_next_day(
     require_date(df, "ds")
     series = df.where(F.col(value).isNotNull())
     if fitter is not None:
-        return series.groupBy("symbol").applyInPandas(_next_day_group(fitter, value), FORECAST_SCHEMA)
+        groups = spread(series.select("symbol", "ds", value), "symbol").groupBy("symbol")
+        return groups.applyInPandas(_next_day_group(fitter, value), FORECAST_SCHEMA)
     pairs = series.withColumn("prev", F.lag(value).over(by_date()))
     fit = pairs.groupBy("symbol").agg(
         F.count(value).alias("history"),
@@ -145,7 +147,7 @@ def forecast_period(
         "symbol", "ds", value
     )
     dealt = series.withColumn("block", F.explode(F.array(*[F.lit(b) for b in blocks])))
-    return dealt.groupBy("symbol", "block").applyInPandas(
+    return spread(dealt, "symbol", "block").groupBy("symbol", "block").applyInPandas(
         _period_group(fitter, value, first, last, targets_per_task), FORECAST_SCHEMA
     )
 

@@ -15,6 +15,7 @@ from barflow.constants import (
 )
 from barflow.functions.checks import require_columns
 from barflow.operators.returns import rolling_return
+from barflow.session import spread
 
 _UNIT = 2.0**-52
 PATHS_PER_BLOCK = 250
@@ -56,10 +57,11 @@ def scenario_paths(
     )
     block, last = F.col("block"), F.lit(paths)
     inside = F.sequence(block + 1, F.least(block + PATHS_PER_BLOCK, last))
+    blocks = params.select("symbol", "df", "loc", "scale").withColumn(
+        "block", F.explode(F.sequence(F.lit(0), last - 1, F.lit(PATHS_PER_BLOCK)))
+    )
     summed = (
-        params.select("symbol", "df", "loc", "scale")
-        .withColumn("block", F.explode(F.sequence(F.lit(0), last - 1, F.lit(PATHS_PER_BLOCK))))
-        .repartition("symbol", "block")
+        spread(blocks, "symbol", "block")
         .withColumn("path", F.explode_outer(inside))
         .withColumn("day", F.explode(F.sequence(F.lit(1), F.lit(days))))
         .groupBy("symbol", "block", "path")

@@ -33,6 +33,7 @@ from barflow.operators.posts import (
     posts_since,
     score_chunks,
 )
+from barflow.session import spread
 from barflow.sinks.files import (
     write_events,
     write_forecast,
@@ -153,7 +154,9 @@ def scored_posts(posts: DataFrame, model: Callable[[Column], Column], **record)
         "post_id", F.sha2(F.concat_ws("\x1f", "date", "text"), 256)
     )
     # Equal posts share an id and are scored once; the join brings every one of them back.
-    distinct = kept.select("post_id", "text").dropDuplicates(["post_id"])
+    # Scoring is costly per byte, so the few rows left are spread by number, not by size; the
+    # pooling and the join use the same partitioning.
+    distinct = spread(kept.select("post_id", "text").dropDuplicates(["post_id"]), "post_id")
     scored = pool_sentiment(score_chunks(chunk_tokens(distinct), model))
     return post_record(kept.join(scored, "post_id"), **record)
 

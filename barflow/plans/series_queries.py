@@ -208,17 +208,17 @@ def chi_square_bin_table(spark, sf_dir):
     return rounded(rounded(table, 8, "lower", "upper"), 6, "expected")
 
 
-@query(f"""WITH {_CHI} SELECT symbol, count(*) AS bins_used, count(*) - 3 AS dof,
-       round(sum((observed - expected) ** 2 / expected), 5) AS chi2
-FROM expected WHERE expected >= 5 GROUP BY 1 HAVING count(*) > 3""")
-def chi_square_statistic(spark, sf_dir):
-    stat = chi_square_normal(returns(spark, sf_dir))
-    return rounded(stat.drop("p_value"), 5, "chi2")
-
-
-@query()
+@query(f"""WITH {_CHI}, stat AS (
+  SELECT symbol, count(*) AS k, count(*) - 3 AS dof, sum((observed - expected) ** 2 / expected) / 2 AS h
+  FROM expected WHERE expected >= 5 GROUP BY 1 HAVING count(*) > 3), root AS (
+  SELECT *, -sqrt(2 * h) AS z FROM stat)
+SELECT symbol, k AS bins_used, dof, round(2 * h, 5) AS chi2, round(CASE
+  WHEN dof % 2 = 0 THEN list_sum(list_transform(range(0, dof // 2), lambda j: exp(j * ln(h) - h - lgamma(j + 1))))
+  ELSE 2 * {_phi_sql("z")} + coalesce(list_sum(list_transform(range(1, (dof + 1) // 2),
+         lambda j: exp((j - 0.5) * ln(h) - h - lgamma(j + 0.5)))), 0) END, 7) AS p_value
+FROM root""")
 def chi_square_test(spark, sf_dir):
-    return chi_square_normal(returns(spark, sf_dir))
+    return rounded(rounded(chi_square_normal(returns(spark, sf_dir)), 5, "chi2"), 7, "p_value")
 
 
 # --- Student-t fit ----------------------------------------------------------
@@ -303,16 +303,54 @@ def ks_tests(spark, sf_dir):
     return ks_test(r, fit_params(r))
 
 
-@query()
+# Quantiles in SQL: Acklam's rational approximation and one Newton step on the power series.
+_QUANTILE_GUESS = """CASE
+  WHEN p < 0.02425 OR p > 0.97575 THEN sign(p - 0.5) * -1 * (((((
+    -7.784894002430293e-03 * t - 3.223964580411365e-01) * t - 2.400758277161838e+00) * t
+    - 2.549732539343734e+00) * t + 4.374664141464968e+00) * t + 2.938163982698783e+00) / ((((
+    7.784695709041462e-03 * t + 3.224671290700398e-01) * t + 2.445134137142996e+00) * t
+    + 3.754408661907416e+00) * t + 1)
+  ELSE (((((-3.969683028665376e+01 * r + 2.209460984245205e+02) * r - 2.759285104469687e+02) * r
+    + 1.383577518672690e+02) * r - 3.066479806614716e+01) * r + 2.506628277459239e+00) * (p - 0.5) / (((((
+    -5.447609879822406e+01 * r + 1.615858368580409e+02) * r - 1.556989798598866e+02) * r
+    + 6.680131188771972e+01) * r - 1.328068155288572e+01) * r + 1) END"""
+
+
+@query(f"""WITH {_RANKED}, nfit AS (
+  SELECT symbol, avg(ret) AS mu, stddev_samp(ret) AS sigma FROM returns GROUP BY 1), pos AS (
+  SELECT symbol, i, ret, mu, sigma, CASE WHEN i = n THEN pow(0.5, 1.0 / n) WHEN i = 1 THEN 1 - pow(0.5, 1.0 / n)
+         ELSE (i - 0.3175::DOUBLE) / (n + 0.365::DOUBLE) END AS p
+  FROM ranked JOIN nfit USING (symbol) WHERE n >= 10), aux AS (
+  SELECT *, sqrt(-2 * ln(least(p, 1 - p))) AS t, (p - 0.5) * (p - 0.5) AS r FROM pos), guess AS (
+  SELECT *, {_QUANTILE_GUESS} AS z0 FROM aux), q AS (
+  SELECT *, z0 - ({_phi_sql("z0")} - p) * sqrt(2 * pi()) * exp(z0 * z0 / 2) AS z FROM guess)
+SELECT symbol, i, round(p, 9) AS position, round(mu + sigma * z, 6) AS theoretical,
+       round(ret, 9) AS empirical FROM q""")
 def qq_normal_points(spark, sf_dir):
     r = returns(spark, sf_dir)
-    return qq_normal(r, fit_normal(r))
+    points = rounded(qq_normal(r, fit_normal(r)), 9, "position", "empirical")
+    return rounded(points.withColumn("i", F.col("i").cast("bigint")), 6, "theoretical")
 
 
-@query()
+@query(f"""WITH RECURSIVE {_T_FIT}, ranked AS MATERIALIZED (
+  SELECT r.symbol, ret, df, loc, scale, row_number() OVER w AS i, count(*) OVER (PARTITION BY r.symbol) AS n
+  FROM returns r JOIN tfit t ON t.symbol = r.symbol
+  WINDOW w AS (PARTITION BY r.symbol ORDER BY ret, ds)), bisect AS (
+  SELECT 0 AS step, symbol, i, abs((i - 0.5) / n - 0.5) AS target, df, 0.0::DOUBLE AS lo, 64.0::DOUBLE AS hi
+  FROM ranked
+  UNION ALL
+  SELECT step + 1, symbol, i, target, df, CASE WHEN c - 0.5 < target THEN mid ELSE lo END,
+         CASE WHEN c - 0.5 < target THEN hi ELSE mid END
+  FROM (SELECT *, {_t_cdf_sql("mid", "df")} AS c
+        FROM (SELECT *, (lo + hi) / 2 AS mid FROM bisect WHERE step < 45)))
+SELECT k.symbol, k.i, round((k.i - 0.5) / n, 9) AS position,
+       round(loc + scale * sign((k.i - 0.5) / n - 0.5) * (lo + hi) / 2, 4) AS theoretical,
+       round(ret, 9) AS empirical
+FROM ranked k JOIN bisect b ON b.symbol = k.symbol AND b.i = k.i WHERE step = 45 AND n >= 10""")
 def qq_student_t_points(spark, sf_dir):
     r = returns(spark, sf_dir)
-    return qq_student_t(r, fit_params(r))
+    points = rounded(qq_student_t(r, fit_params(r)), 9, "position", "empirical")
+    return rounded(points.withColumn("i", F.col("i").cast("bigint")), 4, "theoretical")
 
 
 @query(f"""WITH RECURSIVE {_T_FIT}, fit AS (
@@ -482,6 +520,23 @@ def series_forecast_order2(spark, sf_dir):
     return rounded(_shown(f, 7, "forecast", "lower", "upper"), 5, "aic")
 
 
+@query(f"""WITH {_AR2}, terms AS (
+  SELECT symbol, p, n, s2, term, CASE term WHEN 'const' THEN f0 WHEN 'lag1' THEN f1 ELSE f2 END AS b,
+         CASE WHEN p = 2 AND term = 'lag1' THEN bb / (aa * bb - ab * ab)
+              WHEN p = 2 AND term = 'lag2' THEN aa / (aa * bb - ab * ab)
+              WHEN p = 1 AND term = 'lag1' THEN 1 / aa
+              WHEN term = 'const' AND p = 2 THEN 1.0 / n
+                + (ma * ma * bb - 2 * ma * mb * ab + mb * mb * aa) / (aa * bb - ab * ab)
+              WHEN term = 'const' AND p = 1 THEN 1.0 / n + ma * ma / aa ELSE 1.0 / n END AS v
+  FROM best CROSS JOIN (VALUES ('const', 0), ('lag1', 1), ('lag2', 2)) x(term, lag_no) WHERE lag_no <= p), t AS (
+  SELECT *, -abs(b / sqrt(s2 * v)) AS tv, (n - p - 1)::DOUBLE AS dof FROM terms)
+SELECT symbol, CAST(p AS INTEGER) AS ar_order, term, round(b, 7) AS estimate,
+       round(2 * {_t_cdf_sql("tv", "dof")}, 6) AS p_value FROM t""")
+def series_coefficients_order2(spark, sf_dir):
+    c = series_coefficients(returns(spark, sf_dir), max_order=2)
+    return rounded(rounded(c, 7, "estimate"), 6, "p_value")
+
+
 @query()
 def series_forecasts(spark, sf_dir):
     return text_dates(series_forecast(returns(spark, sf_dir), horizon=14), "ds")
@@ -507,7 +562,7 @@ def tail_risk_30d(spark, sf_dir):
     return rounded(rounded(risk, 9, "prob_drawdown"), 8, "value_at_risk")
 
 
-_SCENARIO_DAYS, _SCENARIO_PATHS = 30, 2000
+_SCENARIO_DAYS, _SCENARIO_PATHS = 30, 10_000
 
 _SCENARIOS = f"""{_T_FIT}, draws AS (
   SELECT symbol, path, md5('42|' || symbol || '|' || path || '|' || day) AS h
@@ -531,8 +586,16 @@ def scenario_risk_table(spark, sf_dir):
     return rounded(rounded(risk, 9, "prob_drawdown"), 5, "value_at_risk")
 
 
-@query()
+@query(f"""WITH RECURSIVE {_SCENARIOS}, returns2 AS (
+  SELECT symbol || '/' || scenario AS symbol, ret FROM finals), q AS (
+  SELECT symbol, quantile_cont(ret, 0.005::DOUBLE) AS lo, quantile_cont(ret, 0.995::DOUBLE) AS hi
+  FROM returns2 GROUP BY 1), clipped AS (
+  SELECT r.* FROM returns2 r JOIN q USING (symbol) WHERE ret BETWEEN lo AND hi),
+{_histogram_sql("clipped", 80)}
+SELECT symbol, bin, n, round(ln(1 + upper), 5) AS log_upper, observed FROM hist""")
 def scenario_histogram(spark, sf_dir):
     paths = scenario_paths(fit_student_t(returns(spark, sf_dir)))
     labelled = paths.select(F.concat_ws("/", "symbol", "scenario").alias("symbol"), "ret")
-    return histogram(clip_central(labelled))
+    # Simulated returns span many orders of magnitude, so edges are compared on a log scale.
+    bins = histogram(clip_central(labelled)).withColumn("log_upper", F.log1p("upper"))
+    return rounded(bins.drop("density", "lower", "upper"), 5, "log_upper")

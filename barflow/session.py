@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -62,3 +62,13 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder for a table a job writes and reads back."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def spread(df: DataFrame, *columns: str) -> DataFrame:
+    """Hash-partition rows that are few but costly to process.
+
+    With the number given, adaptive execution does not merge the partitions by their small size,
+    so the work stays spread over the cluster.
+    """
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(partitions, *columns)
