@@ -145,8 +145,8 @@ def kafka_day_offsets(spark, sf_dir):
 
 
 @query(f"""WITH {TICKS} SELECT event_id, symbol AS key,
-       to_json({{'symbol': symbol, 'ts': ts, 'event_id': event_id, 'price': price,
-                 'volume': volume}}) AS value FROM ticks""")
+       CAST(to_json({{'symbol': symbol, 'ts': ts, 'event_id': event_id, 'price': price,
+                 'volume': volume}}) AS VARCHAR) AS value FROM ticks""")
 def kafka_key_value(spark, sf_dir):
     messages = kafka_encode(ticks(spark, sf_dir))
     event_id = F.get_json_object("value", "$.event_id").cast("bigint")
