@@ -20,7 +20,6 @@ from barflow.constants import (
     POSTS_SINCE,
 )
 from barflow.functions.checks import require_columns
-from barflow.functions.once import with_computed
 from barflow.functions.textcols import (
     BLANK,
     category_list,
@@ -68,7 +67,7 @@ def classify_posts(df: DataFrame, text: str = "text") -> DataFrame:
         "_macro": F.coalesce(contains_any(F.col(text), MACRO_KEYWORDS), F.lit(False)),
     }
     return (
-        with_computed(df, flags)
+        df.withColumns(flags)
         .withColumns(
             {
                 "low_info": is_low_info(F.col(text)),

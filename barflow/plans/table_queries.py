@@ -41,7 +41,6 @@ from barflow.plans.jobs import (
     silver_job,
 )
 from barflow.plans.registry import query
-from barflow.schemas import CANDLE_SCHEMA, SCORED_POST_SCHEMA
 from barflow.session import scratch_path
 from barflow.sinks.files import (
     csv_append,
@@ -55,7 +54,11 @@ from barflow.sources.files import (
     bar_csv_scan,
     close_csv_scan,
     event_csv_scan,
+    forecast_scan,
+    gold_scan,
     raw_scan,
+    scored_post_scan,
+    silver_scan,
 )
 from barflow.sources.kafka import envelope_project
 from barflow.streaming.bars import file_stream, start_files, stream_bars, stream_dedup, stream_raw
@@ -103,7 +106,7 @@ def gold_table(spark, sf_dir):
     candles = bars_daily(tick_bars(spark, sf_dir), order=("ts", "event_id"))
     for _ in range(2):  # a re-run replaces its partitions
         write_gold(candles, path)
-    return text_dates(spark.read.schema(CANDLE_SCHEMA).parquet(path), "day")
+    return text_dates(gold_scan(spark, path), "day")
 
 
 @query(f"""WITH {TICKS} SELECT 'gold' AS sink, count(*) AS rows
@@ -121,9 +124,8 @@ _SILVER_COLUMNS = """symbol, ts AS open_ms, open, high, low, close, volume,
 
 
 def _silver_shown(spark, path):
-    df = spark.read.parquet(path).withColumn("open_ms", F.unix_millis("open_ts")).drop("open_ts")
-    numbers = {c: F.col(c).cast("int") for c in ("year", "month")}
-    return text_dates(df.withColumns(numbers), "date")
+    df = silver_scan(spark, path).withColumn("open_ms", F.unix_millis("open_ts"))
+    return text_dates(df.drop("open_ts"), "date")
 
 
 @query(f"""WITH {MINUTE_BARS}, ok AS (SELECT * FROM minute_bars WHERE {VALID}
@@ -206,11 +208,7 @@ def forecast_files(spark, sf_dir):
     )
     csv_append(text, daily, ("iso_ts", "symbol", "close"))
     forecast_job(spark, daily, out, "2001-07-20", "2001-08-05")
-    schema = (
-        "y_hat_close double, actual_close double, abs_error double, ape double, "
-        "created_at timestamp, ds date, symbol string"
-    )
-    df = spark.read.schema(schema).option("header", "true").csv(out).drop("created_at")
+    df = forecast_scan(spark, out).drop("created_at")
     return rounded(rounded(text_dates(df, "ds"), 4, "y_hat_close", "abs_error"), 7, "ape")
 
 
@@ -235,17 +233,7 @@ def post_files(spark, sf_dir):
     lines, out = scratch_path(spark, "posts"), scratch_path(spark, "post-events")
     posts(spark, sf_dir).select("date", "text").write.json(lines)
     posts_job(spark, lines, out, vowel_model)
-    data = [f for f in SCORED_POST_SCHEMA.fields if f.name != "event_date"]
-    schema = SCORED_POST_SCHEMA.__class__([*data, SCORED_POST_SCHEMA["event_date"]])
-    df = (
-        spark.read.schema(schema)
-        .option("header", "true")
-        .option("multiLine", "true")
-        .option("escape", '"')
-        .option("ignoreLeadingWhiteSpace", "false")
-        .csv(out)
-    )
-    shown = df.withColumn("text_digest", F.md5("raw_text")).drop(
+    shown = scored_post_scan(spark, out).withColumn("text_digest", F.md5("raw_text")).drop(
         "raw_text", "truth_id", "truth_url", "ingested_at"
     )
     return rounded(shown, 8, "sentiment_score")

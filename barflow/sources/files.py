@@ -13,13 +13,17 @@ from barflow.functions.textcols import strip
 from barflow.functions.timecols import as_date
 from barflow.schemas import (
     BAR_SCHEMA,
+    CANDLE_COLUMNS,
+    CANDLE_SCHEMA,
     CLOSE_SCHEMA,
     DAILY_BAR_SCHEMA,
     ENVELOPE_SCHEMA,
     MACRO_EVENT_SCHEMA,
     MACRO_SCHEMA,
     POST_SCHEMA,
+    SCORED_POST_SCHEMA,
     SENTIMENT_EVENT_SCHEMA,
+    VALID_BAR_SCHEMA,
     schema_of,
 )
 
@@ -62,6 +66,34 @@ def raw_day_scan(
     return df if topic is None else df.where(F.col("topic") == topic)
 
 
+def gold_scan(spark: SparkSession, base: str) -> DataFrame:
+    """Daily candles, laid out as ``day=…/symbol=…``."""
+    return spark.read.schema(CANDLE_SCHEMA).parquet(base).select(*CANDLE_COLUMNS)
+
+
+def silver_scan(spark: SparkSession, base: str, fmt: str = "parquet") -> DataFrame:
+    """Validated bars, laid out as ``symbol=…/year=…/month=…``."""
+    schema = _with_partitions(VALID_BAR_SCHEMA, "symbol STRING, year INT, month INT")
+    return spark.read.schema(schema).format(fmt).option("header", "true").load(base)
+
+
+def forecast_scan(spark: SparkSession, base: str, errors: bool = True) -> DataFrame:
+    """Forecasts, laid out as ``ds=…/symbol=…``, with or without the error columns."""
+    values = "y_hat_close DOUBLE, " + (
+        "actual_close DOUBLE, abs_error DOUBLE, ape DOUBLE, " if errors else ""
+    )
+    schema = schema_of(values + "created_at TIMESTAMP, ds DATE, symbol STRING")
+    return spark.read.schema(schema).option("header", "true").csv(base)
+
+
+def scored_post_scan(spark: SparkSession, base: str) -> DataFrame:
+    """Scored posts, laid out as ``event_date=…``; texts may hold line breaks and quotes."""
+    schema = _with_partitions(SCORED_POST_SCHEMA, "event_date STRING")
+    reader = spark.read.schema(schema).option("header", "true").option("escape", '"')
+    df = reader.option("multiLine", "true").csv(base)
+    return df.select(*SCORED_POST_SCHEMA.fieldNames())
+
+
 def bar_csv_scan(
     spark: SparkSession, base: str | Sequence[str], partitions: str | None = None
 ) -> DataFrame:

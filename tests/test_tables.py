@@ -1,6 +1,5 @@
 import datetime as dt
 import glob
-import io
 import json
 import os
 import zipfile
@@ -19,7 +18,8 @@ from barflow.plans.jobs import (
     raw_day_job,
     silver_job,
 )
-from barflow.schemas import BAR_COLUMNS, CANDLE_SCHEMA, ENVELOPE_SCHEMA, SENTIMENT_EVENT_SCHEMA
+from barflow.operators.klines import enrich_ticks, validate_bars, with_month
+from barflow.schemas import BAR_COLUMNS, CANDLE_SCHEMA, ENVELOPE_SCHEMA, SENTIMENT_EVENT_SCHEMA, TICK_CSV_COLUMNS, TICK_SCHEMA
 from barflow.session import scratch_path, shared_dir
 from barflow.sinks.files import csv_append, rows_per_partition, write_gold, write_month, write_raw, write_silver
 from barflow.sinks.kafka import kafka_encode
@@ -31,6 +31,7 @@ from barflow.sources.files import (
     macro_jsonl_scan,
     post_jsonl_scan,
     raw_day_scan,
+    silver_scan,
 )
 from barflow.sources.kafka import kafka_day_options, kafka_envelope_day, offsets_by_time, security_options
 from barflow.streaming.bars import file_stream, start_files, stream_bars, stream_dedup
@@ -236,6 +237,25 @@ def test_kafka_options_and_envelopes(spark, envelopes):
     assert (empty.start_offset, empty.end_offset) == (last + 1, last + 1)
 
 
+def test_tick_sink_keeps_its_columns(spark, tmp_path):
+    ticks = spark.createDataFrame([(0, "A", 1.5), (1500, "B", 2.5)], "ts bigint, symbol string, price double")
+    tagged = enrich_ticks(ticks)
+    assert tagged.columns == TICK_SCHEMA.fieldNames()
+    path = str(tmp_path / "ticks")
+    assert csv_append(tagged, path, TICK_CSV_COLUMNS) == 2
+    names = [f for f in TICK_SCHEMA.fields if f.name in TICK_CSV_COLUMNS]
+    got = spark.read.schema(type(TICK_SCHEMA)(names)).option("header", "true").csv(path).orderBy("ts").collect()
+    assert [tuple(r) for r in got] == [(0, "1970-01-01T00:00:00+00:00", "A", 1.5), (1500, "1970-01-01T00:00:01.500000+00:00", "B", 2.5)]
+
+
+def test_silver_csv_reads_back(spark, tmp_path, bars):
+    path = str(tmp_path / "silver")
+    valid = with_month(validate_bars(bars))
+    write_silver(validate_bars(bars), path, fmt="csv")
+    got = silver_scan(spark, path, "csv").select(*valid.columns)
+    assert sorted(got.collect()) == sorted(valid.collect())
+
+
 def test_message_keys(spark):
     df = spark.createDataFrame([("A", "x", None), ("", "kline", 1.5), (None, None, 2.0)], "symbol string, event_type string, price double")
     got = kafka_encode(df).collect()
