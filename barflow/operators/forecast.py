@@ -19,6 +19,7 @@ from barflow.schemas import FORECAST_SCHEMA
 from barflow.session import spread
 
 Fitter = Callable[["pd.Series"], "float | None"]
+SeriesFitter = Callable[["pd.Series", int], "list[tuple[float, float, float]]"]
 
 
 def _targets(df: DataFrame, start: str | date, end: str | date) -> DataFrame:
@@ -219,15 +220,24 @@ def _solver(names, max_order: int, emit: Callable):
 
 
 def series_forecast(
-    df: DataFrame, horizon: int = 7, max_order: int = 5, value: str = "ret"
+    df: DataFrame,
+    horizon: int = 7,
+    max_order: int = 5,
+    value: str = "ret",
+    fitter: SeriesFitter | None = None,
 ) -> DataFrame:
     """``horizon`` steps of the autoregression with the smallest AIC, with 95 % limits.
 
     The data is reduced to sums of products per symbol in one aggregation; only those few
     numbers reach Python. Needs ten usable rows.
+
+    A ``fitter`` replaces the autoregression: it gets one symbol's daily series and the horizon and
+    returns one ``(forecast, lower, upper)`` per step; order and AIC are then null.
     """
     if not 1 <= horizon:
         raise ValueError("horizon must be at least 1")
+    if fitter is not None:
+        return _fitted_steps(df, horizon, value, fitter)
     table, names = _cross_products(df, value, max_order, MIN_FORECAST_HISTORY)
 
     def emit(record, chosen, recent):
@@ -252,6 +262,42 @@ def series_forecast(
     return calendar.join(steps, ["symbol", "step"])
 
 
+def _fitted_steps(df: DataFrame, horizon: int, value: str, fitter: SeriesFitter) -> DataFrame:
+    require_date(df, "ds")
+    minimum = MIN_FORECAST_HISTORY
+
+    def run(pdf):
+        import pandas as pd
+
+        columns = ["symbol", "step", "forecast", "lower", "upper"]
+        if len(pdf) < minimum:
+            return pd.DataFrame([], columns=columns)
+        pdf = pdf.sort_values("ds")
+        steps = fitter(pdf[value].reset_index(drop=True), horizon)
+        symbol = pdf["symbol"].iloc[0]
+        rows = [(symbol, i, *map(float, step)) for i, step in enumerate(steps, start=1)]
+        return pd.DataFrame(rows, columns=columns)
+
+    series = df.where(F.col(value).isNotNull()).select("symbol", "ds", value)
+    steps = spread(series, "symbol").groupBy("symbol").applyInPandas(
+        run, "symbol string, step int, forecast double, lower double, upper double"
+    )
+    return (
+        forecast_calendar(series, horizon)
+        .join(steps, ["symbol", "step"])
+        .select(
+            "symbol",
+            "step",
+            "ds",
+            F.lit(None).cast("int").alias("ar_order"),
+            F.lit(None).cast("double").alias("aic"),
+            "forecast",
+            "lower",
+            "upper",
+        )
+    )
+
+
 def series_coefficients(df: DataFrame, max_order: int = 5, value: str = "ret") -> DataFrame:
     """Coefficients and p-values of the chosen autoregression."""
     table, names = _cross_products(df, value, max_order, MIN_FORECAST_HISTORY)

@@ -101,3 +101,29 @@ def test_autoregression_picks_order_and_matches_lstsq(spark):
     assert np.allclose([terms[t].estimate for t in ("const", "lag1", "lag2")], beta[:3]) and terms["lag1"].p_value < 1e-6
     with pytest.raises(ValueError):
         series_forecast(df, 0)
+
+
+def test_series_forecast_takes_a_fitter(spark, series):
+    df, values = series
+
+    def fitter(y, horizon):
+        mean, half = y.mean(), 2 * y.std()
+        return [(mean, mean - half, mean + half)] * horizon
+
+    got = series_forecast(df, 4, fitter=fitter).where("symbol = 'B'").orderBy("step").collect()
+    assert [r.step for r in got] == [1, 2, 3, 4] and got[0].ar_order is None
+    assert np.isclose(got[3].forecast, values["B"].mean()) and got[3].lower < got[3].upper
+    assert str(got[0].ds) == str(dt.date(2020, 1, 1) + dt.timedelta(days=300))
+    assert series_forecast(df, 4).columns == ["symbol", "step", "ds", "ar_order", "aic", "forecast", "lower", "upper"]
+    few = df.where("ds < '2020-01-09'")
+    assert series_forecast(few, 2, fitter=fitter).count() == 0
+
+
+def test_results_do_not_depend_on_partitioning(spark, walk):
+    df, _ = walk
+    first = sorted(ar1_walk_forward(df).collect())
+    spark.conf.set("spark.sql.shuffle.partitions", "13")
+    second = sorted(ar1_walk_forward(df.repartition(11)).collect())
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert [(r.symbol, r.ds) for r in first] == [(r.symbol, r.ds) for r in second]
+    assert np.allclose([r.y_hat_close for r in first], [r.y_hat_close for r in second])
