@@ -27,7 +27,7 @@ STOP_WORDS = (
     "el en y los se las por con no su al lo como"
 ).split()
 SYMBOLS = "#*$%&|<>"
-WINDOW = 8
+WINDOW = 8  # doubled up from single words
 
 
 @dataclass(frozen=True)
@@ -64,12 +64,12 @@ def _share(part: str, whole: str) -> Column:
     return F.when(F.col(whole) > 0, F.col(part) / F.col(whole)).otherwise(F.lit(0.0))
 
 
-def _windows(words: Column, n: Column) -> Column:
-    """Hashes of the windows of WINDOW words, by position."""
-    hashes = F.transform(
-        F.sequence(F.lit(1), n - (WINDOW - 1)), lambda i: F.xxhash64(F.slice(words, i, WINDOW))
+def _doubled(parts: str, span: int, n: Column) -> Column:
+    """Hashes of windows of 2 * span words, by position, from windows of span words (or the words)."""
+    pairs = F.transform(
+        F.slice(parts, F.lit(1), n - (2 * span - 1)), lambda x, i: F.xxhash64(x, F.get(F.col(parts), i + span))
     )
-    return F.when(n >= WINDOW, hashes).otherwise(F.array().cast("array<bigint>"))
+    return F.when(n >= 2 * span, pairs).otherwise(F.array().cast("array<bigint>"))
 
 
 def _repeated(windows: Column) -> Column:
@@ -100,25 +100,30 @@ def _covered(positions: Column) -> Column:
 def measures(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep`` columns and every measure of the text."""
     body = text_or_empty("body")
-    has_word = lambda line: F.length(F.translate(line, SPACES, "")) > 0
-    read = docs.select(
-        *keep,
-        text_or_empty(text).alias("body"),
-    ).select(
-        *keep,
-        (F.length(body) - F.length(F.translate(body, SYMBOLS, ""))).cast("bigint").alias("n_symbols"),
-        F.length(F.translate(body, SPACES, "")).cast("bigint").alias("word_chars"),
-        F.array_remove(F.split(body, f"{SPACE_CLASS}+"), "").alias("words"),
-        F.filter(F.split(body, "\n"), has_word).alias("lines"),
-    )
-    counted = read.select(
-        *keep, "n_symbols", "word_chars", "words", "lines", F.size("words").alias("n")
-    ).select(
-        *keep, "n_symbols", "word_chars", "n",
-        F.size("lines").cast("bigint").alias("n_lines"),
-        (F.size("lines") - F.size(F.array_distinct("lines"))).cast("bigint").alias("n_dup_lines"),
-        F.size(F.filter("words", lambda w: F.lower(w).isin(STOP_WORDS))).cast("bigint").alias("n_stop_words"),
-        _windows(F.col("words"), F.col("n")).alias("windows"),
+    n = F.col("n")
+    has_word = lambda line: F.length(F.btrim(line, F.lit(SPACES))) > 0
+    is_stop = lambda word: F.lower(word).isin(STOP_WORDS)
+    counts = ["n_symbols", "word_chars", "n_lines", "n_dup_lines", "n_stop_words", "n"]
+    counted = (
+        docs.select(*keep, text_or_empty(text).alias("body"))
+        .select(
+            *keep,
+            F.length(F.regexp_replace(body, f"[^{SYMBOLS}]+", "")).cast("bigint").alias("n_symbols"),
+            F.array_remove(F.split(body, f"{SPACE_CLASS}+"), "").alias("words"),
+            F.filter(F.split(body, "\n"), has_word).alias("lines"),
+        )
+        .select(
+            *keep, "n_symbols",
+            F.length(F.array_join("words", "")).cast("bigint").alias("word_chars"),
+            F.size("lines").cast("bigint").alias("n_lines"),
+            (F.size("lines") - F.size(F.array_distinct("lines"))).cast("bigint").alias("n_dup_lines"),
+            F.size(F.filter("words", is_stop)).cast("bigint").alias("n_stop_words"),
+            F.size("words").alias("n"),
+            "words",
+        )
+        .select(*keep, *counts, _doubled("words", 1, n).alias("h2"))
+        .select(*keep, *counts, _doubled("h2", 2, n).alias("h4"))
+        .select(*keep, *counts, _doubled("h4", 4, n).alias("windows"))
     )
     repeats = F.when(F.size(F.array_distinct("windows")) < F.size("windows"), _covered(_repeated(F.col("windows"))))
     return counted.select(
