@@ -45,4 +45,5 @@ def text_or_empty(column: str | Column) -> Column:
 
 
 def unsigned_crc32(column: Column) -> Column:
-    return F.crc32(F.encode(column, "UTF-8"))
+    """Of the UTF-8 bytes; a null has none."""
+    return F.crc32(F.encode(F.coalesce(column, F.lit("")), "UTF-8"))

@@ -3,11 +3,20 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from barflow.llm import quality
+import public_tokenizers
+
+from barflow.llm import packing, quality, sharding
 from barflow.llm.common import table
 from barflow.llm.sql import QUALITY_SQL
 
+
+def token_ranks() -> tuple[str, str]:
+    """Vocabulary file and split pattern: the ids of the tokenizer byte_bpe_50k.json."""
+    return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+
+
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
 
@@ -22,6 +31,22 @@ def query(sql: str | None = None):
     return register
 
 
+@query()
+def op1_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight shards of nearly equal bytes; equal texts stay together."""
+    return sharding.assign_shards(table(spark, sf_dir, "documents")).select(
+        "doc_id", F.col("size"), "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+@query()
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of 1024 tokens."""
+    docs = table(spark, sf_dir, "documents")
+    return packing.pack_documents(docs, *token_ranks())
+
+
 @query(QUALITY_SQL)
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words, symbols, repeats and the verdict of the threshold table for every document."""
