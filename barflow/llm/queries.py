@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from barflow.llm import packing, quality, sharding
+from barflow.llm import neardup, packing, quality, sharding
 from barflow.llm.common import table
 from barflow.llm.sql import QUALITY_SQL
 
@@ -40,6 +40,13 @@ def op1_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 3-word shingle sets overlap by 85 % or more."""
+    settings = neardup.Settings(words=3, percent=85, bands=30)
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), settings)
+
+
 @query()
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of 1024 tokens."""
