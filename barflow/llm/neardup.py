@@ -34,8 +34,8 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from barflow.llm.buckets import bucket_components
 from barflow.llm.common import stored
-from barflow.llm.components import connected_components
 from barflow.llm.wordcodes import mixed, shingles, word_chunks
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -210,30 +210,6 @@ def _confirm(pairs: DataFrame, texts: DataFrame, settings: Settings) -> DataFram
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(check, "a long, b long")
 
 
-def _hub_pairs(members: DataFrame, settings: Settings, turn: int) -> DataFrame:
-    """Each node of a bucket with the hubs of the bucket that lie in another component."""
-    ranks = [F.xxhash64("node", F.lit(turn * settings.hubs + j)) for j in range(settings.hubs)]
-    least = [F.min_by(F.struct("node", "component"), rank) for rank in ranks]
-    hubs = (
-        members.groupBy("bucket")
-        .agg(F.array_distinct(F.array(*least)).alias("hubs"), F.min("component").alias("c0"), F.max("component").alias("c1"))
-        .where("c0 <> c1")
-        .select("bucket", F.explode("hubs").alias("hub"))
-    )
-    # one side has the few hubs of a bucket, the other the members, split when they are many
-    met = members.join(hubs, "bucket").where(F.col("hub.component") != F.col("component"))
-    return met.select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct()
-
-
-def _left_pairs(members: DataFrame) -> DataFrame:
-    """All pairs of a bucket that are still in different components."""
-    open_buckets = members.groupBy("bucket").agg(F.min("component").alias("c0"), F.max("component").alias("c1"))
-    still = members.join(open_buckets.where("c0 <> c1").select("bucket"), "bucket")
-    other = still.select("bucket", F.col("node").alias("b"), F.col("component").alias("other"))
-    met = still.join(other, "bucket").where((F.col("node") < F.col("b")) & (F.col("component") != F.col("other")))
-    return met.select(F.col("node").alias("a"), "b").distinct()
-
-
 def near_duplicates(docs: DataFrame, settings: Settings = Settings(), id_column: str = "doc_id",
                     text: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row; kept marks the least id of a component."""
@@ -250,15 +226,9 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings(), id_column:
     wanted = docs.select(F.col(id_column).cast("bigint").alias("node"), F.col(text).alias("text"))
     texts = stored(wanted.join(involved, "node"), "texts")
     sides = nodes.join(involved, "node", "left_semi").select("node", "n_shingles", "signature")
-    labelled = members.withColumn("component", F.col("node"))
-    links, labels = None, None
-    for turn in range(settings.hub_rounds + 1):
-        pairs = _hub_pairs(labelled, settings, turn) if turn < settings.hub_rounds else _left_pairs(labelled)
-        found = stored(_confirm(_prune(pairs, sides, settings), texts, settings), "links")
-        links = found if links is None else links.unionByName(found)
-        labels = stored(connected_components(links), "components")
-        if turn < settings.hub_rounds:
-            labelled = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    labels = bucket_components(
+        members, lambda pairs: _confirm(_prune(pairs, sides, settings), texts, settings), settings.hubs, settings.hub_rounds
+    )
     same_set = ["n_shingles", "set_a", "set_b"]
     by_node = nodes.select(*same_set, "node").join(labels, "node", "left")
     by_node = by_node.select(*same_set, F.coalesce("component", "node").alias("component_id"))

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from barflow.llm import decontaminate, neardup, packing, quality, sharding
-from barflow.llm.common import table
+from barflow.llm import decontaminate, linedup, neardup, packing, quality, sharding
+from barflow.llm.common import table, unsigned_crc32
 from barflow.llm.sql import QUALITY_SQL
 
 
@@ -40,6 +40,17 @@ def op1_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines within two edits of an earlier line are taken out; what is left of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return linedup.dedup_lines(docs).select(
+        "doc_id", F.size(F.split("text", "\n", -1)).cast("bigint").alias("n_lines_left"),
+        F.size("places_removed").cast("bigint").alias("n_removed"), "places_removed",
+        unsigned_crc32(F.col("text")).alias("text_crc32"),
+    )
+
+
 @query()
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 3-word shingle sets overlap by 85 % or more."""
