@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from barflow.llm import decontaminate, linedup, neardup, packing, quality, sharding
+from barflow.llm import decontaminate, linedup, neardup, packing, quality, sharding, substrings
 from barflow.llm.common import table, unsigned_crc32
 from barflow.llm.sql import QUALITY_SQL
 
@@ -73,6 +73,12 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op9_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without its repeated 400-byte strings."""
+    return substrings.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark items whose tiles cover 60 % of their words, for every document."""
