@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from barflow.llm import decontaminate, linedup, neardup, packing, quality, sharding, substrings
+from barflow.llm import decontaminate, linedup, neardup, packing, quality, sharding, substrings, suffixtree
 from barflow.llm.common import table, unsigned_crc32
 from barflow.llm.sql import QUALITY_SQL
 
@@ -65,6 +65,12 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, *token_ranks())
 
 
+@query()
+def op7_suffix_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-probabilities of all texts, learned from six sevenths of them."""
+    return suffixtree.score_texts(table(spark, sf_dir, "documents"))
+
+
 @query(QUALITY_SQL)
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words, symbols, repeats and the verdict of the threshold table for every document."""
