@@ -2,15 +2,15 @@
 
 In the first rounds the members of a bucket meet a few hubs only: the least members under some
 random orders, the same in every bucket that has them. Confirmed links are contracted, and only
-members in different components go on. The last round takes all pairs that are still apart, so no link
-between components is lost.
+members in different components go on. The last round takes all pairs that are still apart, within the
+task where their bucket is if the caller has a way to do that, so no link between components is lost.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barflow.llm.common import stored
@@ -23,36 +23,46 @@ def _open_buckets(members: DataFrame, *more) -> DataFrame:
     return members.groupBy("bucket").agg(*span, *more).where("c0 <> c1").drop("c0", "c1")
 
 
-def _hub_pairs(members: DataFrame, hubs: int, turn: int) -> DataFrame:
+def _hub_pairs(members: DataFrame, alike: Column, hubs: int, turn: int) -> DataFrame:
     """Each member of a bucket with the hubs of the bucket that lie in another component."""
     ranks = [F.xxhash64("node", F.lit(turn * hubs + j)) for j in range(hubs)]
-    least = [F.min_by(F.struct("node", "component"), rank) for rank in ranks]
+    least = [F.min_by(F.struct("node", "component", "size"), rank) for rank in ranks]
     chosen = _open_buckets(members, F.array_distinct(F.array(*least)).alias("hubs"))
+    hub = chosen.select("bucket", F.explode("hubs").alias("hub")).select(
+        "bucket", F.col("hub.node").alias("b"), F.col("hub.component").alias("other"), F.col("hub.size").alias("other_size")
+    )
     # one side has the few hubs of a bucket, the other its members, which are split when they are many
-    met = members.join(chosen.select("bucket", F.explode("hubs").alias("hub")), "bucket")
-    met = met.where(F.col("hub.component") != F.col("component"))
-    return met.select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct()
+    met = members.join(hub, "bucket").where((F.col("component") != F.col("other")) & alike)
+    return met.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
 
 
-def _left_pairs(members: DataFrame) -> DataFrame:
+def _left_pairs(members: DataFrame, alike: Column) -> DataFrame:
     """All pairs of a bucket that are still in different components."""
-    still = stored(members.join(_open_buckets(members), "bucket"), "open")
-    other = still.select("bucket", F.col("node").alias("b"), F.col("component").alias("other"))
-    met = still.join(other, "bucket").where((F.col("node") < F.col("b")) & (F.col("component") != F.col("other")))
-    return met.select(F.col("node").alias("a"), "b").distinct()
+    other = members.select(
+        "bucket", F.col("node").alias("b"), F.col("component").alias("other"), F.col("size").alias("other_size")
+    )
+    apart = (F.col("node") < F.col("b")) & (F.col("component") != F.col("other"))
+    return members.join(other, "bucket").where(apart & alike).select(F.col("node").alias("a"), "b").distinct()
 
 
-def bucket_components(members: DataFrame, confirm: Callable[[DataFrame], DataFrame], hubs: int = 8,
+def bucket_components(members: DataFrame, confirm: Callable[[DataFrame], DataFrame], alike: Column | None = None,
+                      rest: Callable[[DataFrame], DataFrame] | None = None, hubs: int = 3,
                       hub_rounds: int = 2) -> DataFrame:
-    """(node, component) of all linked nodes. ``members``: (bucket, node); ``confirm`` keeps the pairs
-    (a, b) that are links."""
-    labelled, links = members.withColumn("component", F.col("node")), None
+    """(node, component) of all linked nodes. ``members``: (bucket, node, size); ``confirm`` keeps the pairs
+    (a, b) that are links; ``alike``: a condition on size and other_size that every link meets; ``rest``
+    gives the links between components within the buckets left, instead of confirming all their pairs."""
+    alike = F.lit(True) if alike is None else alike
+    labelled, links, labels = members.withColumn("component", F.col("node")), None, None
     for turn in range(hub_rounds + 1):
-        pairs = _hub_pairs(labelled, hubs, turn) if turn < hub_rounds else _left_pairs(labelled)
-        found = stored(confirm(pairs), "links")
+        if turn < hub_rounds:
+            found = confirm(_hub_pairs(labelled, alike, hubs, turn))
+        else:
+            found = rest(labelled) if rest else confirm(_left_pairs(labelled, alike))
+        found = stored(found, "links")
         links = found if links is None else links.unionByName(found)
         labels = connected_components(links)
         if turn < hub_rounds:
             labelled = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-            labelled = stored(labelled, "labelled")
+            # buckets that lie in one component are done
+            labelled = stored(labelled.join(_open_buckets(labelled), "bucket"), "labelled")
     return labels

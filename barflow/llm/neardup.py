@@ -11,8 +11,8 @@
 No bucket emits all its pairs. In the first rounds every node is compared with a few hubs of its
 bucket (the least nodes under some random orders), the confirmed links are contracted into
 components, and only nodes in different components go on; a last round compares what is left in full,
-so no link between different components is lost. In a bucket of many copies nearly all nodes
-fall into one component after the hub rounds.
+within the task that has the bucket, and gives out the links alone, so no link between different
+components is lost.
 
 Defined results: a document without words, or null, has an empty set and links with nothing; one
 with fewer words than a shingle has its whole sequence as one shingle; ids should be unique, rows
@@ -29,18 +29,22 @@ from dataclasses import dataclass
 from math import comb
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barflow.llm.buckets import bucket_components
-from barflow.llm.common import stored
+from barflow.llm.common import small_batches, stored
 from barflow.llm.wordcodes import mixed, shingles, word_chunks
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
+BUCKET_ROWS = 2048
+
+
 @dataclass(frozen=True)
 class Settings:
     """Similarity ``percent`` / 100 on shingles of ``words`` words. With 30 bands of 6 hashes a pair
@@ -52,8 +56,6 @@ class Settings:
     rows: int = 6
     batch: int = 30
     miss: float = 1e-7
-    hubs: int = 8
-    hub_rounds: int = 2
 
     @property
     def hashes(self) -> int:
@@ -126,26 +128,29 @@ def signatures(docs: DataFrame, settings: Settings, id_column: str = "doc_id", t
 
 
 def band_rows(nodes: DataFrame, settings: Settings) -> DataFrame:
-    """(bucket, node) for each band of each node's signature."""
+    """(bucket, node, size) for each band of each node's signature."""
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n = len(batch)
-            if not n:
+            if not len(batch):
                 continue
-            signed = _matrix(batch.column(1), settings).astype(np.uint64)
-            bucket = np.empty((n, settings.bands), dtype=np.uint64)
-            for b in range(settings.bands):
-                code = np.full(n, b + 1, dtype=np.uint64)
-                for j in range(b * settings.rows, (b + 1) * settings.rows):
-                    code = mixed(code * np.uint64(0x9FB21C651E98DF25) + signed[:, j])
-                bucket[:, b] = code
-            ids = np.repeat(np.asarray(batch.column(0)), settings.bands)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(bucket.ravel().view(np.int64)), pa.array(ids)], names=["bucket", "node"]
-            )
+            bucket = _band_keys(_matrix(batch.column(1), settings), settings)
+            ids, sizes = (np.repeat(np.asarray(batch.column(i)), settings.bands) for i in (0, 2))
+            columns = [pa.array(bucket.ravel().view(np.int64)), pa.array(ids), pa.array(sizes)]
+            yield pa.RecordBatch.from_arrays(columns, names=["bucket", "node", "size"])
+
+    return nodes.select("node", "signature", "n_shingles").mapInArrow(split, "bucket long, node long, size long")
+
 
-    return nodes.select("node", "signature").mapInArrow(split, "bucket long, node long")
+def _band_keys(signed: np.ndarray, settings: Settings) -> np.ndarray:
+    """A 64-bit key for each signature and band."""
+    keys = np.empty((len(signed), settings.bands), dtype=np.uint64)
+    for b in range(settings.bands):
+        code = np.full(len(signed), b + 1, dtype=np.uint64)
+        for j in range(b * settings.rows, (b + 1) * settings.rows):
+            code = mixed(code * np.uint64(0x9FB21C651E98DF25) + signed[:, j])
+        keys[:, b] = code
+    return keys
 
 
 def _matrix(column: pa.Array, settings: Settings) -> np.ndarray:
@@ -183,13 +188,9 @@ def _prune(pairs: DataFrame, nodes: DataFrame, settings: Settings) -> DataFrame:
                 live, done = live[matches[live] >= least], n
             yield batch.select([0, 1]).take(pa.array(live))
 
-    left = nodes.select(F.col("node").alias("a"), F.col("signature").alias("x"), F.col("n_shingles").alias("n"))
-    right = nodes.select(F.col("node").alias("b"), F.col("signature").alias("y"), F.col("n_shingles").alias("k"))
-    near = 100 * F.least("n", "k") >= settings.percent * F.greatest("n", "k")
-    return (
-        pairs.join(left, "a").join(right, "b").where(near).select("a", "b", "x", "y")
-        .mapInArrow(compare, "a long, b long")
-    )
+    left = nodes.select(F.col("node").alias("a"), F.col("signature").alias("x"))
+    right = nodes.select(F.col("node").alias("b"), F.col("signature").alias("y"))
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(compare, "a long, b long")
 
 
 def _confirm(pairs: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
@@ -210,9 +211,81 @@ def _confirm(pairs: DataFrame, texts: DataFrame, settings: Settings) -> DataFram
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(check, "a long, b long")
 
 
+def _rest_links(members: DataFrame, nodes: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
+    """Links between different components within buckets, found where the bucket is.
+
+    A bucket of more than ``BUCKET_ROWS`` members is cut into blocks and every two blocks meet in a
+    group of their own. A pair is looked at in the first band that it shares only, its signatures are
+    pruned batch by batch, and the survivors' full sets are compared unless links found before join them.
+    """
+    counts = members.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / BUCKET_ROWS).alias("blocks"))
+    block = F.pmod(F.xxhash64("node", F.lit(1)), F.col("blocks"))
+    met = (
+        members.join(counts, "bucket")
+        .withColumn("block", block)
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
+        .select("bucket", "node", "component", "size", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+    )
+    groups = max(1, met.count() // BUCKET_ROWS)
+    dealt = F.pmod(F.xxhash64("bucket", "low", "high"), F.lit(groups)).alias("dealt")
+    full = met.join(nodes, "node").join(texts, "node").select(
+        dealt, "bucket", "low", "high", "block", "node", "component", "size", "signature", "text"
+    )
+    keys, steps = ["bucket", "low", "high"], least_matches(settings)
+
+    def link(frame: pd.DataFrame) -> pd.DataFrame:
+        found: list[tuple[int, int]] = []
+        for _, one in frame.groupby(keys, sort=False):
+            if len(one) > 1:
+                found += _group_links(one.drop_duplicates("node"), settings, steps)
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+    return full.groupBy("dealt").applyInPandas(link, "a long, b long")
+
+
+def _group_links(group: pd.DataFrame, settings: Settings, steps: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Links that join components of one group."""
+    nodes, sizes, blocks = (group[c].to_numpy() for c in ("node", "size", "block"))
+    within = int(group["low"].iloc[0]) == int(group["high"].iloc[0])
+    component = pd.factorize(group["component"])[0]
+    signed = _matrix(pa.array(group["signature"].tolist(), pa.binary()), settings)
+    keys = _band_keys(signed, settings)
+    band = int(np.argmax(keys[0] == np.int64(group["bucket"].iloc[0]).view(np.uint64)))
+    texts, sets, found = group["text"].tolist(), {}, []
+
+    def set_of(i: int) -> np.ndarray:
+        if i not in sets:
+            sets[i] = next(_set_arrays(pa.array([texts[i]], pa.string()), settings.words))
+        return sets[i]
+
+    for i in range(len(nodes) - 1):
+        live = np.arange(i + 1, len(nodes))
+        ok = component[live] != component[i]
+        ok &= 100 * np.minimum(sizes[live], sizes[i]) >= settings.percent * np.maximum(sizes[live], sizes[i])
+        if not within:
+            ok &= blocks[live] != blocks[i]
+        live = live[ok]
+        live = live[~(keys[live, :band] == keys[i, :band]).any(axis=1)]
+        matches, done = np.zeros(len(live), np.int64), 0
+        for n, least in steps:
+            matches += (signed[live, done:n] == signed[i, done:n]).sum(axis=1)
+            passed = matches >= least
+            live, matches, done = live[passed], matches[passed], n
+        for j in live[np.argsort(-matches, kind="stable")].tolist():
+            if component[i] == component[j]:
+                continue
+            x, y = set_of(i), set_of(j)
+            both = len(np.intersect1d(x, y, assume_unique=True))
+            if 100 * both >= settings.percent * (len(x) + len(y) - both):
+                found.append((int(min(nodes[i], nodes[j])), int(max(nodes[i], nodes[j]))))
+                component[component == component[j]] = component[i]
+    return found
+
+
 def near_duplicates(docs: DataFrame, settings: Settings = Settings(), id_column: str = "doc_id",
                     text: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row; kept marks the least id of a component."""
+    small_batches(docs)
     signed = stored(signatures(docs, settings, id_column, text), "signatures")
     by_set = signed.where("n_shingles > 0").groupBy("n_shingles", "set_a", "set_b")
     nodes = stored(
@@ -225,9 +298,11 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings(), id_column:
     involved = stored(members.select("node").distinct(), "candidates")
     wanted = docs.select(F.col(id_column).cast("bigint").alias("node"), F.col(text).alias("text"))
     texts = stored(wanted.join(involved, "node"), "texts")
-    sides = nodes.join(involved, "node", "left_semi").select("node", "n_shingles", "signature")
+    sides = nodes.join(involved, "node", "left_semi").select("node", "signature")
+    alike = 100 * F.least("size", "other_size") >= settings.percent * F.greatest("size", "other_size")
     labels = bucket_components(
-        members, lambda pairs: _confirm(_prune(pairs, sides, settings), texts, settings), settings.hubs, settings.hub_rounds
+        members, lambda pairs: _confirm(_prune(pairs, sides, settings), texts, settings), alike,
+        lambda left: _rest_links(left, sides, texts, settings),
     )
     same_set = ["n_shingles", "set_a", "set_b"]
     by_node = nodes.select(*same_set, "node").join(labels, "node", "left")
