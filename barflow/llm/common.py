@@ -21,6 +21,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return pin_settings(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(df: DataFrame, rows: int = 512) -> DataFrame:
+    """The same frame; rows of long texts go to Python a few at a time, which bounds a worker's memory."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    return df
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The frame written below the shared folder and read back, so that its lineage ends there.
 

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barflow.llm.common import free_name
+from barflow.llm.common import free_name, small_batches
 from barflow.llm.wordcodes import shingles, word_chunks
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -191,7 +191,7 @@ def with_matches(docs: DataFrame, benchmark: DataFrame, matches: str, text: str
     )
     size = items.agg(F.sum(F.octet_length("body") + 16)).first()[0] or 0
     blocks = max(1, -(-size // block_bytes) * (2 if size > block_bytes else 1))  # dealt by hash: half full
-    out, earlier = docs, None
+    out, earlier = small_batches(docs), None
     shape = T.StructType([*docs.schema.fields, T.StructField(matches, MATCHES)])
     for block in range(blocks):
         held = items.where(F.pmod(F.xxhash64("item", "body"), F.lit(blocks)) == block).collect()  # bounded by block_bytes

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barflow.llm.buckets import bucket_components
-from barflow.llm.common import SPACES, free_name, stored, unsigned_crc32
+from barflow.llm.common import SPACES, free_name, small_batches, stored, unsigned_crc32
 from barflow.llm.wordcodes import mixed, powers
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -164,7 +164,7 @@ def _rows_of(docs: DataFrame, settings: Settings) -> DataFrame:
     return docs.select("text").mapInArrow(split, "bucket long, node long")
 
 
-def _portions(column: pa.Array, size: int = 4 << 20) -> Iterator[list[str | None]]:
+def _portions(column: pa.Array, size: int = 1 << 20) -> Iterator[list[str | None]]:
     """The texts of a column, some megabytes at a time."""
     held, total = [], 0
     for value in column:
@@ -226,7 +226,7 @@ def line_classes(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     shared = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
     members = stored(rows.join(shared, "bucket").distinct(), "buckets")
     several = members.groupBy("bucket").agg(F.min("node").alias("n0"), F.max("node").alias("n1")).where("n0 <> n1")
-    members = stored(members.join(several.select("bucket"), "bucket"), "buckets")
+    members = stored(members.join(several.select("bucket"), "bucket").withColumn("size", F.lit(0)), "buckets")
     involved = stored(members.select("node").distinct(), "candidates")
     lines = _line_texts(docs, settings).join(involved, "node", "left_semi")
     texts = stored(lines.groupBy("node").agg(F.first("line").alias("line")), "lines")
@@ -237,7 +237,7 @@ def dedup_lines(docs: DataFrame, settings: Settings = Settings(), id_column: str
                 text: str = "text") -> DataFrame:
     """The documents (all columns) with the later lines of every class taken out, and the array of the
     places taken out, in a column ``places_removed`` (or a free name like it, the last column)."""
-    keyed = docs.select(
+    keyed = small_batches(docs).select(
         F.col(id_column).cast("bigint").alias("doc_id"), F.col(text).alias("text"),
         F.xxhash64(id_column, text).alias("doc_a"), unsigned_crc32(F.col(text)).alias("doc_b"),
     )

@@ -27,7 +27,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barflow.llm.common import stored
+from barflow.llm.common import small_batches, stored
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -114,7 +114,7 @@ def document_pieces(docs: DataFrame, ranks_path: str, pattern: str, size: int =
             names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "loss_tokens"]
             yield pa.RecordBatch.from_arrays([pa.array(c, type=pa.int64()) for c in columns], names=names)
 
-    return docs.select(F.col(id_column).cast("bigint"), F.col(text)).mapInArrow(cut, PIECES)
+    return small_batches(docs).select(F.col(id_column).cast("bigint"), F.col(text)).mapInArrow(cut, PIECES)
 
 
 def fill(tokens: np.ndarray, loss: np.ndarray, limits: Limits) -> tuple[np.ndarray, np.ndarray]:

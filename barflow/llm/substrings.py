@@ -36,7 +36,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barflow.llm.common import stored, text_or_empty, unsigned_crc32
+from barflow.llm.common import small_batches, stored, text_or_empty, unsigned_crc32
 from barflow.llm.wordcodes import column_bytes, mixed, powers
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -284,7 +284,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_column: str = "doc_
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) for every row."""
     body = text_or_empty(text)
     n_bytes = F.octet_length("text").cast("bigint")
-    read = docs.select(F.col(id_column).alias("doc_id"), body.alias("text")).select(
+    read = small_batches(docs).select(F.col(id_column).alias("doc_id"), body.alias("text")).select(
         "doc_id", "text", F.xxhash64("text").alias("key_a"),
         (F.shiftleft(n_bytes, 32).bitwiseOR(unsigned_crc32(F.col("text")))).alias("key_b"),
     )

@@ -32,7 +32,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barflow.llm.common import stored, text_or_empty
+from barflow.llm.common import small_batches, stored, text_or_empty
 from barflow.llm.wordcodes import Words, mixed, word_chunks
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -298,7 +298,7 @@ def _parts(docs: DataFrame, model: Model) -> DataFrame:
 def score_texts(docs: DataFrame, settings: Settings = Settings(), id_column: str = "doc_id",
                 text: str = "text") -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every row."""
-    read = docs.select(F.col(id_column).cast("bigint").alias("doc_id"), text_or_empty(text).alias("text"))
+    read = small_batches(docs).select(F.col(id_column).cast("bigint").alias("doc_id"), text_or_empty(text).alias("text"))
     model, counts = fit(read.where(~held_out("doc_id")).select("text"), settings)
     parts = _parts(read.select("doc_id", F.xxhash64("text").alias("text_hash"), "text"), model)
     rare = counts.select(F.col("key").alias("word"), F.col("n").alias("c"), F.lit(False).alias("is_doc"))
