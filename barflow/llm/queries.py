@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from barflow.llm import decontaminate, linedup, neardup, packing, quality, sharding, substrings, suffixtree
+from barflow.llm import decontaminate, htmltext, linedup, neardup, packing, quality, sharding, substrings, suffixtree
 from barflow.llm.common import table, unsigned_crc32
 from barflow.llm.sql import QUALITY_SQL
 
@@ -40,6 +40,12 @@ def op1_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return htmltext.extract(table(spark, sf_dir, "pages"))
+
+
 @query()
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines within two edits of an earlier line are taken out; what is left of every document."""
