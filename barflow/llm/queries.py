@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from barflow.llm import decontaminate, htmltext, linedup, neardup, packing, quality, sharding, substrings, suffixtree
+from barflow.llm import decontaminate, htmltext, licenses, linedup, neardup, packing, quality, sharding, substrings, suffixtree
 from barflow.llm.common import table, unsigned_crc32
-from barflow.llm.sql import QUALITY_SQL
+from barflow.llm.sql import LICENSE_SQL, QUALITY_SQL
 
 
 def token_ranks() -> tuple[str, str]:
@@ -46,6 +46,15 @@ def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltext.extract(table(spark, sf_dir, "pages"))
 
 
+@query(LICENSE_SQL)
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences whose notices are in each document, and how many notices there are."""
+    return licenses.scan(table(spark, sf_dir, "documents")).select(
+        "doc_id", F.size("matches").cast("bigint").alias("n_matches"),
+        F.array_join(F.array_sort(F.array_distinct(F.transform("matches", lambda m: m["license"]))), ",").alias("licenses"),
+    )
+
+
 @query()
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines within two edits of an earlier line are taken out; what is left of every document."""

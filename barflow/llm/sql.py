@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from barflow.llm.licenses import CONTAINMENT, TEMPLATES
 from barflow.llm.quality import RULES, STOP_WORDS
 
 _WORDS = r"list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
@@ -38,3 +39,29 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        NOT base_failed AND ({_RULES}) AS kept
 FROM b
 """
+
+_NOTICES = ", ".join(
+    "('{}', '{}')".format(name, text.replace("'", "''")) for name, texts in TEMPLATES.items() for text in texts
+)
+_CLEAN = "regexp_split_to_array(trim(regexp_replace(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+', ' ', 'g')), ' ')"
+
+#: A notice is in a text if a stretch of the words that a window of its class may have holds the share of
+#: its shingles. Stretches that hold it and overlap are one match.
+LICENSE_SQL = f"""
+WITH notices AS (SELECT row_number() OVER () AS t, name, text FROM (VALUES {_NOTICES}) v(name, text)),
+tw AS (SELECT t, name, {_CLEAN} AS w FROM notices),
+ts AS (SELECT DISTINCT t, name, len(w) AS n, list_slice(w, i, i + 2) AS g
+       FROM (SELECT *, unnest(range(1, len(w) - 1)) AS i FROM tw)),
+tn AS (SELECT t, count(*) AS m FROM ts GROUP BY t),
+d AS (SELECT row_number() OVER () AS r, doc_id, {_CLEAN} AS w FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents)),
+ds AS (SELECT r, i, list_slice(w, i, i + 2) AS g FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM d)),
+hit AS (SELECT r, t, name, n, i, g FROM ds JOIN ts USING (g)),
+near AS (SELECT a.r, a.t, a.name, a.i AS start, max(b.i) + 3 AS stop, count(DISTINCT b.g) AS k
+         FROM hit a JOIN hit b ON a.r = b.r AND a.t = b.t AND b.i >= a.i AND b.i < a.i + a.n
+         GROUP BY a.r, a.t, a.name, a.i),
+held AS (SELECT DISTINCT r, name, start, stop FROM near JOIN tn USING (t) WHERE k >= {CONTAINMENT} * m),
+fresh AS (SELECT *, CASE WHEN start < max(stop) OVER (PARTITION BY r, name ORDER BY start, stop ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+                    THEN 0 ELSE 1 END AS f FROM held),
+per AS (SELECT r, sum(f)::BIGINT AS n_matches, string_agg(DISTINCT name, ',' ORDER BY name) AS licenses FROM fresh GROUP BY r)
+SELECT doc_id, coalesce(n_matches, 0) AS n_matches, coalesce(licenses, '') AS licenses FROM d LEFT JOIN per USING (r)
+"""
