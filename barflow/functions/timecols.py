@@ -43,8 +43,21 @@ def timestamp_from_ms(ts: Column) -> Column:
 
 
 def local_day(ts: Column, zone: str = LOCAL_ZONE) -> Column:
-    """Calendar date of an epoch-ms column in ``zone``; the session zone must be UTC."""
-    return F.to_date(F.from_utc_timestamp(timestamp_from_ms(ts), zone))
+    """Calendar date of an epoch-ms column in ``zone``, whatever the session's zone is."""
+    return zone_date(timestamp_from_ms(ts), zone)
+
+
+def zone_date(at: Column, zone: str) -> Column:
+    """Calendar date of a timestamp in ``zone``. Reading the date off the shifted instant itself
+    keeps the session's zone out of it."""
+    days = F.floor(F.unix_millis(F.from_utc_timestamp(at, zone)) / 86_400_000)
+    return F.date_from_unix_date(days.cast("int"))
+
+
+def zoneless_stamp(ms: int) -> Column:
+    """Literal TIMESTAMP_NTZ of an epoch time in UTC."""
+    at = datetime.fromtimestamp(ms / 1000, timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
+    return F.expr(f"TIMESTAMP_NTZ'{at}'")
 
 
 def iso_from_ms(ts: Column, suffix: str = "Z") -> Column:

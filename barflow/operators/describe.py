@@ -23,8 +23,11 @@ def describe_returns(df: DataFrame, value: str = "ret", z: float = CI_Z) -> Data
     n = F.col("n")
     g1, g2 = F.col("_g1"), F.col("_g2")
     margin = F.lit(z) * F.col("std") / F.sqrt(n)
-    skewness = F.when(n > 2, g1 * F.sqrt(n * (n - 1)) / (n - 2))
-    kurtosis = F.when(n > 3, (n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * g2 + 6))
+    # a series without spread has moments 0, not 0 / 0
+    flat = F.col("variance") == 0
+    skewness = F.when(n > 2, F.when(flat, 0.0).otherwise(g1 * F.sqrt(n * (n - 1)) / (n - 2)))
+    excess = (n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * g2 + 6)
+    kurtosis = F.when(n > 3, F.when(flat, 0.0).otherwise(excess))
     return (
         df.groupBy("symbol")
         .agg(

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barflow.constants import DECISION_CLASSES, SIGNIFICANCE
 from barflow.functions.checks import require_columns
 from barflow.functions.numerics import f_sf
+from barflow.operators.bars import dedup_dates
 from barflow.operators.returns import by_date
 
 MODES = ("event_day", "post_k_days", "pre_k_days")
@@ -36,13 +39,19 @@ def series_impacts(
     k: int = 3,
     require_full_window: bool = True,
     value: str = "ret",
+    order: Sequence[str] = (),
 ) -> DataFrame:
-    """The impact an event on each date of each series would have."""
+    """The impact an event on each date of each series would have.
+
+    Of several rows on a date the first by ``order`` counts, then the smallest value.
+    """
     if mode not in MODES:
         raise ValueError(f"unknown mode {mode!r}; use one of {MODES}")
     if k < 1:
         raise ValueError("k must be at least 1")
-    series = returns.where(F.col(value).isNotNull())
+    # the aggregate needs no exchange of its own where the series is dealt by symbol already
+    present = returns.where(F.col(value).isNotNull())
+    series = dedup_dates(present, value, "first", (*order, value))
     impact = (
         F.col(value)
         if mode == "event_day"
@@ -60,17 +69,19 @@ def event_impacts(
     k: int = 3,
     require_full_window: bool = True,
     value: str = "ret",
+    order: Sequence[str] = (),
 ) -> DataFrame:
     """Impact per symbol and classified event: ``symbol, event_date, group, impact, delta, rate``.
 
     ``post_k_days`` and ``pre_k_days`` compound the ``k`` rows after or before the event. With
     ``require_full_window`` events lacking some of them are dropped, otherwise the window is
-    clamped to the series. ``returns`` holds one row per symbol and date; log returns reproduce
+    clamped to the series. ``returns`` should hold one row per symbol and date; of several the first by
+    ``order`` counts. Log returns reproduce
     the published numbers, simple returns compound exactly.
     """
     require_columns(events, ["event_date", "decision_class", "delta", "rate"])
     known = events.where(F.col("decision_class").isin(*DECISION_CLASSES))
-    measured = series_impacts(returns, mode, k, require_full_window, value)
+    measured = series_impacts(returns, mode, k, require_full_window, value, order)
     return event_day_join(known, measured).select(
         "symbol",
         "event_date",

@@ -27,6 +27,7 @@ from barflow.functions.timecols import (
     month_key,
     timestamp_from_ms,
     utc_range_ms,
+    zoneless_stamp,
 )
 from barflow.schemas import BAR_DDL, BAR_SCHEMA
 
@@ -47,14 +48,14 @@ def decode_payload(df: DataFrame, value: str = "value", keep: Sequence[str] = ()
     text = F.col(value).cast("string")
     csv_options = {"header": "false", "sep": ",", "quote": '"', "escape": "\\"}
     decoded = F.when(
-        F.startswith(F.ltrim(text), F.lit("{")), F.from_json(text, BAR_SCHEMA)
+        F.startswith(F.ltrim(text, F.lit(" \t\r\n")), F.lit("{")), F.from_json(text, BAR_SCHEMA)
     ).otherwise(F.from_csv(text, BAR_DDL, csv_options))
     # Unpacking through a generator keeps later filters from decoding the text again.
     return df.select(*keep, F.inline_outer(F.array(decoded)))
 
 
 def local_day_filter(df: DataFrame, day: str | date, zone: str = LOCAL_ZONE) -> DataFrame:
-    """Rows of one local calendar day, as a range on ``ts`` that reaches the scan."""
+    """Rows of one local calendar day, as a range on ``ts``; it reaches the scan where ``ts`` is stored."""
     start, end = local_day_bounds_ms(day, zone)
     return df.where((F.col("ts") >= start) & (F.col("ts") < end))
 
@@ -126,6 +127,17 @@ def bars_in_range(df: DataFrame, start: str | date, end: str | date) -> DataFram
     return df.where((F.col("ts") >= first) & (F.col("ts") < last))
 
 
+def stored_range(df: DataFrame, column: str, start: str | date, end: str | date, zone: str = "UTC") -> DataFrame:
+    """Rows whose stored zone-less UTC timestamp lies in the local days [start, end].
+
+    The bounds are literals of the stored type, so they reach the scan; a range on a column
+    computed from the timestamp does not. Filter here first and derive ``ts`` afterwards.
+    """
+    first, last = local_day_bounds_ms(start, zone)[0], local_day_bounds_ms(end, zone)[1]
+    at = F.col(column)
+    return df.where((at >= zoneless_stamp(first)) & (at < zoneless_stamp(last)))
+
+
 def bar_rules() -> dict[str, Column]:
     """Each validation rule as a boolean column that is true when the rule is broken."""
     rules = {f"{name}_null": F.col(name).isNull() for name in ("symbol", "ts", *VALUE_COLUMNS)}
@@ -183,20 +195,23 @@ def validate_bars(
     dedup: bool = True,
     latest: Sequence[str | Column] = (),
     unique: bool = False,
+    by: Sequence[str] = (),
 ) -> DataFrame:
     """Bars that keep every rule, typed in time, one per ``(symbol, open_ts)``.
 
-    ``latest`` orders repeated keys (for example by arrival offset), ``unique`` as in ``dedup_rows``;
+    ``by`` names further key columns that stay in front, such as ``interval`` where bars of several
+    widths meet. ``latest`` orders repeated keys (for example by arrival offset), ``unique`` as in ``dedup_rows``;
     without it the row with the greatest values wins, so the result never depends on partitioning.
     """
-    require_columns(df, ["ts", "symbol", *VALUE_COLUMNS])
+    require_columns(df, ["ts", "symbol", *VALUE_COLUMNS, *by])
     order = [F.col(c) if isinstance(c, str) else c for c in latest]
     names = [f"_latest{i}" for i in range(len(order))]
     aliased = [c.alias(n) for n, c in zip(names, order)]
-    bars = df.where(is_valid_bar()).select("ts", "symbol", *VALUE_COLUMNS, *aliased)
+    bars = df.where(is_valid_bar()).select(*by, "ts", "symbol", *VALUE_COLUMNS, *aliased)
     if dedup:
-        bars = dedup_rows(bars, ["symbol", "ts"], names, unique)
+        bars = dedup_rows(bars, [*by, "symbol", "ts"], names, unique)
     return bars.select(
+        *by,
         "symbol",
         timestamp_from_ms(F.col("ts")).alias("open_ts"),
         *VALUE_COLUMNS,

@@ -43,8 +43,15 @@ def normalize_posts(df: DataFrame, text: str = "text") -> DataFrame:
 
 
 def posts_since(df: DataFrame, since: str = POSTS_SINCE, date: str = "date") -> DataFrame:
-    """Posts from ``since`` on, with ``created_at`` in UTC; unreadable dates are dropped."""
-    return df.withColumn("created_at", F.try_to_timestamp(F.col(date))).where(
+    """Posts from ``since`` on, with ``created_at`` in UTC; unreadable dates are dropped.
+
+    Dates without a zone are UTC, whatever the session's zone is.
+    """
+    text = F.trim(F.col(date))
+    zoned = F.rlike(text, F.lit("([A-Za-z]|[+-][0-9]{2}:?[0-9]{2})$"))
+    day_only = F.rlike(text, F.lit("^[0-9]{4}-[0-9]{2}-[0-9]{2}$"))
+    utc = F.when(day_only, F.concat(text, F.lit("T00:00:00Z"))).when(zoned, text).otherwise(F.concat(text, F.lit("Z")))
+    return df.withColumn("created_at", F.try_to_timestamp(utc)).where(
         F.col("created_at") >= F.lit(since).cast("timestamp")
     )
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from barflow.constants import LOCAL_ZONE
 from barflow.operators.bars import (
     bars_daily,
     batch_counters,
@@ -26,6 +27,7 @@ from barflow.operators.klines import (
     parse_kline_rows,
     rule_violations,
     split_months,
+    stored_range,
     symbol_filter,
     validate_bars,
     with_month,
@@ -37,12 +39,16 @@ from barflow.plans.inputs import (
     MINUTE_BARS,
     RETURNS,
     TICKS,
+    as_bars,
+    as_envelopes,
+    as_ticks,
     bars,
     closes,
     envelopes,
     minute_bars,
     returns,
     rounded,
+    table,
     text_dates,
     tick_bars,
     ticks,
@@ -110,7 +116,8 @@ def decode_payload_bars(spark, sf_dir):
 @query(f"""WITH {BARS}, local AS (SELECT *, {BERLIN_DAY} AS d FROM bars)
 SELECT event_id, ts, symbol, close FROM local WHERE d = DATE '2024-01-15'""")
 def local_day_rows(spark, sf_dir):
-    day = local_day_filter(bars(spark, sf_dir), "2024-01-15")
+    events = stored_range(table(spark, sf_dir, "events"), "ts", "2024-01-15", "2024-01-15", LOCAL_ZONE)
+    day = local_day_filter(as_bars(as_ticks(events)), "2024-01-15")
     return day.select("event_id", "ts", "symbol", "close")
 
 
@@ -125,7 +132,8 @@ def envelope_dates(spark, sf_dir):
 @query(f"""WITH {BARS} SELECT event_id % 3 AS partition, event_id // 3 AS "offset", symbol AS key,
        '2024-01-20' AS date FROM bars WHERE {BERLIN_DAY} = DATE '2024-01-20'""")
 def kafka_day(spark, sf_dir):
-    out = kafka_envelope_day(envelopes(spark, sf_dir), "2024-01-20")
+    events = stored_range(table(spark, sf_dir, "events"), "ts", "2024-01-20", "2024-01-20", LOCAL_ZONE)
+    out = kafka_envelope_day(as_envelopes(as_bars(as_ticks(events))), "2024-01-20")
     return text_dates(
         out.select(F.col("partition").cast("bigint").alias("partition"), "offset", "key", "date"),
         "date",
@@ -191,7 +199,8 @@ def kline_reject_counts(spark, sf_dir):
 @query(f"""WITH {BARS} SELECT event_id, ts, symbol, close FROM bars
 WHERE ts >= 1704844800000 AND ts < 1705795200000""")
 def bars_in_date_range(spark, sf_dir):
-    kept = bars_in_range(bars(spark, sf_dir), "2024-01-10", "2024-01-20")
+    events = stored_range(table(spark, sf_dir, "events"), "ts", "2024-01-10", "2024-01-20")
+    kept = bars_in_range(as_bars(as_ticks(events)), "2024-01-10", "2024-01-20")
     return kept.select("event_id", "ts", "symbol", "close")
 
 

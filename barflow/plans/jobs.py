@@ -92,10 +92,10 @@ def gold_day_job(spark: SparkSession, raw_base: str, gold_root: str, day: str |
 
 
 def archive_backfill_job(
-    spark: SparkSession, archive_base: str, raw_base: str, start: str | date, end: str | date
+    spark: SparkSession, archive_base: str, raw_base: str, start: str | date, end: str | date, mode: str = "merge"
 ) -> int:
     """Archived bars of [start, end] into monthly CSV, every symbol and month in one job."""
-    return write_month(bars_in_range(archive_kline_scan(spark, archive_base), start, end), raw_base)
+    return write_month(bars_in_range(archive_kline_scan(spark, archive_base), start, end), raw_base, mode)
 
 
 def silver_job(
@@ -106,19 +106,26 @@ def silver_job(
     end: str | date,
     symbols: Iterable[str] | None = None,
     fmt: str = "parquet",
+    mode: str = "merge",
+    *,
+    interval: str,
 ) -> int:
-    """Monthly CSV bars of [start, end] to validated bars.
+    """Monthly CSV bars of one width and [start, end] to validated bars.
 
-    The month filter prunes directories; symbols and months are not looped over.
+    The width and the months prune directories; symbols and months are not looped over. Of repeated
+    bars the one with the greatest volume counts: a bar that is emitted again while open only grows.
+    The rest of a month that an earlier run loaded stays.
     """
     first, last = as_date(start), as_date(end)
     if last < first:
         raise ValueError("end must not be before start")
     bars = bar_csv_scan(spark, raw_base, MONTH_PARTITIONS)
+    bars = bars.where(F.col("interval") == interval)
     bars = bars.where(F.col("month").between(first.strftime("%Y-%m"), last.strftime("%Y-%m")))
     if symbols is not None:
         bars = symbol_filter(bars, symbols)
-    return write_silver(validate_bars(bars_in_range(bars, first, last)), silver_base, fmt)
+    valid = validate_bars(bars_in_range(bars, first, last), latest=("volume", "close"), by=("interval",))
+    return write_silver(valid, silver_base, fmt, mode)
 
 
 def forecast_job(
@@ -138,14 +145,14 @@ def forecast_job(
     return write_forecast(forecasts.withColumn("created_at", F.current_timestamp()), out)
 
 
-def macro_job(spark: SparkSession, jsonl: str, event_base: str) -> int:
-    """Nested macro releases into the flat event lake."""
-    return write_events(flatten_macro(macro_jsonl_scan(spark, jsonl)), event_base)
+def macro_job(spark: SparkSession, jsonl: str, event_base: str, mode: str = "merge") -> int:
+    """Nested macro releases into the flat event lake; other events of the months stay."""
+    return write_events(flatten_macro(macro_jsonl_scan(spark, jsonl)), event_base, mode)
 
 
-def macro_sentiment_job(spark: SparkSession, event_base: str, source: str = "manual_macro") -> int:
+def macro_sentiment_job(spark: SparkSession, event_base: str, source: str = "manual_macro", mode: str = "merge") -> int:
     """Sentiment rows of one source, back into the event lake under their own source."""
-    return write_events(sentiment_events(event_csv_scan(spark, event_base, source)), event_base)
+    return write_events(sentiment_events(event_csv_scan(spark, event_base, source)), event_base, mode)
 
 
 def scored_posts(posts: DataFrame, model: Callable[[Column], Column], **record) -> DataFrame:
@@ -161,6 +168,6 @@ def scored_posts(posts: DataFrame, model: Callable[[Column], Column], **record)
     return post_record(kept.join(scored, "post_id"), **record)
 
 
-def posts_job(spark: SparkSession, jsonl: str, out: str, model: Callable[[Column], Column]) -> int:
-    """Posts from JSON lines, filtered, scored and written as events."""
-    return write_posts(scored_posts(post_jsonl_scan(spark, jsonl), model), out)
+def posts_job(spark: SparkSession, jsonl: str, out: str, model: Callable[[Column], Column], mode: str = "merge") -> int:
+    """Posts from JSON lines, filtered, scored and written as events; other posts of the dates stay."""
+    return write_posts(scored_posts(post_jsonl_scan(spark, jsonl), model), out, mode)

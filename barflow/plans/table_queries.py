@@ -61,7 +61,7 @@ from barflow.sources.files import (
     silver_scan,
 )
 from barflow.sources.kafka import envelope_project
-from barflow.streaming.bars import file_stream, start_files, stream_bars, stream_dedup, stream_raw
+from barflow.streaming.bars import file_stream, start_files, stream_bars, stream_dedup, stream_latest, stream_raw
 
 _MONTHS = "interval STRING, symbol STRING, month STRING"
 _DAY_TEXT = f"strftime({BERLIN_DAY}, '%Y-%m-%d')"
@@ -123,8 +123,8 @@ _SILVER_COLUMNS = """symbol, ts AS open_ms, open, high, low, close, volume,
        CAST(month(make_timestamp(ts * 1000)) AS INTEGER) AS month"""
 
 
-def _silver_shown(spark, path):
-    df = silver_scan(spark, path).withColumn("open_ms", F.unix_millis("open_ts"))
+def _silver_shown(spark, path, interval=False):
+    df = silver_scan(spark, path, interval=interval).withColumn("open_ms", F.unix_millis("open_ts"))
     return text_dates(df.drop("open_ts"), "date")
 
 
@@ -148,13 +148,32 @@ def month_files(spark, sf_dir):
 @query(f"""WITH {BARS}, ok AS (SELECT * FROM bars
   WHERE {VALID} AND ts >= 1704412800000 AND ts < 1706227200000
   QUALIFY row_number() OVER (PARTITION BY symbol, ts
-    ORDER BY open DESC, high DESC, low DESC, close DESC, volume DESC) = 1)
-SELECT {_SILVER_COLUMNS} FROM ok""")
+    ORDER BY volume DESC, close DESC, open DESC, high DESC, low DESC) = 1)
+SELECT '1m' AS interval, {_SILVER_COLUMNS} FROM ok""")
 def silver_from_months(spark, sf_dir):
     raw, silver = scratch_path(spark, "months"), scratch_path(spark, "silver")
     write_month(bars(spark, sf_dir), raw)
-    silver_job(spark, raw, silver, "2024-01-05", "2024-01-25")
-    return _silver_shown(spark, silver)
+    silver_job(spark, raw, silver, "2024-01-05", "2024-01-25", interval="1m")
+    return _silver_shown(spark, silver, interval=True)
+
+
+@query(f"""WITH {BARS}, widths AS (
+  SELECT * FROM bars UNION ALL
+  SELECT * REPLACE (ts - ts % 14400000 AS ts, '4h' AS interval) FROM bars), ok AS (
+  SELECT * FROM widths WHERE {VALID} AND ts >= 1704412800000 AND ts < 1706227200000
+  QUALIFY row_number() OVER (PARTITION BY interval, symbol, ts
+    ORDER BY volume DESC, close DESC, open DESC, high DESC, low DESC) = 1)
+SELECT interval, {_SILVER_COLUMNS} FROM ok""")
+def silver_two_loads(spark, sf_dir):
+    """Two widths, and a month in two loads of which one runs again."""
+    raw, silver = scratch_path(spark, "months"), scratch_path(spark, "silver")
+    minute = bars(spark, sf_dir)
+    start = F.col("ts") - F.pmod("ts", F.lit(14_400_000))
+    write_month(minute.unionByName(minute.withColumns({"ts": start, "interval": F.lit("4h")})), raw)
+    for first, last in (("2024-01-05", "2024-01-15"), ("2024-01-16", "2024-01-25"), ("2024-01-05", "2024-01-15")):
+        for interval in ("1m", "4h"):
+            silver_job(spark, raw, silver, first, last, interval=interval)
+    return _silver_shown(spark, silver, interval=True)
 
 
 def _zipper():
@@ -212,14 +231,17 @@ def forecast_files(spark, sf_dir):
     return rounded(rounded(text_dates(df, "ds"), 4, "y_hat_close", "abs_error"), 7, "ape")
 
 
-@query(f"""WITH {RELEASES} SELECT 'macro_sentiment' AS source, event_type,
+_EVENT_LAKE_SQL = f"""WITH {RELEASES} SELECT 'macro_sentiment' AS source, event_type,
        strftime(event_date, '%Y-%m-%d') AS event_date, CAST(year(event_date) AS INTEGER) AS event_year,
        CAST(month(event_date) AS INTEGER) AS event_month, event_name, event_time_utc, actual, forecast,
        previous, units, period_month, local_time_str,
        event_type || '-' || strftime(event_date, '%Y-%m-%d') AS event_id,
        actual - previous AS event_delta,
        CASE WHEN actual > previous THEN -1 WHEN actual < previous THEN 1 ELSE 0 END
-         AS event_sentiment FROM releases""")
+         AS event_sentiment FROM releases"""
+
+
+@query(_EVENT_LAKE_SQL)
 def event_lake(spark, sf_dir):
     lines, lake = scratch_path(spark, "releases"), scratch_path(spark, "events")
     releases(spark, sf_dir).write.json(lines)
@@ -228,11 +250,38 @@ def event_lake(spark, sf_dir):
     return text_dates(event_csv_scan(spark, lake, "macro_sentiment", sentiment=True), "event_date")
 
 
+@query(_EVENT_LAKE_SQL)
+def event_lake_two_loads(spark, sf_dir):
+    """The months' events in two files, of which one is loaded again."""
+    lake, all_lines = scratch_path(spark, "events"), releases(spark, sf_dir)
+    odd = F.col("event_type") == "status_o"
+    paths = [scratch_path(spark, "releases") for _ in range(2)]
+    all_lines.where(odd).write.json(paths[0])
+    all_lines.where(~odd).write.json(paths[1])
+    for path in (*paths, paths[0]):
+        macro_job(spark, path, lake)
+        macro_sentiment_job(spark, lake)
+    return text_dates(event_csv_scan(spark, lake, "macro_sentiment", sentiment=True), "event_date")
+
+
 @query(POST_EVENTS_SQL)
 def post_files(spark, sf_dir):
-    lines, out = scratch_path(spark, "posts"), scratch_path(spark, "post-events")
-    posts(spark, sf_dir).select("date", "text").write.json(lines)
-    posts_job(spark, lines, out, vowel_model)
+    return _post_files(spark, posts(spark, sf_dir), [F.lit(True)])
+
+
+@query(POST_EVENTS_SQL)
+def post_files_two_loads(spark, sf_dir):
+    """The posts of every date in two loads."""
+    even = F.col("post_id") % 120 < 60
+    return _post_files(spark, posts(spark, sf_dir), [even, ~even])
+
+
+def _post_files(spark, df, loads):
+    out = scratch_path(spark, "post-events")
+    for part in loads:
+        lines = scratch_path(spark, "posts")
+        df.where(part).select("date", "text").write.json(lines)
+        posts_job(spark, lines, out, vowel_model)
     shown = scored_post_scan(spark, out).withColumn("text_digest", F.md5("raw_text")).drop(
         "raw_text", "truth_id", "truth_url", "ingested_at"
     )
@@ -286,12 +335,44 @@ def stream_bars_4h(spark, sf_dir):
     return spark.read.schema(rolled.schema).parquet(path)
 
 
-@query(f"WITH {MINUTE_BARS} SELECT DISTINCT symbol, ts FROM minute_bars")
+def _minute_stream(spark, sf_dir):
+    stream = as_bars(as_ticks(_event_stream(spark, sf_dir)))
+    return stream.withColumn("ts", F.col("ts") - F.pmod("ts", F.lit(60000)))
+
+
+_LAST_ARRIVALS = f"""{MINUTE_BARS}, closed AS (SELECT max(ts) - 600000 AS mark FROM minute_bars),
+arrivals AS (SELECT * FROM minute_bars
+  QUALIFY row_number() OVER (PARTITION BY symbol, ts ORDER BY event_id DESC) = 1)"""
+
+
+@query(f"""WITH {_LAST_ARRIVALS} SELECT event_id, ts, symbol, interval, open, high, low, close, volume
+FROM arrivals, closed WHERE ts <= mark""")
 def stream_distinct_bars(spark, sf_dir):
+    """Of bars that arrive again and again, the last one, once no more can arrive."""
+    path, state = scratch_path(spark, "stream-latest"), scratch_path(spark, "state")
+    kept = stream_latest(_minute_stream(spark, sf_dir), ("event_id",)).drop("event_time", "iso_ts")
+    start_files(kept, path, state).awaitTermination()
+    return spark.read.schema(kept.schema).parquet(path)
+
+
+@query(f"WITH {MINUTE_BARS} SELECT DISTINCT symbol, ts FROM minute_bars")
+def stream_distinct_keys(spark, sf_dir):
     path, state = scratch_path(spark, "stream-dedup"), scratch_path(spark, "state")
-    stream = as_bars(as_ticks(_event_stream(spark, sf_dir))).withColumn(
-        "ts", F.col("ts") - F.pmod("ts", F.lit(60000))
-    )
-    kept = stream_dedup(stream).select("symbol", "ts")
+    kept = stream_dedup(_minute_stream(spark, sf_dir)).select("symbol", "ts")
     start_files(kept, path, state).awaitTermination()
     return spark.read.schema(kept.schema).parquet(path)
+
+
+@query(f"""WITH {_LAST_ARRIVALS}, rolled AS (
+  SELECT symbol, ts - ts % 14400000 AS ts, '4h' AS interval,
+         arg_min(open, ts) AS open, max(high) AS high, min(low) AS low,
+         arg_max(close, ts) AS close, sum(volume) AS volume, count(*) AS rows
+  FROM arrivals GROUP BY 1, 2)
+SELECT rolled.* FROM rolled, closed WHERE ts + 14400000 <= mark""")
+def stream_bars_dedup(spark, sf_dir):
+    """The roll-up of last arrivals: two stateful steps in one stream."""
+    path, state = scratch_path(spark, "stream-rolled"), scratch_path(spark, "state")
+    latest = stream_latest(_minute_stream(spark, sf_dir), ("event_id",))
+    rolled = stream_bars(latest, "4h", None)
+    start_files(rolled, path, state).awaitTermination()
+    return spark.read.schema(rolled.schema).parquet(path)

@@ -64,6 +64,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def _file_system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    files, place = _file_system(spark, path)
+    return files.exists(place)
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a table that this code wrote below the shared folder."""
+    files, place = _file_system(spark, path)
+    files.delete(place, True)
+
+
 def spread(df: DataFrame, *columns: str) -> DataFrame:
     """Hash-partition rows that are few but costly to process.
 

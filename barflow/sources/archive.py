@@ -12,15 +12,20 @@ from barflow.operators.klines import VALUE_COLUMNS, parse_kline_rows
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-FILE_NAME = r"([^/]+)-([0-9]+[smhdw])-([0-9]{4}-[0-9]{2})\.zip$"
+#: Symbol, bar width, and the month or day that an archive holds.
+FILE_NAME = r"([^/]+)-([0-9]+[smhdwM]o?)-([0-9]{4}-[0-9]{2}(?:-[0-9]{2})?)\.zip$"
 LINES_PER_BATCH = 20_000
 _FIELDS = "open_time STRING, " + ", ".join(f"{name} STRING" for name in VALUE_COLUMNS)
 
 
 def _unzip(batches):
-    """Lines of each archive's first member; a file that is no archive gives none."""
+    """Lines of each archive's first member; a file that cannot be unpacked gives those before the fault.
+
+    Bytes that are no UTF-8 become replacement characters, so that only their line is unreadable.
+    """
     import io
     import zipfile
+    import zlib
 
     import pandas as pd
 
@@ -30,8 +35,8 @@ def _unzip(batches):
                 names = archive.namelist()
                 if names:
                     with archive.open(names[0]) as member:
-                        yield from io.TextIOWrapper(member, "utf-8", newline="")
-        except zipfile.BadZipFile:
+                        yield from io.TextIOWrapper(member, "utf-8", errors="replace", newline="")
+        except (zipfile.BadZipFile, zlib.error, EOFError, NotImplementedError, RuntimeError):
             return
 
     for batch in batches:
@@ -52,15 +57,23 @@ def archive_lines(files: DataFrame) -> DataFrame:
 
 
 def archive_rows(files: DataFrame) -> DataFrame:
-    """Text fields of every archived line; symbol and interval come from the file name."""
+    """Text fields of every archived line; symbol and interval come from the file name.
+
+    Files whose name says neither are left out; ``archive_rejects`` lists them.
+    """
     fields = F.from_csv("line", _FIELDS)
-    return archive_lines(files).select(
+    return archive_lines(files.where(F.rlike("path", F.lit(FILE_NAME)))).select(
         F.regexp_extract("path", FILE_NAME, 1).alias("symbol"),
         F.regexp_extract("path", FILE_NAME, 2).alias("interval"),
         fields.alias("f"),
     ).select("symbol", "interval", "f.*")
 
 
+def archive_rejects(files: DataFrame) -> DataFrame:
+    """``path, reason`` of the files that ``archive_rows`` leaves out."""
+    return files.where(~F.rlike("path", F.lit(FILE_NAME))).select("path", F.lit("bad_name").alias("reason"))
+
+
 def archive_klines(files: DataFrame) -> DataFrame:
     """Typed bars of every readable archived line."""
     return parse_kline_rows(archive_rows(files))

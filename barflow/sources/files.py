@@ -42,6 +42,12 @@ def _with_partitions(schema: T.StructType, ddl: str) -> T.StructType:
     return T.StructType([*data, *extra.fields])
 
 
+def _headered(spark: SparkSession, schema: T.StructType):
+    """A reader that fails on a header with other names or another order than the schema, instead of
+    reading by position."""
+    return spark.read.schema(schema).option("header", "true").option("enforceSchema", "false")
+
+
 def raw_scan(spark: SparkSession, base: str, fmt: str = "parquet") -> DataFrame:
     """The whole raw lake, laid out as ``topic=…/date=…``."""
     schema = _with_partitions(ENVELOPE_SCHEMA, "topic STRING, date DATE")
@@ -71,10 +77,11 @@ def gold_scan(spark: SparkSession, base: str) -> DataFrame:
     return spark.read.schema(CANDLE_SCHEMA).parquet(base).select(*CANDLE_COLUMNS)
 
 
-def silver_scan(spark: SparkSession, base: str, fmt: str = "parquet") -> DataFrame:
-    """Validated bars, laid out as ``symbol=…/year=…/month=…``."""
-    schema = _with_partitions(VALID_BAR_SCHEMA, "symbol STRING, year INT, month INT")
-    return spark.read.schema(schema).format(fmt).option("header", "true").load(base)
+def silver_scan(spark: SparkSession, base: str, fmt: str = "parquet", interval: bool = False) -> DataFrame:
+    """Validated bars, laid out as ``symbol=…/year=…/month=…``, below ``interval=…`` if ``interval``."""
+    width = "interval STRING, " if interval else ""
+    schema = _with_partitions(VALID_BAR_SCHEMA, f"{width}symbol STRING, year INT, month INT")
+    return _headered(spark, schema).format(fmt).load(base)
 
 
 def forecast_scan(spark: SparkSession, base: str, errors: bool = True) -> DataFrame:
@@ -83,13 +90,13 @@ def forecast_scan(spark: SparkSession, base: str, errors: bool = True) -> DataFr
         "actual_close DOUBLE, abs_error DOUBLE, ape DOUBLE, " if errors else ""
     )
     schema = schema_of(values + "created_at TIMESTAMP, ds DATE, symbol STRING")
-    return spark.read.schema(schema).option("header", "true").csv(base)
+    return _headered(spark, schema).csv(base)
 
 
 def scored_post_scan(spark: SparkSession, base: str) -> DataFrame:
     """Scored posts, laid out as ``event_date=…``; texts may hold line breaks and quotes."""
     schema = _with_partitions(SCORED_POST_SCHEMA, "event_date STRING")
-    reader = spark.read.schema(schema).option("header", "true").option("escape", '"')
+    reader = _headered(spark, schema).option("escape", '"')
     df = reader.option("multiLine", "true").csv(base)
     return df.select(*SCORED_POST_SCHEMA.fieldNames())
 
@@ -103,7 +110,7 @@ def bar_csv_scan(
     ``interval STRING, symbol STRING, month STRING``.
     """
     schema = _with_partitions(BAR_SCHEMA, partitions) if partitions else BAR_SCHEMA
-    return spark.read.schema(schema).option("header", "true").csv(base)
+    return _headered(spark, schema).csv(base)
 
 
 def daily_csv_scan(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:

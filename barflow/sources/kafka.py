@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barflow.constants import LOCAL_ZONE
-from barflow.functions.timecols import local_day_bounds_ms, timestamp_from_ms
+from barflow.functions.timecols import local_day_bounds_ms, timestamp_from_ms, zone_date
 from barflow.schemas import ENVELOPE_SCHEMA
 
 ENVELOPE_COLUMNS = tuple(ENVELOPE_SCHEMA.fieldNames())
@@ -80,7 +80,7 @@ def envelope_project(df: DataFrame, zone: str = LOCAL_ZONE) -> DataFrame:
     """Envelope columns with text key and value and the message's date in ``zone``."""
     text = {name: F.col(name).cast("string") for name in ("key", "value")}
     return df.withColumns(text).select(
-        *ENVELOPE_COLUMNS, F.to_date(F.from_utc_timestamp("timestamp", zone)).alias("date")
+        *ENVELOPE_COLUMNS, zone_date(F.col("timestamp"), zone).alias("date")
     )
 
 

@@ -63,19 +63,25 @@ def stream_raw(
     )
 
 
-def with_event_time(df: DataFrame, delay: str) -> DataFrame:
-    """Event time from ``ts`` with a watermark; rows later than ``delay`` may be dropped."""
+def with_event_time(df: DataFrame, delay: str | None) -> DataFrame:
+    """Event time from ``ts`` with a watermark; rows later than ``delay`` may be dropped.
+
+    Without a delay the frame has its event time already, from the step before.
+    """
+    if delay is None:
+        return df
     return df.withColumn("event_time", timestamp_from_ms(F.col("ts"))).withWatermark(
         "event_time", delay
     )
 
 
 def stream_bars(
-    df: DataFrame, interval: str, delay: str = "10 minutes", order: Sequence[str] = ("ts",)
+    df: DataFrame, interval: str, delay: str | None = "10 minutes", order: Sequence[str] = ("ts",)
 ) -> DataFrame:
     """Tumbling bars per symbol, aligned to the epoch.
 
-    In append mode a bar appears once the watermark has passed its end, so open bars are never
+    Bars that are emitted again while they are open must go through ``stream_latest`` first, which
+    hands on its event time (``delay=None``). In append mode a bar appears once the watermark has passed its end, so open bars are never
     emitted twice.
     """
     width = f"{interval_ms(interval) // 1000} seconds"
@@ -93,8 +99,29 @@ def stream_bars(
     )
 
 
+def stream_latest(
+    df: DataFrame, latest: Sequence[str], delay: str = "10 minutes", keys: Sequence[str] = ("symbol", "ts")
+) -> DataFrame:
+    """The last arrival of every key, by the columns ``latest``, once the watermark has passed it.
+
+    A bar that is emitted again and again while it is open appears once, with its final values.
+    ``event_time`` stays, so that a windowed step can follow.
+    """
+    others = [c for c in df.columns if c not in keys]
+    best = F.max_by(F.struct(*others), F.struct(*latest)).alias("_best")
+    return (
+        with_event_time(df, delay)
+        .groupBy(*keys, "event_time")
+        .agg(best)
+        .select(*[c if c in keys else f"_best.{c}" for c in df.columns], "event_time")
+    )
+
+
 def stream_dedup(
     df: DataFrame, delay: str = "10 minutes", keys: Sequence[str] = ("symbol", "ts")
 ) -> DataFrame:
-    """Drop repeats of a key while the watermark still covers it; state stays bounded."""
+    """Drop repeats of a key while the watermark still covers it; state stays bounded.
+
+    The first arrival stays, at once: right where repeats are equal. See ``stream_latest``.
+    """
     return with_event_time(df, delay).dropDuplicatesWithinWatermark(list(keys)).drop("event_time")

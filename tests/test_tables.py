@@ -108,7 +108,7 @@ def test_month_files_are_sorted_and_feed_silver(spark, tmp_path, bars):
         assert stamps == sorted(stamps)
     for fmt in ("parquet", "csv"):
         out = f"{silver}-{fmt}"
-        n = silver_job(spark, raw, out, "2025-01-31", "2025-02-01", symbols=["A"], fmt=fmt)
+        n = silver_job(spark, raw, out, "2025-01-31", "2025-02-01", symbols=["A"], fmt=fmt, interval="15m")
         table = spark.read.option("header", "true").format(fmt).load(out)
         assert n == table.count() == 96 and {r.symbol for r in table.select("symbol").distinct().collect()} == {"A"}
     assert {(r.year, r.month, r.rows) for r in rows_per_partition(table, ["year", "month"]).collect()} == {(2025, 1, 48), (2025, 2, 48)}
