@@ -8,14 +8,21 @@ task where their bucket is if the caller has a way to do that, so no link betwee
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
 
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barflow.llm.common import stored
 from barflow.llm.components import connected_components
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+BUCKET_ROWS = 2048
+
 
 def _open_buckets(members: DataFrame, *more) -> DataFrame:
     """Buckets whose members lie in two components or more."""
@@ -45,6 +52,36 @@ def _left_pairs(members: DataFrame, alike: Column) -> DataFrame:
     return members.join(other, "bucket").where(apart & alike).select(F.col("node").alias("a"), "b").distinct()
 
 
+def links_in_tasks(members: DataFrame, details: DataFrame,
+                   link: Callable[[pd.DataFrame], list[tuple[int, int]]]) -> DataFrame:
+    """Links (a, b) between different components within buckets, found where the bucket is.
+
+    ``link`` gets a bucket's members with the columns of ``details`` (node, …). A bucket of more than
+    ``BUCKET_ROWS`` members is cut into blocks, and every two blocks meet in a group of their own, where
+    ``block``, ``low`` and ``high`` tell which pairs are due.
+    """
+    counts = members.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / BUCKET_ROWS).alias("blocks"))
+    met = (
+        members.join(counts, "bucket")
+        .withColumn("block", F.pmod(F.xxhash64("node", F.lit(1)), F.col("blocks")))
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
+        .withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
+        .drop("blocks", "other")
+    )
+    groups = max(1, met.count() // BUCKET_ROWS)
+    dealt = F.pmod(F.xxhash64("bucket", "low", "high"), F.lit(groups))
+    full = met.join(details, "node").withColumn("dealt", dealt)
+
+    def find(frame: pd.DataFrame) -> pd.DataFrame:
+        found: list[tuple[int, int]] = []
+        for _, one in frame.groupby(["bucket", "low", "high"], sort=False):
+            if len(one) > 1:
+                found += link(one.drop_duplicates("node"))
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+    return full.groupBy("dealt").applyInPandas(find, "a long, b long")
+
+
 def bucket_components(members: DataFrame, confirm: Callable[[DataFrame], DataFrame], alike: Column | None = None,
                       rest: Callable[[DataFrame], DataFrame] | None = None, hubs: int = 3,
                       hub_rounds: int = 2) -> DataFrame:

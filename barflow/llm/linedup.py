@@ -26,12 +26,13 @@ from dataclasses import dataclass
 from os.path import commonprefix
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barflow.llm.buckets import bucket_components
+from barflow.llm.buckets import bucket_components, links_in_tasks
 from barflow.llm.common import SPACES, free_name, small_batches, stored, unsigned_crc32
 from barflow.llm.wordcodes import mixed, powers
 
@@ -220,6 +221,34 @@ def _confirm(pairs: DataFrame, texts: DataFrame, settings: Settings) -> DataFram
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(check, "a long, b long")
 
 
+def _letters(lines: list[str]) -> np.ndarray:
+    """How often each of 32 classes of characters is in each line."""
+    counts = np.zeros((len(lines), 32), dtype=np.int32)
+    flat = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), dtype="<u4") % 32
+    np.add.at(counts, (np.repeat(np.arange(len(lines)), [len(line) for line in lines]), flat), 1)
+    return counts
+
+
+def _group_links(group: pd.DataFrame, threshold: int) -> list[tuple[int, int]]:
+    """Links that join components of the lines of one group. Lines whose letters differ by more than
+    two counts an edit are not compared."""
+    nodes, blocks, lines = group["node"].to_numpy(), group["block"].to_numpy(), group["line"].tolist()
+    within_block = int(group["low"].iloc[0]) == int(group["high"].iloc[0])
+    component, letters, found = pd.factorize(group["component"])[0], _letters(lines), []
+    for i in range(len(nodes) - 1):
+        live = np.arange(i + 1, len(nodes))
+        ok = component[live] != component[i]
+        if not within_block:
+            ok &= blocks[live] != blocks[i]
+        live = live[ok]
+        live = live[np.abs(letters[live] - letters[i]).sum(axis=1) <= 2 * threshold]
+        for j in live.tolist():
+            if component[i] != component[j] and within(lines[i], lines[j], threshold):
+                found.append((int(min(nodes[i], nodes[j])), int(max(nodes[i], nodes[j]))))
+                component[component == component[j]] = component[i]
+    return found
+
+
 def line_classes(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """(node, component) of the distinct lines that are near another one. ``docs`` has text."""
     rows = _rows_of(docs, settings)
@@ -228,9 +257,13 @@ def line_classes(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     several = members.groupBy("bucket").agg(F.min("node").alias("n0"), F.max("node").alias("n1")).where("n0 <> n1")
     members = stored(members.join(several.select("bucket"), "bucket").withColumn("size", F.lit(0)), "buckets")
     involved = stored(members.select("node").distinct(), "candidates")
-    lines = _line_texts(docs, settings).join(involved, "node", "left_semi")
+    # the candidates grow with the corpus: no side is sent to every task
+    lines = _line_texts(docs, settings).join(involved.hint("merge"), "node", "left_semi")
     texts = stored(lines.groupBy("node").agg(F.first("line").alias("line")), "lines")
-    return bucket_components(members, lambda pairs: _confirm(pairs, texts, settings))
+    return bucket_components(
+        members, lambda pairs: _confirm(pairs, texts, settings),
+        rest=lambda left: links_in_tasks(left, texts, lambda group: _group_links(group, settings.threshold)),
+    )
 
 
 def dedup_lines(docs: DataFrame, settings: Settings = Settings(), id_column: str = "doc_id",
@@ -252,7 +285,7 @@ def dedup_lines(docs: DataFrame, settings: Settings = Settings(), id_column: str
     lists = later.groupBy("doc_a", "doc_b").agg(F.collect_set("place").alias(removed))  # as long as the document
     lists = lists.withColumnsRenamed({"doc_a": name_a, "doc_b": name_b})
     named = docs.withColumns({name_a: F.xxhash64(id_column, text), name_b: unsigned_crc32(F.col(text))})
-    met = named.join(lists, [name_a, name_b], "left")
+    met = named.join(lists.hint("merge"), [name_a, name_b], "left")
     gone = F.coalesce(removed, F.array().cast("array<bigint>"))
     left = F.array_join(
         F.filter(F.split(text, "\n", -1), lambda line, i: ~F.array_contains(gone, i.cast("bigint"))), "\n"

@@ -35,16 +35,13 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barflow.llm.buckets import bucket_components
+from barflow.llm.buckets import bucket_components, links_in_tasks
 from barflow.llm.common import small_batches, stored
 from barflow.llm.wordcodes import mixed, shingles, word_chunks
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-BUCKET_ROWS = 2048
-
-
 @dataclass(frozen=True)
 class Settings:
     """Similarity ``percent`` / 100 on shingles of ``words`` words. With 30 bands of 6 hashes a pair
@@ -211,40 +208,10 @@ def _confirm(pairs: DataFrame, texts: DataFrame, settings: Settings) -> DataFram
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(check, "a long, b long")
 
 
-def _rest_links(members: DataFrame, nodes: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
-    """Links between different components within buckets, found where the bucket is.
-
-    A bucket of more than ``BUCKET_ROWS`` members is cut into blocks and every two blocks meet in a
-    group of their own. A pair is looked at in the first band that it shares only, its signatures are
-    pruned batch by batch, and the survivors' full sets are compared unless links found before join them.
-    """
-    counts = members.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / BUCKET_ROWS).alias("blocks"))
-    block = F.pmod(F.xxhash64("node", F.lit(1)), F.col("blocks"))
-    met = (
-        members.join(counts, "bucket")
-        .withColumn("block", block)
-        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
-        .select("bucket", "node", "component", "size", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
-    )
-    groups = max(1, met.count() // BUCKET_ROWS)
-    dealt = F.pmod(F.xxhash64("bucket", "low", "high"), F.lit(groups)).alias("dealt")
-    full = met.join(nodes, "node").join(texts, "node").select(
-        dealt, "bucket", "low", "high", "block", "node", "component", "size", "signature", "text"
-    )
-    keys, steps = ["bucket", "low", "high"], least_matches(settings)
-
-    def link(frame: pd.DataFrame) -> pd.DataFrame:
-        found: list[tuple[int, int]] = []
-        for _, one in frame.groupby(keys, sort=False):
-            if len(one) > 1:
-                found += _group_links(one.drop_duplicates("node"), settings, steps)
-        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
-
-    return full.groupBy("dealt").applyInPandas(link, "a long, b long")
-
-
 def _group_links(group: pd.DataFrame, settings: Settings, steps: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Links that join components of one group."""
+    """Links that join components of one group. A pair is looked at in the first band it shares only,
+    its signatures are pruned batch by batch, and the survivors' full sets are compared unless links
+    found before join them."""
     nodes, sizes, blocks = (group[c].to_numpy() for c in ("node", "size", "block"))
     within = int(group["low"].iloc[0]) == int(group["high"].iloc[0])
     component = pd.factorize(group["component"])[0]
@@ -299,10 +266,11 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings(), id_column:
     wanted = docs.select(F.col(id_column).cast("bigint").alias("node"), F.col(text).alias("text"))
     texts = stored(wanted.join(involved, "node"), "texts")
     sides = nodes.join(involved, "node", "left_semi").select("node", "signature")
+    steps = least_matches(settings)
     alike = 100 * F.least("size", "other_size") >= settings.percent * F.greatest("size", "other_size")
     labels = bucket_components(
         members, lambda pairs: _confirm(_prune(pairs, sides, settings), texts, settings), alike,
-        lambda left: _rest_links(left, sides, texts, settings),
+        lambda left: links_in_tasks(left, sides.join(texts, "node"), lambda group: _group_links(group, settings, steps)),
     )
     same_set = ["n_shingles", "set_a", "set_b"]
     by_node = nodes.select(*same_set, "node").join(labels, "node", "left")

@@ -14,7 +14,7 @@ def test_matches_brute_force(spark):
 
 def test_a_group_of_near_copies(spark, monkeypatch):
     """More near copies than a block has rows, at similarities around the threshold."""
-    monkeypatch.setattr(neardup, "BUCKET_ROWS", 16)
+    monkeypatch.setattr(buckets, "BUCKET_ROWS", 16)
     rng = random.Random(4)
     base = [rng.choice("abcdefghij") + str(rng.randrange(300)) for _ in range(120)]
     docs = [(1000, " ".join(base))]
