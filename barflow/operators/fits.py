@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -27,7 +28,7 @@ from barflow.functions.numerics import (
 )
 from barflow.operators.describe import fit_normal, histogram
 from barflow.operators.returns import empirical_rank
-from barflow.session import scratch_path
+from barflow.session import drop_path, scratch_path
 
 # Degrees of freedom are searched in this range; at the upper end the fit is a normal one.
 DF_RANGE = (0.1, 1000.0)
@@ -100,8 +101,7 @@ def _columns(expressions: dict[str, str]) -> dict[str, Column]:
 def _fit_step(data: DataFrame, params: DataFrame, value: str) -> DataFrame:
     """One step for every symbol: a join with the parameters, one aggregation, a projection."""
     steps = {
-        name: "greatest(-1D, least(1D, if(h11 > 0 and c33 > 0 and det > 0, "
-        f"{newton}, {scoring})))"
+        name: f"if(h11 > 0 and c33 > 0 and det > 0, {newton}, {scoring})"
         for name, (newton, scoring) in _STEPS.items()
     }
     low, high = (repr(math.log(x)) + "D" for x in DF_RANGE)
@@ -118,6 +118,9 @@ def _fit_step(data: DataFrame, params: DataFrame, value: str) -> DataFrame:
         .withColumns(_columns(_COFACTORS))
         .withColumns(_columns(_DETERMINANT))
         .withColumns(_columns(steps))
+        .withColumn("broken", F.expr("isnan(step1) or isnan(step2) or isnan(step3)"))
+        # a step that is not a number moves nothing and ends the symbol's search
+        .withColumns(_columns({s: f"if(broken, 0D, greatest(-1D, least(1D, {s})))" for s in steps}))
         .withColumn("new_df", F.expr(f"greatest({low}, least({high}, log_df + step3))"))
         .selectExpr(
             "symbol",
@@ -125,56 +128,92 @@ def _fit_step(data: DataFrame, params: DataFrame, value: str) -> DataFrame:
             "loc + exp(log_scale) * step1 AS loc",
             "log_scale + step2 AS log_scale",
             "new_df AS log_df",
-            "greatest(abs(step1), abs(step2), abs(new_df - log_df)) AS move",
+            "if(broken, double('NaN'), greatest(abs(step1), abs(step2), abs(new_df - log_df))) AS move",
         )
     )
 
 
-def _written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a table in the shared folder: computed once, without its lineage."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def _written(df: DataFrame, name: str, paths: list[str]) -> DataFrame:
+    """``df`` as a table in the shared folder: computed once, without its lineage. Notes the path."""
+    paths.append(scratch_path(df.sparkSession, name))
+    df.write.parquet(paths[-1])
+    return df.sparkSession.read.schema(df.schema).parquet(paths[-1])
 
 
-def fit_student_t(
+def student_t_report(
     df: DataFrame, value: str = "ret", tolerance: float = 1e-5, max_steps: int = 60
 ) -> DataFrame:
-    """Maximum-likelihood ``df, loc, scale`` per symbol, for at least three observations.
+    """Maximum-likelihood ``df, loc, scale`` per symbol with what became of the search.
 
     Newton's method for all symbols at once: a step is one partially aggregated pass over the
     series, and the parameters stay a table. Series and parameters are written to the shared
-    folder, so that each step runs once and a lost executor costs two steps at most. The largest
-    move is observed during the write; after a Newton step of that size the remaining error is of
-    the order of its square. This is the one operator that starts jobs itself, because
-    the number of passes depends on the data.
+    folder, so that each step runs once and a lost executor costs two steps at most; all but the
+    result is deleted at the end. A symbol leaves the loop as soon as its move is below the tolerance;
+    after a Newton step of that size the remaining error is of the order of its square. This is the
+    one operator that starts jobs itself, because the number of passes depends on the data.
+
+    ``status``: ``converged``; ``too_few`` (under three observations); ``no_spread``; ``degenerate`` (one
+    value makes up more than half of the series: the likelihood has no maximum); ``failed`` (a step was
+    not a number); ``max_steps`` (still moving). Parameters are null where no search began. ``at_bound``
+    marks degrees of freedom at an end of ``DF_RANGE``.
     """
-    data = _written(df.where(F.col(value).isNotNull()).select("symbol", value), "t-series")
-    params = (
-        data.groupBy("symbol")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.avg(value).alias("loc"),
-            F.ln(F.stddev_samp(value) * math.sqrt(0.5)).alias("log_scale"),
-        )
-        .where((F.col("n") >= 3) & F.col("log_scale").isNotNull())
-        .withColumn("log_df", F.lit(math.log(4.0)))
+    spark, paths = df.sparkSession, []
+    data = _written(df.where(F.col(value).isNotNull()).select("symbol", value), "t-series", paths)
+    most = data.groupBy("symbol", value).agg(F.count(F.lit(1)).alias("same"))
+    most = most.groupBy("symbol").agg(F.max("same").alias("same"))
+    moments = data.groupBy("symbol").agg(
+        F.count(F.lit(1)).alias("n"), F.avg(value).alias("loc"), F.stddev_samp(value).alias("sd")
     )
-    for _ in range(0, max_steps, STEPS_PER_PASS):
-        seen = Observation()
-        stepped = params
+    reason = (
+        F.when(F.col("n") < 3, "too_few")
+        .when(F.col("sd") == 0, "no_spread")
+        .when(2 * F.col("same") > F.col("n"), "degenerate")
+    )
+    begun = _written(
+        moments.join(most, "symbol").select(
+            "symbol", "n", "loc", F.ln(F.nullif(F.col("sd"), F.lit(0.0)) * math.sqrt(0.5)).alias("log_scale"),
+            F.lit(math.log(4.0)).alias("log_df"), reason.alias("status"),
+        ),
+        "t-start", paths,
+    )
+    none = F.lit(None).cast("double")
+    done = [
+        begun.where("status IS NOT NULL").select(
+            "symbol", "n", none.alias("loc"), none.alias("log_scale"), none.alias("log_df"), "status", F.lit(0).alias("steps")
+        )
+    ]
+    active = begun.where("status IS NULL").drop("status")
+    moving = ~F.isnan("move") & (F.col("move") >= tolerance)
+    steps = 0
+    while steps < max_steps:
+        seen, stepped = Observation(), active
         for _ in range(STEPS_PER_PASS):
             stepped = _fit_step(data, stepped.select(*_STATE), value)
-        params = _written(stepped.observe(seen, F.max("move").alias("move")), "t-params")
-        if (seen.get["move"] or 0.0) < tolerance:
+        steps += STEPS_PER_PASS
+        now = _written(stepped.observe(seen, F.count_if(moving).alias("left")), "t-params", paths)
+        status = F.when(F.isnan("move"), "failed").otherwise("converged")
+        done.append(now.where(~moving).select(*_STATE, status.alias("status"), F.lit(steps).alias("steps")))
+        active = now.where(moving)
+        if not seen.get["left"]:
             break
-    return params.select(
-        "symbol",
-        "n",
-        F.exp("log_df").alias("df"),
-        "loc",
-        F.exp("log_scale").alias("scale"),
+    done.append(active.select(*_STATE, F.lit("max_steps").alias("status"), F.lit(steps).alias("steps")))
+    edge = F.least(*[F.abs(F.col("log_df") - math.log(x)) for x in DF_RANGE]) < 1e-9
+    report = reduce(DataFrame.unionByName, done).select(
+        "symbol", "n", F.exp("log_df").alias("df"), "loc", F.exp("log_scale").alias("scale"), "status", "steps",
+        F.coalesce(edge, F.lit(False)).alias("at_bound"),
     )
+    result = _written(report, "t-fits", [])
+    for path in paths:
+        drop_path(spark, path)
+    return result
+
+
+def fit_student_t(
+    df: DataFrame, value: str = "ret", tolerance: float = 1e-5, max_steps: int = 60
+) -> DataFrame:
+    """``symbol, n, df, loc, scale`` of the symbols whose search converged; see ``student_t_report``."""
+    report = student_t_report(df, value, tolerance, max_steps)
+    return report.where("status = 'converged'").select("symbol", "n", "df", "loc", "scale")
 
 
 def fit_params(df: DataFrame, value: str = "ret") -> DataFrame:

@@ -18,6 +18,7 @@ from barflow.operators.fits import (
     chi_square_normal,
     fit_params,
     fit_student_t,
+    student_t_report,
     ks_normal,
     ks_student_t,
     ks_test,
@@ -262,6 +263,31 @@ def student_t_fits(spark, sf_dir):
     return rounded(rounded(fit, 6, "loc", "scale"), 5, "df")
 
 
+@query(f"""WITH {RETURNS}, series AS (
+  SELECT symbol, ret FROM returns UNION ALL
+  SELECT symbol || ' flat', CASE WHEN month(ds) > 2 THEN 0 ELSE ret END FROM returns UNION ALL
+  SELECT symbol || ' once', 0 FROM returns UNION ALL
+  SELECT symbol || ' two', ret FROM returns WHERE ret IN (
+    (SELECT max(ret) FROM returns), (SELECT min(ret) FROM returns))), same AS (
+  SELECT symbol, ret, count(*) AS k FROM series GROUP BY 1, 2), per AS (
+  SELECT symbol, sum(k)::BIGINT AS n, max(k) AS top, count(*) AS different FROM same GROUP BY 1)
+SELECT symbol, n, CASE WHEN n < 3 THEN 'too_few' WHEN different = 1 THEN 'no_spread'
+                       WHEN 2 * top > n THEN 'degenerate' ELSE 'converged' END AS status FROM per""")
+def student_t_status(spark, sf_dir):
+    """What becomes of the search: on the series, and on series without a likelihood maximum."""
+    r = returns(spark, sf_dir).select("symbol", "ds", "ret")
+    named = lambda tag: F.concat("symbol", F.lit(tag)).alias("symbol")
+    flat = F.when(F.month("ds") > 2, 0.0).otherwise(F.col("ret")).alias("ret")
+    ends = r.agg(F.array(F.max("ret"), F.min("ret")).alias("ends")).select(F.explode("ends").alias("ret"))
+    series = (
+        r.select("symbol", "ret")
+        .unionByName(r.select(named(" flat"), flat))
+        .unionByName(r.select(named(" once"), F.lit(0.0).alias("ret")))
+        .unionByName(r.join(ends, "ret").select(named(" two"), "ret"))
+    )
+    return student_t_report(series).select("symbol", "n", "status")
+
+
 @query(f"""WITH RECURSIVE {_T_FIT}, nfit AS (
   SELECT symbol, avg(ret) AS mu, stddev_samp(ret) AS sigma FROM returns GROUP BY 1), z AS (
   SELECT symbol, df, (0.1 - mu) / sigma AS a, (-0.1 - mu) / sigma AS b,
@@ -419,11 +445,13 @@ def ar1_forecasts(spark, sf_dir):
 SELECT symbol, n, round(n * (ln(2 * pi()) + ln(ss / n) + 1) + 4, 6) AS aic,
        round(dw, 8) AS durbin_watson, round(g1, 7) AS skewness, round(g2, 7) AS excess_kurtosis,
        round(n / 6.0 * (g1 * g1 + g2 * g2 / 4), 5) AS jarque_bera,
-       round(n * (n + 2) * rho * rho / (n - 1), 6) AS ljung_box FROM s""")
+       round(exp(-n / 12.0 * (g1 * g1 + g2 * g2 / 4)), 6) AS jarque_bera_p,
+       round(n * (n + 2) * rho * rho / (n - 1), 6) AS ljung_box,
+       round(2 * (1 - {_phi_sql("sqrt(n * (n + 2) * rho * rho / (n - 1))")}), 6) AS ljung_box_p FROM s""")
 def residual_diagnostic_table(spark, sf_dir):
     r = returns(spark, sf_dir)
-    d = residual_diagnostics(ar1_fitted(r, ar1_fit(r))).drop("jarque_bera_p", "ljung_box_p")
-    d = rounded(d, 6, "aic", "ljung_box")
+    d = residual_diagnostics(ar1_fitted(r, ar1_fit(r)))
+    d = rounded(d, 6, "aic", "ljung_box", "jarque_bera_p", "ljung_box_p")
     d = rounded(rounded(d, 8, "durbin_watson"), 7, "skewness", "excess_kurtosis")
     return rounded(d, 5, "jarque_bera")
 

@@ -1,4 +1,5 @@
 import datetime as dt
+import glob
 import math
 
 import numpy as np
@@ -166,6 +167,26 @@ def test_student_t_fit_guards(spark):
     assert set(got) == {"even"} and got["even"].df > 500  # light tails end at the normal limit
 
 
+def test_student_t_search_is_reported(spark):
+    import random
+
+    from barflow.operators.fits import student_t_report
+    from barflow.session import shared_dir
+
+    rng = random.Random(3)
+    rows = [("two", 1.0), ("two", 2.0), *[("flat", 1.0)] * 5, *[("zeros", 0.0)] * 90]
+    rows += [("zeros", rng.gauss(0, 1)) for _ in range(10)] + [("t", rng.gauss(0, 1) / rng.random()) for _ in range(200)]
+    df = spark.createDataFrame(rows, "symbol string, ret double")
+    before = set(glob.glob(f"{shared_dir(spark).removeprefix('file:')}/*"))
+    got = rows_by(student_t_report(df), "symbol")
+    left = set(glob.glob(f"{shared_dir(spark).removeprefix('file:')}/*")) - before
+    assert len(left) == 1 and "t-fits" in left.pop()
+    assert {s: r.status for s, r in got.items()} == {"two": "too_few", "flat": "no_spread", "zeros": "degenerate", "t": "converged"}
+    assert got["t"].steps < 60 and not got["t"].at_bound and got["zeros"].df is None
+    short = rows_by(student_t_report(df, max_steps=2), "symbol")
+    assert short["t"].status == "max_steps" and "t" not in rows_by(fit_student_t(df, max_steps=2), "symbol")
+
+
 def test_tails_and_density(spark, series, params):
     both = rows_by(tail_prob_t(tail_prob_normal(params, 0.05), 0.05), "symbol")["A"]
     n = math.erfc((0.05 - both.mu) / both.sigma / math.sqrt(2)) / 2 + math.erfc((0.05 + both.mu) / both.sigma / math.sqrt(2)) / 2
