@@ -127,16 +127,26 @@ def _fragments(texts: DataFrame, length: int) -> DataFrame:
     return texts.select("key_a", "key_b", "text", "grams").mapInArrow(cut, FRAGMENTS)
 
 
+def _sorted_places(key: np.ndarray, bits: int) -> np.ndarray:
+    """Places of the keys, which have ``bits`` bits, in ascending order: sorting keys that carry their
+    place is several times faster than sorting places by key."""
+    width = len(key).bit_length()
+    if bits + width > 64:
+        return np.argsort(key)
+    carried = np.sort((key << np.uint64(width)) | np.arange(len(key), dtype=np.uint64))
+    return (carried & np.uint64((1 << width) - 1)).astype(np.int64)
+
+
 def suffix_order(data: np.ndarray, length: int) -> np.ndarray:
     """Starts of the suffixes in the order of their first ``length`` bytes or more, by prefix doubling."""
     n = len(data)
-    padded = np.concatenate([data, np.full(8, SEPARATOR, np.uint8)]).astype(np.uint64)
-    key = np.zeros(n, dtype=np.uint64)
-    for j in range(8):
-        key |= padded[j : j + n] << np.uint64(56 - 8 * j)
-    span = 8
+    span = 5
+    padded = np.concatenate([data, np.full(span, SEPARATOR, np.uint8)]).astype(np.uint64)
+    key, bits = np.zeros(n, dtype=np.uint64), 8 * span
+    for j in range(span):
+        key |= padded[j : j + n] << np.uint64(8 * (span - 1 - j))
     while True:
-        order = np.argsort(key, kind="stable")
+        order = _sorted_places(key, bits)
         fresh = np.ones(n, dtype=np.uint64)
         fresh[1:] = key[order[1:]] != key[order[:-1]]
         rank = np.empty(n, dtype=np.uint64)
@@ -145,7 +155,8 @@ def suffix_order(data: np.ndarray, length: int) -> np.ndarray:
             return order
         follow = np.zeros(n, dtype=np.uint64)
         follow[: max(0, n - span)] = rank[span:]
-        key = rank * np.uint64(n + 1) + follow
+        bits = 2 * (n + 1).bit_length()
+        key = (rank << np.uint64(bits // 2)) | follow
         span *= 2
 
 
@@ -175,7 +186,7 @@ def shared_prefix(data: np.ndarray, order: np.ndarray, length: int) -> np.ndarra
         # within an interval, equal bytes lead to consecutive places
         to = step[places]
         group = which * 256 + before[places]
-        by = np.argsort(to, kind="stable")
+        by = _sorted_places(to.astype(np.uint64), n.bit_length())
         to, group = to[by], group[by]
         first = np.flatnonzero(np.append(True, (group[1:] != group[:-1]) | (to[1:] != to[:-1] + 1))) if len(to) else to
         low = to[first]
