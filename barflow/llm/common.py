@@ -38,6 +38,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def growing(df: DataFrame) -> DataFrame:
+    """A join side that grows with the corpus: joined by shuffle at every size, never sent to all tasks."""
+    return df.hint("merge")
+
+
 def free_name(df: DataFrame, base: str) -> str:
     """A column name that the frame does not have yet, whatever the case."""
     taken = {c.lower() for c in df.columns}

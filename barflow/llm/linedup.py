@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barflow.llm.buckets import bucket_components, links_in_tasks
-from barflow.llm.common import SPACES, free_name, small_batches, stored, unsigned_crc32
+from barflow.llm.common import SPACES, free_name, growing, small_batches, stored, unsigned_crc32
 from barflow.llm.wordcodes import mixed, powers
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -257,8 +257,7 @@ def line_classes(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     several = members.groupBy("bucket").agg(F.min("node").alias("n0"), F.max("node").alias("n1")).where("n0 <> n1")
     members = stored(members.join(several.select("bucket"), "bucket").withColumn("size", F.lit(0)), "buckets")
     involved = stored(members.select("node").distinct(), "candidates")
-    # the candidates grow with the corpus: no side is sent to every task
-    lines = _line_texts(docs, settings).join(involved.hint("merge"), "node", "left_semi")
+    lines = _line_texts(docs, settings).join(growing(involved), "node", "left_semi")
     texts = stored(lines.groupBy("node").agg(F.first("line").alias("line")), "lines")
     return bucket_components(
         members, lambda pairs: _confirm(pairs, texts, settings),
@@ -285,7 +284,7 @@ def dedup_lines(docs: DataFrame, settings: Settings = Settings(), id_column: str
     lists = later.groupBy("doc_a", "doc_b").agg(F.collect_set("place").alias(removed))  # as long as the document
     lists = lists.withColumnsRenamed({"doc_a": name_a, "doc_b": name_b})
     named = docs.withColumns({name_a: F.xxhash64(id_column, text), name_b: unsigned_crc32(F.col(text))})
-    met = named.join(lists.hint("merge"), [name_a, name_b], "left")
+    met = named.join(growing(lists), [name_a, name_b], "left")
     gone = F.coalesce(removed, F.array().cast("array<bigint>"))
     left = F.array_join(
         F.filter(F.split(text, "\n", -1), lambda line, i: ~F.array_contains(gone, i.cast("bigint"))), "\n"

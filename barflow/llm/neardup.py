@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barflow.llm.buckets import bucket_components, links_in_tasks
-from barflow.llm.common import small_batches, stored
+from barflow.llm.common import growing, small_batches, stored
 from barflow.llm.wordcodes import mixed, shingles, word_chunks
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -264,7 +264,7 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings(), id_column:
     members = stored(rows.join(shared, "bucket"), "buckets")
     involved = stored(members.select("node").distinct(), "candidates")
     wanted = docs.select(F.col(id_column).cast("bigint").alias("node"), F.col(text).alias("text"))
-    texts = stored(wanted.join(involved, "node"), "texts")
+    texts = stored(wanted.join(growing(involved), "node"), "texts")
     sides = nodes.join(involved, "node", "left_semi").select("node", "signature")
     steps = least_matches(settings)
     alike = 100 * F.least("size", "other_size") >= settings.percent * F.greatest("size", "other_size")

@@ -36,7 +36,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barflow.llm.common import small_batches, stored, text_or_empty, unsigned_crc32
+from barflow.llm.common import growing, small_batches, stored, text_or_empty, unsigned_crc32
 from barflow.llm.wordcodes import column_bytes, mixed, powers
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -308,11 +308,11 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_column: str = "doc_
     often = grams.groupBy("gram").agg(
         F.min("key_a").alias("k0"), F.max("key_a").alias("k1"), F.max("n").alias("n")
     ).where("k0 <> k1 OR n > 1").select("gram")
-    wanted = grams.join(often, "gram").groupBy("key_a").agg(F.collect_set("gram").alias("grams"))  # of one text
+    wanted = grams.join(growing(often), "gram").groupBy("key_a").agg(F.collect_set("gram").alias("grams"))  # of one text
     # one row of each text that has wanted k-grams
     chosen = copies.select(*keys, "doc_id").join(wanted, "key_a")
     same_id = read["doc_id"].eqNullSafe(chosen["doc_id"])
-    texts = read.join(chosen, (read["key_a"] == chosen["key_a"]) & (read["key_b"] == chosen["key_b"]) & same_id)
+    texts = read.join(growing(chosen), (read["key_a"] == chosen["key_a"]) & (read["key_b"] == chosen["key_b"]) & same_id)
     texts = stored(texts.select(read["key_a"], read["key_b"], read["text"], chosen["grams"]), "texts")
     fragments = stored(_fragments(texts, length), "fragments")
     kind = ["gram", "digest_a", "digest_b"]
@@ -332,18 +332,19 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_column: str = "doc_
     in_blocks = stored(expanded.where(F.size("runs") > 0), "runs")
     several = different.where("n > 1").select(*kind)
     places = fragments.drop("data")
-    by_run = places.join(in_blocks, kind).select(*keys, "first", F.explode("runs").alias("run")).select(
+    by_run = places.join(growing(in_blocks), kind).select(*keys, "first", F.explode("runs").alias("run")).select(
         *keys, F.struct((F.col("first") + F.col("run.first")).alias("first"), (F.col("first") + F.col("run.last")).alias("last")).alias("window")
     )
-    by_count = places.join(several, kind, "left_semi").select(*keys, F.struct("first", "last").alias("window"))
+    by_count = places.join(growing(several), kind, "left_semi").select(*keys, F.struct("first", "last").alias("window"))
     hot = groups.where(f"m > 1 AND size > {group_bytes}").select("gram")
     by_window = _hot_windows(fragments.join(hot, "gram"), length)
     windows = by_run.unionByName(by_count).unionByName(by_window)
     lists = windows.groupBy(*keys).agg(F.collect_list("window").alias("windows"))  # of one text
-    done = stored(_remove(texts.drop("grams").join(lists, keys), length), "removed")
+    done = stored(_remove(texts.drop("grams").join(growing(lists), keys), length), "removed")
     done = done.dropDuplicates(keys)  # rows that repeat id and text
     whole = (F.col("copies") > 1) & (F.col("n_bytes") >= length)
-    facts_with = facts.join(copies.where("copies > 1").select(*keys, "copies"), keys, "left").join(done, keys, "left")
+    copied = copies.where("copies > 1").select(*keys, "copies")
+    facts_with = facts.join(growing(copied), keys, "left").join(growing(done), keys, "left")
     nothing = hashlib.sha256(b"").hexdigest()
     return facts_with.select(
         "doc_id", "n_bytes",
