@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barflow.llm import decontaminate, linedup, neardup, packing, quality
-from barflow.llm.common import SPACES, stored, table
+from barflow.llm.common import SPACES, growing, stored, table
 from barflow.llm.queries import token_ranks
 
 
@@ -35,7 +35,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """The least document of every group with 80 % of five-word shingles in common."""
     groups = neardup.near_duplicates(docs, neardup.Settings(words=5, percent=80, bands=40))
     later = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(later, "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(growing(later), "doc_id", "left_anti").select(*docs.columns)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
