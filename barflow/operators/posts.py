@@ -138,10 +138,16 @@ def score_chunks(chunks: DataFrame, model: Callable[[Column], Column]) -> DataFr
     )
 
 
-def pool_sentiment(scored: DataFrame, by: Sequence[str] = ("post_id",)) -> DataFrame:
-    """Mean chunk probabilities per post, and the score, label, index and bias they give."""
-    require_columns(scored, ["p_pos", "p_neg", *by])
+def pool_sentiment(
+    scored: DataFrame, by: Sequence[str] = ("post_id",), carry: Sequence[str] = ()
+) -> DataFrame:
+    """Mean chunk probabilities per post, and the score, label, index and bias they give.
+
+    ``carry`` names columns that one chunk of a post holds and the others leave null.
+    """
+    require_columns(scored, ["p_pos", "p_neg", *by, *carry])
     pooled = scored.groupBy(*by).agg(
+        *[F.first(c, ignorenulls=True).alias(c) for c in carry],
         F.count(F.lit(1)).alias("chunks"),
         F.avg("p_pos").alias("p_pos"),
         F.avg("p_neg").alias("p_neg"),

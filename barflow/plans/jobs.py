@@ -157,15 +157,19 @@ def macro_sentiment_job(spark: SparkSession, event_base: str, source: str = "man
 
 def scored_posts(posts: DataFrame, model: Callable[[Column], Column], **record) -> DataFrame:
     """Economic posts scored by ``model``, as 16-column events."""
-    kept = economic_posts(posts_since(posts)).withColumn(
-        "post_id", F.sha2(F.concat_ws("\x1f", "date", "text"), 256)
-    )
-    # Equal posts share an id and are scored once; the join brings every one of them back.
-    # Scoring is costly per byte, so the few rows left are spread by number, not by size; the
-    # pooling and the join use the same partitioning.
-    distinct = spread(kept.select("post_id", "text").dropDuplicates(["post_id"]), "post_id")
-    scored = pool_sentiment(score_chunks(chunk_tokens(distinct), model))
-    return post_record(kept.join(scored, "post_id"), **record)
+    kept = economic_posts(posts_since(posts))
+    facts = ["text", "created_at", "is_economic", "economic_categories", "copies"]
+    # Equal posts share an id and are counted, scored once and given back as often as they came; all
+    # else follows from date and text. Scoring is costly per byte, so the few rows left are spread by
+    # number, not by size; the pooling uses the same partitioning. The post itself travels with its
+    # first chunk, so the source is read once and nothing is joined.
+    distinct = kept.groupBy("date", *facts[:-1]).agg(F.count(F.lit(1)).alias("copies"))
+    named = distinct.withColumn("post_id", F.sha2(F.concat_ws("\x1f", "date", "text"), 256))
+    chunks = chunk_tokens(spread(named.drop("date"), "post_id"), keep=("post_id", *facts))
+    once = chunks.withColumns({c: F.when(F.col("chunk") == 0, F.col(c)) for c in facts})
+    scored = pool_sentiment(score_chunks(once, model), carry=facts)
+    every = scored.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    return post_record(every, **record)
 
 
 def posts_job(spark: SparkSession, jsonl: str, out: str, model: Callable[[Column], Column], mode: str = "merge") -> int:
