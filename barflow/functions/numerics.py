@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import math
 import sys
-from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
@@ -56,6 +55,25 @@ def normal_cdf(z: Column) -> Column:
     return normal_sf(-z)
 
 
+def normal_ppf(p: Column) -> Column:
+    """Normal quantile as a column expression: a rational start (Abramowitz and Stegun 26.2.23) for the
+    smaller tail and two Newton steps on ``normal_sf``, about 12 digits. NaN outside (0, 1)."""
+    tail = F.least(p, 1 - p)
+    t = F.sqrt(-2 * F.ln(tail))
+    top = F.lit(2.515517) + t * (F.lit(0.802853) + t * F.lit(0.010328))
+    bottom = F.lit(1.0) + t * (F.lit(1.432788) + t * (F.lit(0.189269) + t * F.lit(0.001308)))
+    z = t - top / bottom
+
+    def newton(at: Column) -> Column:
+        return at + (normal_sf(at) - tail) * F.lit(math.sqrt(2 * math.pi)) * F.exp(at * at / 2)
+
+    for _ in range(2):
+        # the one-element array makes the value a variable, so it is computed once
+        z = F.get(F.transform(F.array(z), newton), F.lit(0))
+    inside = F.when(p < 0.5, -z).otherwise(z)
+    return F.when((p > 0) & (p < 1), inside).otherwise(F.lit(math.nan))
+
+
 def normal_pdf(x: Column, mu: Column, sigma: Column) -> Column:
     z = (x - mu) / sigma
     return F.exp(-z * z / 2) / (sigma * F.lit(math.sqrt(2 * math.pi)))
@@ -242,12 +260,6 @@ def student_t_two_sided(t: pd.Series, df: pd.Series) -> pd.Series:
     return pd.Series(2 * student_t_sf_array(np.abs(t.to_numpy(float)), df.to_numpy(float)))
 
 
-@F.pandas_udf(DoubleType())
-def normal_ppf(p: pd.Series) -> pd.Series:
-    inverse = NormalDist().inv_cdf
-    return p.map(lambda v: inverse(v) if 0 < v < 1 else math.nan)
-
-
 @F.pandas_udf(DoubleType())
 def f_sf(f: pd.Series, d1: pd.Series, d2: pd.Series) -> pd.Series:
     """Upper tail of the F distribution."""
