@@ -11,6 +11,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Callable
 
+import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
@@ -52,11 +53,15 @@ def _left_pairs(members: DataFrame, alike: Column) -> DataFrame:
     return members.join(other, "bucket").where(apart & alike).select(F.col("node").alias("a"), "b").distinct()
 
 
-def links_in_tasks(members: DataFrame, details: DataFrame,
-                   link: Callable[[pd.DataFrame], list[tuple[int, int]]]) -> DataFrame:
+Rows = dict[str, np.ndarray]
+
+
+def links_in_tasks(members: DataFrame, details: DataFrame, prepare: Callable[[Rows], Rows],
+                   link: Callable[[Rows, np.ndarray], list[tuple[int, int]]]) -> DataFrame:
     """Links (a, b) between different components within buckets, found where the bucket is.
 
-    ``link`` gets a bucket's members with the columns of ``details`` (node, …). A bucket of more than
+    A task gets the members of some buckets with the columns of ``details`` (node, …); ``prepare`` adds
+    arrays for all of them at once, ``link`` gets the places of one bucket's. A bucket of more than
     ``BUCKET_ROWS`` members is cut into blocks, and every two blocks meet in a group of their own, where
     ``block``, ``low`` and ``high`` tell which pairs are due.
     """
@@ -74,9 +79,16 @@ def links_in_tasks(members: DataFrame, details: DataFrame,
 
     def find(frame: pd.DataFrame) -> pd.DataFrame:
         found: list[tuple[int, int]] = []
-        for _, one in frame.groupby(["bucket", "low", "high"], sort=False):
-            if len(one) > 1:
-                found += link(one.drop_duplicates("node"))
+        keys = ["bucket", "low", "high"]
+        frame = frame.sort_values([*keys, "node"]).drop_duplicates([*keys, "node"])
+        rows = prepare({c: frame[c].to_numpy() for c in frame.columns})
+        changed = np.zeros(max(0, len(frame) - 1), dtype=bool)
+        for key in keys:
+            changed |= rows[key][1:] != rows[key][:-1]
+        edges = [0, *(np.flatnonzero(changed) + 1).tolist(), len(frame)]
+        for begin, end in zip(edges[:-1], edges[1:], strict=True):
+            if end - begin > 1:
+                found += link(rows, np.arange(begin, end))
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
     return full.groupBy("dealt").applyInPandas(find, "a long, b long")

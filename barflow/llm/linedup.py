@@ -26,13 +26,12 @@ from dataclasses import dataclass
 from os.path import commonprefix
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barflow.llm.buckets import bucket_components, links_in_tasks
+from barflow.llm.buckets import Rows, bucket_components, links_in_tasks
 from barflow.llm.common import SPACES, free_name, growing, small_batches, stored, unsigned_crc32
 from barflow.llm.wordcodes import mixed, powers
 
@@ -229,12 +228,12 @@ def _letters(lines: list[str]) -> np.ndarray:
     return counts
 
 
-def _group_links(group: pd.DataFrame, threshold: int) -> list[tuple[int, int]]:
+def _group_links(rows: Rows, at: np.ndarray, threshold: int) -> list[tuple[int, int]]:
     """Links that join components of the lines of one group. Lines whose letters differ by more than
     two counts an edit are not compared."""
-    nodes, blocks, lines = group["node"].to_numpy(), group["block"].to_numpy(), group["line"].tolist()
-    within_block = int(group["low"].iloc[0]) == int(group["high"].iloc[0])
-    component, letters, found = pd.factorize(group["component"])[0], _letters(lines), []
+    nodes, blocks, lines, letters = (rows[c][at] for c in ("node", "block", "line", "letters"))
+    within_block = rows["low"][at[0]] == rows["high"][at[0]]
+    component, found = rows["component"][at].copy(), []
     for i in range(len(nodes) - 1):
         live = np.arange(i + 1, len(nodes))
         ok = component[live] != component[i]
@@ -261,7 +260,10 @@ def line_classes(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     texts = stored(lines.groupBy("node").agg(F.first("line").alias("line")), "lines")
     return bucket_components(
         members, lambda pairs: _confirm(pairs, texts, settings),
-        rest=lambda left: links_in_tasks(left, texts, lambda group: _group_links(group, settings.threshold)),
+        rest=lambda left: links_in_tasks(
+            left, texts, lambda rows: rows | {"letters": _letters(rows["line"].tolist())},
+            lambda rows, at: _group_links(rows, at, settings.threshold),
+        ),
     )
 
 

@@ -29,13 +29,12 @@ from dataclasses import dataclass
 from math import comb
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barflow.llm.buckets import bucket_components, links_in_tasks
+from barflow.llm.buckets import Rows, bucket_components, links_in_tasks
 from barflow.llm.common import growing, small_batches, stored
 from barflow.llm.wordcodes import mixed, shingles, word_chunks
 
@@ -208,22 +207,25 @@ def _confirm(pairs: DataFrame, texts: DataFrame, settings: Settings) -> DataFram
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(check, "a long, b long")
 
 
-def _group_links(group: pd.DataFrame, settings: Settings, steps: list[tuple[int, int]]) -> list[tuple[int, int]]:
+def _with_signatures(rows: Rows, settings: Settings) -> Rows:
+    signed = _matrix(pa.array(rows["signature"].tolist(), pa.binary()), settings)
+    return rows | {"signed": signed, "bands": _band_keys(signed, settings), "sets": np.full(len(signed), None)}
+
+
+def _group_links(rows: Rows, at: np.ndarray, settings: Settings, steps: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """Links that join components of one group. A pair is looked at in the first band it shares only,
     its signatures are pruned batch by batch, and the survivors' full sets are compared unless links
     found before join them."""
-    nodes, sizes, blocks = (group[c].to_numpy() for c in ("node", "size", "block"))
-    within = int(group["low"].iloc[0]) == int(group["high"].iloc[0])
-    component = pd.factorize(group["component"])[0]
-    signed = _matrix(pa.array(group["signature"].tolist(), pa.binary()), settings)
-    keys = _band_keys(signed, settings)
-    band = int(np.argmax(keys[0] == np.int64(group["bucket"].iloc[0]).view(np.uint64)))
-    texts, sets, found = group["text"].tolist(), {}, []
+    nodes, sizes, blocks, signed, keys = (rows[c][at] for c in ("node", "size", "block", "signed", "bands"))
+    within = rows["low"][at[0]] == rows["high"][at[0]]
+    component, found = rows["component"][at].copy(), []
+    band = int(np.argmax(keys[0] == rows["bucket"][at[0]].view(np.uint64)))
 
     def set_of(i: int) -> np.ndarray:
-        if i not in sets:
-            sets[i] = next(_set_arrays(pa.array([texts[i]], pa.string()), settings.words))
-        return sets[i]
+        sets, row = rows["sets"], at[i]
+        if sets[row] is None:
+            sets[row] = next(_set_arrays(pa.array([rows["text"][row]], pa.string()), settings.words))
+        return sets[row]
 
     for i in range(len(nodes) - 1):
         live = np.arange(i + 1, len(nodes))
@@ -270,7 +272,10 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings(), id_column:
     alike = 100 * F.least("size", "other_size") >= settings.percent * F.greatest("size", "other_size")
     labels = bucket_components(
         members, lambda pairs: _confirm(_prune(pairs, sides, settings), texts, settings), alike,
-        lambda left: links_in_tasks(left, sides.join(texts, "node"), lambda group: _group_links(group, settings, steps)),
+        lambda left: links_in_tasks(
+            left, sides.join(texts, "node"), lambda rows: _with_signatures(rows, settings),
+            lambda rows, at: _group_links(rows, at, settings, steps),
+        ),
     )
     same_set = ["n_shingles", "set_a", "set_b"]
     by_node = nodes.select(*same_set, "node").join(labels, "node", "left")
