@@ -1,19 +1,22 @@
 """Scores of whole texts under a probabilistic suffix tree of words.
 
-Symbols are the words (and the end of a text) with at least ``min_share`` of the training tokens;
-all others are one rest symbol. States are contexts of up to ``max_order`` symbols that have
-``min_share`` of the tokens themselves. A state is retained if its next-symbol counts diverge from its
+Symbols are all words and the end of a text. States are contexts of up to ``max_order`` symbols that were
+seen ``min_count`` times in training. A state is retained if its next-symbol counts diverge from its
 parent's distribution (the context without its first symbol) by more than the counts' description
 costs: sum of c * ln(p / parent) over half a ln(N) for each count. A retained state gives
     (c(s, w) + m * parent(w)) / (c(s) + m)
-to the m symbols seen often after it and shares the rest among the others as its parent does; a state that
-is not retained passes its parent on. The root gives (c + 1) / (N + V + 1), the base model; within the
-rest symbol words are shared out as in the root. A token is scored by its longest suffix state.
+to every symbol w, m being the number of different symbols seen after it; a state that is not retained passes
+its parent on. The root gives (c + 1) / (N + V + 1), the base model. A token is scored by its longest
+suffix state.
 
-All counts are over all training tokens: words by a shuffled aggregation, contexts likewise, order by
-order. What is sent to the tasks is bounded whatever the corpus, since it has minimum shares of the
-tokens: at most 1 / min_share symbols and states of each order and 1 / count_share counts. Words below
-``count_share`` are scored by a join with the word counts; one row per document and distinct such word.
+Tree and counts grow with the corpus: they are tables, made order by order by shuffled aggregations
+and joins, and the texts' positions are joined with them by shuffle and summed by document. The tasks are
+sent one bitmap of ``SKETCH_BITS`` bits an order: contexts outside it were seen too rarely, so their
+positions are not moved for that order; those wrongly inside are sorted out by the exact counts.
+
+``fit`` learns a model that is bounded whatever the corpus (symbols and states with ``min_share`` of the
+tokens, counts with ``count_share``, all else in a rest symbol), for use in one process; texts are not
+scored by it.
 
 Defined results: a null or empty text is its end token; a null id counts as empty text for the split;
 rows that share id and text are scored once and given back as often as they came; an empty
@@ -32,13 +35,14 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barflow.llm.common import small_batches, stored, text_or_empty
+from barflow.llm.common import growing, small_batches, stored, text_or_empty
 from barflow.llm.wordcodes import Words, mixed, word_chunks
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 END = mixed(np.array([0x656E64], dtype=np.uint64))[0]
 TALLY_KEYS = 1 << 21
+SKETCH_BITS = 26
 
 
 @dataclass(frozen=True)
@@ -46,6 +50,7 @@ class Settings:
     min_share: float = 1e-4
     count_share: float = 1e-6
     max_order: int = 2
+    min_count: int = 5
 
 
 @dataclass
@@ -241,78 +246,158 @@ def fit(texts: DataFrame, settings: Settings = Settings()) -> tuple[Model, DataF
     return model, counts
 
 
-PARTS = (
-    "doc_id long, text_hash long, word long, n long, is_doc boolean, copies long, n_tokens long, n_known long, "
-    "base double, score double"
-)
+def _after(context: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """Keys of the entries (context, next symbol); the next token's context one order up has the same."""
+    return mixed(mixed(context + np.uint64(0x9FB21C651E98DF25)) ^ codes)
+
+
+def _entries(codes: np.ndarray, starts: np.ndarray, sketches: list[np.ndarray]) -> Iterator[tuple]:
+    """For each order from 1, by token: (entry, entry one order down, context, whether it may be a candidate).
+    What lies before a text are ends."""
+    lower, at_start, inside = codes, END, np.ones(len(codes), bool)
+    for k in range(len(sketches) + 1):
+        context = np.concatenate(([at_start], lower[:-1]))
+        context[starts] = at_start
+        if k:
+            bit = context >> np.uint64(64 - SKETCH_BITS)
+            seen = sketches[k - 1][bit >> np.uint64(6)] >> (bit & np.uint64(63)) & np.uint64(1) > 0
+            seen[starts] = True
+            inside = inside & seen
+        entry = _after(context, codes)
+        yield entry, lower, context, inside
+        lower, at_start = entry, _after(np.array([at_start]), np.array([END]))[0]
+
+
+def _sketch(entries: DataFrame, min_count: int) -> np.ndarray:
+    """The bitmap of the entries seen often enough to be contexts one order up."""
+    bit = F.shiftrightunsigned("entry", 64 - SKETCH_BITS)
+    often = entries.where(F.col("n") >= min_count).select(
+        F.shiftright(bit, 6).alias("at"),
+        F.call_function("shiftleft", F.lit(1).cast("bigint"), bit.bitwiseAND(F.lit(63)).cast("int")).alias("mask"),
+    )
+    table = often.groupBy("at").agg(F.bit_or("mask").alias("mask")).toArrow()  # 2**SKETCH_BITS bits at most
+    words = np.zeros(1 << (SKETCH_BITS - 6), np.uint64)
+    words[table.column(0).to_numpy()] = table.column(1).to_numpy().view(np.uint64)
+    return words
+
+
+def _count_entries(read: DataFrame, sketches: list[np.ndarray]) -> DataFrame:
+    """(entry, lower, context, n) of the highest order, over all texts; n counts training tokens only."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fresh, size = [], 0
+
+        def given() -> pa.RecordBatch:
+            entry, lower, context, n = (np.concatenate(part) for part in zip(*fresh, strict=True))
+            fresh.clear()
+            _, first, which = np.unique(entry, return_index=True, return_inverse=True)
+            total = np.bincount(which, n, len(first)).astype(np.int64)
+            columns = [pa.array(c[first].view(np.int64)) for c in (entry, lower, context)]
+            return pa.RecordBatch.from_arrays([*columns, pa.array(total)], names=["entry", "lower", "context", "n"])
+
+        for batch in batches:
+            train = batch.column(0).to_numpy(zero_copy_only=False)
+            for words in word_chunks(batch.column(1)):
+                codes, bounds = tokens(words)
+                for entry, lower, context, inside in _entries(codes, bounds[:-1], sketches):
+                    pass
+                rows = len(bounds) - 1
+                n = np.repeat(train[words.first_row : words.first_row + rows], np.diff(bounds))
+                fresh.append((entry[inside], lower[inside], context[inside], n[inside]))
+                size += len(fresh[-1][0])
+                if size >= TALLY_KEYS:
+                    yield given()
+                    size = 0
+        if fresh:
+            yield given()
+
+    rows = read.select(~held_out("doc_id"), "text").mapInArrow(count, "entry long, lower long, context long, n long")
+    return rows.groupBy("entry").agg(
+        F.first("lower").alias("lower"), F.first("context").alias("context"), F.sum("n").alias("n")
+    )
+
+
+def _learned(entries: DataFrame, below: DataFrame, n: int, min_count: int) -> DataFrame:
+    """(entry, p, base) of one order, from its counts and the same of the order below."""
+    parent = below.select(F.col("entry").alias("lower"), F.col("p").alias("before"), "base")
+    met = stored(entries.join(growing(parent), "lower").drop("lower"), "met")
+    states = met.where("n > 0").groupBy("context").agg(
+        F.sum("n").alias("total"), F.count(F.lit(1)).alias("m"), F.sum(F.col("n") * F.log(F.col("n") / F.col("before"))).alias("gain")
+    )
+    diverges = F.col("gain") - F.col("total") * F.log("total") > 0.5 * F.col("m") * float(np.log(max(n, 2)))
+    retained = states.where((F.col("total") >= min_count) & diverges).select("context", "total", "m")
+    smoothed = (F.col("n") + F.col("m") * F.col("before")) / (F.col("total") + F.col("m"))
+    joined = met.join(growing(retained), "context", "left")
+    return stored(joined.select("entry", F.coalesce(smoothed, "before").alias("p"), "base"), "learned")
+
+
+def learn(read: DataFrame, settings: Settings = Settings()) -> tuple[int, int, list[np.ndarray], DataFrame]:
+    """N, V, the bitmaps and the table (entry, p, base) of all that occurs in the texts ``read`` (doc_id, text)."""
+    sketches: list[np.ndarray] = []
+    entries = stored(_count_entries(read, sketches), "entries")
+    words = stored(entries.groupBy(F.col("lower").alias("entry")).agg(F.sum("n").alias("n")), "words")
+    n, v = words.agg(F.sum("n"), F.count_if(F.col("n") > 0)).first()
+    n = n or 0
+    base = ((F.col("n") + 1) / F.lit(float(n + v + 1))).alias("base")
+    level = _learned(entries, words.select("entry", base.alias("p"), base), n, settings.min_count)
+    table = level
+    for _ in range(1, settings.max_order):
+        sketches.append(_sketch(entries, settings.min_count))
+        entries = stored(_count_entries(read, sketches), "entries")
+        level = _learned(entries, level, n, settings.min_count)
+        table = table.unionAll(level)
+    return n, v, sketches, table
+
+
+POSITIONS = "doc_id long, text_hash long, entry long, times long, copies long"
 
 
-def _parts(docs: DataFrame, model: Model) -> DataFrame:
-    """A row per document with what the head words give, and one per document and other word."""
+def _positions(docs: DataFrame, sketches: list[np.ndarray]) -> DataFrame:
+    """By document, the entries of the highest order that may have their context, and how often; the
+    end of the text counts the document's copies."""
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        logs = np.log10((model.head_counts + 1) / (model.n + model.v + 1))
-        rest = np.log10(model.root[0])
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            doc_ids, hashes = batch.column(0), batch.column(1)
             for words in word_chunks(batch.column(2)):
                 codes, bounds = tokens(words)
                 starts, rows = bounds[:-1], len(bounds) - 1
-                ids = model.symbol_ids(codes)
-                if len(model.head_codes):
-                    at = np.minimum(np.searchsorted(model.head_codes, codes), len(model.head_codes) - 1)
-                    known = model.head_codes[at] == codes
-                    base = np.where(known, logs[at], 0.0)
-                else:
-                    known, base = np.zeros(len(codes), bool), np.zeros(len(codes))
-                p = np.log10(model.probability(model.contexts(ids, starts), ids))
-                # of a word in the rest symbol: the symbol's probability times the word's share of it
-                scores = np.where(ids > 0, p, p - rest + base)
-                row = np.repeat(np.arange(rows), np.diff(bounds))
-                tail = np.flatnonzero(~known)
-                by = tail[np.lexsort((codes[tail], row[tail]))]
-                new = np.flatnonzero(np.append(True, (codes[by][1:] != codes[by][:-1]) | (row[by][1:] != row[by][:-1]))) if len(by) else by
-                times = np.diff(np.append(new, len(by)))
-                first = by[new]
-                at_row = words.first_row + np.concatenate([np.arange(rows), row[first]])
-                n_tail, zero = len(first), np.zeros(len(first), np.int64)
-                taken = pa.array(at_row)
-                salt = mixed(np.asarray(hashes.slice(words.first_row, rows)).view(np.uint64)).view(np.int64)
-                columns = [
-                    doc_ids.take(taken), hashes.take(taken),
-                    pa.array(np.concatenate([salt, codes[first].view(np.int64)])),
-                    pa.array(np.concatenate([np.zeros(rows, np.int64), times])),
-                    pa.array(np.arange(rows + n_tail) < rows),
-                    pa.array(np.concatenate([np.ones(rows, np.int64), zero])),
-                    pa.array(np.concatenate([np.diff(bounds), zero])),
-                    pa.array(np.concatenate([np.add.reduceat(known.astype(np.int64), starts), zero])),
-                    pa.array(np.concatenate([np.add.reduceat(base, starts), np.zeros(n_tail)])),
-                    pa.array(np.concatenate([np.add.reduceat(scores, starts), np.zeros(n_tail)])),
-                ]
-                names = [part.split()[0] for part in PARTS.split(", ")]
-                yield pa.RecordBatch.from_arrays(columns, names=names)
-
-    return docs.mapInArrow(score, PARTS)
+                best = np.zeros(0, np.uint64)
+                for entry, _, _, inside in _entries(codes, starts, sketches):
+                    best = np.where(inside, entry, best) if len(best) else entry
+                row, end = np.repeat(np.arange(rows), np.diff(bounds)), np.zeros(len(codes), np.int64)
+                end[bounds[1:] - 1] = 1
+                by = np.lexsort((best, row))
+                best, row = best[by], row[by]
+                new = np.flatnonzero(np.append(True, (best[1:] != best[:-1]) | (row[1:] != row[:-1])))
+                taken = pa.array(words.first_row + row[new])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).take(taken), batch.column(1).take(taken), pa.array(best[new].view(np.int64)),
+                        pa.array(np.diff(np.append(new, len(best)))), pa.array(np.add.reduceat(end[by], new)),
+                    ],
+                    names=[part.split()[0] for part in POSITIONS.split(", ")],
+                )
+
+    return docs.mapInArrow(split, POSITIONS)
 
 
 def score_texts(docs: DataFrame, settings: Settings = Settings(), id_column: str = "doc_id",
                 text: str = "text") -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every row."""
     read = small_batches(docs).select(F.col(id_column).cast("bigint").alias("doc_id"), text_or_empty(text).alias("text"))
-    model, counts = fit(read.where(~held_out("doc_id")).select("text"), settings)
-    parts = _parts(read.select("doc_id", F.xxhash64("text").alias("text_hash"), "text"), model)
-    rare = counts.select(F.col("key").alias("word"), F.col("n").alias("c"), F.lit(False).alias("is_doc"))
-    met = parts.join(rare, ["word", "is_doc"], "left")
-    log_share = F.log10((F.coalesce("c", F.lit(0)) + 1) / F.lit(float(model.n + model.v + 1))) * F.col("n")
+    n, v, sketches, table = learn(read, settings)
+    positions = _positions(read.select("doc_id", F.xxhash64("text").alias("text_hash"), "text"), sketches)
+    met = positions.join(growing(table), "entry")
+    known = F.col("base") > 1.5 / (n + v + 1)
     summed = met.groupBy("doc_id", "text_hash").agg(
-        F.sum("copies").alias("copies"), F.sum("n_tokens").alias("n_tokens"),
-        F.sum(F.col("n_known") + F.when(F.col("c").isNotNull(), F.col("n")).otherwise(0)).alias("n_known"),
-        F.sum(F.col("base") + log_share).alias("base_score"), F.sum(F.col("score") + log_share).alias("score"),
+        F.sum("copies").alias("copies"), F.sum("times").alias("n_tokens"),
+        F.sum(F.when(known, F.col("times")).otherwise(0)).alias("n_known"),
+        F.sum(F.col("times") * F.log10("base")).alias("base_score"), F.sum(F.col("times") * F.log10("p")).alias("score"),
     )
     one = lambda c: F.col(c) / F.col("copies")
     return summed.select(
         "doc_id", held_out("doc_id").alias("held_out"), one("n_tokens").cast("bigint").alias("n_tokens"),
-        one("n_known").cast("bigint").alias("n_known"), F.lit(model.n).cast("bigint").alias("train_tokens"),
+        one("n_known").cast("bigint").alias("n_known"), F.lit(n).cast("bigint").alias("train_tokens"),
         one("base_score").alias("base_score"), one("score").alias("score"),
         F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy"),
     ).drop("copy")

@@ -78,3 +78,47 @@ def test_edges(spark):
     only = spark.createDataFrame([(i, "never seen") for i in range(60) if held(i)], "doc_id long, text string")
     alone = suffixtree.score_texts(only).collect()
     assert alone and all(r["train_tokens"] == 0 and r["n_known"] == 0 and r["base_score"] == 0 for r in alone)
+
+
+def plain_scores(docs, min_count):
+    """Scores by the whole tree of order 2, with dictionaries."""
+    train, counts = [], [collections.defaultdict(collections.Counter) for _ in range(3)]
+    grams = lambda t: zip(["END", "END", *brute.words(t)], ["END", *brute.words(t)], [*brute.words(t), "END"])
+    for i, t in docs:
+        if not held(i):
+            train += list(grams(t))
+    for a, b, w in train:
+        for k, context in enumerate([(), (b,), (a, b)]):
+            counts[k][context][w] += 1
+    n, v = len(train), len(counts[0][()])
+    retained = {}
+
+    def p(context, w):
+        if not context:
+            return (counts[0][()][w] + 1) / (n + v + 1)
+        after, before = counts[len(context)].get(context, {}), p(context[1:], w)
+        c, m = sum(after.values()), len(after)
+        if c < min_count:
+            return before
+        if context not in retained:
+            gain = sum(x * math.log(x / c / p(context[1:], y)) for y, x in after.items())
+            retained[context] = gain > 0.5 * m * math.log(n)
+        return (after.get(w, 0) + m * before) / (c + m) if retained[context] else before
+
+    scores = {i: sum(math.log10(p((a, b), w)) for a, b, w in grams(t)) for i, t in docs}
+    return scores, sum(retained.values())
+
+
+def test_scores_are_those_of_the_whole_tree(scored):
+    want, states = plain_scores(brute.documents("/root/testdata/sf0.01"), 5)
+    assert states > 300
+    for i, score in want.items():
+        assert abs(scored[i]["score"] - score) < 1e-8 * abs(score), i
+
+
+def test_rare_contexts_are_learned_whatever_the_share(spark):
+    # 15 of 200,000 tokens: no symbols of the bounded model
+    filler = [(i, " ".join(f"w{i}x{k}" for k in range(1000))) for i in range(200)]
+    rows = filler + [(1000 + i, "alpha beta gamma " * 3) for i in range(5)] + [(2000, "alpha beta gamma"), (2001, "beta alpha gamma")]
+    got = {r["doc_id"]: r for r in suffixtree.score_texts(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[2000]["score"] > got[2001]["score"] + 2
