@@ -13,7 +13,8 @@ that share a bucket are candidates and are verified by a bit-parallel edit dista
 Candidates are found for the 64-bit hashes of distinct lines; texts are moved only to verify.
 
 Defined results: lines are compared without white space at their ends; those shorter than
-``min_chars`` are never touched; a null text stays null; a text whose lines all go becomes empty;
+``min_chars`` form a class only with their equals, if ``exact_short`` is set, else they are never touched;
+empty lines are never touched; a null text stays null; a text whose lines all go becomes empty;
 rows that share id and text are one document and stay alike; a null id comes first; all columns pass
 through, whatever their names; an empty table gives an empty table.
 """
@@ -42,6 +43,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 class Settings:
     threshold: int = 2
     min_chars: int = 20
+    exact_short: bool = False
 
 
 def within(a: str, b: str, k: int) -> bool:
@@ -195,10 +197,11 @@ PLACES = "doc_id long, doc_a long, doc_b long, place long, node long"
 
 def _places(docs: DataFrame, settings: Settings) -> DataFrame:
     """Every line that takes part: its document, place and code."""
+    min_chars = 1 if settings.exact_short else settings.min_chars
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [_lines(value.as_py(), settings.min_chars) for value in batch.column(3)]
+            found = [_lines(value.as_py(), min_chars) for value in batch.column(3)]
             rows = pa.array(np.repeat(np.arange(len(batch)), [len(f) for f in found]))
             places = pa.array([place for f in found for place, _ in f], pa.int64())
             nodes = pa.array(line_code([line for f in found for _, line in f]).view(np.int64))

@@ -57,9 +57,9 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines within two edits of an earlier line are taken out; what is left of every document."""
+    """Lines within two edits of an earlier line are taken out, short ones if equal; what is left of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return linedup.dedup_lines(docs).select(
+    return linedup.dedup_lines(docs, linedup.Settings(exact_short=True)).select(
         "doc_id", F.size(F.split("text", "\n", -1)).cast("bigint").alias("n_lines_left"),
         F.size("places_removed").cast("bigint").alias("n_removed"), "places_removed",
         unsigned_crc32(F.col("text")).alias("text_crc32"),

@@ -2,6 +2,7 @@ import random
 
 import brute
 from barflow.llm import linedup
+from barflow.llm.queries import QUERIES
 
 
 def test_edit_distance_and_buckets():
@@ -67,3 +68,22 @@ def test_near_lines_fall_to_the_first(spark):
     assert {r["doc_id"]: r["text"] for r in out.collect()} == {
         10: line.format(10) + "\nshort", 11: "short", 12: "short", 20: line.format("one hundred"),
     }
+
+
+def test_query_takes_out_equal_short_lines(spark):
+    docs = brute.documents()
+    seen, short = set(), set()
+    for i, t in sorted(docs):
+        for place, line in enumerate(x.strip(linedup.SPACES) for x in (t or "").split("\n")):
+            if 0 < len(line) < 20 and line in seen:
+                short.add((i, place))
+            seen.add(line)
+    got = QUERIES["op4_line_dedup"](spark, brute.SF).collect()
+    assert short and {(r["doc_id"], p) for r in got for p in r["places_removed"]} == brute.line_removals(docs, 2, 20) | short
+
+
+def test_short_lines_only_by_equality(spark):
+    rows = [(1, "a short line\n\nshort"), (2, "a short lime\n\n short \nend"), (3, "\nshort\na short line")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = linedup.dedup_lines(df, linedup.Settings(exact_short=True))
+    assert {r["doc_id"]: r["text"] for r in out.collect()} == {1: "a short line\n\nshort", 2: "a short lime\n\nend", 3: ""}
