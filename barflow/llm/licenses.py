@@ -6,7 +6,9 @@ words and are 5 / 4 c long, so a copy of the template lies in one of them whole,
 sets have a similarity of at least ``least_similarity``. With ``BANDS`` bands of one row, a window that
 holds a template with that similarity, or with a share ``CONTAINMENT`` of it, misses all bands
 with probability ``miss_probability`` at most (3e-4 for a template of five words, less for longer ones).
-A retrieved template counts if the exact share of its shingles in the window reaches ``CONTAINMENT``.
+A retrieved template counts if the exact share of its shingles in the window reaches ``CONTAINMENT``, and if
+of the shingles that tell it from each template of another licence with half of its shingles (version,
+terms, name) the share ``DISTINCT`` is there.
 
 Texts stay where they are; the templates are sent to every task and may have ``TEMPLATE_BYTES`` at most.
 
@@ -37,6 +39,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 SHINGLE = 3
 BANDS = 32
 CONTAINMENT = 0.8
+DISTINCT = 0.5
 TEMPLATE_BYTES = 4 << 20
 
 #: Published licence notices.
@@ -74,6 +77,44 @@ TEMPLATES: dict[str, list[str]] = {
 }
 
 
+def _gnu(work: str, name: str, version: str) -> list[str]:
+    return [
+        f"licensed under the GNU {name}, version {version}",
+        f"This {work} is free software: you can redistribute it and/or modify it under the terms of the GNU {name} as "
+        f"published by the Free Software Foundation, either version {version} of the License, or (at your option) any "
+        "later version.",
+    ]
+
+
+def _creative(terms: str) -> str:
+    return f"This work is licensed under a Creative Commons Attribution-{terms} 4.0 International License"
+
+
+#: Further licences, many of them told from the above by a version or a term only.
+VARIANTS: dict[str, list[str]] = {
+    "GPL-2.0": _gnu("program", "General Public License", "2"),
+    "LGPL-2.1": _gnu("library", "Lesser General Public License", "2.1"),
+    "LGPL-3.0": _gnu("program", "Lesser General Public License", "3"),
+    "AGPL-3.0": _gnu("program", "Affero General Public License", "3"),
+    "CC-BY-SA-4.0": ["Licensed under CC BY-SA 4.0.", _creative("ShareAlike")],
+    "CC-BY-ND-4.0": ["Licensed under CC BY-ND 4.0.", _creative("NoDerivatives")],
+    "CC-BY-NC-SA-4.0": ["Licensed under CC BY-NC-SA 4.0.", _creative("NonCommercial-ShareAlike")],
+    "CC-BY-NC-ND-4.0": ["Licensed under CC BY-NC-ND 4.0.", _creative("NonCommercial-NoDerivatives")],
+    "CC0-1.0": [
+        "To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring "
+        "rights to this software to the public domain worldwide.",
+    ],
+    "ISC": [
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    ],
+    "MPL-1.1": [
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 1.1.",
+        "The contents of this file are subject to the Mozilla Public License Version 1.1",
+    ],
+}
+
+
 def _hashed(codes: np.ndarray, band: int) -> np.ndarray:
     return mixed(codes ^ np.uint64((band + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF))
 
@@ -94,10 +135,12 @@ def miss_probability(n_words: int, containment: float = CONTAINMENT) -> float:
 
 @dataclass
 class Templates:
-    """The shingle sets, and by class the band values: sorted, with the templates that have each."""
+    """The shingle sets, what tells each from others, and by class the band values: sorted, with the templates
+    that have each."""
 
     names: list[str]
     sets: list[np.ndarray]
+    telling: list[list[np.ndarray]]
     bands: dict[int, list[tuple[np.ndarray, list[list[int]]]]]
 
     @staticmethod
@@ -119,7 +162,11 @@ class Templates:
                     held.setdefault(int(_hashed(sets[t], band).min()), []).append(t)
                 values = sorted(held)
                 bands[c].append((np.array(values, dtype=np.uint64), [held[v] for v in values]))
-        return Templates(names, sets, bands)
+        telling: list[list[np.ndarray]] = []
+        for name, own in zip(names, sets, strict=True):
+            rest = [np.setdiff1d(own, other) for n, other in zip(names, sets, strict=True) if n != name]
+            telling.append([r for r in rest if 0 < len(r) <= len(own) / 2])
+        return Templates(names, sets, telling, bands)
 
 
 def _candidates(codes: np.ndarray, templates: Templates) -> set[tuple[int, int, int]]:
@@ -158,8 +205,9 @@ def _matches(words: Words, templates: Templates, containment: float) -> dict[int
             if low >= high:
                 continue
             here = np.flatnonzero(np.isin(codes[low:high], wanted))
-            share = len(np.unique(codes[low:high][here])) / len(wanted)
-            if share >= containment:
+            present = np.unique(codes[low:high][here])
+            share = len(present) / len(wanted)
+            if share >= containment and all(np.isin(r, present).mean() >= DISTINCT for r in templates.telling[t]):
                 start = low + int(here[0]) - int(bounds[row]) + int(words.bounds[row])
                 stop = low + int(here[-1]) - int(bounds[row]) + int(words.bounds[row]) + SHINGLE
                 stop = min(stop, int(words.bounds[row + 1]))
@@ -192,7 +240,7 @@ ARROW_MATCHES = pa.list_(
 )
 
 
-def scan(docs: DataFrame, templates: Mapping[str, Sequence[str]] = TEMPLATES, id_column: str = "doc_id",
+def scan(docs: DataFrame, templates: Mapping[str, Sequence[str]] = TEMPLATES | VARIANTS, id_column: str = "doc_id",
          text: str = "text", containment: float = CONTAINMENT) -> DataFrame:
     """(id, matches) for every row: licence, share of the template, first word and words of each match."""
     size = sum(len(t.encode()) for texts in templates.values() for t in texts)

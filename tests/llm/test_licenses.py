@@ -43,3 +43,17 @@ def test_edges(spark):
     assert licenses.scan(df).count() == len(brute.EDGE_ROWS)
     assert licenses.scan(brute.empty_table(spark)).count() == 0
     assert [len(r["matches"]) for r in licenses.scan(df, {"own": [brute.PROSE]}).where("doc_id = 3").collect()] == [1, 1]
+
+
+def test_confusable_licences_are_told_apart(spark):
+    gpl, cc = licenses.TEMPLATES["GPL-3.0"], licenses.TEMPLATES["CC-BY-4.0"][0]
+    want = [(name, text) for name, texts in (licenses.TEMPLATES | licenses.VARIANTS).items() for text in texts]
+    want += [("GPL-2.0", text.replace("version 3", "version 2")) for text in gpl]
+    want += [(None, text.replace("version 3", "version 1")) for text in gpl]
+    want += [("CC-BY-SA-4.0", cc.replace("Attribution", "Attribution-ShareAlike")), ("GPL-3.0", gpl[1].replace("option", "choice"))]
+    rows = [(i, f"some words before {text} and some after") for i, (_, text) in enumerate(want)]
+    got = {r["doc_id"]: r["matches"] for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, (name, text) in enumerate(want):
+        assert {m["license"] for m in got[i]} == ({name} if name else set()), text
+    both = spark.createDataFrame([(1, f"{gpl[1]} {licenses.VARIANTS['GPL-2.0'][1]}")], "doc_id long, text string")
+    assert [m["license"] for m in licenses.scan(both).first()["matches"]] == ["GPL-2.0", "GPL-3.0"]
