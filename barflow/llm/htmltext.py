@@ -10,7 +10,8 @@
    paths keeps its own proposal.
 
 Boilerplate inside the container (menus, footers, asides, forms, adverts, notices, comments, …; by tag,
-role, class or id) never counts. The html is not shuffled unless the table of winning paths outgrows
+role, class or id) never counts. A class or id does not make an element boilerplate where it only says what a
+layout has (has-sidebar, post-with-comments), or where the element holds the page's article or main. The html is not shuffled unless the table of winning paths outgrows
 what the planner sends to every task.
 
 Defined results: null or empty html, and pages without text, give an empty text; a null or hostless url
@@ -71,6 +72,11 @@ BOILER_NAMES = frozenset(
     "social related recommended recommendations comment comments commentlist respond replies disqus discussion footer "
     "masthead pagination pager toolbar login signin searchform searchbox copyright disclaimer skip banner teaser".split()
 )
+#: What follows these in a class or id is not what the element is.
+MODIFIERS = frozenset("has have with without no".split())
+WRAPPERS = frozenset("wrap wrapper container inner outer".split())
+#: Share of the page's running text that, with its first heading, is the page's content whatever its name.
+DOMINANT = 0.9
 #: A header that belongs to an article, rather than to the site.
 OWN_HEADER = frozenset("article entry post story content title".split())
 
@@ -85,6 +91,9 @@ class Element:
     own: bool = False  # inside an article or main
     link: bool = False
     score: float = 0.0
+    named: bool = False  # boilerplate by its own class or id
+    hard: bool = False  # boilerplate whatever the names
+    article: bool = False  # an article or main without such a name
     size: int = 0  # characters of text outside boilerplate
 
 
@@ -98,27 +107,65 @@ def _labels(attributes: str) -> tuple[dict[str, str], set[str]]:
     values = {}
     for name, a, b, c in ATTRIBUTE.findall(attributes):
         values.setdefault(name.lower(), a or b or c)
-    named = f"{values.get('class', '')} {values.get('id', '')}"
-    return values, {word.lower() for word in WORD.findall(named)}
+    names: set[str] = set()
+    for name in f"{values.get('class', '')} {values.get('id', '')}".split():
+        words = [word.lower() for word in WORD.findall(name)]
+        words = words[: next((i for i, word in enumerate(words) if word in MODIFIERS), len(words))]
+        if words and (words[-1] == "layout" or words[-1] in WRAPPERS and not OWN_HEADER.isdisjoint(words)):
+            words = [word for word in words if word not in BOILER_NAMES]
+        names.update(words)
+    return values, names
 
 
-def _element(tag: str, attributes: str, above: Element, parent: int) -> Element:
+def _element(tag: str, attributes: str, above: Element, parent: int, wrapper: bool = False) -> Element:
     values, names = _labels(attributes) if attributes.strip() else ({}, set())
     classes = sorted(re.sub(r"[0-9]+", "#", c) for c in values.get("class", "").split())
     step = "" if tag in ("html", "body") else "/" + ".".join([tag, *classes])
     own = above.own or tag in ("article", "main")
     hidden = "hidden" in values or values.get("aria-hidden") == "true" or "display:none" in values.get("style", "").replace(" ", "")
-    labelled = bool(names & BOILER_NAMES) and tag not in ("html", "body", "article", "main")
+    ours = tag in ("article", "main")
+    labelled = bool(names & BOILER_NAMES) and tag not in ("html", "body") and not ours
     header = above.header or ((tag == "header" or "header" in names) and tag not in HEADINGS)
-    boiler = (
-        above.boiler or hidden or labelled or tag in BOILER_TAGS or values.get("role", "") in BOILER_ROLES
+    always = (
+        hidden or tag in BOILER_TAGS or values.get("role", "") in BOILER_ROLES
         or (header and not above.header and not own and not names & OWN_HEADER)
     )
-    return Element(tag, parent, above.path + step, boiler, header, own, above.link or tag == "a")
+    return Element(
+        tag, parent, above.path + step, above.boiler or always or (labelled and not wrapper), header, own,
+        above.link or tag == "a", named=labelled, hard=above.hard or always, article=ours and not names & BOILER_NAMES,
+    )
 
 
 def parse(source: str) -> Page:
     """Elements and text blocks of a page. Inside an article's header only headings are text."""
+    page = _parse(source, frozenset())
+    wrappers = _wrappers(page)
+    return _parse(source, wrappers) if wrappers else page
+
+
+def _wrappers(page: Page) -> frozenset[int]:
+    """The elements named like boilerplate that hold the page's content: articles or mains with more running text
+    than there is outside, or nearly all running text and the first heading."""
+    elements = page.elements
+    if not any(e.named and not e.hard for e in elements):
+        return frozenset()
+    text, articles, heading = [0] * len(elements), [0] * len(elements), [e.tag == "h1" for e in elements]
+    for index, words, linked in page.blocks:
+        if not elements[index].hard:
+            text[index] += max(0, len(words) - 2 * linked)
+    for i in range(len(elements) - 1, 0, -1):
+        above = elements[i].parent
+        text[above] += text[i]
+        articles[above] += text[i] if elements[i].article else articles[i]
+        heading[above] |= heading[i]
+    return frozenset(
+        i for i, e in enumerate(elements)
+        if e.named and not e.hard and text[i]
+        and (articles[i] > text[0] - text[i] or (heading[i] and text[i] >= DOMINANT * text[0]))
+    )
+
+
+def _parse(source: str, wrappers: frozenset[int]) -> Page:
     page = Page([Element("", -1, "")])
     elements, stack = page.elements, [0]
     pieces: list[str] = []
@@ -197,7 +244,7 @@ def parse(source: str) -> Page:
             continue
         if tag == "body":
             del stack[1 + any(elements[i].tag == "html" for i in stack[:2]) :]
-        elements.append(_element(tag, attributes, elements[stack[-1]], stack[-1]))
+        elements.append(_element(tag, attributes, elements[stack[-1]], stack[-1], len(elements) in wrappers))
         if attributes.rstrip().endswith("/") and tag not in BLOCK:
             elements.pop()
             continue

@@ -60,3 +60,25 @@ def test_edges(spark):
     assert len(htmltext.main_text(long, None)) == 550_000 - 1
     assert htmltext.main_text("<script>never closed <p>x", None) == ""
     assert htmltext.main_text("<div><b>a</div></b>c</p><p>d<!-- e", None).split("\n")[0] == "a"
+
+
+def test_wrappers_named_after_their_parts_keep_the_article():
+    story = "A story of this page, with a good many words. " * 6
+    side = "<div class='sidebar'><p>side words</p></div>"
+    for tag in ("article", "main", "div"):
+        for start in ("<div class='layout has-sidebar'>", "<div class='content-sidebar-wrap'>", "<div class='page with-banner'>",
+                      "<div id='post-with-comments'>", "<div class='sidebar-layout'>", "<div class=noSidebar>"):
+            page = f"<body>{start}<{tag}><p>{story}</p></{tag}>{side}</div><footer>f</footer></body>"
+            assert htmltext.main_text(page, None) == story.strip(), (tag, start)
+    page = f"<body><div class='overlay'><article><p>{story} <span class='ad'>Buy</span></p></article>{side}</div></body>"
+    assert htmltext.main_text(page, None) == story.strip()
+    page = f"<body><div class='overlay'><h1>Title</h1><p>{story}</p></div></body>"
+    assert htmltext.main_text(page, None) == "Title\n" + story.strip()
+
+
+def test_named_parts_beside_or_in_the_article_still_go():
+    story, more = "A story of this page, with words. " * 6, "Another story to be read next. " * 4
+    card = f"<div class='related'><article><p>{more}</p></article></div>"
+    replies = f"<section id='comments'><article class='comment-body'><p>{more * 4}</p></article></section>"
+    for page in (f"<body><article><p>{story}</p>{replies}</article>{card}</body>", f"<body><div class='post'><p>{story}</p></div>{card}{replies}</body>"):
+        assert htmltext.main_text(page, None) == story.strip()
