@@ -18,26 +18,40 @@ LINES_PER_BATCH = 20_000
 _FIELDS = "open_time STRING, " + ", ".join(f"{name} STRING" for name in VALUE_COLUMNS)
 
 
+def _fault(content) -> str | None:
+    """Why an archive's first member cannot be unpacked to its end, checksum included; None if it can."""
+    import io
+    import zipfile
+    import zlib
+
+    try:
+        with zipfile.ZipFile(io.BytesIO(content)) as archive:
+            names = archive.namelist()
+            if not names:
+                return "empty_archive"
+            with archive.open(names[0]) as member:
+                while member.read(1 << 20):
+                    pass
+    except (zipfile.BadZipFile, zlib.error, EOFError, NotImplementedError, RuntimeError, OSError, ValueError):
+        return "bad_archive"
+    return None
+
+
 def _unzip(batches):
-    """Lines of each archive's first member; a file that cannot be unpacked gives those before the fault.
+    """Lines of each archive's first member; an archive that cannot be unpacked whole gives none.
 
     Bytes that are no UTF-8 become replacement characters, so that only their line is unreadable.
     """
     import io
     import zipfile
-    import zlib
 
     import pandas as pd
 
     def lines_of(content):
-        try:
-            with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                names = archive.namelist()
-                if names:
-                    with archive.open(names[0]) as member:
-                        yield from io.TextIOWrapper(member, "utf-8", errors="replace", newline="")
-        except (zipfile.BadZipFile, zlib.error, EOFError, NotImplementedError, RuntimeError):
+        if _fault(content):
             return
+        with zipfile.ZipFile(io.BytesIO(content)) as archive, archive.open(archive.namelist()[0]) as member:
+            yield from io.TextIOWrapper(member, "utf-8", errors="replace", newline="")
 
     for batch in batches:
         for path, content in zip(batch["path"], batch["content"]):
@@ -51,6 +65,14 @@ def _unzip(batches):
                 yield pd.DataFrame({"path": path, "line": buffer})
 
 
+def _faults(batches):
+    import pandas as pd
+
+    for batch in batches:
+        found = [(path, _fault(content)) for path, content in zip(batch["path"], batch["content"])]
+        yield pd.DataFrame([f for f in found if f[1]], columns=["path", "reason"])
+
+
 def archive_lines(files: DataFrame) -> DataFrame:
     """``path, line`` of ``path, content`` rows; unpacked in bounded batches on the workers."""
     return files.select("path", "content").mapInPandas(_unzip, "path string, line string")
@@ -59,7 +81,8 @@ def archive_lines(files: DataFrame) -> DataFrame:
 def archive_rows(files: DataFrame) -> DataFrame:
     """Text fields of every archived line; symbol and interval come from the file name.
 
-    Files whose name says neither are left out; ``archive_rejects`` lists them.
+    Files whose name says neither or that cannot be unpacked are left out whole; ``archive_rejects`` and
+    ``archive_faults`` list them.
     """
     fields = F.from_csv("line", _FIELDS)
     return archive_lines(files.where(F.rlike("path", F.lit(FILE_NAME)))).select(
@@ -70,10 +93,16 @@ def archive_rows(files: DataFrame) -> DataFrame:
 
 
 def archive_rejects(files: DataFrame) -> DataFrame:
-    """``path, reason`` of the files that ``archive_rows`` leaves out."""
+    """``path, reason`` of the files that ``archive_rows`` leaves out for their name."""
     return files.where(~F.rlike("path", F.lit(FILE_NAME))).select("path", F.lit("bad_name").alias("reason"))
 
 
+def archive_faults(files: DataFrame) -> DataFrame:
+    """``path, reason`` of the well-named files that cannot be unpacked to their end."""
+    named = files.where(F.rlike("path", F.lit(FILE_NAME))).select("path", "content")
+    return named.mapInPandas(_faults, "path string, reason string")
+
+
 def archive_klines(files: DataFrame) -> DataFrame:
     """Typed bars of every readable archived line."""
     return parse_kline_rows(archive_rows(files))

@@ -14,7 +14,7 @@ from barflow.operators.klines import decode_payload, stored_range, validate_bars
 from barflow.operators.posts import posts_since
 from barflow.plans.jobs import archive_backfill_job, macro_job, silver_job
 from barflow.sinks.files import write_month, write_silver
-from barflow.sources.archive import archive_kline_scan, archive_klines, archive_rejects
+from barflow.sources.archive import archive_faults, archive_kline_scan, archive_klines, archive_lines, archive_rejects
 from barflow.sources.files import bar_csv_scan, event_csv_scan, silver_scan
 from barflow.streaming.bars import file_stream, start_files, stream_bars, stream_latest
 
@@ -152,3 +152,17 @@ def test_streams_keep_the_last_arrival(spark, tmp_path):
     start_files(stream_bars(latest, "4h", None), out, str(tmp_path / "state")).awaitTermination()
     got = spark.read.parquet(out).collect()
     assert [(r["ts"], r["open"], r["close"], r["volume"], r["rows"]) for r in got] == [(START, 7.0, 2.0, 9.0, 2)]
+
+
+def test_faulty_archives_are_rejected_whole(spark):
+    buffer = io.BytesIO()
+    with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
+        archive.writestr("bars.csv", "".join(f"{i},{i * 7919 % 10007},2,0.5,1.5,10\n" for i in range(50_000)))
+    whole = buffer.getvalue()
+    broken = bytearray(whole)
+    broken[len(whole) // 2 : len(whole) // 2 + 40] = b"\xff" * 40
+    rows = [(f"/x/{n}-1m-2025-01.zip", bytearray(c)) for n, c in (("A", whole), ("B", broken), ("C", whole[: len(whole) // 2]))]
+    files = spark.createDataFrame(rows, "path string, content binary")
+    counts = {r["path"][3]: r["count"] for r in archive_lines(files).groupBy("path").count().collect()}
+    assert counts == {"A": 50_000}
+    assert sorted((r["path"][3], r["reason"]) for r in archive_faults(files).collect()) == [("B", "bad_archive"), ("C", "bad_archive")]
