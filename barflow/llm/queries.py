@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from barflow.llm import decontaminate, htmltext, licenses, linedup, neardup, packing, quality, sharding, substrings, suffixtree
+from barflow.llm import (
+    alignment, decontaminate, htmltext, licenses, linedup, neardup, packing, quality, sharding, substrings, suffixtree, topk, whitening,
+)
 from barflow.llm.common import table, unsigned_crc32
-from barflow.llm.sql import LICENSE_SQL, QUALITY_SQL
+from barflow.llm.sql import LICENSE_SQL, QUALITY_SQL, TOP_K_SQL
 
 
 def token_ranks() -> tuple[str, str]:
@@ -104,3 +106,23 @@ def op9_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark items whose tiles cover 60 % of their words, for every document."""
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query()
+def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links between the tokens of two public tokenizers over every text."""
+    ranks, pattern = token_ranks()
+    return alignment.align(table(spark, sf_dir, "documents"), ranks, pattern, public_tokenizers.path("piece_bpe_32k.model"), 32_000)
+
+
+@query(TOP_K_SQL)
+def op12_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest vectors of every hundredth one, by integer inner product."""
+    return topk.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+@query()
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector on the eight leading components, whitened."""
+    # a deviation that does not fit a long is null here; the operator gives 38 digits
+    return whitening.whiten(table(spark, sf_dir, "embeddings")).withColumn("deviation", F.expr("try_cast(deviation AS bigint)"))

@@ -65,3 +65,13 @@ fresh AS (SELECT *, CASE WHEN start < max(stop) OVER (PARTITION BY r, name ORDER
 per AS (SELECT r, sum(f)::BIGINT AS n_matches, string_agg(DISTINCT name, ',' ORDER BY name) AS licenses FROM fresh GROUP BY r)
 SELECT doc_id, coalesce(n_matches, 0) AS n_matches, coalesce(licenses, '') AS licenses FROM d LEFT JOIN per USING (r)
 """
+
+TOP_K_SQL = """
+WITH v AS (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS e
+           FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.r, q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e)::BIGINT AS score
+      FROM v q JOIN v c ON q.r <> c.r WHERE q.vec_id % 100 = 0),
+o AS (SELECT *, (row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id))::INTEGER AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM o WHERE rank <= 10
+"""
