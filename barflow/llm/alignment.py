@@ -21,6 +21,8 @@ in work at a time, unless a single unit is longer; further columns are dropped,
 from __future__ import annotations
 
 import hashlib
+import itertools
+import re
 import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -74,10 +76,14 @@ def coalesce(a_lengths: np.ndarray, b_lengths: np.ndarray) -> Aligned:
     return Aligned(group[: len(a_start)], group[len(a_start) :], link_a, link_b)
 
 
+#: A blank, or the text's start, before white space or the end: not a place to cut.
+UNEVEN = re.compile(r"(?:\A| )(?:\s|\Z)")
+
+
 def units_of(text: str) -> list[str]:
     """Stretches behind single blanks that neither side joins; each stands for a blank and itself."""
     words = text.split(" ")
-    if all(words) and not any(word[0].isspace() for word in words):
+    if not UNEVEN.search(text):
         return words
     units, before = words[:1], words[0]
     for word in words[1:]:
@@ -89,6 +95,21 @@ def units_of(text: str) -> list[str]:
     return units
 
 
+def rendered(group: np.ndarray, side: np.ndarray, unit: np.ndarray, ids: np.ndarray, units: int) -> list[str]:
+    """`a1,a2|b1;a3|b2` of every unit; tokens come in order of group and side."""
+    if not len(ids):
+        return [""] * units
+    code = np.zeros(len(ids), dtype=np.int64)  # what follows a token: the same side, the other, a group, a unit
+    code[:-1] = np.select([unit[1:] != unit[:-1], group[1:] != group[:-1], side[1:] != side[:-1]], [3, 2, 1], 0)
+    parts = [""] * (2 * len(ids) - 1)
+    parts[0::2] = list(map(str, ids.tolist()))
+    parts[1::2] = np.array([",", "|", ";", "\n"], dtype=object)[code[:-1]].tolist()
+    out = [""] * units
+    for number, text in zip(np.unique(unit).tolist(), "".join(parts).split("\n"), strict=True):
+        out[number] = text
+    return out
+
+
 class Aligner:
     """Units known so far, with their counts, links and digest text."""
 
@@ -119,51 +140,82 @@ class Aligner:
         self.pairs = np.zeros(0, dtype=np.int64)
         self.firsts = np.zeros(1, dtype=np.int64)  # where each unit's pairs begin
 
+    def given_back(self, fresh: list[str], ids: list[list[int]], flat: np.ndarray) -> np.ndarray:
+        """Whether B's bytes are those of each unit behind its blank."""
+        whole = [(" " + unit).encode() for unit in fresh]
+        ends = np.cumsum([len(x) for x in whole])
+        mine = np.concatenate([[0], np.cumsum(self.b_lengths[flat])])[np.cumsum([len(x) for x in ids])]
+        if (ends == mine).all() and b"".join([self.b_bytes[i] for i in flat.tolist()]) == b"".join(whole):
+            return np.ones(len(fresh), dtype=bool)
+        return np.array([b"".join([self.b_bytes[i] for i in x]) == y for x, y in zip(ids, whole, strict=True)], dtype=bool)
+
     def learn(self, fresh: list[str]) -> None:
         """Align units not seen before."""
+        flat = lambda ids: np.fromiter(itertools.chain.from_iterable(ids), dtype=np.int64)
         a_ids = [self.a.encode_ordinary(" " + unit) for unit in fresh]
         b_ids = self.b.encode(fresh, num_threads=1)
-        good = np.array([b"".join([self.b_bytes[i] for i in ids]) == (" " + unit).encode() for unit, ids in zip(fresh, b_ids, strict=True)], dtype=bool)
-        a_ids, b_ids = ([x if ok else [] for x, ok in zip(ids, good, strict=True)] for ids in (a_ids, b_ids))
+        good = self.given_back(fresh, b_ids, flat(b_ids))
+        if not good.all():
+            a_ids, b_ids = ([x if ok else [] for x, ok in zip(ids, good, strict=True)] for ids in (a_ids, b_ids))
         n_a, n_b = (np.array([len(x) for x in ids], dtype=np.int64) for ids in (a_ids, b_ids))
-        a, b = (np.array([i for x in ids for i in x], dtype=np.int64) for ids in (a_ids, b_ids))
+        a, b = flat(a_ids), flat(b_ids)
         aligned = coalesce(self.a_lengths[a], self.b_lengths[b])
-        a_unit = np.repeat(np.arange(len(fresh)), n_a)
+        numbers = np.arange(len(fresh))
+        a_unit, b_unit = np.repeat(numbers, n_a), np.repeat(numbers, n_b)
         n_links = np.bincount(a_unit[aligned.link_a], minlength=len(fresh))
-        n_groups = int(aligned.a_group[-1]) + 1 if len(a) else 0
-        marks = np.arange(n_groups + 1)
-        a_cut, b_cut = np.searchsorted(aligned.a_group, marks), np.searchsorted(aligned.b_group, marks)
-        a_words, b_words = list(map(str, a.tolist())), list(map(str, b.tolist()))
-        groups = [
-            ",".join(a_words[i:j]) + "|" + ",".join(b_words[k:m])
-            for i, j, k, m in zip(a_cut[:-1].tolist(), a_cut[1:].tolist(), b_cut[:-1].tolist(), b_cut[1:].tolist(), strict=True)
-        ]
-        group_unit = a_unit[a_cut[:-1]]
-        ends = np.searchsorted(group_unit, np.arange(len(fresh) + 1)).tolist()
+        n_groups = np.bincount(a_unit[np.flatnonzero(np.diff(aligned.a_group, prepend=-1))], minlength=len(fresh))
+        group, side = np.concatenate([aligned.a_group, aligned.b_group]), np.repeat([0, 1], [len(a), len(b)])
+        order = np.lexsort((side, group))
+        texts = rendered(group[order], side[order], np.concatenate([a_unit, b_unit])[order], np.concatenate([a, b])[order], len(fresh))
         self.known.update(zip(fresh, range(len(self.texts), len(self.texts) + len(fresh)), strict=True))
-        self.texts += [";".join(groups[i:j]) for i, j in zip(ends[:-1], ends[1:], strict=True)]
-        self.counts = np.vstack([self.counts, np.column_stack([n_a, n_b, np.diff(ends), n_links])])
+        self.texts += texts
+        self.counts = np.vstack([self.counts, np.column_stack([n_a, n_b, n_groups, n_links])])
         self.good = np.concatenate([self.good, good])
         pairs = a[aligned.link_a] * len(self.b_bytes) + b[aligned.link_b]
         self.pairs = np.concatenate([self.pairs, pairs])
         self.firsts = np.concatenate([self.firsts, self.firsts[-1] + np.cumsum(n_links)])
 
-    def units(self, units: list[str]) -> np.ndarray:
-        """Numbers of the units, learned where they are new."""
+    def prepare(self, units: list[str]) -> None:
+        """Learn the units that are new, all at once."""
         fresh = [unit for unit in dict.fromkeys(units) if unit not in self.known]
+        if len(self.known) + len(fresh) > CACHE_UNITS:
+            self.forget()
+            fresh = list(dict.fromkeys(units))
         if fresh:
-            if len(self.known) + len(fresh) > CACHE_UNITS:
-                self.forget()
-                fresh = list(dict.fromkeys(units))
             self.learn(fresh)
-        return np.array([self.known[unit] for unit in units], dtype=np.int64)
 
-    def text(self, text: str) -> tuple[list[int], str, np.ndarray, np.ndarray]:
+    def units(self, units: list[str]) -> np.ndarray:
+        """Numbers of the units, learned where they are new."""
+        known = self.known
+        try:
+            return np.array([known[unit] for unit in units], dtype=np.int64)
+        except KeyError:
+            self.prepare(units)
+            return np.array([self.known[unit] for unit in units], dtype=np.int64)
+
+    def each(self, texts: list[str]) -> Iterator[tuple[list[int], str, np.ndarray, np.ndarray]]:
+        """``text`` of all of them; new units of about ``CHUNK_BYTES`` of texts are learned together."""
+        held, size = [], 0
+        for text in [*texts, None]:
+            if held and (text is None or size + len(text) > CHUNK_BYTES):
+                cut = [self.cut(body) for body in held]
+                if size <= CHUNK_BYTES:
+                    self.prepare(list(itertools.chain.from_iterable(cut)))
+                for body, units in zip(held, cut, strict=True):
+                    yield self.text(body, units)
+                held, size = [], 0
+            if text is not None:
+                held.append(text)
+                size += len(text)
+
+    def cut(self, text: str) -> list[str]:
+        return [] if not text else units_of(text) if self.cuts else [text]
+
+    def text(self, text: str, units: list[str]) -> tuple[list[int], str, np.ndarray, np.ndarray]:
         """Counts, digest, distinct pairs and how often each is linked; all empty if the bytes are not given back."""
         nothing = [0, 0, 0, 0], "", np.zeros(0, np.int64), np.zeros(0, np.int64)
         if not text:
             return nothing
-        units = units_of(text) if self.cuts else [text]
         total, digest, held = np.zeros(4, np.int64), hashlib.sha256(), []
         step = len(units) if len(text) <= CHUNK_BYTES else max(1, len(units) * CHUNK_BYTES // len(text))
         for at in range(0, len(units), step):
@@ -214,7 +266,7 @@ def aligned_texts(docs: DataFrame, ranks_path: str, pattern: str, model_path: st
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                counts, digests, pairs, times = zip(*[work.text(body.as_py()) for body in part.column(2)], strict=True)
+                counts, digests, pairs, times = zip(*work.each([body or "" for body in part.column(2).to_pylist()]), strict=True)
                 offsets = np.concatenate([[0], np.cumsum([len(x) for x in pairs])]).astype(np.int32)
                 columns = [part.column(0), part.column(1), *[pa.array(c, type=pa.int64()) for c in zip(*counts, strict=True)], pa.array(digests, type=pa.string())]
                 columns.append(pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(pairs))))

@@ -127,10 +127,10 @@ def plain_rows_any(pair, rows):
 def test_long_texts_are_put_together_from_chunks(monkeypatch):
     work = alignment.Aligner(*token_ranks(), MODEL)
     text = " ".join(f"word{i % 50} and  more\n {i}" for i in range(400))
-    whole = work.text(text)
+    whole = work.text(text, work.cut(text))
     monkeypatch.setattr(alignment, "CHUNK_BYTES", 300)
     monkeypatch.setattr(alignment, "CACHE_UNITS", 40)
-    cut = work.text(text)
+    (cut,) = work.each([text])
     assert whole[:2] == cut[:2] and (whole[2] == cut[2]).all() and (whole[3] == cut[3]).all()
 
 
