@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from barflow.constants import MIN_FORECAST_HISTORY
 from barflow.functions.arsolve import best_order, coefficient_rows, forecast_steps, rows_frame, unpack
 from barflow.functions.checks import require_columns, require_date
+from barflow.functions.recursive import HistoryFitter, IncrementalFitter, is_incremental
 from barflow.functions.timecols import as_date
 from barflow.operators.bars import forecast_calendar
 from barflow.operators.returns import by_date, lag_design
@@ -127,35 +128,77 @@ def forecast_period(
     df: DataFrame,
     start: str | date,
     end: str | date,
-    fitter: Fitter | None = None,
+    fitter: Fitter | IncrementalFitter | None = None,
     value: str = "close",
-    targets_per_task: int = 4,
+    targets_per_task: int | None = None,
+    min_history: int = MIN_FORECAST_HISTORY,
 ) -> DataFrame:
     """Walk-forward forecasts for each calendar date of [start, end].
 
-    Without a ``fitter`` this is ``ar1_walk_forward``. With one, target dates are dealt into blocks
-    and each (symbol, block) is a group of its own: the refits of one symbol run in parallel and
-    a group holds one daily series.
+    Without a ``fitter`` this is ``ar1_walk_forward``. With one, a symbol is one ordered pass: its
+    values and target dates reach Python once each, in order of date and a batch at a time, and only the
+    fitter's state is kept. Besides incremental fitters (``functions.recursive``), such as
+    ``RecursiveLeastSquares``, a plain function of the series so far is taken; its state is that series.
+
+    ``targets_per_task`` is for plain functions that take long: blocks of so many target dates become
+    tasks of their own, each with a copy of the symbol's series.
+
+    A target sees the values of the dates before it; it has no row with fewer than ``min_history`` of
+    them, nor where the fitter gives None. Null and NaN values are no history.
     """
     first, last = as_date(start), as_date(end)
     if last < first:
         raise ValueError("end must not be before start")
     if fitter is None:
-        return ar1_walk_forward(df, first, last, value)
+        return ar1_walk_forward(df, first, last, value, min_history)
+    require_columns(df, ["symbol", "ds", value])
     require_date(df, "ds")
-    blocks = range(0, (last - first).days + 1, targets_per_task)
-    series = df.where(F.col(value).isNotNull() & (F.col("ds") < F.lit(last))).select(
-        "symbol", "ds", value
-    )
-    dealt = series.withColumn("block", F.explode(F.array(*[F.lit(b) for b in blocks])))
-    return spread(dealt, "symbol", "block").groupBy("symbol", "block").applyInPandas(
-        _period_group(fitter, value, first, last, targets_per_task), FORECAST_SCHEMA
-    )
+    rows = walk_rows(df, first, last, value)
+    if targets_per_task is not None:
+        if is_incremental(fitter):
+            raise ValueError("an incremental fitter takes one pass; leave out targets_per_task")
+        blocks = range(0, (last - first).days + 1, targets_per_task)
+        copies = rows.where("target = 1").select("symbol", "ds", F.col("y").alias(value))
+        dealt = copies.withColumn("block", F.explode(F.array(*[F.lit(b) for b in blocks])))
+        group = _period_group(fitter, value, first, last, targets_per_task, min_history)
+        return spread(dealt, "symbol", "block").groupBy("symbol", "block").applyInPandas(group, FORECAST_SCHEMA)
+    ordered = spread(rows, "symbol").sortWithinPartitions("symbol", "ds", "target")
+    steps = fitter if is_incremental(fitter) else HistoryFitter(fitter)
+    return ordered.mapInPandas(_ordered_pass(steps, min_history), FORECAST_SCHEMA)
+
+
+def walk_rows(df: DataFrame, first: date, last: date, value: str) -> DataFrame:
+    """Values before ``last`` and the target dates of each symbol; on a date the target (0) comes first."""
+    y = F.col(value).cast("double")
+    known = df.where(y.isNotNull() & ~F.isnan(y) & (F.col("ds") < F.lit(last)))
+    values = known.select("symbol", "ds", F.lit(1).alias("target"), y.alias("y"))
+    asked = _targets(values, first, last)
+    return values.unionByName(asked.select("symbol", "ds", F.lit(0).alias("target"), F.lit(None).cast("double").alias("y")))
+
+
+def _ordered_pass(fitter: IncrementalFitter, minimum: int):
+    def run(batches):
+        import pandas as pd
 
+        symbol, state, seen = None, None, 0
+        for pdf in batches:
+            rows = []
+            for name, day, is_value, y in zip(pdf["symbol"], pdf["ds"], pdf["target"], pdf["y"]):
+                if state is None or name != symbol:
+                    symbol, state, seen = name, fitter.start(), 0
+                if is_value:
+                    state, seen = fitter.update(state, float(y)), seen + 1
+                elif seen >= minimum:
+                    y_hat = fitter.forecast(state)
+                    if y_hat is not None:
+                        rows.append((name, day, float(y_hat)))
+            if rows:
+                yield pd.DataFrame(rows, columns=["symbol", "ds", "y_hat_close"])
+
+    return run
 
-def _period_group(fitter: Fitter, value: str, first: date, last: date, size: int):
-    minimum = MIN_FORECAST_HISTORY
 
+def _period_group(fitter: Fitter, value: str, first: date, last: date, size: int, minimum: int):
     def run(pdf):
         import pandas as pd
 

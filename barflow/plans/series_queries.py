@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import functions as F
 
+from barflow.functions.recursive import RecursiveLeastSquares
 from barflow.operators.describe import (
     clip_central,
     density_grid,
@@ -487,14 +488,25 @@ history AS (
   FROM closes, target WHERE ds < t)"""
 
 
-@query(f"""WITH {_PERIOD} SELECT symbol, strftime(t, '%Y-%m-%d') AS ds,
+_PERIOD_AR1 = f"""WITH {_PERIOD} SELECT symbol, strftime(t, '%Y-%m-%d') AS ds,
        round(regr_intercept(close, prev) + regr_slope(close, prev) * arg_max(close, ds), 4)
-         AS y_hat_close FROM history GROUP BY symbol, t HAVING count(*) >= 10""")
+         AS y_hat_close FROM history GROUP BY symbol, t HAVING count(*) >= 10"""
+
+
+@query(_PERIOD_AR1)
 def forecast_period_native(spark, sf_dir):
     f = forecast_period(closes(spark, sf_dir), "2001-07-15", "2001-08-05")
     return _shown(f, 4, "y_hat_close")
 
 
+@query(_PERIOD_AR1)
+def forecast_period_recursive(spark, sf_dir):
+    """The same forecasts by recursive least squares, one ordered pass per symbol."""
+    fitter = RecursiveLeastSquares(order=1)
+    f = forecast_period(closes(spark, sf_dir), "2001-07-15", "2001-08-05", fitter)
+    return _shown(f, 4, "y_hat_close")
+
+
 def _drift():
     """A fitter: the last value plus the mean step. Made here so that it is shipped by value."""
     return lambda y: float(y.iloc[-1] + (y.iloc[-1] - y.iloc[0]) / (len(y) - 1))

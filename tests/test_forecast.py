@@ -2,7 +2,9 @@ import datetime as dt
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
+from barflow.functions.recursive import RecursiveLeastSquares
 from barflow.operators.forecast import (
     ar1_walk_forward,
     forecast_errors,
@@ -10,6 +12,7 @@ from barflow.operators.forecast import (
     forecast_period,
     series_coefficients,
     series_forecast,
+    walk_rows,
 )
 
 DAY = dt.date(2024, 1, 1)
@@ -127,3 +130,76 @@ def test_results_do_not_depend_on_partitioning(spark, walk):
     spark.conf.set("spark.sql.shuffle.partitions", "4")
     assert [(r.symbol, r.ds) for r in first] == [(r.symbol, r.ds) for r in second]
     assert np.allclose([r.y_hat_close for r in first], [r.y_hat_close for r in second])
+
+
+def _least_squares(y, order, weights=None):
+    import numpy
+
+    y = numpy.asarray(y)
+    design = numpy.column_stack([numpy.ones(len(y) - order), *[y[order - i : len(y) - i] for i in range(1, order + 1)]])
+    w = numpy.sqrt(numpy.ones(len(design)) if weights is None else weights)
+    beta = numpy.linalg.lstsq(design * w[:, None], y[order:] * w, rcond=None)[0]
+    return beta[0] + beta[1:] @ y[-1 : -order - 1 : -1]
+
+
+@pytest.mark.parametrize(("order", "offset"), [(1, 0.0), (2, 1e6), (5, 0.0), (3, 1e5)])
+def test_recursive_least_squares_equals_a_refit(order, offset):
+    rng = np.random.default_rng(order)
+    y = offset + np.cumsum(rng.normal(0, 1, 80))
+    fitter, state = RecursiveLeastSquares(order), RecursiveLeastSquares(order).start()
+    for i, value in enumerate(y):
+        state = fitter.update(state, value)
+        if i < 2 * order:
+            assert fitter.forecast(state) is None
+        elif i > 3 * order + 2:
+            assert np.isclose(fitter.forecast(state), _least_squares(y[: i + 1], order), rtol=1e-9, atol=1e-6)
+
+
+def test_forgetting_and_series_that_do_not_vary():
+    rng = np.random.default_rng(9)
+    y = rng.normal(0, 1, 60)
+    fitter = RecursiveLeastSquares(2, forgetting=0.9)
+    state = fitter.start()
+    for value in y:
+        state = fitter.update(state, value)
+    assert np.isclose(fitter.forecast(state), _least_squares(y, 2, 0.9 ** np.arange(57, -1, -1)))
+    flat = RecursiveLeastSquares(1)
+    state = flat.start()
+    for _ in range(30):
+        state = flat.update(state, 5.0)
+    assert flat.forecast(state) is None
+
+
+def test_one_ordered_pass_takes_each_row_once(spark, walk):
+    df, rows = walk
+    first, last = DAY + dt.timedelta(days=20), DAY + dt.timedelta(days=60)
+    native = {(r.symbol, r.ds): r.y_hat_close for r in forecast_period(df, first, last).collect()}
+    got = {(r.symbol, r.ds): r.y_hat_close for r in forecast_period(df, first, last, RecursiveLeastSquares()).collect()}
+    assert got.keys() == native.keys() and np.allclose([got[k] for k in native], list(native.values()))
+    reached = walk_rows(df, first, last, "close")
+    before = df.where((F.col("ds") < F.lit(last)) & F.col("close").isNotNull())
+    assert reached.count() == before.count() + 41 * before.select("symbol").distinct().count()
+    mean = {(r.symbol, r.ds): r.y_hat_close for r in forecast_period(df, first, last, lambda y: float(y.mean())).collect()}
+    history = [v for _, d, v in rows if d < last]
+    assert np.isclose(mean["A", last], np.mean(history))
+    assert forecast_period(df, first, last, lambda y: None).count() == 0
+    assert forecast_period(df.limit(0), first, last, RecursiveLeastSquares()).count() == 0
+    with pytest.raises(ValueError):
+        forecast_period(df, first, last, RecursiveLeastSquares(), targets_per_task=4)
+
+
+def test_an_incremental_fitter_of_ones_own(spark, walk):
+    class Count:
+        def start(self):
+            return 0
+
+        def update(self, state, value):
+            return state + 1
+
+        def forecast(self, state):
+            return float(state)
+
+    df, rows = walk
+    day = DAY + dt.timedelta(days=30)
+    got = {r.symbol: r.y_hat_close for r in forecast_period(df, day, day, Count(), min_history=1).collect()}
+    assert got["A"] == sum(d < day for _, d, _ in rows)
