@@ -92,15 +92,84 @@ def event_impacts(
     )
 
 
-def group_summary(impacts: DataFrame) -> DataFrame:
-    """Count, mean and sample deviation of the impact per symbol and class."""
-    return impacts.groupBy("symbol", "group").agg(
-        F.count("impact").alias("count"),
-        F.avg("impact").alias("mean"),
-        F.stddev_samp("impact").alias("std"),
+def impact_weights(
+    events: DataFrame,
+    returns: DataFrame,
+    mode: str = "post_k_days",
+    k: int = 3,
+    require_full_window: bool = True,
+    value: str = "ret",
+    order: Sequence[str] = (),
+) -> DataFrame:
+    """``symbol, event_date, group, impact, weight``: each impact once, with the number of its events.
+
+    An impact depends on symbol and date only, so events are counted per date and class before they meet the
+    series: what is joined is bounded by dates and classes, not by events. ``group_summary``,
+    ``decision_anova``, ``levene`` and ``anova_report`` take these rows and those of ``event_impacts`` alike.
+    """
+    require_columns(events, ["event_date", "decision_class"])
+    known = events.where(F.col("decision_class").isin(*DECISION_CLASSES))
+    counted = known.groupBy("event_date", "decision_class").agg(F.count(F.lit(1)).alias("weight"))
+    measured = series_impacts(returns, mode, k, require_full_window, value, order)
+    return event_day_join(counted, measured).select(
+        "symbol", "event_date", F.col("decision_class").alias("group"), "impact", "weight"
     )
 
 
+def _weighted(impacts: DataFrame) -> DataFrame:
+    """``symbol, group, impact, weight``; without a weight a row counts once. Null impacts do not count."""
+    weight = F.col("weight") if "weight" in impacts.columns else F.lit(1)
+    rows = impacts.select("symbol", "group", "impact", weight.cast("bigint").alias("weight"))
+    return rows.where(F.col("impact").isNotNull() & (F.col("weight") > 0))
+
+
+def _moments(rows: DataFrame, value: Column) -> DataFrame:
+    """``symbol, group, n, mean, ss`` of a value that counts ``weight`` times.
+
+    Rows of one weight share Spark's own mergeable moments; those of the weights, a few lines a
+    group, are merged by the rule for parts: ss = sum of ss_i + sum of n_i * (mean_i - mean)**2.
+    """
+    times = F.col("weight")
+    parts = rows.groupBy("symbol", "group", "weight").agg(
+        (F.count(value) * times).alias("n"),
+        F.avg(value).alias("mean"),
+        (F.var_pop(value) * F.count(value) * times).alias("ss"),
+    )
+    whole = Window.partitionBy("symbol", "group")
+    mean = F.sum(F.col("n") * F.col("mean")).over(whole) / F.sum("n").over(whole)
+    off = F.col("n") * F.pow(F.col("mean") - F.col("_all"), F.lit(2))
+    return (
+        parts.withColumn("_all", mean)
+        .groupBy("symbol", "group")
+        .agg(F.sum("n").alias("n"), F.first("_all").alias("mean"), F.sum(F.col("ss") + off).alias("ss"))
+    )
+
+
+def _medians(rows: DataFrame) -> DataFrame:
+    """``symbol, group, _centre``: the median of impacts that count ``weight`` times.
+
+    Equal impacts are merged first; the running weight of a group is a window over one line per
+    distinct impact, at most one a calendar date.
+    """
+    merged = rows.groupBy("symbol", "group", "impact").agg(F.sum("weight").alias("weight"))
+    whole = Window.partitionBy("symbol", "group")
+    running = F.sum("weight").over(whole.orderBy("impact").rowsBetween(Window.unboundedPreceding, 0))
+    placed = merged.withColumns({"_up_to": running, "_n": F.sum("weight").over(whole)})
+
+    def at(rank: Column) -> Column:
+        return F.min(F.when(F.col("_up_to") > rank, F.col("impact")))
+
+    low, high = F.floor((F.col("_n") - 1) / 2), F.ceil((F.col("_n") - 1) / 2)
+    return placed.groupBy("symbol", "group").agg(((at(low) + at(high)) / 2).alias("_centre"))
+
+
+def group_summary(impacts: DataFrame) -> DataFrame:
+    """Count, mean and sample deviation of the impact per symbol and class that has one."""
+    found = _moments(_weighted(impacts), F.col("impact"))
+    deviation = F.when(F.col("n") > 1, F.sqrt(F.col("ss") / (F.col("n") - 1)))
+    return found.select("symbol", "group", F.col("n").alias("count"), "mean", deviation.alias("std"))
+
+
 def _one_way(groups: DataFrame) -> DataFrame:
     """F test from ``n, mean, ss`` per symbol and group; groups under two members do not count.
 
@@ -163,31 +232,14 @@ def decision_anova(impacts: DataFrame) -> DataFrame:
 
     Needs two classes with at least two events each; other symbols have no row.
     """
-    groups = impacts.groupBy("symbol", "group").agg(
-        F.count("impact").alias("n"),
-        F.avg("impact").alias("mean"),
-        (F.var_pop("impact") * F.count("impact")).alias("ss"),
-    )
-    return _one_way(groups)
+    return _one_way(_moments(_weighted(impacts), F.col("impact")))
 
 
 def levene(impacts: DataFrame) -> DataFrame:
-    """Levene's test with median centres: an F test of the distances from the class median.
-
-    An impact depends on symbol and date only, so the values a median has to hold are bounded
-    by the calendar whatever the number of events.
-    """
-    centres = impacts.groupBy("symbol", "group").agg(F.median("impact").alias("_centre"))
-    distance = F.abs(F.col("impact") - F.col("_centre"))
-    groups = (
-        impacts.join(centres, ["symbol", "group"])
-        .groupBy("symbol", "group")
-        .agg(
-            F.count("impact").alias("n"),
-            F.avg(distance).alias("mean"),
-            (F.var_pop(distance) * F.count("impact")).alias("ss"),
-        )
-    )
+    """Levene's test with median centres: an F test of the distances from the class median."""
+    rows = _weighted(impacts)
+    centred = rows.join(_medians(rows), ["symbol", "group"])
+    groups = _moments(centred, F.abs(F.col("impact") - F.col("_centre")))
     return _one_way(groups).select(
         "symbol", F.col("f_stat").alias("levene_stat"), F.col("p_value").alias("levene_p_value")
     )

@@ -5,6 +5,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from barflow.operators.eventstudy import (
+    _medians,
+    _weighted,
+    impact_weights,
     anova_report,
     decision_anova,
     event_impacts,
@@ -138,3 +141,39 @@ def test_event_price_join_keeps_events_without_prices(spark):
     candles = spark.createDataFrame([(dt.date(2025, 1, 1), "A", 1.0), (dt.date(2025, 1, 1), "B", 2.0)], "day date, symbol string, close double")
     rows = event_price_join(events, candles).collect()
     assert len(rows) == 3 and sum(r.symbol is None for r in rows) == 1
+
+
+def test_weights_stand_for_repeated_events(spark):
+    rng = np.random.default_rng(11)
+    days = [dt.date(2024, 1, 1) + dt.timedelta(days=i) for i in range(60)]
+    returns = spark.createDataFrame([(s, d, float(rng.normal())) for s in "AB" for d in days], "symbol string, ds date, ret double")
+    classes = ["cut", "hold", "hike", "other"]
+    events = [(days[int(rng.integers(0, 60))], classes[int(rng.integers(0, 4))], 0.0, 0.0) for _ in range(400)]
+    events += [(days[5], "cut", 0.0, 0.0)] * 300 + [(None, "cut", 0.0, 0.0), (days[7], None, 0.0, 0.0)]
+    df = spark.createDataFrame(events, "event_date date, decision_class string, delta double, rate double")
+    each, counted = event_impacts(df, returns), impact_weights(df, returns)
+    assert counted.count() < each.count() / 2 and counted.agg({"weight": "sum"}).head()[0] == each.count()
+    rows = each.toPandas()
+    for summary in (group_summary(each), group_summary(counted)):
+        got = {(r["symbol"], r["group"]): r for r in summary.collect()}
+        for key, part in rows.groupby(["symbol", "group"]):
+            assert got[key]["count"] == len(part)
+            assert np.allclose([got[key]["mean"], got[key]["std"]], [part.impact.mean(), part.impact.std()])
+    for test in (decision_anova, levene, anova_report):
+        a, b = ({r["symbol"]: r.asDict() for r in test(x).collect()} for x in (each, counted))
+        assert a.keys() == b.keys() and a
+        for symbol in a:
+            for column, value in a[symbol].items():
+                other = b[symbol][column]
+                assert value == other or np.allclose(value, other), (test.__name__, column)
+    medians = {(r["symbol"], r["group"]): r["_centre"] for r in _medians(_weighted(counted)).collect()}
+    assert all(np.isclose(medians[key], part.impact.median()) for key, part in rows.groupby(["symbol", "group"]))
+
+
+def test_events_are_counted_below_the_join(spark):
+    returns = spark.createDataFrame([("A", dt.date(2024, 1, 1), 0.1)], "symbol string, ds date, ret double")
+    df = spark.createDataFrame([(dt.date(2024, 1, 1), "cut", 0.0, 0.0)], "event_date date, decision_class string, delta double, rate double")
+    plan = impact_weights(df, returns, "event_day")._jdf.queryExecution().optimizedPlan().toString()
+    join = plan[plan.index("Join Inner"):]
+    assert "Aggregate [event_date" in join and "count(1)" in join
+    assert impact_weights(df.limit(0), returns).count() == 0 and decision_anova(impact_weights(df, returns.limit(0))).count() == 0
