@@ -1,6 +1,7 @@
 """Per-symbol moments, histograms and density tables of a return series.
 
-Everything here is a plain aggregation with partial sums before the shuffle.
+Everything here is a plain aggregation with partial sums before the shuffle, but for the selection of quantiles in
+``clip_central``.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from barflow.constants import CI_Z, HISTOGRAM_BINS, TAIL_THRESHOLD
 from barflow.functions.checks import require_columns
 from barflow.functions.numerics import normal_pdf
+from barflow.operators.quantiles import exact_quantiles
 
 
 def describe_returns(df: DataFrame, value: str = "ret", z: float = CI_Z) -> DataFrame:
@@ -98,12 +100,12 @@ def _edges(df: DataFrame, value: str, bins: int) -> DataFrame:
 
 
 def clip_central(df: DataFrame, share: float = 0.99, value: str = "ret") -> DataFrame:
-    """Rows inside the central ``share`` of each symbol's values, both limits included."""
+    """Rows inside the central ``share`` of each symbol's values, both limits included.
+
+    The limits are exact quantiles, selected by passes over the values: see ``exact_quantiles``.
+    """
     tail = (1 - share) / 2
-    limits = df.groupBy("symbol").agg(
-        F.percentile(value, F.lit(tail)).alias("_low"),
-        F.percentile(value, F.lit(1 - tail)).alias("_high"),
-    )
+    limits = exact_quantiles(df, ["symbol"], value, {"_low": tail, "_high": 1 - tail})
     return (
         df.join(limits, "symbol")
         .where(F.col(value).between(F.col("_low"), F.col("_high")))

@@ -14,6 +14,7 @@ from barflow.constants import (
     VAR_LEVEL,
 )
 from barflow.functions.checks import require_columns
+from barflow.operators.quantiles import exact_quantiles
 from barflow.operators.returns import rolling_return
 from barflow.session import spread
 
@@ -84,16 +85,19 @@ def risk_numbers(
     drawdown: float = DRAWDOWN,
     level: float = VAR_LEVEL,
 ) -> DataFrame:
-    """Probability of a return below ``drawdown`` and the ``level`` quantile, per group."""
-    return (
-        df.where(F.col(value).isNotNull())
-        .groupBy(*by)
-        .agg(
-            F.count(value).alias("n"),
-            F.avg(F.when(F.col(value) < drawdown, 1.0).otherwise(0.0)).alias("prob_drawdown"),
-            F.percentile(value, F.lit(level)).alias("value_at_risk"),
-        )
+    """Probability of a return below ``drawdown`` and the ``level`` quantile, per group.
+
+    The quantile is selected exactly by passes over the values: see ``exact_quantiles``.
+    """
+    present = df.where(F.col(value).isNotNull())
+    shares = present.groupBy(*by).agg(
+        F.count(value).alias("n"),
+        F.avg(F.when(F.col(value) < drawdown, 1.0).otherwise(0.0)).alias("prob_drawdown"),
     )
+    limits = exact_quantiles(present, by, value, {"value_at_risk": level})
+    same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in by]
+    met = shares.alias("a").join(limits.alias("b"), same, "left")
+    return met.select(*[F.col(f"a.{c}").alias(c) for c in by], "n", "prob_drawdown", "value_at_risk")
 
 
 def scenario_risk(params: DataFrame, **options) -> DataFrame:
