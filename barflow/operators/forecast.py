@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from datetime import date
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barflow.constants import MIN_FORECAST_HISTORY
-from barflow.functions.arsolve import best_order, coefficient_rows, forecast_steps, rows_frame, unpack
+from barflow.functions.arsolve import best_orders, forecast_steps, p_values
 from barflow.functions.checks import require_columns, require_date
 from barflow.functions.recursive import HistoryFitter, IncrementalFitter, is_incremental
 from barflow.functions.timecols import as_date
@@ -228,38 +229,32 @@ def forecast_errors(forecasts: DataFrame, actuals: DataFrame, value: str = "clos
 # --- autoregression with a chosen order -------------------------------------
 
 
-def _cross_products(df: DataFrame, value: str, max_order: int, min_rows: int):
-    """Sums of products of (1, lags, value) per symbol, and its newest values."""
+def _cross_products(df: DataFrame, value: str, max_order: int, min_rows: int) -> DataFrame:
+    """Means and centred sums of products of (lags, value) per symbol, and its newest values."""
     lags = [f"lag{i}" for i in range(1, max_order + 1)]
-    design = [F.lit(1.0), *[F.col(c) for c in lags], F.col(value)]
-    names = [(i, j) for i in range(len(design)) for j in range(i, len(design))]
-    sums = [F.sum(design[i] * design[j]).alias(f"s_{i}_{j}") for i, j in names]
-    newest = [F.max_by(c, "ds").alias(f"_recent{k}") for k, c in enumerate([value, *lags[:-1]])]
-    table = (
+    design = [*lags, value]
+    pairs = [(i, j) for i in range(len(design)) for j in range(i, len(design))]
+    sums = [(F.covar_pop(design[i], design[j]) * F.count(F.lit(1))).alias(f"s_{i}_{j}") for i, j in pairs]
+    means = [F.avg(c).alias(f"mean_{i}") for i, c in enumerate(design)]
+    newest = [F.max_by(c, "ds").alias(f"recent_{k}") for k, c in enumerate([value, *lags[:-1]])]
+    return (
         lag_design(df, value, max_order)
         .groupBy("symbol")
-        .agg(F.count(F.lit(1)).alias("n"), *sums, *newest)
+        .agg(F.count(F.lit(1)).alias("n"), *means, *sums, *newest)
         .where(F.col("n") >= min_rows)
     )
-    return table, names
 
 
-def _solver(names, max_order: int, emit: Callable):
-    columns = [f"s_{i}_{j}" for i, j in names]
-    recent = [f"_recent{k}" for k in range(max_order)]
-
-    def run(batches: Iterator) -> Iterator:
-        for pdf in batches:
-            out = []
-            for record in pdf.to_dict("records"):
-                cross = unpack([record[c] for c in columns], names, max_order)
-                chosen = best_order(cross, record["n"], max_order)
-                if chosen is not None:
-                    out.extend(emit(record, chosen, [record[c] for c in recent]))
-            if out:
-                yield rows_frame(out)
-
-    return run
+def _solved(pdf: "pd.DataFrame", max_order: int):
+    """The fits of a batch of symbols, and their newest values."""
+    size = max_order + 1
+    cross = np.empty((len(pdf), size, size))
+    for i in range(size):
+        for j in range(i, size):
+            cross[:, i, j] = cross[:, j, i] = pdf[f"s_{i}_{j}"].to_numpy(float)
+    means = pdf[[f"mean_{i}" for i in range(size)]].to_numpy(float)
+    recent = pdf[[f"recent_{k}" for k in range(max_order)]].to_numpy(float)
+    return best_orders(pdf["n"].to_numpy(float), means, cross), recent
 
 
 def series_forecast(
@@ -271,8 +266,8 @@ def series_forecast(
 ) -> DataFrame:
     """``horizon`` steps of the autoregression with the smallest AIC, with 95 % limits.
 
-    The data is reduced to sums of products per symbol in one aggregation; only those few
-    numbers reach Python. Needs ten usable rows.
+    The data is reduced to means and centred sums of products per symbol in one aggregation; only
+    those few numbers reach Python, a batch of symbols at a time. Needs ten usable rows.
 
     A ``fitter`` replaces the autoregression: it gets one symbol's daily series and the horizon and
     returns one ``(forecast, lower, upper)`` per step; order and AIC are then null.
@@ -281,25 +276,28 @@ def series_forecast(
         raise ValueError("horizon must be at least 1")
     if fitter is not None:
         return _fitted_steps(df, horizon, value, fitter)
-    table, names = _cross_products(df, value, max_order, MIN_FORECAST_HISTORY)
-
-    def emit(record, chosen, recent):
-        order, (beta, _, rss, aic) = chosen
-        sigma2 = rss / (record["n"] - order - 1)
-        for step, mean, lower, upper in forecast_steps(beta, recent, sigma2, horizon):
-            yield {
-                "symbol": record["symbol"],
-                "ar_order": order,
-                "aic": aic,
-                "step": step,
-                "forecast": mean,
-                "lower": lower,
-                "upper": upper,
-            }
+    table = _cross_products(df, value, max_order, MIN_FORECAST_HISTORY)
+
+    def run(batches: Iterator) -> Iterator:
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            fit, recent = _solved(pdf, max_order)
+            means, halves = forecast_steps(fit, recent, horizon)
+            yield pd.DataFrame(
+                {
+                    "symbol": np.repeat(pdf["symbol"].to_numpy(), horizon),
+                    "ar_order": np.repeat(fit.order, horizon),
+                    "aic": np.repeat(fit.aic, horizon),
+                    "step": np.tile(np.arange(1, horizon + 1), len(pdf)),
+                    "forecast": means.ravel(),
+                    "lower": (means - halves).ravel(),
+                    "upper": (means + halves).ravel(),
+                }
+            )
 
     steps = table.mapInPandas(
-        _solver(names, max_order, emit),
-        "symbol string, ar_order int, aic double, step int, forecast double, lower double, upper double",
+        run, "symbol string, ar_order int, aic double, step int, forecast double, lower double, upper double"
     )
     calendar = forecast_calendar(df.where(F.col(value).isNotNull()), horizon)
     return calendar.join(steps, ["symbol", "step"])
@@ -343,21 +341,24 @@ def _fitted_steps(df: DataFrame, horizon: int, value: str, fitter: SeriesFitter)
 
 def series_coefficients(df: DataFrame, max_order: int = 5, value: str = "ret") -> DataFrame:
     """Coefficients and p-values of the chosen autoregression."""
-    table, names = _cross_products(df, value, max_order, MIN_FORECAST_HISTORY)
-
-    def emit(record, chosen, recent):
-        order, (beta, inverse, rss, _) = chosen
-        sigma2 = rss / (record["n"] - order - 1)
-        for term, estimate, p in coefficient_rows(beta, inverse, sigma2, record["n"]):
-            yield {
-                "symbol": record["symbol"],
-                "ar_order": order,
-                "term": term,
-                "estimate": estimate,
-                "p_value": p,
-            }
-
-    return table.mapInPandas(
-        _solver(names, max_order, emit),
-        "symbol string, ar_order int, term string, estimate double, p_value double",
-    )
+    table = _cross_products(df, value, max_order, MIN_FORECAST_HISTORY)
+    terms = np.array(["const", *[f"lag{i}" for i in range(1, max_order + 1)]])
+
+    def run(batches: Iterator) -> Iterator:
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            fit, _ = _solved(pdf, max_order)
+            at, term = np.nonzero(np.arange(max_order + 1) <= fit.order[:, None])
+            p = p_values(fit)[at, term]
+            yield pd.DataFrame(
+                {
+                    "symbol": pdf["symbol"].to_numpy()[at],
+                    "ar_order": fit.order[at],
+                    "term": terms[term],
+                    "estimate": np.column_stack([fit.constant, fit.slopes])[at, term],
+                    "p_value": np.where(np.isnan(p), None, p),
+                }
+            )
+
+    return table.mapInPandas(run, "symbol string, ar_order int, term string, estimate double, p_value double")

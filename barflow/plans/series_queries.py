@@ -541,7 +541,7 @@ _AR2 = f"""{RETURNS}, l AS (
          CASE p WHEN 2 THEN (ycb * aa - ay * ab) / (aa * bb - ab * ab) ELSE 0 END AS f2
   FROM m CROSS JOIN range(0, 3) g(p)), c AS (
   SELECT *, yy - f1 * ay - f2 * ycb AS rss, my - f1 * ma - f2 * mb AS f0 FROM o), k AS (
-  SELECT *, n * ln(rss / n) + 2 * (p + 1) AS aic, rss / (n - p - 1) AS s2 FROM c), best AS (
+  SELECT *, n * (ln(2 * pi() * rss / n) + 1) + 2 * (p + 1) AS aic, rss / (n - p - 1) AS s2 FROM c), best AS (
   SELECT * FROM k QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY aic, p) = 1), h AS (
   SELECT *, f0 + f1 * y1 + f2 * y2 AS h1 FROM best), h2 AS (
   SELECT *, f0 + f1 * h1 + f2 * y1 AS v2 FROM h), h3 AS (
@@ -577,14 +577,84 @@ def series_coefficients_order2(spark, sf_dir):
     return rounded(rounded(c, 7, "estimate"), 6, "p_value")
 
 
-@query()
+def _ar_sql(orders: int = 5) -> str:
+    """``best(symbol, n, p, aic, s2, b0 …, e0 …, y1 …, last_ds)``: the order of least AIC, its coefficients and
+    the spread e of each, from the triangular factors of the centred sums."""
+    lags, y = range(1, orders + 1), orders + 1
+    column = lambda i: "y" if i == y else f"l{i}"
+    pairs = [(i, j) for i in range(1, y + 1) for j in range(i, y + 1)]
+    lagged = ", ".join(f"lag(ret, {i}) OVER s AS l{i}" for i in lags)
+    sums = ", ".join(f"covar_pop({column(i)}, {column(j)}) * count(*) AS a0_{i}_{j}" for i, j in pairs)
+    means = ", ".join(f"avg({column(i)}) AS m{i}" for i in range(1, y + 1))
+    newest = ", ".join(f"arg_max({column(i - 1) if i > 1 else 'y'}, ds) AS y{i}" for i in lags)
+    ctes = [
+        f"lagged AS (SELECT symbol, ds, ret AS y, {lagged} FROM returns WINDOW s AS (PARTITION BY symbol ORDER BY ds))",
+        f"sums AS (SELECT symbol, count(*) AS n, max(ds) AS last_ds, {means}, {sums}, {newest} "
+        f"FROM lagged WHERE l{orders} IS NOT NULL GROUP BY 1 HAVING count(*) >= 10)",
+    ]
+    before = "sums"
+    for k in lags:  # what is left of the sums without the first k lags
+        left = ", ".join(
+            f"a{k - 1}_{i}_{j} - a{k - 1}_{k}_{i} * a{k - 1}_{k}_{j} / a{k - 1}_{k}_{k} AS a{k}_{i}_{j}" for i, j in pairs if i > k
+        )
+        ctes.append(f"left{k} AS (SELECT *, {left} FROM {before})")
+        before = f"left{k}"
+    d = lambda k: f"a{k - 1}_{k}_{k}"
+    inverse = []  # of the unit triangle, column by column; later ones use earlier names
+    for k in lags:
+        inverse.append(f"1.0::DOUBLE AS v{k}_{k}")
+        for i in range(k - 1, 0, -1):
+            terms = " + ".join(f"a{i - 1}_{i}_{j} / {d(i)} * v{j}_{k}" for j in range(i + 1, k + 1))
+            inverse.append(f"-({terms}) AS v{i}_{k}")
+    ctes.append(f"inverse AS (SELECT *, {', '.join(inverse)} FROM {before})")
+    on = lambda k, text: f"CASE WHEN p >= {k} THEN {text} ELSE 0 END"
+    rss = "CASE p " + " ".join(f"WHEN {p} THEN a{p}_{y}_{y}" for p in range(orders + 1)) + " END"
+    slopes = [" + ".join(on(k, f"v{i}_{k} * a{k - 1}_{k}_{y} / {d(k)}") for k in lags if k >= i) for i in lags]
+    errors = [" + ".join(on(k, f"v{i}_{k} * v{i}_{k} / {d(k)}") for k in lags if k >= i) for i in lags]
+    centre = " + ".join(on(k, f"pow({' + '.join(f'm{i} * v{i}_{k}' for i in range(1, k + 1))}, 2) / {d(k)}") for k in lags)
+    ctes.append(
+        f"orders AS (SELECT *, {rss} AS rss, {', '.join(f'{b} AS b{i}' for i, b in zip(lags, slopes))}, "
+        f"{', '.join(f'{e} AS e{i}' for i, e in zip(lags, errors))}, 1.0::DOUBLE / n + {centre} AS e0 "
+        f"FROM inverse CROSS JOIN range(0, {orders + 1}) g(p))"
+    )
+    ctes.append(
+        f"best AS (SELECT *, n * (ln(2 * pi() * rss / n) + 1) + 2 * (p + 1) AS aic, rss / (n - p - 1) AS s2, "
+        f"m{y} - ({' + '.join(f'b{i} * m{i}' for i in lags)}) AS b0 FROM orders WHERE n - p - 1 >= 1 "
+        "QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY aic, p) = 1)"
+    )
+    return ", ".join(ctes)
+
+
+_AR_STEPS = """steps AS (
+  SELECT symbol, 1 AS step, b0 + b1 * y1 + b2 * y2 + b3 * y3 + b4 * y4 + b5 * y5 AS v, 1.0::DOUBLE AS spread,
+         y1 AS r2, y2 AS r3, y3 AS r4, y4 AS r5,
+         1.0::DOUBLE AS q1, 0.0::DOUBLE AS q2, 0.0::DOUBLE AS q3, 0.0::DOUBLE AS q4, 0.0::DOUBLE AS q5 FROM best
+  UNION ALL
+  SELECT symbol, step + 1, b0 + b1 * v + b2 * r2 + b3 * r3 + b4 * r4 + b5 * r5,
+         spread + pow(b1 * q1 + b2 * q2 + b3 * q3 + b4 * q4 + b5 * q5, 2), v, r2, r3, r4,
+         b1 * q1 + b2 * q2 + b3 * q3 + b4 * q4 + b5 * q5, q1, q2, q3, q4
+  FROM steps JOIN best USING (symbol) WHERE step < 14)"""
+
+
+@query(f"""WITH RECURSIVE {RETURNS}, {_ar_sql()}, {_AR_STEPS}
+SELECT symbol, CAST(p AS INTEGER) AS ar_order, round(aic, 5) AS aic, step,
+       strftime(last_ds + step, '%Y-%m-%d') AS ds, round(v, 7) AS forecast,
+       round(v - 1.959963984540054 * sqrt(s2 * spread), 7) AS lower,
+       round(v + 1.959963984540054 * sqrt(s2 * spread), 7) AS upper FROM steps JOIN best USING (symbol)""")
 def series_forecasts(spark, sf_dir):
-    return text_dates(series_forecast(returns(spark, sf_dir), horizon=14), "ds")
+    f = series_forecast(returns(spark, sf_dir), horizon=14)
+    return rounded(_shown(f, 7, "forecast", "lower", "upper"), 5, "aic")
 
 
-@query()
+@query(f"""WITH {RETURNS}, {_ar_sql()}, terms AS (
+  SELECT symbol, p, n, s2, unnest([0, 1, 2, 3, 4, 5]) AS i, unnest([b0, b1, b2, b3, b4, b5]) AS b,
+         unnest([e0, e1, e2, e3, e4, e5]) AS e FROM best), t AS (
+  SELECT *, -abs(b / sqrt(s2 * e)) AS tv, (n - p - 1)::DOUBLE AS dof FROM terms WHERE i <= p)
+SELECT symbol, CAST(p AS INTEGER) AS ar_order, CASE WHEN i = 0 THEN 'const' ELSE 'lag' || i END AS term,
+       round(b, 7) AS estimate, round(2 * {_t_cdf_sql("tv", "dof")}, 6) AS p_value FROM t""")
 def series_coefficient_table(spark, sf_dir):
-    return series_coefficients(returns(spark, sf_dir))
+    c = series_coefficients(returns(spark, sf_dir))
+    return rounded(rounded(c, 7, "estimate"), 6, "p_value")
 
 
 # --- risk -------------------------------------------------------------------

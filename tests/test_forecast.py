@@ -203,3 +203,54 @@ def test_an_incremental_fitter_of_ones_own(spark, walk):
     day = DAY + dt.timedelta(days=30)
     got = {r.symbol: r.y_hat_close for r in forecast_period(df, day, day, Count(), min_history=1).collect()}
     assert got["A"] == sum(d < day for _, d, _ in rows)
+
+
+def _plain_orders(y, max_order):
+    """Order, coefficients, AIC and standard errors by least squares of every order."""
+    target, n, best = y[max_order:], len(y) - max_order, None
+    for p in range(max_order + 1):
+        design = np.column_stack([np.ones(n), *[y[max_order - i : len(y) - i] for i in range(1, p + 1)]])
+        q, r = np.linalg.qr(design)
+        beta = np.linalg.solve(r, q.T @ target)
+        rss = ((target - design @ beta) ** 2).sum()
+        aic = n * (np.log(2 * np.pi * rss / n) + 1) + 2 * (p + 1)
+        errors = np.sqrt(rss / (n - p - 1) * (np.linalg.inv(r) ** 2).sum(axis=1))
+        if best is None or aic < best[2]:
+            best = (p, beta, aic, errors)
+    return best
+
+
+@pytest.mark.parametrize("offset", [0.0, 60_000.0, 1e9])
+def test_orders_far_from_zero_equal_least_squares(spark, offset):
+    rng = np.random.default_rng(5)
+    rows, plain = [], {}
+    for symbol, slopes in (("A", [0.4, 0.0, 0.3]), ("B", []), ("C", [0.2, -0.3, 0.1, 0.0, 0.4])):
+        y = list(rng.normal(0, 1, 6))
+        for _ in range(400):
+            y.append(sum(b * v for b, v in zip(slopes, reversed(y))) + rng.normal())
+        y = np.array(y) + offset
+        plain[symbol] = _plain_orders(y, 5)
+        rows += [(symbol, DAY + dt.timedelta(days=i), float(v)) for i, v in enumerate(y)]
+    df = spark.createDataFrame(rows, "symbol string, ds date, ret double")
+    first = {r.symbol: r for r in series_forecast(df, 1).collect()}
+    terms = {(r.symbol, r.term): r for r in series_coefficients(df).collect()}
+    for symbol, (p, beta, aic, errors) in plain.items():
+        assert first[symbol].ar_order == p and np.isclose(first[symbol].aic, aic, rtol=1e-7)
+        names = ["const", *[f"lag{i}" for i in range(1, p + 1)]]
+        got = [terms[symbol, name].estimate for name in names]
+        assert np.allclose(got[1:], beta[1:], atol=1e-6) and np.isclose(got[0], beta[0], rtol=1e-5, atol=1e-5 + 1e-6 * offset)
+        assert len([k for k in terms if k[0] == symbol]) == p + 1
+        if p:
+            z = abs(beta[1] / errors[1])
+            assert (terms[symbol, "lag1"].p_value < 0.05) == (z > 1.966) or abs(z - 1.966) < 0.01
+
+
+def test_series_without_usable_lags(spark):
+    days = [DAY + dt.timedelta(days=i) for i in range(40)]
+    rows = [("flat", d, 3.0) for d in days] + [("swing", d, float((-1) ** i)) for i, d in enumerate(days)]
+    df = spark.createDataFrame(rows, "symbol string, ds date, ret double")
+    steps = {(r.symbol, r.step): r for r in series_forecast(df, 2).collect()}
+    assert steps["flat", 2].ar_order == 0 and steps["flat", 2].forecast == 3.0 == steps["flat", 2].lower
+    # the second lag repeats the first one, so the orders end there
+    assert steps["swing", 1].ar_order == 1 and np.isclose(steps["swing", 1].forecast, 1.0)
+    assert series_forecast(df.where("ds < '2024-01-12'"), 2).count() == 0 and series_coefficients(df.limit(0)).count() == 0
