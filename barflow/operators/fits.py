@@ -272,11 +272,18 @@ def ks_student_t(df: DataFrame, params: DataFrame, value: str = "ret") -> DataFr
     )
 
 
-def ks_test(df: DataFrame, params: DataFrame, value: str = "ret") -> DataFrame:
-    """Both Kolmogorov–Smirnov tests, one row per symbol and distribution."""
+def ks_test(df: DataFrame, params: DataFrame, value: str = "ret", digits: int | None = None) -> DataFrame:
+    """Both Kolmogorov–Smirnov tests, one row per symbol and distribution.
+
+    With ``digits`` distances are reported in so many decimals and the p-value is that of the reported distance.
+    """
     normal = ks_normal(df, params, value).withColumn("distribution", F.lit("normal"))
     t = ks_student_t(df, params, value).withColumn("distribution", F.lit("student_t"))
-    return normal.unionByName(t).select("symbol", "distribution", "n", "d", "p_value")
+    tests = normal.unionByName(t).select("symbol", "distribution", "n", "d", "p_value")
+    if digits is None:
+        return tests
+    reported = tests.withColumn("d", F.round("d", digits))
+    return reported.withColumn("p_value", kolmogorov_sf(F.col("d"), F.col("n")))
 
 
 def chi_square_bins(df: DataFrame, bins: int = CHI_SQUARE_BINS, value: str = "ret") -> DataFrame:

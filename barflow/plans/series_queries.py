@@ -324,10 +324,41 @@ def ks_student_t_distance(spark, sf_dir):
     return rounded(ks_student_t(r, fit_params(r)).drop("p_value"), 5, "d")
 
 
-@query()
+# The ordered sample as a Poisson path between two lines, followed from each time at which a
+# line passes a whole number to the next.
+_KS = f"""{_T_FIT}, nfit AS (
+  SELECT symbol, avg(ret) AS mu, stddev_samp(ret) AS sigma FROM returns GROUP BY 1), ranked AS (
+  SELECT symbol, ret, row_number() OVER (PARTITION BY symbol ORDER BY ret, ds) AS i,
+         count(*) OVER (PARTITION BY symbol) AS n FROM returns), cdfs AS (
+  SELECT symbol, 'normal' AS distribution, i, n, {_phi_sql("z")} AS p
+  FROM (SELECT symbol, i, n, (ret - mu) / sigma AS z FROM ranked JOIN nfit USING (symbol))
+  UNION ALL
+  SELECT symbol, 'student_t', i, n, {_t_cdf_sql("z", "df")}
+  FROM (SELECT symbol, i, n, df, (ret - loc) / scale AS z FROM ranked JOIN tfit USING (symbol))), tests AS (
+  SELECT symbol, distribution, max(n) AS n, round(max(greatest(i / n - p, p - (i - 1) / n)), 5) AS d
+  FROM cdfs GROUP BY 1, 2), times AS (
+  SELECT symbol, distribution, i - n * d AS tau, 0 AS low, i - 1 AS high FROM tests, range(0, 10000) r(i)
+  WHERE i <= n AND i - n * d > 0
+  UNION ALL
+  SELECT symbol, distribution, i + n * d, i + 1, n FROM tests, range(0, 10000) r(i) WHERE i + n * d < n
+  UNION ALL
+  SELECT symbol, distribution, n::DOUBLE, n, n FROM tests), gaps AS MATERIALIZED (
+  SELECT symbol, distribution, low, high, k, exp(-gap) * pow(gap, k) / exp(lgamma(k + 1)) AS w, j
+  FROM (SELECT *, tau - lag(tau, 1, 0) OVER s AS gap, row_number() OVER s AS j FROM times
+        WINDOW s AS (PARTITION BY symbol, distribution ORDER BY tau)), range(0, 24) r(k)), paths AS (
+  SELECT symbol, distribution, 0::BIGINT AS j, 0::BIGINT AS c, 1.0::DOUBLE AS p FROM tests
+  UNION ALL
+  SELECT s.symbol, s.distribution, s.j + 1, s.c + g.k, sum(s.p * g.w)
+  FROM paths s JOIN gaps g ON g.symbol = s.symbol AND g.distribution = s.distribution AND g.j = s.j + 1
+  WHERE s.c + g.k BETWEEN g.low AND g.high GROUP BY 1, 2, 3, 4), ends AS (
+  SELECT symbol, distribution, arg_max(p, j) AS p, max(j) AS j FROM paths GROUP BY 1, 2)"""
+
+
+@query(f"""WITH RECURSIVE {_KS} SELECT symbol, distribution, n, d,
+       round(1 - p * exp(n - n * ln(n) + lgamma(n + 1)), 8) AS p_value FROM tests JOIN ends USING (symbol, distribution)""")
 def ks_tests(spark, sf_dir):
     r = returns(spark, sf_dir)
-    return ks_test(r, fit_params(r))
+    return rounded(ks_test(r, fit_params(r), digits=5), 8, "p_value")
 
 
 # Quantiles in SQL: Acklam's rational approximation and one Newton step on the power series.

@@ -310,3 +310,19 @@ def test_numeric_helpers(spark):
     expressions = [N.digamma_sql("x"), N.trigamma_sql("x")]
     r = spark.range(1).selectExpr("1D AS x").selectExpr(*expressions).head()
     assert np.allclose(list(r), [-0.5772156649015329, math.pi**2 / 6])
+
+
+def test_kolmogorov_on_both_sides_of_the_switch():
+    for n in (10, 60, 500, 3000):
+        for s in (4.5, 5.5, 5.99, 6.01, 7.0):
+            d = (s / n) ** 0.5
+            if d >= 1:
+                continue
+            band, sides = 1 - N._band_probability(d, n), 2 * N._one_sided(d, n)
+            assert abs(band - sides) < 1e-12 + sides * np.exp(-6 * s) and N.kolmogorov_sf_exact(d, n) in (band, sides)
+    # exact values for two and three observations: the band's volume
+    for d in (0.3, 0.5, 0.62, 0.9):
+        inside = max(0.0, 2 * d - 0.5) ** 2 * 2 if d < 0.5 else 1 - 2 * (1 - d) ** 2
+        assert np.isclose(N.kolmogorov_sf_exact(d, 2), 1 - inside, atol=1e-12)
+    assert N.kolmogorov_sf_exact(0.5, 400) < 1e-40 and N.kolmogorov_sf_exact(1e-9, 50) == 1.0
+    assert N.kolmogorov_sf_exact(0.0, 5) == 1.0 and N.kolmogorov_sf_exact(1.0, 5) == 0.0
