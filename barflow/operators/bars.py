@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from barflow.constants import HISTORY_TAIL, LOCAL_ZONE
+from barflow.constants import HISTORY_TAIL, INTERVAL_SECONDS, LOCAL_ZONE
 from barflow.functions.checks import require_columns
-from barflow.functions.timecols import bar_start_ms, local_day
+from barflow.functions.timecols import bar_start_ms, interval_ms, local_day
 from barflow.operators.klines import VALUE_COLUMNS, dedup_rows
 from barflow.schemas import CANDLE_COLUMNS
 
@@ -78,6 +80,58 @@ def resample_bars(df: DataFrame, interval: str, order: Sequence[str] = ("ts",))
     )
 
 
+def _folded(partials: DataFrame, widths: dict[str, int]) -> DataFrame:
+    """Bars of several widths from narrower ones; ``block`` keeps them where they are."""
+    each = F.array(*[F.struct(F.lit(name).alias("interval"), F.lit(ms).alias("ms")) for name, ms in widths.items()])
+    return (
+        partials.withColumn("_width", F.explode(each))
+        .withColumn("bar_ts", F.col("ts") - F.pmod(F.col("ts"), F.col("_width.ms")))
+        .groupBy("symbol", "block", F.col("_width.interval").alias("interval"), "bar_ts")
+        .agg(*candle_aggregates()[:-1], F.sum("rows").alias("rows"))
+        .withColumnRenamed("bar_ts", "ts")
+    )
+
+
+def resample_cascade(
+    df: DataFrame, intervals: Sequence[str] = tuple(INTERVAL_SECONDS), order: Sequence[str] = ("ts",), step: str = "15m"
+) -> DataFrame:
+    """Bars of all ``intervals`` at once, as ``resample_bars`` gives them one by one.
+
+    The input is rolled up to the narrowest width that divides all others, the only exchange that it takes
+    part in. These partial candles are dealt by symbol and block of the widest width, where
+    all further roll-ups stay: widths below ``step`` come from the narrowest bars, those that are
+    multiples of it from bars of ``step``. Every interval must divide the widest one.
+    """
+    require_columns(df, ["ts", "symbol", *VALUE_COLUMNS, *order])
+    widths = {name: interval_ms(name) for name in dict.fromkeys(intervals)}
+    if not widths:
+        raise ValueError("name at least one interval")
+    widest, narrowest, stride = max(widths.values()), math.gcd(*widths.values()), interval_ms(step)
+    odd = [name for name, ms in widths.items() if widest % ms]
+    if odd:
+        raise ValueError(f"{odd} do not divide the widest interval")
+
+    def start(ms: int) -> Column:
+        return F.col("ts") - F.pmod(F.col("ts"), F.lit(ms))
+
+    partials = (
+        df.withColumn("bar_ts", start(narrowest))
+        .groupBy("symbol", "bar_ts")
+        .agg(*candle_aggregates(order))
+        .withColumnRenamed("bar_ts", "ts")
+        .withColumn("block", start(widest))
+        .repartition("symbol", "block")
+    )
+    coarse = {name: ms for name, ms in widths.items() if ms % stride == 0 and widest % stride == 0}
+    fine = {name: ms for name, ms in widths.items() if name not in coarse}
+    parts = [_folded(partials, fine)] if fine else []
+    if coarse:
+        steps = _folded(partials, {step: stride}).drop("interval")
+        parts.append(_folded(steps, coarse))
+    columns = ["ts", "symbol", "interval", *VALUE_COLUMNS, "rows"]
+    return reduce(DataFrame.unionByName, parts).select(*columns)
+
+
 def ticks_as_bars(df: DataFrame, price: str = "price", volume: str = "volume") -> DataFrame:
     """Ticks in bar shape, so that every roll-up accepts them; other columns are kept."""
     keep = [c for c in df.columns if c not in (price, volume)]

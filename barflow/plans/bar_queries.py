@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from barflow.constants import LOCAL_ZONE
+from barflow.constants import INTERVAL_SECONDS, LOCAL_ZONE
 from barflow.operators.bars import (
     bars_daily,
     batch_counters,
@@ -13,6 +13,7 @@ from barflow.operators.bars import (
     latest_value,
     next_day,
     resample_bars,
+    resample_cascade,
     tail_n,
     union_symbols,
 )
@@ -101,6 +102,20 @@ def resample_15m(spark, sf_dir):
     return resample_bars(tick_bars(spark, sf_dir), "15m", ("ts", "event_id"))
 
 
+_ALL_WIDTHS = ", ".join(f"('{name}', {1000 * seconds})" for name, seconds in INTERVAL_SECONDS.items())
+
+
+@query(f"""WITH {TICKS}
+SELECT symbol, ts - ts % ms AS ts, interval,
+       arg_min(price, (ts, event_id)) AS open, max(price) AS high, min(price) AS low,
+       arg_max(price, (ts, event_id)) AS close, round(sum(volume), 6) AS volume, count(*) AS rows
+FROM ticks CROSS JOIN (VALUES {_ALL_WIDTHS}) w(interval, ms) GROUP BY symbol, ts - ts % ms, interval""")
+def resample_all_widths(spark, sf_dir):
+    """Bars of all eleven widths from one exchange of the ticks."""
+    bars = resample_cascade(tick_bars(spark, sf_dir), order=("ts", "event_id"))
+    return rounded(bars, 6, "volume").withColumn("rows", F.col("rows").cast("bigint"))
+
+
 @query(_resample_sql("1d", 86_400_000))
 def resample_1d(spark, sf_dir):
     return resample_bars(tick_bars(spark, sf_dir), "1d", ("ts", "event_id"))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from barflow.functions.checks import require_columns
 from barflow.functions.timecols import interval_ms, iso_from_ms, local_day_bounds_ms
-from barflow.operators.bars import bars_daily, resample_bars
+from barflow.operators.bars import bars_daily, resample_bars, resample_cascade
 from barflow.operators.klines import (
     bars_in_range,
     decode_payload,
@@ -139,6 +139,34 @@ def test_resampling_brackets_open_and_close(spark, interval):
     assert all(r.ts % width == 0 and r.low <= min(r.open, r.close) and r.high >= max(r.open, r.close) for r in out)
 
 
+@pytest.mark.parametrize("intervals", [tuple(INTERVAL_SECONDS), ("5m", "1h"), ("3m",), ("1m", "15m"), ("4h", "1d")])
+def test_cascade_equals_each_width(spark, intervals):
+    rows = [(s, -40_000_000 + i * 47_311, 10.0 + i % 7, 20.0 + i % 5, 5.0 - i % 3, None if i % 11 == 0 else 11.0 + i % 4, float(i % 3))
+            for s in ("A", "B", None) for i in range(2500)]
+    df = spark.createDataFrame([*rows, *rows[:50]], BAR)
+    got = resample_cascade(df, intervals)
+    for interval in intervals:
+        want = resample_bars(df, interval)
+        assert sorted(got.where(F.col("interval") == interval).select(want.columns).collect(), key=str) == sorted(want.collect(), key=str)
+    assert resample_cascade(df.limit(0), intervals).count() == 0
+
+
+def test_cascade_takes_the_input_through_one_exchange(spark):
+    df = spark.range(100).selectExpr("string(id % 3) AS symbol", "id * 1000 AS ts", *[f"1.0D AS {c}" for c in ("open", "high", "low", "close", "volume")])
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = resample_cascade(df)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    nodes = [line.lstrip(" :+-*()0123456789").split()[0] for line in plan.splitlines() if line.strip()]
+    # ticks to narrow bars, narrow bars to blocks; the coarse widths use the latter again
+    assert nodes.count("Exchange") == 2 and nodes.count("ReusedExchange") == 1, plan
+    with pytest.raises(ValueError):
+        resample_cascade(df, ("6h", "4h"))
+    with pytest.raises(ValueError):
+        resample_cascade(df, ())
+
+
 def test_unknown_interval_and_missing_columns(spark):
     with pytest.raises(ValueError):
         interval_ms("7m")
