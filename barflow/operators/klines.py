@@ -121,6 +121,45 @@ def kline_rejects(df: DataFrame) -> DataFrame:
     )
 
 
+def _page_entries(pages: DataFrame, body: str) -> DataFrame:
+    """``_entries``: the arrays of a page's JSON body as texts; null where the body is not an array of arrays."""
+    # without partial results a body that breaks off is null as a whole
+    return pages.withColumn("_entries", F.from_json(F.col(body), "array<array<string>>", {"mode": "PERMISSIVE"}))
+
+
+def api_page_rows(pages: DataFrame, body: str = "body", keep: Sequence[str] = ()) -> DataFrame:
+    """Pages of an exchange's bar endpoint to the text rows that ``parse_kline_rows`` and ``kline_rejects`` take.
+
+    A page is a JSON array of arrays: open time, open, high, low, close, volume and further values, as
+    numbers or texts. ``symbol`` and ``interval`` come along from the page, ``entry`` is the place in it.
+    Entries that are null or too short give null texts. Pages without a readable body give no row; see ``api_page_rejects``.
+    """
+    require_columns(pages, [body, "symbol", "interval", *keep])
+    rows = _page_entries(pages, body).select(*keep, "symbol", "interval", F.posexplode("_entries").alias("entry", "_values"))
+    names = ("open_time", *VALUE_COLUMNS)
+    return rows.select(*keep, "symbol", "interval", "entry", *[F.get("_values", F.lit(i)).alias(name) for i, name in enumerate(names)])
+
+
+def api_page_bars(pages: DataFrame, end: str | date | None = None, body: str = "body", keep: Sequence[str] = ()) -> DataFrame:
+    """Typed bars of API pages, up to and including the day ``end``; unreadable entries are left out.
+
+    Pages that overlap repeat bars; ``dedup_rows`` or a merging sink takes them out.
+    """
+    bars = parse_kline_rows(api_page_rows(pages, body, keep), keep)
+    return bars if end is None else bars.where(F.col("ts") < utc_range_ms(end, end)[1])
+
+
+def api_page_rejects(pages: DataFrame, body: str = "body", keep: Sequence[str] = ()) -> DataFrame:
+    """What ``api_page_bars`` leaves out: ``keep, symbol, interval, entry, reason``; a ``bad_page`` has no entry.
+
+    An empty array is a page without bars, not a fault.
+    """
+    entries = kline_rejects(api_page_rows(pages, body, keep)).select(*keep, "symbol", "interval", "entry", "reason")
+    bad = _page_entries(pages, body).where(F.col("_entries").isNull())
+    none = F.lit(None).cast("int")
+    return entries.unionByName(bad.select(*keep, "symbol", "interval", none.alias("entry"), F.lit("bad_page").alias("reason")))
+
+
 def bars_in_range(df: DataFrame, start: str | date, end: str | date) -> DataFrame:
     """Bars from ``start`` 00:00 UTC up to and including the day ``end``."""
     first, last = utc_range_ms(start, end)

@@ -18,6 +18,8 @@ from barflow.operators.bars import (
     union_symbols,
 )
 from barflow.operators.klines import (
+    api_page_bars,
+    api_page_rejects,
     bars_in_range,
     decode_payload,
     enrich_bars,
@@ -211,6 +213,39 @@ def kline_reject_counts(spark, sf_dir):
     return rejects.groupBy("symbol", "reason").agg(F.count(F.lit(1)).alias("rows"))
 
 
+_PAGE = 40  # bars a page
+
+
+def _api_pages(spark, sf_dir):
+    """Pages of up to forty bars of a symbol as an exchange sends them; every ninth one is cut off."""
+    quote = lambda c: F.concat(F.lit('"'), F.col(c).cast("string"), F.lit('"'))
+    values = F.concat_ws(",", "open_time", *[quote(c) for c in ("open", "high", "low", "close", "volume")], F.lit('0,"0"'))
+    page = F.expr(f"event_id div {_PAGE}")
+    rows = _archive_text(spark, sf_dir).withColumn("open_time", F.when(F.col("open_time").startswith("t"), F.concat(F.lit('"'), "open_time", F.lit('"'))).otherwise(F.col("open_time")))
+    entry = F.struct("event_id", F.concat(F.lit("["), values, F.lit("]")).alias("text"))
+    listed = F.array_join(F.transform(F.sort_array(F.collect_list(entry)), lambda e: e["text"]), ",")
+    body = F.when(F.col("page") % 9 == 0, F.concat(F.lit("["), listed, F.lit(',[17'))).otherwise(F.concat(F.lit("["), listed, F.lit("]")))
+    return rows.withColumn("page", page).groupBy("symbol", "interval", "page").agg(body.alias("body"))
+
+
+_PAGED = f"""{BARS}, paged AS (
+  SELECT *, event_id // {_PAGE} AS page, CASE WHEN event_id // {_PAGE} % 9 = 0 THEN 'bad_page' WHEN event_id % 17 = 0 THEN 'bad_open_time'
+         WHEN event_id % 19 = 0 THEN 'out_of_range' WHEN event_id % 23 = 0 THEN 'bad_values' END AS reason FROM bars)"""
+
+
+@query(f"""WITH {_PAGED} SELECT page, ts, iso_ts, symbol, interval, open, high, low, close, volume
+FROM paged WHERE reason IS NULL AND ts < 1705795200000""")
+def api_pages_to_bars(spark, sf_dir):
+    return api_page_bars(_api_pages(spark, sf_dir), "2024-01-20", keep=("page",))
+
+
+@query(f"""WITH {_PAGED} SELECT symbol, reason, count(DISTINCT CASE WHEN reason = 'bad_page' THEN page ELSE event_id END) AS rows
+FROM paged WHERE reason IS NOT NULL GROUP BY 1, 2""")
+def api_page_reject_counts(spark, sf_dir):
+    rejects = api_page_rejects(_api_pages(spark, sf_dir), keep=("page",))
+    return rejects.groupBy("symbol", "reason").agg(F.count(F.lit(1)).alias("rows"))
+
+
 @query(f"""WITH {BARS} SELECT event_id, ts, symbol, close FROM bars
 WHERE ts >= 1704844800000 AND ts < 1705795200000""")
 def bars_in_date_range(spark, sf_dir):

@@ -8,6 +8,8 @@ from barflow.functions.checks import require_columns
 from barflow.functions.timecols import interval_ms, iso_from_ms, local_day_bounds_ms
 from barflow.operators.bars import bars_daily, resample_bars, resample_cascade
 from barflow.operators.klines import (
+    api_page_bars,
+    api_page_rejects,
     bars_in_range,
     decode_payload,
     dedup_rows,
@@ -190,3 +192,26 @@ def test_range_includes_the_whole_last_day(spark):
     stamps = ["2025-01-01T00:00:00+00:00", "2025-01-02T23:59:59+00:00", "2025-01-03T00:00:00+00:00", "2024-12-31T23:59:59+00:00"]
     df = spark.createDataFrame([(ms(s),) for s in stamps], "ts bigint")
     assert bars_in_range(df, "2025-01-01", "2025-01-02").count() == 2
+
+
+def test_api_pages_give_bars_and_rejects(spark):
+    good = '[1700000000000,"1.5","2","1","1.75","10",1700000059999,"0",3,"0","0","0"]'
+    bodies = {
+        "plain": f"[{good},{good.replace('1700000000000', '1700000060000')}]", "empty": "[]", "numbers": "[[1700000000000,1.5,2,1,1.75,10]]",
+        "short": f'[{good},[1700000000000,"1.5"],null,["x","1","1","1","1","1"],[1700000000000,"1","1","1","1","n/a"]]',
+        "error": '{"code":-1121,"msg":"Invalid symbol."}', "cut": f"[{good},[17000", "null": None, "text": "oops", "blank": "",
+        "late": f"[{good.replace('1700000000000', '1800000000000')}]",
+    }
+    pages = spark.createDataFrame([(k, "A", "1m", v) for k, v in bodies.items()], "page string, symbol string, interval string, body string")
+    bars = api_page_bars(pages, "2024-01-01", keep=("page",)).collect()
+    assert sorted((r.page, r.ts) for r in bars) == [
+        ("numbers", 1_700_000_000_000), ("plain", 1_700_000_000_000), ("plain", 1_700_000_060_000), ("short", 1_700_000_000_000)
+    ]
+    assert {(r.open, r.high, r.low, r.close, r.volume) for r in bars} == {(1.5, 2.0, 1.0, 1.75, 10.0)}
+    rejects = {(r.page, r.entry, r.reason) for r in api_page_rejects(pages, keep=("page",)).collect()}
+    assert rejects == {
+        ("short", 1, "bad_values"), ("short", 2, "bad_open_time"), ("short", 3, "bad_open_time"), ("short", 4, "bad_values"),
+        *[(page, None, "bad_page") for page in ("error", "cut", "null", "text", "blank")],
+    }
+    assert api_page_bars(pages).where("ts > 1750000000000").count() == 1
+    assert api_page_bars(pages.limit(0)).count() == 0 == api_page_rejects(pages.limit(0)).count()
