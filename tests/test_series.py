@@ -326,3 +326,28 @@ def test_kolmogorov_on_both_sides_of_the_switch():
         assert np.isclose(N.kolmogorov_sf_exact(d, 2), 1 - inside, atol=1e-12)
     assert N.kolmogorov_sf_exact(0.5, 400) < 1e-40 and N.kolmogorov_sf_exact(1e-9, 50) == 1.0
     assert N.kolmogorov_sf_exact(0.0, 5) == 1.0 and N.kolmogorov_sf_exact(1.0, 5) == 0.0
+
+
+def _bisected(p, v):
+    low, high = 0.0, 40.0
+    for _ in range(70):
+        mid = (low + high) / 2
+        low, high = (mid, high) if N.student_t_sf_array(np.sinh(mid), v) > min(p, 1 - p) else (low, mid)
+    return float(np.sign(p - 0.5) * np.sinh((low + high) / 2))
+
+
+def test_student_t_quantiles_equal_bisection(monkeypatch):
+    p = np.array([1e-12, 1e-6, 1e-3, 0.01, 0.1, 0.3, 0.49, 0.4999999, 0.5, 0.50001, 0.6, 0.95, 0.999, 1 - 1e-9])
+    for v in (0.1, 0.5, 1.0, 2.0, 2.35, 4.0, 30.0, 1000.0):
+        calls = []
+        real = N.student_t_sf_array
+        monkeypatch.setattr(N, "student_t_sf_array", lambda x, nu: calls.append(np.size(x)) or real(x, nu))
+        got = N.student_t_ppf_array(p, np.full(len(p), v))
+        monkeypatch.undo()
+        want = np.array([_bisected(q, v) for q in p])
+        # near the median the tail itself is only known to rounding
+        assert np.allclose(got, want, rtol=1e-10, atol=1e-12), v
+        assert sum(calls) < 16 * len(p)  # evaluations; bisection takes 60 each
+    edge = N.student_t_ppf_array(np.array([0.0, 1.0, -0.1, 1.1, np.nan]), np.full(5, 3.0))
+    assert edge[0] == -np.inf and edge[1] == np.inf and np.isnan(edge[2:]).all()
+    assert N.student_t_ppf_array(np.array([]), np.array([])).shape == (0,) and N.student_t_ppf_array(0.975, 5.0).shape == ()
