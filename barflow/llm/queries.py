@@ -11,7 +11,7 @@ from barflow.llm import (
     alignment, decontaminate, htmltext, licenses, linedup, neardup, packing, quality, sharding, substrings, suffixtree, topk, whitening,
 )
 from barflow.llm.common import table, unsigned_crc32
-from barflow.llm.sql import LICENSE_SQL, QUALITY_SQL, TOP_K_SQL
+from barflow.llm.sql import LICENSE_SQL, NEAR_SQL, QUALITY_SQL, TOP_K_SQL
 
 
 def token_ranks() -> tuple[str, str]:
@@ -68,7 +68,7 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query()
+@query(NEAR_SQL)
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 3-word shingle sets overlap by 85 % or more."""
     settings = neardup.Settings(words=3, percent=85, bands=30)

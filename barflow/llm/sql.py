@@ -75,3 +75,22 @@ s AS (SELECT q.r, q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e)::BI
 o AS (SELECT *, (row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id))::INTEGER AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM o WHERE rank <= 10
 """
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+#: Every pair that shares a shingle is counted; links are followed to all that can be reached.
+NEAR_SQL = rf"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         list_filter(regexp_split_to_array({_LOWER}, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT DISTINCT r, CASE WHEN len(w) >= 3 THEN list_slice(w, i, i + 2) ELSE w END AS g
+      FROM (SELECT r, w, unnest(range(1, greatest(len(w) - 1, 2))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT r, count(*) AS n FROM s GROUP BY 1),
+shared AS (SELECT a.r AS x, b.r AS y, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.r < b.r GROUP BY 1, 2),
+links AS (SELECT x, y FROM shared JOIN n a ON a.r = x JOIN n b ON b.r = y WHERE 100 * k >= 85 * (a.n + b.n - k)),
+edges AS (SELECT x, y FROM links UNION SELECT y, x FROM links),
+reach AS (SELECT r AS x, r AS y FROM d UNION SELECT reach.x, edges.y FROM reach JOIN edges ON edges.x = reach.y),
+least AS (SELECT x AS r, min(d.doc_id) AS component_id FROM reach JOIN d ON d.r = reach.y GROUP BY 1)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+FROM d JOIN least USING (r) LEFT JOIN n USING (r)
+"""
