@@ -111,6 +111,18 @@ def parse_kline_rows(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     )
 
 
+def kline_outcomes(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Every row, readable or not, in one pass: ``keep``, the bar columns and ``reason`` (null for a bar).
+
+    Without a reason the columns are those of ``parse_kline_rows``; with one, the values that could be read.
+    """
+    require_columns(df, ["open_time", "symbol", "interval", *VALUE_COLUMNS])
+    values = [F.col(f"_{name}").alias(name) for name in VALUE_COLUMNS]
+    # a reject's time may lie outside what a timestamp can hold
+    iso = F.when(F.col("_reason").isNull(), iso_from_ms(F.col("ts"))).alias("iso_ts")
+    return _parsed_kline(df).select(*keep, "ts", iso, "symbol", "interval", *values, F.col("_reason").alias("reason"))
+
+
 def kline_rejects(df: DataFrame) -> DataFrame:
     """The rows ``parse_kline_rows`` drops, with the reason."""
     columns = df.columns

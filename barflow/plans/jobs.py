@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable, Iterable, Sequence
 from datetime import date
 
@@ -43,7 +44,7 @@ from barflow.sinks.files import (
     write_raw,
     write_silver,
 )
-from barflow.sources.archive import archive_kline_scan
+from barflow.sources.archive import archive_files, load_archives
 from barflow.sources.files import (
     bar_csv_scan,
     daily_csv_scan,
@@ -92,10 +93,31 @@ def gold_day_job(spark: SparkSession, raw_base: str, gold_root: str, day: str |
 
 
 def archive_backfill_job(
-    spark: SparkSession, archive_base: str, raw_base: str, start: str | date, end: str | date, mode: str = "merge"
+    spark: SparkSession,
+    archive_base: str,
+    raw_base: str,
+    start: str | date,
+    end: str | date,
+    mode: str = "merge",
+    report: str | None = None,
 ) -> int:
-    """Archived bars of [start, end] into monthly CSV, every symbol and month in one job."""
-    return write_month(bars_in_range(archive_kline_scan(spark, archive_base), start, end), raw_base, mode)
+    """Archived bars of [start, end] into monthly CSV, every symbol and month in one job.
+
+    Every archive is read once. ``report`` names a folder for what was not loaded: JSON lines of
+    ``path, reason`` below ``faults`` and of ``path, line_no, reason`` below ``rejects``, of this run. Without it
+    faulty archives raise a warning that counts them.
+    """
+    load = load_archives(archive_files(spark, archive_base))
+    try:
+        rows = write_month(bars_in_range(load.bars, start, end), raw_base, mode)
+        if report is not None:
+            load.faults.write.mode("overwrite").json(f"{report}/faults")
+            load.rejects.write.mode("overwrite").json(f"{report}/rejects")
+        elif faulty := load.faults.count():
+            warnings.warn(f"{faulty} archives below {archive_base} were not loaded", stacklevel=2)
+    finally:
+        load.drop()
+    return rows
 
 
 def silver_job(

@@ -49,7 +49,7 @@ from barflow.sinks.files import (
     write_raw,
     write_silver,
 )
-from barflow.sources.archive import archive_klines
+from barflow.sources.archive import archive_files, archive_klines, load_archives
 from barflow.sources.files import (
     bar_csv_scan,
     close_csv_scan,
@@ -207,6 +207,77 @@ def archive_bars(spark, sf_dir):
     return archive_klines(files)
 
 
+def _file_writer(base):
+    """Makes the function that zips blocks of bars into files below ``base``, with some that must be refused.
+
+    Each block gives one good archive; every block that 5 divides also gives one that breaks off and one whose
+    name says nothing. Writing the same file again replaces it, so a task may run twice.
+    """
+
+    def write(pdf):
+        import io
+        import zipfile
+
+        import pandas as pd
+        from pyarrow import fs
+
+        symbol, block = pdf["symbol"].iloc[0], int(pdf["block"].iloc[0])
+        lines = pdf.sort_values("event_id")[["ts", "open_text", "high", "low", "close", "volume"]]
+        buffer = io.BytesIO()
+        with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
+            archive.writestr("bars.csv", "open_time,open,high,low,close,volume\n" + lines.to_csv(index=False, header=False))
+        content = buffer.getvalue()
+        files = {f"{symbol}-1m-2024-01.zip": content}
+        if block % 5 == 0:
+            files |= {f"{symbol}-1m-2024-02.zip": content[: len(content) // 2], "notes.zip": content}
+        store, root = fs.FileSystem.from_uri(base) if "://" in base or base.startswith("file:") else (fs.LocalFileSystem(), base)
+        folder = f"{root}/{block}/{symbol}"
+        store.create_dir(folder, recursive=True)
+        for name, data in files.items():
+            with store.open_output_stream(f"{folder}/{name}") as out:
+                out.write(data)
+        return pd.DataFrame({"files": [len(files)]})
+
+    return write
+
+
+def _archive_load(spark, sf_dir):
+    """Zip files written by the tasks and read back; one open price in 89 is no number."""
+    base = scratch_path(spark, "zips")
+    is_bad = F.col("event_id") % 89 == 0
+    blocks = bars(spark, sf_dir).select(
+        "event_id", "symbol", "ts", "high", "low", "close", "volume",
+        F.when(is_bad, "n/a").otherwise(F.col("open").cast("string")).alias("open_text"),
+        F.expr("event_id div 2000").alias("block"),
+    )
+    blocks.groupBy("symbol", "block").applyInPandas(_file_writer(base), "files int").agg(F.sum("files")).collect()
+    return load_archives(archive_files(spark, base))
+
+
+@query(f"""WITH {BARS} SELECT ts, iso_ts, symbol, interval, open, high, low, close, volume FROM bars
+WHERE event_id % 89 <> 0""")
+def archive_file_bars(spark, sf_dir):
+    return _archive_load(spark, sf_dir).bars
+
+
+@query(f"""WITH {BARS}, files AS (SELECT DISTINCT event_id // 2000 AS block, symbol FROM bars)
+SELECT block || '/' || symbol || '/' || symbol || '-1m-2024-02.zip' AS file, 'bad_archive' AS reason
+FROM files WHERE block % 5 = 0 UNION ALL
+SELECT block || '/' || symbol || '/notes.zip', 'bad_name' FROM files WHERE block % 5 = 0""")
+def archive_file_faults(spark, sf_dir):
+    faults = _archive_load(spark, sf_dir).faults
+    return faults.select(F.regexp_extract("path", "([^/]+/[^/]+/[^/]+)$", 1).alias("file"), "reason")
+
+
+@query(f"""WITH {BARS}, placed AS (
+  SELECT *, row_number() OVER (PARTITION BY event_id // 2000, symbol ORDER BY event_id) AS line_no FROM bars)
+SELECT (event_id // 2000) || '/' || symbol || '/' || symbol || '-1m-2024-01.zip' AS file, line_no,
+       'bad_values' AS reason FROM placed WHERE event_id % 89 = 0""")
+def archive_file_rejects(spark, sf_dir):
+    rejects = _archive_load(spark, sf_dir).rejects
+    return rejects.select(F.regexp_extract("path", "([^/]+/[^/]+/[^/]+)$", 1).alias("file"), "line_no", "reason")
+
+
 _PERIOD_SQL = f"""WITH {CLOSES}, target AS (
   SELECT CAST(unnest(generate_series(DATE '2001-07-20', DATE '2001-08-05', INTERVAL 1 DAY)) AS DATE) AS t),
 history AS (

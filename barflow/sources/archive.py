@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import sys
+from dataclasses import dataclass
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barflow.operators.klines import VALUE_COLUMNS, parse_kline_rows
+from barflow.operators.klines import VALUE_COLUMNS, kline_outcomes, parse_kline_rows
+from barflow.schemas import BAR_COLUMNS
+from barflow.session import drop_path, scratch_path
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -108,12 +111,120 @@ def archive_klines(files: DataFrame) -> DataFrame:
     return parse_kline_rows(archive_rows(files))
 
 
-def archive_kline_scan(spark: SparkSession, path: str) -> DataFrame:
-    """Bars of all archives below ``path``; files are the unit of parallelism."""
-    files = (
+def archive_files(spark: SparkSession, path: str) -> DataFrame:
+    """All zip files below ``path``; files are the unit of parallelism."""
+    return (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", "*.zip")
         .option("recursiveFileLookup", "true")
         .load(path)
     )
-    return archive_klines(files)
+
+
+def archive_kline_scan(spark: SparkSession, path: str) -> DataFrame:
+    """Bars of all archives below ``path``. Lazy, so every archive is inflated twice; see ``load_archives``."""
+    return archive_klines(archive_files(spark, path))
+
+
+# --- one pass with side outputs ---------------------------------------------
+
+
+def _outcomes(batches):
+    """One row a line, and one with a reason for an archive that breaks off; every archive is inflated once.
+
+    Lines reach Spark before the end of their archive is known. What came of a broken one is taken out later, by
+    its row.
+    """
+    import io
+    import re
+    import zipfile
+    import zlib
+
+    import pandas as pd
+
+    broken = (zipfile.BadZipFile, zlib.error, EOFError, NotImplementedError, RuntimeError, OSError, ValueError)
+    named = re.compile(FILE_NAME)
+
+    def frame(path, start, lines, fault=None):
+        at = range(start, start + len(lines))
+        return pd.DataFrame({"path": path, "line_no": at, "line": lines, "fault": [fault] * len(lines)})
+
+    def pieces(path, content):
+        buffer, start = [], 0
+        with zipfile.ZipFile(io.BytesIO(content)) as archive:
+            names = archive.namelist()
+            if not names:
+                raise KeyError(path)
+            with archive.open(names[0]) as member:
+                for line in io.TextIOWrapper(member, "utf-8", errors="replace", newline=""):
+                    buffer.append(line.rstrip("\r\n"))
+                    if len(buffer) == LINES_PER_BATCH:
+                        yield frame(path, start, buffer)
+                        start, buffer = start + len(buffer), []
+        if buffer:
+            yield frame(path, start, buffer)
+
+    for batch in batches:
+        for path, content in zip(batch["path"], batch["content"]):
+            if not named.search(path):
+                yield frame(path, 0, [None], "bad_name")
+                continue
+            try:
+                yield from pieces(path, content)
+            except KeyError:
+                yield frame(path, 0, [None], "empty_archive")
+            except broken:
+                yield frame(path, 0, [None], "bad_archive")
+
+
+@dataclass(frozen=True)
+class ArchiveLoad:
+    """What one pass over a set of archives gave. All three frames read one stored table.
+
+    ``bars``: the bars of whole archives. ``rejects``: ``path, line_no, reason`` of their unreadable
+    lines, numbered from 0; a heading in line 0 is no reject. ``faults``: ``path, reason`` of archives
+    of which nothing is taken: ``bad_name``, ``empty_archive``, ``bad_archive``.
+    """
+
+    bars: DataFrame
+    rejects: DataFrame
+    faults: DataFrame
+    path: str
+
+    def drop(self) -> None:
+        """Delete the stored table; the frames cannot be read afterwards."""
+        drop_path(self.bars.sparkSession, self.path)
+
+
+def load_archives(files: DataFrame) -> ArchiveLoad:
+    """Read and parse every archive of ``path, content`` rows once, with bars, rejects and faults as side outputs.
+
+    The pass is written below the shared folder: typed values for bars, the reason for what is none. Empty
+    input gives three empty frames; files given twice give their rows twice; a null content is a ``bad_archive``.
+    """
+    spark = files.sparkSession
+    known = files.where("path IS NOT NULL").select("path", F.coalesce("content", F.lit(b"")).alias("content"))
+    lines = known.mapInPandas(_outcomes, "path string, line_no bigint, line string, fault string")
+    fields = F.from_csv("line", _FIELDS)
+    named = lines.select(
+        "path",
+        "line_no",
+        "fault",
+        F.regexp_extract("path", FILE_NAME, 1).alias("symbol"),
+        F.regexp_extract("path", FILE_NAME, 2).alias("interval"),
+        fields.alias("f"),
+    ).select("path", "line_no", "fault", "symbol", "interval", "f.*")
+    heading = (F.col("line_no") == 0) & F.col("fault").isNull() & F.rlike("open_time", F.lit("^\\s*[A-Za-z]"))
+    parsed = kline_outcomes(named.where(~F.coalesce(heading, F.lit(False))), ("path", "line_no", "fault"))
+    target = scratch_path(spark, "archives")
+    parsed.write.parquet(target)
+    whole = spark.read.schema(parsed.schema).parquet(target)
+    faults = whole.where("fault IS NOT NULL").select("path", F.col("fault").alias("reason"))
+    # lines of an archive that broke off later; the few broken ones are a side that Spark sizes by itself
+    kept = whole.where("fault IS NULL").join(faults.select("path").distinct(), "path", "left_anti")
+    return ArchiveLoad(
+        kept.where("reason IS NULL").select(*BAR_COLUMNS),
+        kept.where("reason IS NOT NULL").select("path", "line_no", "reason"),
+        faults,
+        target,
+    )

@@ -14,7 +14,7 @@ from barflow.operators.klines import decode_payload, stored_range, validate_bars
 from barflow.operators.posts import posts_since
 from barflow.plans.jobs import archive_backfill_job, macro_job, silver_job
 from barflow.sinks.files import write_month, write_silver
-from barflow.sources.archive import archive_faults, archive_kline_scan, archive_klines, archive_lines, archive_rejects
+from barflow.sources.archive import archive_faults, archive_files, archive_kline_scan, archive_klines, archive_lines, archive_rejects, load_archives
 from barflow.sources.files import bar_csv_scan, event_csv_scan, silver_scan
 from barflow.streaming.bars import file_stream, start_files, stream_bars, stream_latest
 
@@ -166,3 +166,37 @@ def test_faulty_archives_are_rejected_whole(spark):
     counts = {r["path"][3]: r["count"] for r in archive_lines(files).groupBy("path").count().collect()}
     assert counts == {"A": 50_000}
     assert sorted((r["path"][3], r["reason"]) for r in archive_faults(files).collect()) == [("B", "bad_archive"), ("C", "bad_archive")]
+
+
+def test_one_pass_over_archives_reports_what_it_leaves_out(spark, tmp_path):
+    base, line = tmp_path / "zips", f"{START},1,2,0.5,1.5,3\n"
+    base.mkdir()
+    _zip(base / "AAA-1m-2025-01.zip", "open_time,open,high,low,close,volume\n" + line + "x,1,2,0.5,1.5,3\n" + f"{START},1,oops,0.5,1.5,3\n\n")
+    _zip(base / "EEE-1m-2025-01.zip", "")
+    _zip(base / "notes.zip", line)
+    # 100,000 lines, so that parts of the archive have left the task before it breaks off
+    _zip(base / "BBB-1m-2025-01.zip", line * 100_000)
+    broken = bytearray((base / "BBB-1m-2025-01.zip").read_bytes())
+    broken[len(broken) * 3 // 4] ^= 1
+    (base / "BBB-1m-2025-01.zip").write_bytes(broken)
+    with zipfile.ZipFile(base / "CCC-1m-2025-01.zip", "w"):
+        pass
+    load = load_archives(archive_files(spark, str(base)))
+    name = lambda r: r["path"].rsplit("/", 1)[1][:3]
+    assert [(r["symbol"], r["ts"], r["volume"]) for r in load.bars.collect()] == [("AAA", START, 3.0)]
+    assert sorted((name(r), r["line_no"], r["reason"]) for r in load.rejects.collect()) == [
+        ("AAA", 2, "bad_open_time"), ("AAA", 3, "bad_values"), ("AAA", 4, "bad_open_time")
+    ]
+    assert sorted((name(r), r["reason"]) for r in load.faults.collect()) == [
+        ("BBB", "bad_archive"), ("CCC", "empty_archive"), ("not", "bad_name")
+    ]
+    load.drop()
+    out, report = str(tmp_path / "months"), str(tmp_path / "report")
+    assert archive_backfill_job(spark, str(base), out, "2025-01-01", "2025-01-31", report=report) == 1
+    assert spark.read.json(f"{report}/faults").count() == 3 and spark.read.json(f"{report}/rejects").count() == 3
+    with pytest.warns(UserWarning, match="3 archives"):
+        assert archive_backfill_job(spark, str(base), out, "2025-01-01", "2025-01-31") == 1
+    nothing = load_archives(spark.createDataFrame([], "path string, content binary"))
+    assert nothing.bars.count() == nothing.rejects.count() == nothing.faults.count() == 0
+    odd = spark.createDataFrame([("/x/A-1m-2025-01.zip", None, 1), (None, bytearray(b"x"), 2)], "path string, content binary, fault int")
+    assert [r["reason"] for r in load_archives(odd).faults.collect()] == ["bad_archive"]
