@@ -40,6 +40,7 @@ from barflow.plans.inputs import (
     BARS,
     CLOSES,
     MINUTE_BARS,
+    PAYLOAD_SQL,
     RETURNS,
     TICKS,
     as_bars,
@@ -55,6 +56,7 @@ from barflow.plans.inputs import (
     text_dates,
     tick_bars,
     ticks,
+    with_payload,
 )
 from barflow.plans.registry import query
 from barflow.sinks.kafka import kafka_encode
@@ -139,22 +141,19 @@ def local_day_rows(spark, sf_dir):
 
 
 @query(f"""WITH {BARS} SELECT event_id, strftime({BERLIN_DAY}, '%Y-%m-%d') AS date,
-       symbol AS key FROM bars""")
+       symbol AS key, {PAYLOAD_SQL} FROM bars""")
 def envelope_dates(spark, sf_dir):
     out = envelope_project(envelopes(spark, sf_dir))
     event_id = F.col("offset") * 3 + F.col("partition")
-    return text_dates(out.select(event_id.alias("event_id"), "date", "key"), "date")
+    return text_dates(with_payload(out.withColumn("event_id", event_id), "event_id", "date", "key"), "date")
 
 
 @query(f"""WITH {BARS} SELECT event_id % 3 AS partition, event_id // 3 AS "offset", symbol AS key,
-       '2024-01-20' AS date FROM bars WHERE {BERLIN_DAY} = DATE '2024-01-20'""")
+       '2024-01-20' AS date, {PAYLOAD_SQL} FROM bars WHERE {BERLIN_DAY} = DATE '2024-01-20'""")
 def kafka_day(spark, sf_dir):
     events = stored_range(table(spark, sf_dir, "events"), "ts", "2024-01-20", "2024-01-20", LOCAL_ZONE)
     out = kafka_envelope_day(as_envelopes(as_bars(as_ticks(events))), "2024-01-20")
-    return text_dates(
-        out.select(F.col("partition").cast("bigint").alias("partition"), "offset", "key", "date"),
-        "date",
-    )
+    return text_dates(with_payload(out, "partition", "offset", "key", "date"), "date")
 
 
 @query(f"""WITH {TICKS}, m AS (SELECT event_id % 3 AS p, event_id // 3 AS o, ts FROM ticks),

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from barflow.functions.once import with_computed
 from barflow.functions.timecols import iso_from_ms
 from barflow.operators.bars import daily_close, ticks_as_bars
+from barflow.operators.klines import decode_payload
 from barflow.operators.macro import decision_class
 from barflow.operators.returns import log_returns
 from barflow.session import pin_settings
@@ -121,6 +122,21 @@ def as_envelopes(b: DataFrame) -> DataFrame:
     )
 
 
+def with_payload(df: DataFrame, *keep: str) -> DataFrame:
+    """Envelopes with what their message says: topic, broker time, form, and the decoded fields of the value."""
+    shown = df.withColumns({
+        "partition": F.col("partition").cast("bigint"),
+        "sent": F.unix_millis("timestamp"),
+        "form": F.when(F.startswith("value", F.lit("{")), "json").otherwise("csv"),
+    })
+    return decode_payload(shown, keep=(*keep, "topic", "sent", "form"))
+
+
+PAYLOAD_SQL = """'topic_0' AS topic, ts AS sent,
+       CASE event_id % 2 WHEN 0 THEN 'json' ELSE 'csv' END AS form,
+       ts, iso_ts, symbol, interval, open, high, low, close, volume"""
+
+
 # --- daily series -----------------------------------------------------------
 
 

@@ -16,6 +16,7 @@ from barflow.plans.inputs import (
     BARS,
     CLOSES,
     MINUTE_BARS,
+    PAYLOAD_SQL,
     RELEASES,
     TICKS,
     as_bars,
@@ -31,6 +32,7 @@ from barflow.plans.inputs import (
     table,
     text_dates,
     tick_bars,
+    with_payload,
 )
 from barflow.plans.jobs import (
     forecast_job,
@@ -62,17 +64,17 @@ from barflow.sources.files import (
 )
 from barflow.sources.kafka import envelope_project
 from barflow.streaming.bars import file_stream, start_files, stream_bars, stream_dedup, stream_latest, stream_raw
+from barflow.streaming.merge import revised_scan, start_merge
 
 _MONTHS = "interval STRING, symbol STRING, month STRING"
 _DAY_TEXT = f"strftime({BERLIN_DAY}, '%Y-%m-%d')"
 
 _RAW_SQL = f"""WITH {BARS} SELECT event_id % 3 AS partition, event_id // 3 AS "offset",
-       symbol AS key, {_DAY_TEXT} AS date FROM bars"""
+       symbol AS key, {_DAY_TEXT} AS date, {PAYLOAD_SQL} FROM bars"""
 
 
 def _raw_shown(df):
-    shown = df.select(F.col("partition").cast("bigint").alias("partition"), "offset", "key", "date")
-    return text_dates(shown, "date")
+    return text_dates(with_payload(df, "partition", "offset", "key", "date"), "date")
 
 
 @query(_RAW_SQL)
@@ -447,3 +449,35 @@ def stream_bars_dedup(spark, sf_dir):
     rolled = stream_bars(latest, "4h", None)
     start_files(rolled, path, state).awaitTermination()
     return spark.read.schema(rolled.schema).parquet(path)
+
+
+_REVISED_SQL = f"""WITH {MINUTE_BARS}, ok AS (SELECT * FROM minute_bars WHERE {VALID}
+  QUALIFY row_number() OVER (PARTITION BY symbol, ts ORDER BY event_id DESC) = 1)
+SELECT {_SILVER_COLUMNS}, event_id AS revision FROM ok"""
+
+
+def _corrected(spark, sf_dir, checkpoints):
+    """Half of the arrivals, then the other half, each in a run of its own; both hold older and newer ones."""
+    drops, path = scratch_path(spark, "arrivals"), scratch_path(spark, "revised")
+    arrivals = minute_bars(spark, sf_dir).drop("iso_ts")
+    for rest, checkpoint in enumerate(checkpoints):
+        if rest < 2:
+            arrivals.where(F.col("event_id") % 2 == rest).write.mode("append").parquet(drops)
+        stream = file_stream(spark, drops, arrivals.schema, maxFilesPerTrigger=8)
+        start_merge(stream, path, checkpoint, "event_id").awaitTermination()
+    shown = revised_scan(spark, path).withColumn("open_ms", F.unix_millis("open_ts"))
+    return text_dates(shown.drop("open_ts"), "date")
+
+
+@query(_REVISED_SQL)
+def stream_corrections(spark, sf_dir):
+    """Corrections that come in a later run than the bar, in any order."""
+    state = scratch_path(spark, "state")
+    return _corrected(spark, sf_dir, [state, state])
+
+
+@query(_REVISED_SQL)
+def stream_corrections_replayed(spark, sf_dir):
+    """The same, and then everything once more under a new checkpoint."""
+    state = scratch_path(spark, "state")
+    return _corrected(spark, sf_dir, [state, state, scratch_path(spark, "state")])

@@ -74,6 +74,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(place)
 
 
+def mark_path(spark: SparkSession, path: str) -> None:
+    """Make an empty folder that says a step is done."""
+    files, place = _file_system(spark, path)
+    files.mkdirs(place)
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Delete a table that this code wrote below the shared folder."""
     files, place = _file_system(spark, path)
