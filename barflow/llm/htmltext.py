@@ -52,7 +52,7 @@ BLOCK = frozenset(
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Content that is not text of the page.
-RAW = frozenset("script style title textarea noscript template iframe svg math canvas object select".split())
+RAW = frozenset("script style title textarea noscript template iframe svg canvas object select annotation annotation-xml".split())
 CONTAINER = frozenset("article main section div td body blockquote center details".split())
 #: An open element that the start of another one ends, and what it may not reach beyond.
 ENDS = {
@@ -61,10 +61,11 @@ ENDS = {
     "tr": ({"tr", "td", "th"}, {"table"}), "tbody": ({"tbody", "thead", "tfoot", "tr", "td", "th"}, {"table"}),
 }
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
-BOILER_TAGS = frozenset("nav footer aside form button menu dialog label head".split())
-BOILER_ROLES = frozenset(
-    "navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar".split()
-)
+BOILER_TAGS = frozenset("nav footer aside button menu head".split())
+BOILER_ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog menu menubar".split())
+#: Parts that some sites wrap the whole page in; like names, they go unless they hold the page's content.
+FORM_TAGS = frozenset("form dialog label".split())
+FORM_ROLES = frozenset("form dialog".split())
 BOILER_NAMES = frozenset(
     "nav navbar navigation menu menubar breadcrumb breadcrumbs sidebar sidenav rail widget widgets ad ads adv advert "
     "adverts advertisement advertising adsense sponsor sponsored promo promotion cookie cookies consent gdpr "
@@ -91,7 +92,8 @@ class Element:
     own: bool = False  # inside an article or main
     link: bool = False
     score: float = 0.0
-    named: bool = False  # boilerplate by its own class or id
+    named: bool = False  # boilerplate by its own class or id, or a form
+    form: bool = False  # a form, dialog or label without such a name
     hard: bool = False  # boilerplate whatever the names
     article: bool = False  # an article or main without such a name
     size: int = 0  # characters of text outside boilerplate
@@ -126,13 +128,14 @@ def _element(tag: str, attributes: str, above: Element, parent: int, wrapper: bo
     ours = tag in ("article", "main")
     labelled = bool(names & BOILER_NAMES) and tag not in ("html", "body") and not ours
     header = above.header or ((tag == "header" or "header" in names) and tag not in HEADINGS)
+    form = tag in FORM_TAGS or values.get("role", "") in FORM_ROLES
     always = (
         hidden or tag in BOILER_TAGS or values.get("role", "") in BOILER_ROLES
         or (header and not above.header and not own and not names & OWN_HEADER)
     )
     return Element(
-        tag, parent, above.path + step, above.boiler or always or (labelled and not wrapper), header, own,
-        above.link or tag == "a", named=labelled, hard=above.hard or always, article=ours and not names & BOILER_NAMES,
+        tag, parent, above.path + step, above.boiler or always or ((labelled or form) and not wrapper), header, own,
+        above.link or tag == "a", named=labelled or form, form=form and not labelled, hard=above.hard or always, article=ours and not names & BOILER_NAMES,
     )
 
 
@@ -145,23 +148,31 @@ def parse(source: str) -> Page:
 
 def _wrappers(page: Page) -> frozenset[int]:
     """The elements named like boilerplate that hold the page's content: articles or mains with more running text
-    than there is outside, or nearly all running text and the first heading."""
+    than there is outside, or nearly all running text and the first heading. A form may have paragraphs with most
+    of the page's running text instead of the heading."""
     elements = page.elements
     if not any(e.named and not e.hard for e in elements):
         return frozenset()
     text, articles, heading = [0] * len(elements), [0] * len(elements), [e.tag == "h1" for e in elements]
+    prose = [0] * len(elements)
     for index, words, linked in page.blocks:
         if not elements[index].hard:
             text[index] += max(0, len(words) - 2 * linked)
+            if elements[index].tag == "p":
+                prose[index] = text[index]
     for i in range(len(elements) - 1, 0, -1):
         above = elements[i].parent
         text[above] += text[i]
+        prose[above] += prose[i]
         articles[above] += text[i] if elements[i].article else articles[i]
         heading[above] |= heading[i]
     return frozenset(
         i for i, e in enumerate(elements)
         if e.named and not e.hard and text[i]
-        and (articles[i] > text[0] - text[i] or (heading[i] and text[i] >= DOMINANT * text[0]))
+        and (
+            articles[i] > text[0] - text[i]
+            or (text[i] >= DOMINANT * text[0] and (heading[i] or (e.form and 2 * prose[i] > text[0])))
+        )
     )
 
 

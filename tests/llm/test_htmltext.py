@@ -76,6 +76,24 @@ def test_wrappers_named_after_their_parts_keep_the_article():
     assert htmltext.main_text(page, None) == "Title\n" + story.strip()
 
 
+def test_pages_in_one_form_keep_their_article():
+    story, login = "A story of this page, with a good many words. " * 6, "<form class='login'><label>Name</label><input><p>Enter it.</p></form>"
+    nav = "<nav><a>Home</a></nav><div class='sidebar'><p>side words</p></div>"
+    for start, end in (("<form id='aspnetForm'>", "</form>"), ("<div role='form'>", "</div>"), ("<dialog open>", "</dialog>")):
+        for body in (f"<article><p>{story}</p></article>", f"<div><p>{story}</p></div>", f"<h1>Title</h1><div>{story}</div>"):
+            page = f"<html><body>{start}{nav}{body}<button>Send</button>{end}</body></html>"
+            title = "Title\n" if "h1" in body else ""
+            assert htmltext.main_text(page, None) == title + story.strip(), (start, body)
+    # a form beside the article goes, and so does one in it
+    for page in (f"<body>{login}<div><p>{story}</p></div></body>", f"<body><article><p>{story}</p>{login}</article></body>"):
+        assert htmltext.main_text(page, None) == story.strip()
+
+
+def test_formulas_are_text():
+    formula = "<math><semantics><mrow><mi>E</mi><mo>=</mo><mi>m</mi></mrow><annotation encoding='application/x-tex'>E=m</annotation></semantics></math>"
+    assert htmltext.main_text(f"<body><p>The energy is {formula} as shown</p></body>", None) == "The energy is E=m as shown"
+
+
 def test_named_parts_beside_or_in_the_article_still_go():
     story, more = "A story of this page, with words. " * 6, "Another story to be read next. " * 4
     card = f"<div class='related'><article><p>{more}</p></article></div>"
