@@ -17,7 +17,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barflow.llm.common import stored
+from barflow.llm.common import release, stored, tables
 from barflow.llm.components import connected_components
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -101,17 +101,22 @@ def bucket_components(members: DataFrame, confirm: Callable[[DataFrame], DataFra
     (a, b) that are links; ``alike``: a condition on size and other_size that every link meets; ``rest``
     gives the links between components within the buckets left, instead of confirming all their pairs."""
     alike = F.lit(True) if alike is None else alike
-    labelled, links, labels = members.withColumn("component", F.col("node")), None, None
+    labelled, links, labels, found_links = members.withColumn("component", F.col("node")), None, None, []
     for turn in range(hub_rounds + 1):
         if turn < hub_rounds:
             found = confirm(_hub_pairs(labelled, alike, hubs, turn))
         else:
             found = rest(labelled) if rest else confirm(_left_pairs(labelled, alike))
         found = stored(found, "links")
+        found_links.append(found)
         links = found if links is None else links.unionByName(found)
-        labels = connected_components(links)
+        with tables() as edges:
+            labels = connected_components(links)
         if turn < hub_rounds:
+            last = labelled
             labelled = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
             # buckets that lie in one component are done
             labelled = stored(labelled.join(_open_buckets(labelled), "bucket"), "labelled")
+            release(last, *edges)
+    release(labelled, *found_links)
     return labels

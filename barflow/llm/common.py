@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 import sys
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+from functools import wraps
+from weakref import WeakKeyDictionary
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barflow.session import pin_settings, scratch_path
+from barflow.session import drop_path, pin_settings, scratch_path
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -27,15 +32,60 @@ def small_batches(df: DataFrame, rows: int = 512) -> DataFrame:
     return df
 
 
+_PATHS: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+_HELD: ContextVar[list[DataFrame] | None] = ContextVar("held", default=None)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The frame written below the shared folder and read back, so that its lineage ends there.
 
     What reads it again survives the loss of an executor, is not computed twice, and its size is
-    known to the planner.
+    known to the planner. ``release`` deletes the table once nothing reads it any more.
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    _PATHS[table] = path
+    held = _HELD.get()
+    if held is not None:
+        held.append(table)
+    return table
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete stored tables; other frames, and tables that are gone already, are left alone."""
+    for table in tables:
+        path = _PATHS.pop(table, None)
+        if path is not None:
+            drop_path(table.sparkSession, path)
+
+
+@contextmanager
+def tables() -> Iterator[list[DataFrame]]:
+    """The tables stored inside, as a list. After an error they are deleted, else the scope around has them."""
+    held: list[DataFrame] = []
+    outer = _HELD.get()
+    mark = _HELD.set(held)
+    try:
+        yield held
+    except BaseException:
+        release(*held)
+        raise
+    finally:
+        _HELD.reset(mark)
+    if outer is not None:
+        outer.extend(held)
+
+
+def cleaned(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """An operator that leaves no stored table behind when it fails."""
+
+    @wraps(operator)
+    def run(*args, **kwargs) -> DataFrame:
+        with tables():
+            return operator(*args, **kwargs)
+
+    return run
 
 
 def growing(df: DataFrame) -> DataFrame:

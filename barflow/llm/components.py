@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barflow.llm.common import stored
+from barflow.llm.common import release, stored
 
 
 def _downward(pairs: DataFrame) -> DataFrame:
@@ -40,7 +40,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
         if tuple(mark) == before:
             break
         before = tuple(mark)
-        now = stored(_small_star(_large_star(now)), "edges")
+        last, now = now, stored(_small_star(_large_star(now)), "edges")
+        release(last)
     roots = now.select(F.col("v").alias("node")).distinct()
     rays = now.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return rays.unionByName(roots.select("node", F.col("node").alias("component")))

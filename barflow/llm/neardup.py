@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barflow.llm.buckets import Rows, bucket_components, links_in_tasks
-from barflow.llm.common import growing, small_batches, stored
+from barflow.llm.common import cleaned, growing, release, small_batches, stored
 from barflow.llm.wordcodes import mixed, shingles, word_chunks
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -251,6 +251,7 @@ def _group_links(rows: Rows, at: np.ndarray, settings: Settings, steps: list[tup
     return found
 
 
+@cleaned
 def near_duplicates(docs: DataFrame, settings: Settings = Settings(), id_column: str = "doc_id",
                     text: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row; kept marks the least id of a component."""
@@ -277,6 +278,7 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings(), id_column:
             lambda rows, at: _group_links(rows, at, settings, steps),
         ),
     )
+    release(members, involved, texts)
     same_set = ["n_shingles", "set_a", "set_b"]
     by_node = nodes.select(*same_set, "node").join(labels, "node", "left")
     by_node = by_node.select(*same_set, F.coalesce("component", "node").alias("component_id"))

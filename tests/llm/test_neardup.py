@@ -1,8 +1,9 @@
 import random
 
 import brute
-from barflow.llm import buckets, components, neardup
+from barflow.llm import buckets, common, components, neardup
 from barflow.llm.queries import QUERIES
+from barflow.session import path_exists
 
 
 def test_matches_brute_force(spark):
@@ -61,3 +62,20 @@ def test_edges(spark):
     assert {r[2] for r in rows if r[0] in (3, 4, None)} == {3}
     assert (1, 0, 1, True) in rows and (2, 0, 2, True) in rows and (7, 0, 7, True) in rows
     assert neardup.near_duplicates(brute.empty_table(spark)).count() == 0
+
+
+def test_only_the_tables_of_the_result_are_left(spark, monkeypatch):
+    made = []
+    write = common.scratch_path
+    monkeypatch.setattr(common, "scratch_path", lambda session, name: made.append((name, write(session, name))) or made[-1][1])
+    docs = spark.createDataFrame(brute.documents(), "doc_id long, text string")
+    out = neardup.near_duplicates(docs)
+    left = lambda: sorted(name for name, path in made if path_exists(spark, path))
+    assert left() == ["edges", "nodes", "signatures"] and out.count() == docs.count()
+    made.clear()
+    monkeypatch.setattr(neardup, "bucket_components", None)
+    try:
+        neardup.near_duplicates(docs)
+    except TypeError:
+        pass
+    assert made and left() == []
