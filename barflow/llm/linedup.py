@@ -22,18 +22,19 @@ through, whatever their names; an empty table gives an empty table.
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from os.path import commonprefix
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barflow.llm.buckets import Rows, bucket_components, links_in_tasks
-from barflow.llm.common import SPACES, free_name, growing, small_batches, stored, unsigned_crc32
+from barflow.llm.common import SPACES, cleaned, free_name, growing, release, small_batches, stored, unsigned_crc32
 from barflow.llm.wordcodes import mixed, powers
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -254,22 +255,40 @@ def _group_links(rows: Rows, at: np.ndarray, threshold: int) -> list[tuple[int,
 def line_classes(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """(node, component) of the distinct lines that are near another one. ``docs`` has text."""
     rows = _rows_of(docs, settings)
-    shared = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
-    members = stored(rows.join(shared, "bucket").distinct(), "buckets")
-    several = members.groupBy("bucket").agg(F.min("node").alias("n0"), F.max("node").alias("n1")).where("n0 <> n1")
-    members = stored(members.join(several.select("bucket"), "bucket").withColumn("size", F.lit(0)), "buckets")
+    # of different lines: copies of a line share all its buckets and are one node
+    shared = rows.groupBy("bucket").agg(F.min("node").alias("n0"), F.max("node").alias("n1")).where("n0 <> n1")
+    members = stored(rows.join(shared.select("bucket"), "bucket").distinct().withColumn("size", F.lit(0)), "buckets")
     involved = stored(members.select("node").distinct(), "candidates")
     lines = _line_texts(docs, settings).join(growing(involved), "node", "left_semi")
     texts = stored(lines.groupBy("node").agg(F.first("line").alias("line")), "lines")
-    return bucket_components(
+    labels = bucket_components(
         members, lambda pairs: _confirm(pairs, texts, settings),
         rest=lambda left: links_in_tasks(
             left, texts, lambda rows: rows | {"letters": _letters(rows["line"].tolist())},
             lambda rows, at: _group_links(rows, at, settings.threshold),
         ),
     )
+    release(members, involved, texts)
+    return labels
 
 
+def _without_lines() -> Callable[[Column, Column], Column]:
+    """The text without the lines at the given places, in one pass; null texts stay null."""
+
+    @F.pandas_udf("string")
+    def cut(text: pd.Series, gone: pd.Series) -> pd.Series:
+        def kept(value, places):
+            if value is None:
+                return None
+            out = set(places.tolist())
+            return "\n".join(line for i, line in enumerate(value.split("\n")) if i not in out)
+
+        return pd.Series([kept(*row) for row in zip(text, gone)], dtype=object)
+
+    return cut
+
+
+@cleaned
 def dedup_lines(docs: DataFrame, settings: Settings = Settings(), id_column: str = "doc_id",
                 text: str = "text") -> DataFrame:
     """The documents (all columns) with the later lines of every class taken out, and the array of the
@@ -291,9 +310,8 @@ def dedup_lines(docs: DataFrame, settings: Settings = Settings(), id_column: str
     named = docs.withColumns({name_a: F.xxhash64(id_column, text), name_b: unsigned_crc32(F.col(text))})
     met = named.join(growing(lists), [name_a, name_b], "left")
     gone = F.coalesce(removed, F.array().cast("array<bigint>"))
-    left = F.array_join(
-        F.filter(F.split(text, "\n", -1), lambda line, i: ~F.array_contains(gone, i.cast("bigint"))), "\n"
-    )
-    new_text = F.when(F.size(gone) > 0, left).otherwise(F.col(text))
+    cut = F.size(gone) > 0
+    left = _without_lines()(F.when(cut, F.col(text)), gone)
+    new_text = F.when(cut, left).otherwise(F.col(text))
     columns = [new_text.alias(text) if c == text else F.col(c) for c in docs.columns]
     return met.select(*columns, F.array_sort(gone).alias(name_r))

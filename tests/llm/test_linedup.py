@@ -87,3 +87,11 @@ def test_short_lines_only_by_equality(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     out = linedup.dedup_lines(df, linedup.Settings(exact_short=True))
     assert {r["doc_id"]: r["text"] for r in out.collect()} == {1: "a short line\n\nshort", 2: "a short lime\n\nend", 3: ""}
+
+
+def test_very_many_lines_take_linear_time(spark):
+    text = "\n".join(["the same line of this long text again and again", ""] * 150_000)
+    df = spark.createDataFrame([(1, text), (2, "another line which is long enough")], "doc_id long, text string")
+    rows = {r["doc_id"]: r for r in linedup.dedup_lines(df).collect()}
+    assert len(rows[1]["places_removed"]) == 149_999 and rows[2]["text"] == "another line which is long enough"
+    assert rows[1]["text"] == "the same line of this long text again and again" + "\n" * 150_000
