@@ -1,4 +1,5 @@
 import collections
+import random
 import re
 
 import duckdb
@@ -67,3 +68,14 @@ def test_edges(spark):
     for _, stage in corpus_pipeline.STAGES:
         empty = stored(stage(spark, empty, brute.SF), "empty")
     assert empty.count() == 0
+
+
+def test_rows_that_share_an_id_or_have_none(spark):
+    """One of each group stays; an unrelated text under the id of a copy stays too."""
+    rng = random.Random(3)
+    a, b, c = (" ".join(rng.choice("abcdefgh") + str(rng.randrange(500)) for _ in range(80)) for _ in range(3))
+    rows = [(5, a), (7, a + " more"), (7, b), (None, c), (None, c), (None, c + " more"), (9, c + " again"), (None, None), (5, a)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = dict(corpus_pipeline.STAGES)["near_duplicates"](spark, docs, brute.SF)
+    got = collections.Counter((r["doc_id"], r["text"]) for r in out.collect())
+    assert got == {(5, a): 1, (7, b): 1, (9, c + " again"): 1, (None, None): 1}
