@@ -3,7 +3,7 @@
 Each stage takes (spark, docs, sf_dir) and works on all that the stage before it kept; every stage
 but the last returns the columns of documents. ``run`` writes each stage's rows to the shared folder.
 
-Rows that share an id are one document. Null texts fail the quality rules; empty tables pass through
+Rows are judged one by one, also where they share an id or have none. Null texts fail the quality rules; empty tables pass through
 every stage. SQL cannot express the near-duplicate and packing stages, so there is no oracle.
 """
 
@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barflow.llm import decontaminate, linedup, neardup, packing, quality
-from barflow.llm.common import SPACES, growing, stored, table
+from barflow.llm.common import SPACES, free_name, growing, release, stored, table, tables
 from barflow.llm.queries import token_ranks
 
 
@@ -32,10 +32,18 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The least document of every group with 80 % of five-word shingles in common."""
-    groups = neardup.near_duplicates(docs, neardup.Settings(words=5, percent=80, bands=40))
-    later = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(growing(later), "doc_id", "left_anti").select(*docs.columns)
+    """The least document of every group with 80 % of five-word shingles in common.
+
+    Every row has a key of its own, so rows that share an id are judged apart and rows without one take part;
+    of a group the row with the least id stays, one without an id only where none has one.
+    """
+    key = free_name(docs, "row_key")
+    keyed = stored(docs.withColumn(key, F.monotonically_increasing_id()), "keyed")
+    groups = neardup.near_duplicates(keyed, neardup.Settings(words=5, percent=80, bands=40), id_column=key)
+    placed = keyed.select(key, "doc_id").join(growing(groups.select(F.col("doc_id").alias(key), "component_id")), key)
+    rank = F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", key)
+    first = placed.groupBy("component_id").agg(F.min(rank).alias("first")).select(F.col(f"first.{key}").alias(key))
+    return keyed.join(growing(first), key, "left_semi").select(*docs.columns)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -64,5 +72,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), name)
+        with tables() as used:
+            kept = stored(stage(spark, docs, sf_dir), name)
+        release(docs, *[t for t in used if t is not kept])
+        docs = kept
     return docs
