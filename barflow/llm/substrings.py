@@ -4,9 +4,10 @@ Every byte covered by a string of ``length`` bytes that also starts anywhere els
 
 Where a global transform would need all texts in one place, equal strings are first brought together:
 each window of ``length`` bytes picks the k-gram of least hash in it, leftmost among equals, so equal windows
-pick equal k-grams at equal places. Windows of a text that pick one k-gram are consecutive and make a
-fragment. Fragments whose k-gram occurs once in the corpus cannot repeat and are never cut out;
-equal fragments are counted; the different fragments of one k-gram go to one block.
+pick equal k-grams at equal places. Consecutive windows that pick one k-gram make a fragment, also where it
+moves on with them, as in periodic passages: those are one fragment, whatever their length. Fragments whose
+k-gram occurs once in the corpus cannot repeat and are never cut out; equal fragments are counted by
+digest; of the different fragments of one k-gram, each is cut out once and goes to one block.
 
 In a block the transform of the joined fragments is expanded breadth first: from the intervals of
 all strings of l bytes, one step to the left gives those of l + 1 bytes, and an interval whose right
@@ -14,7 +15,8 @@ end has no value yet fixes the common prefix there as l. Values come in increasi
 ``length`` rounds the expansion stops, and neighbours without a value share at least ``length`` bytes.
 
 A k-gram whose fragments exceed ``GROUP_BYTES`` (a passage with very many different surroundings)
-is not put in one block: its windows are counted by 128-bit digest over all tasks.
+is not put in one block: its windows are counted by 128-bit digest over all tasks. So are those of a single
+fragment that large (megabytes of padding).
 
 Texts with equal copies are looked at once; a copied text of ``length`` bytes or more goes as a whole.
 
@@ -36,7 +38,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barflow.llm.common import growing, small_batches, stored, text_or_empty, unsigned_crc32
+from barflow.llm.common import cleaned, growing, release, small_batches, stored, text_or_empty, unsigned_crc32
 from barflow.llm.wordcodes import column_bytes, mixed, powers
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -44,24 +46,27 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 LENGTH = 400
 #: Bytes of the k-gram that a window picks; most of a window, so that few texts share one by chance.
 GRAM_SHARE = 3
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
+MAX_PARTITIONS = 10_000
 GROUP_BYTES = 4 << 20
+#: Rows that a task makes before it hands them on.
+HANDED_ROWS = 100_000
 SEPARATOR = 0xFF  # in no UTF-8 text
+PLACE_BITS = np.uint64(32)
 
 
-def picks(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(first window, last window, code of the k-gram) of every run of windows that pick one k-gram."""
+def picks(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(first window, last window, code of the k-gram, places of it) of every run of windows that pick one k-gram."""
     n, k = len(data), max(1, length // GRAM_SHARE)
     if n < length:
         none = np.zeros(0, np.int64)
-        return none, none, none.astype(np.uint64)
+        return none, none, none.astype(np.uint64), none
     up, down = powers(n + 1)
     sums = np.zeros(n + 1, dtype=np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:n], out=sums[1:])
     codes = mixed((sums[k:] - sums[:-k]) * down[: n - k + 1])
-    # high bits of the code, then the place: the least is the leftmost of the least codes
-    bits = np.uint64(max(1, int(len(codes)).bit_length()))
-    least = ((codes >> bits) << bits) | np.arange(len(codes), dtype=np.uint64)
+    # high bits of the code, then the place: the least is the leftmost of the least codes, in every text alike
+    least = ((codes >> PLACE_BITS) << PLACE_BITS) | np.arange(len(codes), dtype=np.uint64)
     window, span = length - k + 1, 1
     while 2 * span <= window:
         least = np.minimum(least[:-span], least[span:])
@@ -69,9 +74,11 @@ def picks(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.nda
     rest = window - span
     if rest:
         least = np.minimum(least[:-rest], least[rest:])
-    at = (least & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
-    first = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
-    return first, np.append(first[1:], len(at)) - 1, codes[at[first]]
+    at = (least & ((np.uint64(1) << PLACE_BITS) - np.uint64(1))).astype(np.int64)
+    moved = np.append(True, at[1:] != at[:-1])
+    code = codes[at]
+    first = np.flatnonzero(np.append(True, code[1:] != code[:-1]))
+    return first, np.append(first[1:], len(at)) - 1, code[first], np.add.reduceat(moved.astype(np.int64), first)
 
 
 def _texts(column: pa.Array) -> Iterator[np.ndarray]:
@@ -81,14 +88,16 @@ def _texts(column: pa.Array) -> Iterator[np.ndarray]:
 
 
 def _grams(texts: DataFrame, length: int) -> DataFrame:
-    """(gram, key_a, n): how often a text picks a k-gram in different runs."""
+    """(gram, key_a, n): at how many places a text picks a k-gram."""
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, codes, counts = [], [], []
             for key, data in zip(np.asarray(batch.column(0)), _texts(batch.column(1)), strict=True):
-                code, count = np.unique(picks(data, length)[2], return_counts=True)
-                keys.append(np.full(len(code), key)), codes.append(code), counts.append(count)
+                _, _, picked, places = picks(data, length)
+                code, which = np.unique(picked, return_inverse=True)
+                keys.append(np.full(len(code), key)), codes.append(code)
+                counts.append(np.bincount(which, places, len(code)).astype(np.int64))
             if keys:
                 columns = [np.concatenate(codes).view(np.int64), np.concatenate(keys), np.concatenate(counts)]
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["gram", "key_a", "n"])
@@ -96,7 +105,7 @@ def _grams(texts: DataFrame, length: int) -> DataFrame:
     return texts.select("key_a", "text").mapInArrow(pick, "gram long, key_a long, n long")
 
 
-FRAGMENTS = "key_a long, key_b long, gram long, digest_a long, digest_b long, first long, last long, data binary"
+FRAGMENTS = "key_a long, key_b long, gram long, digest_a long, digest_b long, first long, last long, places long"
 
 
 def _digest(data: bytes) -> tuple[int, int]:
@@ -107,24 +116,45 @@ def _digest(data: bytes) -> tuple[int, int]:
 
 
 def _fragments(texts: DataFrame, length: int) -> DataFrame:
-    """The fragments of the texts' wanted k-grams (column ``grams``)."""
+    """Where the fragments of the texts' wanted k-grams (column ``grams``) are, with their digests."""
+    names = [part.split()[0] for part in FRAGMENTS.split(", ")]
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows: list[tuple] = []
             keys = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
             for (a, b), data, grams in zip(keys, _texts(batch.column(2)), batch.column(3), strict=True):
-                first, last, codes = picks(data, length)
-                wanted = np.flatnonzero(np.isin(codes.view(np.int64), grams.values.to_numpy(zero_copy_only=False)))
-                for i in wanted:
-                    piece = data[first[i] : last[i] + length].tobytes()
-                    rows.append((a, b, int(codes[i].view(np.int64)), *_digest(piece), int(first[i]), int(last[i]), piece))
-            kinds = [pa.int64()] * 7 + [pa.binary()]
-            names = ["key_a", "key_b", "gram", "digest_a", "digest_b", "first", "last", "data"]
+                first, last, codes, places = picks(data, length)
+                codes = codes.view(np.int64)
+                wanted = np.flatnonzero(np.isin(codes, grams.values.to_numpy(zero_copy_only=False)))
+                found = (column[wanted].tolist() for column in (codes, first, last, places))
+                for code, i, j, n in zip(*found, strict=True):
+                    rows.append((a, b, code, *_digest(data[i : j + length].tobytes()), i, j, n))
             columns = list(zip(*rows, strict=True)) or [()] * 8
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
+
+    return texts.select("key_a", "key_b", "text", "grams").mapInArrow(find, FRAGMENTS)
+
+
+PIECES = "block long, gram long, digest_a long, digest_b long, data binary"
+
+
+def _cut_out(texts: DataFrame, length: int) -> DataFrame:
+    """The bytes of the fragments listed with each text (column ``pieces``)."""
+    names = [part.split()[0] for part in PIECES.split(", ")]
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns: list[list] = [[] for _ in names]
+            for data, pieces in zip(_texts(batch.column(0)), batch.column(1).to_pylist(), strict=True):
+                for piece in pieces:
+                    for column, name in zip(columns[:-1], names[:-1], strict=True):
+                        column.append(piece[name])
+                    columns[-1].append(data[piece["first"] : piece["last"] + length].tobytes())
+            kinds = [pa.int64()] * 4 + [pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
-    return texts.select("key_a", "key_b", "text", "grams").mapInArrow(cut, FRAGMENTS)
+    return texts.select("text", "pieces").mapInArrow(cut, PIECES)
 
 
 def _sorted_places(key: np.ndarray, bits: int) -> np.ndarray:
@@ -267,29 +297,40 @@ def _remove(texts: DataFrame, length: int) -> DataFrame:
     return texts.select("key_a", "key_b", "text", "windows").mapInArrow(cut, DONE)
 
 
-def _hot_windows(fragments: DataFrame, length: int) -> DataFrame:
-    """(key_a, key_b, windows) of k-grams too large for a block: windows are counted by digest."""
+def _hot_windows(texts: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
+    """The stored windows of k-grams too large for a block (column ``runs`` has a text's fragments), and those of
+    them, (key_a, key_b, window), whose digest occurs twice."""
+    names = ["digest_a", "digest_b", "key_a", "key_b", "at"]
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for row in batch.to_pylist():
-                data, size = row["data"], row["last"] - row["first"] + 1
-                for i in range(size):
-                    rows.append((*_digest(data[i : i + length]), row["key_a"], row["key_b"], row["first"] + i))
-            names = ["digest_a", "digest_b", "key_a", "key_b", "at"]
-            columns = list(zip(*rows, strict=True)) or [()] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
+            rows: list[tuple] = []
+
+            def given() -> pa.RecordBatch:
+                columns = list(zip(*rows, strict=True)) or [()] * 5
+                rows.clear()
+                return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
+
+            keys = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
+            for (a, b), data, runs_ in zip(keys, _texts(batch.column(2)), batch.column(3).to_pylist(), strict=True):
+                whole = data.tobytes()
+                for run in runs_:
+                    for i in range(run["first"], run["last"] + 1):
+                        rows.append((*_digest(whole[i : i + length]), a, b, i))
+                        if len(rows) >= HANDED_ROWS:
+                            yield given()
+            yield given()
 
     shape = "digest_a long, digest_b long, key_a long, key_b long, at long"
-    windows = fragments.select("key_a", "key_b", "first", "last", "data").mapInArrow(explode, shape)
+    windows = texts.select("key_a", "key_b", "text", "runs").mapInArrow(explode, shape)
     windows = stored(windows, "windows")
     twice = windows.groupBy("digest_a", "digest_b").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    return windows.join(twice, ["digest_a", "digest_b"]).select(
+    return windows, windows.join(twice, ["digest_a", "digest_b"]).select(
         "key_a", "key_b", F.struct(F.col("at").alias("first"), F.col("at").alias("last")).alias("window")
     )
 
 
+@cleaned
 def remove_repeats(docs: DataFrame, length: int = LENGTH, id_column: str = "doc_id", text: str = "text",
                    block_bytes: int = BLOCK_BYTES, group_bytes: int = GROUP_BYTES) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) for every row."""
@@ -314,33 +355,44 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_column: str = "doc_
     same_id = read["doc_id"].eqNullSafe(chosen["doc_id"])
     texts = read.join(growing(chosen), (read["key_a"] == chosen["key_a"]) & (read["key_b"] == chosen["key_b"]) & same_id)
     texts = stored(texts.select(read["key_a"], read["key_b"], read["text"], chosen["grams"]), "texts")
-    fragments = stored(_fragments(texts, length), "fragments")
+    release(grams)
+    places = stored(_fragments(texts, length), "fragments")
     kind = ["gram", "digest_a", "digest_b"]
     different = stored(
-        fragments.groupBy(*kind).agg(F.count(F.lit(1)).alias("n"), F.first("data").alias("data")), "different"
+        places.groupBy(*kind).agg(
+            F.count(F.lit(1)).alias("n"), F.max("places").alias("places"), F.min(F.struct(*keys, "first", "last")).alias("place")
+        ), "different",
     )
+    size = F.col("place.last") - F.col("place.first") + length
     groups = stored(
-        different.groupBy("gram").agg(F.count(F.lit(1)).alias("m"), F.sum(F.octet_length("data")).alias("size")), "groups"
+        different.groupBy("gram").agg(F.count(F.lit(1)).alias("m"), F.max("places").alias("places"), F.sum(size).alias("size")),
+        "groups",
     )
-    total = groups.where(f"m > 1 AND size <= {group_bytes}").agg(F.sum("size")).first()[0] or 0
+    alike = groups.where("m > 1 OR places > 1")
+    total = alike.where(f"size <= {group_bytes}").agg(F.sum("size")).first()[0] or 0
     blocks = max(1, -(-total // block_bytes))
-    small = groups.where(f"m > 1 AND size <= {group_bytes}").select("gram")
-    dealt = different.join(small, "gram").withColumn("block", F.pmod(F.xxhash64("gram"), F.lit(blocks)))
-    expanded = dealt.groupBy("block").applyInPandas(
-        lambda frame: _block_runs(frame, length, block_bytes), RUNS
+    small = alike.where(f"size <= {group_bytes}").select("gram")
+    dealt = different.join(growing(small), "gram").select(
+        "place.*", F.struct(F.pmod(F.xxhash64("gram"), F.lit(blocks)).alias("block"), *kind, "place.first", "place.last").alias("piece")
     )
+    listed = dealt.groupBy(*keys).agg(F.collect_list("piece").alias("pieces"))  # of one text
+    pieces = _cut_out(texts.join(growing(listed), keys), length)
+    # a number of partitions of its own: blocks are costly for their size, so they are not put together by it
+    spread = pieces.repartition(min(blocks, MAX_PARTITIONS), "block")
+    expanded = spread.groupBy("block").applyInPandas(lambda frame: _block_runs(frame, length, block_bytes), RUNS)
     in_blocks = stored(expanded.where(F.size("runs") > 0), "runs")
     several = different.where("n > 1").select(*kind)
-    places = fragments.drop("data")
     by_run = places.join(growing(in_blocks), kind).select(*keys, "first", F.explode("runs").alias("run")).select(
         *keys, F.struct((F.col("first") + F.col("run.first")).alias("first"), (F.col("first") + F.col("run.last")).alias("last")).alias("window")
     )
     by_count = places.join(growing(several), kind, "left_semi").select(*keys, F.struct("first", "last").alias("window"))
-    hot = groups.where(f"m > 1 AND size > {group_bytes}").select("gram")
-    by_window = _hot_windows(fragments.join(hot, "gram"), length)
+    hot = alike.where(f"size > {group_bytes}").select("gram")
+    hot_runs = places.join(hot, "gram").groupBy(*keys).agg(F.collect_list(F.struct("first", "last")).alias("runs"))  # of one text
+    exploded, by_window = _hot_windows(texts.join(growing(hot_runs), keys), length)
     windows = by_run.unionByName(by_count).unionByName(by_window)
     lists = windows.groupBy(*keys).agg(F.collect_list("window").alias("windows"))  # of one text
     done = stored(_remove(texts.drop("grams").join(growing(lists), keys), length), "removed")
+    release(texts, places, different, groups, in_blocks, exploded)
     done = done.dropDuplicates(keys)  # rows that repeat id and text
     whole = (F.col("copies") > 1) & (F.col("n_bytes") >= length)
     copied = copies.where("copies > 1").select(*keys, "copies")

@@ -52,3 +52,41 @@ def test_edges(spark):
     assert [g[2:] for g in got if not g[0]] == [gone]
     assert [g[2:5] for g in got if g[1] in (1, 2) and g[0]] == [(0, 0, 0)] * 2
     assert substrings.remove_repeats(brute.empty_table(spark)).count() == 0
+
+
+@pytest.mark.parametrize("group_bytes", [substrings.GROUP_BYTES, 1000])
+def test_periodic_texts(spark, group_bytes):
+    rng = random.Random(2)
+    noise = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    shared = noise(90)
+    docs = [
+        (1, "-" * 3000), (2, noise(500) + "=" * 450), (3, noise(300) + "0123456789" * 200 + noise(300)), (4, "0123456789" * 41),
+        (5, noise(100) + shared + noise(100)), (6, noise(400) + "~" * 100), (7, shared + "-" * 401),
+    ]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    for length in (60, 400):
+        want = sorted((True, i, *rest) for i, rest in brute.repeated_bytes(docs, length).items())
+        assert result(df, length=length, group_bytes=group_bytes) == want
+
+
+def test_periods_are_one_fragment():
+    import numpy as np
+
+    for period in (b"x", b"0123456789", b"-" * 79 + b"\n"):
+        data = np.frombuffer(period * (200_000 // len(period)), dtype=np.uint8)
+        first, last, _, places = substrings.picks(data, 400)
+        assert len(first) == 1 and last[0] == len(data) - 400 and places[0] > 1
+
+
+def test_stored_tables_left(spark):
+    """Only what the result reads is left: the facts and the removals."""
+    import os
+
+    from barflow.session import scratch_path
+
+    folder = os.path.dirname(scratch_path(spark, "probe")).removeprefix("file:")
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    df = spark.createDataFrame(brute.documents(), "doc_id long, text string")
+    out = substrings.remove_repeats(df)
+    assert len(set(os.listdir(folder)) - before) <= 2
+    assert out.count() == df.count()
