@@ -16,7 +16,9 @@ what the planner sends to every task.
 
 Defined results: null or empty html, and pages without text, give an empty text; a null or hostless url
 takes no part in the consensus; repeated rows are extracted alike; unclosed and crossed tags are
-closed where a browser would close paragraphs, list items and cells; extra columns are dropped.
+closed where a browser would close paragraphs, list items and cells; a tag whose quotes do not close ends at the
+next bracket, and what no bracket follows is text; extra columns are dropped. Time and memory grow in
+proportion to the html, however its tags nest and whatever its quotes.
 """
 
 from __future__ import annotations
@@ -24,6 +26,7 @@ from __future__ import annotations
 import html
 import re
 import sys
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -39,9 +42,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 MIN_VOTE_SHARE = 0.05
 WIDEN = 1.25
 
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>", re.DOTALL
-)
+MARKUP = re.compile(r"<(?:[!?]|(/?)([a-zA-Z][^\s/>]*)|/)")
+#: The end of a tag, or a quoted value, in which the end may stand.
+TAG_END = re.compile(r">|=[ \t\n\r\f]*([\"'])")
 ATTRIBUTE = re.compile(r"([^\s=\"'/<>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'=<>`]+)))?")
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 
@@ -86,7 +89,8 @@ OWN_HEADER = frozenset("article entry post story content title".split())
 class Element:
     tag: str
     parent: int
-    path: str
+    step: str  # of the path of tags and classes; an element holds no more of it, as pages may nest deeply
+    path_crc: int = 0
     boiler: bool = False
     header: bool = False
     own: bool = False  # inside an article or main
@@ -104,6 +108,13 @@ class Page:
     elements: list[Element]
     blocks: list[tuple[int, str, int]] = field(default_factory=list)  # element, text, characters in links
 
+    def path(self, index: int) -> str:
+        steps = []
+        while index >= 0:
+            steps.append(self.elements[index].step)
+            index = self.elements[index].parent
+        return "".join(reversed(steps))
+
 
 def _labels(attributes: str) -> tuple[dict[str, str], set[str]]:
     values = {}
@@ -134,7 +145,7 @@ def _element(tag: str, attributes: str, above: Element, parent: int, wrapper: bo
         or (header and not above.header and not own and not names & OWN_HEADER)
     )
     return Element(
-        tag, parent, above.path + step, above.boiler or always or ((labelled or form) and not wrapper), header, own,
+        tag, parent, step, zlib.crc32(step.encode(), above.path_crc), above.boiler or always or ((labelled or form) and not wrapper), header, own,
         above.link or tag == "a", named=labelled or form, form=form and not labelled, hard=above.hard or always, article=ours and not names & BOILER_NAMES,
     )
 
@@ -176,6 +187,24 @@ def _wrappers(page: Page) -> frozenset[int]:
     )
 
 
+def _tag_end(source: str, at: int, dead: set[int]) -> int:
+    """Where the tag with the attributes from ``at`` on ends, -1 if nowhere. Where quotes are not closed, it ends at
+    the next bracket; ``dead`` has the quotes from which no end was found, so none is followed twice."""
+    begin, opened = at, []
+    while found := TAG_END.search(source, at):
+        if not found.group(1):
+            return found.start()
+        quote = found.end() - 1
+        if quote in dead:
+            break
+        opened.append(quote)
+        at = source.find(found.group(1), quote + 1) + 1
+        if not at:
+            break
+    dead.update(opened)
+    return source.find(">", begin)
+
+
 def _parse(source: str, wrappers: frozenset[int]) -> Page:
     page = Page([Element("", -1, "")])
     elements, stack = page.elements, [0]
@@ -208,15 +237,23 @@ def _parse(source: str, wrappers: frozenset[int]) -> Page:
             flush()
         del stack[index:]
 
-    while at < n:
-        found = TOKEN.search(source, at)
+    dead: set[int] = set()
+    text_from = 0
+    while True:
+        found = MARKUP.search(source, at)
         if not found:
-            add(source[at:])
             break
-        if found.start() > at:
-            add(source[at : found.start()])
-        at = found.end()
         tag = (found.group(2) or "").lower()
+        if source.startswith("<!--", found.start()):
+            end = source.find("-->", found.start() + 4)
+            end = end + 2 if end >= 0 else n - 1
+        else:
+            end = _tag_end(source, found.end(), dead) if tag else source.find(">", found.end())
+            if end < 0:
+                break  # no bracket follows, so no tag either
+        if found.start() > text_from:
+            add(source[text_from : found.start()])
+        at = text_from = end + 1
         if not tag:
             continue
         if found.group(1):
@@ -228,11 +265,11 @@ def _parse(source: str, wrappers: frozenset[int]) -> Page:
                 if tag not in BLOCK and open_tag in BLOCK:
                     break
             continue
-        attributes = found.group(3)
+        attributes = source[found.end() : end]
         if tag in RAW and not attributes.rstrip().endswith("/"):
-            end = re.compile(rf"</{re.escape(tag)}[\s/>]", re.IGNORECASE).search(source, at)
-            at = source.find(">", end.end() - 1) + 1 if end else n
-            at = at or n
+            closing = re.compile(rf"</{re.escape(tag)}[\s/>]", re.IGNORECASE).search(source, at)
+            at = source.find(">", closing.end() - 1) + 1 if closing else n
+            at = text_from = at or n
             continue
         if tag == "br":
             if pieces:
@@ -260,6 +297,8 @@ def _parse(source: str, wrappers: frozenset[int]) -> Page:
             elements.pop()
             continue
         stack.append(len(elements) - 1)
+    if text_from < n:
+        add(source[text_from:])
     flush()
     return page
 
@@ -272,17 +311,19 @@ def _is_text(page: Page, index: int) -> bool:
 def propose(page: Page) -> int:
     """The element that scores best, 0 (the page) if nothing does."""
     elements = page.elements
+    plain = [0.0] * len(elements)
     for index, text, linked in page.blocks:
-        if not _is_text(page, index):
-            continue
-        plain = max(0, len(text) - 2 * linked)
-        weight, at = 1.0, index
-        while at >= 0:
-            elements[at].size += len(text)
-            if elements[at].tag in CONTAINER:
-                elements[at].score += plain * weight
-                weight /= 2
-            at = elements[at].parent
+        if _is_text(page, index):
+            plain[index] += max(0, len(text) - 2 * linked)
+            elements[index].size += len(text)
+    for i in range(len(elements) - 1, -1, -1):
+        element = elements[i]
+        if element.tag in CONTAINER:
+            element.score = plain[i]
+            plain[i] /= 2
+        if i:
+            plain[element.parent] += plain[i]
+            elements[element.parent].size += element.size
     best = max(range(len(elements)), key=lambda i: (elements[i].score, -i))
     if elements[best].score <= 0:
         return 0
@@ -313,7 +354,8 @@ def main_text(source: str | None, paths: list[str] | None) -> str:
         return ""
     page = parse(source)
     for path in paths or []:
-        chosen = {i for i, e in enumerate(page.elements) if i and e.path == path and not e.boiler}
+        crc = zlib.crc32(path.encode())
+        chosen = {i for i, e in enumerate(page.elements) if i and e.path_crc == crc and not e.boiler and page.path(i) == path}
         if chosen and (text := text_in(page, chosen)):
             return text
     return text_in(page, {propose(page)})
@@ -334,7 +376,7 @@ def host_paths(pages: DataFrame, url: str = "url", source: str = "html") -> Data
             for value in batch.column(1):
                 page = parse(value.as_py() or "")
                 chosen = propose(page)
-                votes.append(page.elements[chosen].path if chosen else None)
+                votes.append(page.path(chosen) if chosen else None)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(votes, pa.string())], names=["host", "path"])
 
     cast = pages.select(host_of(F.col(url)).alias("host"), F.col(source)).where("host IS NOT NULL")

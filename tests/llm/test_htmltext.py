@@ -100,3 +100,22 @@ def test_named_parts_beside_or_in_the_article_still_go():
     replies = f"<section id='comments'><article class='comment-body'><p>{more * 4}</p></article></section>"
     for page in (f"<body><article><p>{story}</p>{replies}</article>{card}</body>", f"<body><div class='post'><p>{story}</p></div>{card}{replies}</body>"):
         assert htmltext.main_text(page, None) == story.strip()
+
+
+def test_quotes_that_do_not_close():
+    text = lambda html: htmltext.main_text(html, None)
+    assert text('<p title="a>Hello</p><p>there</p>') == "Hello\nthere"
+    assert text('<p title="a>b">Hello</p><p class=it\'s>there isn\'t</p>') == "Hello\nthere isn't"
+    assert text("<p>a < b and b <c") == "a < b and b <c"
+    assert text("<p>a <!-- x > y --> b</p><!-- open <p>c</p>") == "a b"
+
+
+def test_a_megabyte_of_anything_takes_linear_time():
+    import time
+
+    prose = "<p>" + "Some running text, at the end of the page. " * 5 + "</p>"
+    pieces = ['<a "', '<a b="x" ', '<a b=">" ', "<a b='\"", "<div>", "<div>text", "<div class=some-name><p>t</p>", "</x", "<!", "<p>x"]
+    for piece in pieces:
+        start = time.time()
+        htmltext.main_text(piece * (1_000_000 // len(piece)) + prose, ["/div.some-name"])
+        assert time.time() - start < 15, piece
