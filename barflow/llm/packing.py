@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import sys
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -83,6 +83,17 @@ class ByteTokenizer:
         return self.whole(first) + b"".join(parts)
 
 
+#: Fixed value: the added token of the vocabulary and its id, which the tokenizer finds inside texts too.
+ADDED = ("<|endoftext|>", 50256)
+
+
+def encode_added(encode: Callable[[str], bytes], text: str, added: tuple[str, int] | None = ADDED) -> bytes:
+    """Ids of a text in which the added token, wherever it stands, has its own id and parts what is around it."""
+    if added is None or added[0] not in text:
+        return encode(text)
+    return np.array([added[1]], dtype="<u4").tobytes().join(encode(part) if part else b"" for part in text.split(added[0]))
+
+
 TOKENIZERS: dict[str, ByteTokenizer] = {}
 
 
@@ -96,15 +107,16 @@ PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,
 
 
 def document_pieces(docs: DataFrame, ranks_path: str, pattern: str, size: int = 1024,
-                    id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """Every document's ids and the end token 0, cut every ``size`` ids; all of them bear loss."""
+                    id_column: str = "doc_id", text: str = "text", added: tuple[str, int] | None = ADDED) -> DataFrame:
+    """Every document's ids and the end token 0, cut every ``size`` ids; all of them bear loss. ``added`` is a
+    token that is recognised inside texts; with None its string is ordinary text."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = tokenizer(ranks_path, pattern).encode
         for batch in batches:
             rows = []
             for doc_id, body in zip(batch.column(0), batch.column(1), strict=True):
-                ids = encode(body.as_py() or "") + END
+                ids = encode_added(encode, body.as_py() or "", added) + END
                 n = len(ids) // 4
                 for start in range(0, n, size):
                     piece = ids[4 * start : 4 * (start + size)]

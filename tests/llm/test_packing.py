@@ -23,6 +23,24 @@ def test_ids_equal_the_tokenizers_library():
         assert ours.encode(text) == want, text
 
 
+def test_added_token_inside_texts():
+    """As the tokenizers library reads a text by default."""
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    ours = packing.tokenizer(*token_ranks()).encode
+    added = ["<|endoftext|>", "<|endoftext|> b<|endoftext|><|endoftext|>\n c ", "x<|endoftext|", "  <|endoftext|>  y"]
+    for text in TRICKY + added:
+        want = np.array(tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        assert packing.encode_added(ours, text) == want, text
+    assert packing.encode_added(ours, "a <|endoftext|> b", None) == ours("a <|endoftext|> b")
+
+
+def test_pieces_hold_the_added_token(spark):
+    df = spark.createDataFrame([(1, "a <|endoftext|> b")], "doc_id long, text string")
+    row = packing.document_pieces(df, *token_ranks()).first()
+    ids = np.array([64, 220, 50256, 275, 0], dtype="<u4").tobytes()
+    assert (row["length"], row["ids_crc32"]) == (5, zlib.crc32(ids))
+
+
 def check_places(got, limit=1024):
     got = got.sort_values(["sequence_id", "offset"])
     before = got.groupby("sequence_id").length.cumsum() - got.length
