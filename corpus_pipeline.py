@@ -25,8 +25,9 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines within two edits of an earlier line are taken out; documents left without a word go."""
-    left = linedup.dedup_lines(docs)
+    """Lines within two edits of an earlier line are taken out, short ones where they equal it; documents left without
+    a word go."""
+    left = linedup.dedup_lines(docs, linedup.Settings(exact_short=True))
     columns = [F.length("text").cast("bigint").alias(c) if c == "n_chars" else F.col(c) for c in docs.columns]
     return left.where(F.length(F.btrim("text", F.lit(SPACES))) > 0).select(*columns)
 
