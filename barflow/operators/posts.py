@@ -190,7 +190,7 @@ def post_record(
         F.lit(event_type).alias("event_type"),
         F.lit(platform).alias("platform"),
         F.lit(user_handle).alias("user_handle"),
-        F.lit(None).cast("string").alias("truth_id"),
+        (F.col("truth_id") if "truth_id" in df.columns else F.lit(None).cast("string")).alias("truth_id"),
         F.lit(None).cast("string").alias("truth_url"),
         utc(F.col("created_at")).alias("created_at"),
         F.date_format("created_at", "yyyy-MM-dd").alias("event_date"),

@@ -178,22 +178,26 @@ def macro_sentiment_job(spark: SparkSession, event_base: str, source: str = "man
 
 
 def scored_posts(posts: DataFrame, model: Callable[[Column], Column], **record) -> DataFrame:
-    """Economic posts scored by ``model``, as 16-column events."""
-    kept = economic_posts(posts_since(posts))
-    facts = ["text", "created_at", "is_economic", "economic_categories", "copies"]
-    # Equal posts share an id and are counted, scored once and given back as often as they came; all
+    """Economic posts scored by ``model``, as 16-column events; an ``id`` column becomes their ``truth_id``."""
+    kept = economic_posts(posts_since(posts if "id" in posts.columns else posts.withColumn("id", F.lit(None).cast("string"))))
+    facts = ["text", "created_at", "is_economic", "economic_categories", "ids"]
+    # Equal posts share a key, and their ids are collected; they are scored once and given back as often as they came; all
     # else follows from date and text. Scoring is costly per byte, so the few rows left are spread by
     # number, not by size; the pooling uses the same partitioning. The post itself travels with its
     # first chunk, so the source is read once and nothing is joined.
-    distinct = kept.groupBy("date", *facts[:-1]).agg(F.count(F.lit(1)).alias("copies"))
+    distinct = kept.groupBy("date", *facts[:-1]).agg(F.collect_list(F.struct("id")).alias("ids"))
     named = distinct.withColumn("post_id", F.sha2(F.concat_ws("\x1f", "date", "text"), 256))
     chunks = chunk_tokens(spread(named.drop("date"), "post_id"), keep=("post_id", *facts))
     once = chunks.withColumns({c: F.when(F.col("chunk") == 0, F.col(c)) for c in facts})
     scored = pool_sentiment(score_chunks(once, model), carry=facts)
-    every = scored.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    every = scored.select("*", F.explode("ids").alias("_one")).withColumn("truth_id", F.col("_one.id"))
     return post_record(every, **record)
 
 
 def posts_job(spark: SparkSession, jsonl: str, out: str, model: Callable[[Column], Column], mode: str = "merge") -> int:
-    """Posts from JSON lines, filtered, scored and written as events; other posts of the dates stay."""
+    """Posts from JSON lines, filtered, scored and written as events; other posts of the dates stay.
+
+    Of posts with an ``id``, equal ones of several loads all stay. Without one, a post that equals one of an
+    earlier load counts as that one loaded again.
+    """
     return write_posts(scored_posts(post_jsonl_scan(spark, jsonl), model), out, mode)

@@ -353,7 +353,7 @@ def _post_files(spark, df, loads):
     out = scratch_path(spark, "post-events")
     for part in loads:
         lines = scratch_path(spark, "posts")
-        df.where(part).select("date", "text").write.json(lines)
+        df.where(part).select("date", "text", F.col("post_id").cast("string").alias("id")).write.json(lines)
         posts_job(spark, lines, out, vowel_model)
     shown = scored_post_scan(spark, out).withColumn("text_digest", F.md5("raw_text")).drop(
         "raw_text", "truth_id", "truth_url", "ingested_at"

@@ -70,7 +70,7 @@ SENTIMENT_EVENT_SCHEMA = T.StructType(
     ]
 )
 
-POST_SCHEMA = schema_of("date STRING, text STRING")
+POST_SCHEMA = schema_of("date STRING, text STRING, id STRING")
 SCORED_POST_SCHEMA = schema_of(
     "event_type STRING, platform STRING, user_handle STRING, truth_id STRING, "
     "truth_url STRING, created_at STRING, event_date STRING, raw_text STRING, "

@@ -167,7 +167,7 @@ def write_posts(df: DataFrame, path: str, mode: str = "overwrite") -> int:
 
     if mode != "merge":
         return write(posts)
-    keys = ("event_date", "created_at", "raw_text")
+    keys = ("event_date", "created_at", "truth_id", "raw_text")
     return merge_partitioned(posts, path, by, keys, lambda: scored_post_scan(df.sparkSession, path), write)
 
 

@@ -146,7 +146,7 @@ def macro_jsonl_scan(spark: SparkSession, path: str | Sequence[str]) -> DataFram
 
 
 def post_jsonl_scan(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """Posts from JSON lines; blank, malformed, dateless and textless lines are dropped."""
+    """Posts from JSON lines; blank, malformed, dateless and textless lines are dropped. A post's own ``id`` is optional."""
     df = spark.read.schema(POST_SCHEMA).option("mode", "DROPMALFORMED").json(path)
     return df.where((F.length("date") > 0) & (F.length(strip(F.col("text"))) > 0))
 

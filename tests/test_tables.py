@@ -31,6 +31,7 @@ from barflow.sources.files import (
     macro_jsonl_scan,
     post_jsonl_scan,
     raw_day_scan,
+    scored_post_scan,
     silver_scan,
 )
 from barflow.sources.kafka import kafka_day_options, kafka_envelope_day, offsets_by_time, security_options
@@ -196,6 +197,23 @@ def test_posts_job(spark, tmp_path):
     assert str(r.event_date) == "2025-02-01" and r.is_economic == "true"
 
 
+def test_equal_posts_of_several_loads(spark, tmp_path):
+    """Equal posts with ids of their own all stay, a load that comes again changes nothing."""
+    post = {"date": "2025-02-01T10:00:00Z", "text": "Tariffs and interest rates decide the next quarter"}
+    loads = {"a": [{**post, "id": "1"}, {**post, "id": "2"}], "b": [{**post, "id": "3"}], "c": [post, post]}
+
+    def model(text):
+        return F.struct(F.lit(0.2).alias("positive"), F.lit(0.6).alias("negative"))
+
+    out = str(tmp_path / "out")
+    for name in ("a", "b", "a", "c", "c", "b"):
+        path = tmp_path / f"{name}.jsonl"
+        path.write_text("\n".join(map(json.dumps, loads[name])))
+        assert posts_job(spark, str(path), out, model) == len(loads[name])
+    ids = [r.truth_id for r in scored_post_scan(spark, out).collect()]
+    assert sorted(ids, key=str) == ["1", "2", "3", None, None]
+
+
 def test_daily_csv_and_forecasts(spark, tmp_path):
     rows = [("ignored", f"2025-01-{d:02d}T00:00:00Z", "A", 100.0 + d * (-1) ** d) for d in range(1, 29)]
     path, out = str(tmp_path / "daily"), str(tmp_path / "out")
