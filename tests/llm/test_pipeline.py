@@ -1,11 +1,14 @@
 import collections
 import random
 import re
+import time
 
 import duckdb
+from pyspark.sql import functions as F
 
 import brute
 import corpus_pipeline
+from barflow.llm import common
 from barflow.llm.common import stored, table
 from barflow.llm.packing import END, encode_added, tokenizer
 from barflow.llm.queries import ORACLES, token_ranks
@@ -86,3 +89,20 @@ def test_rows_that_share_an_id_or_have_none(spark):
     out = dict(corpus_pipeline.STAGES)["near_duplicates"](spark, docs, brute.SF)
     got = collections.Counter((r["doc_id"], r["text"]) for r in out.collect())
     assert got == {(5, a): 1, (7, b): 1, (9, c + " again"): 1, (None, None): 1}
+
+
+def test_stored_tables_leave_no_shuffle_files(spark):
+    def files():
+        blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        names = {blocks.apply(i).getName() for i in range(blocks.size())}
+        return {n for n in names if n.startswith("shuffle_")}
+
+    before, setting = files(), spark.conf.get(common.SHUFFLE_CLEANUP, "false")
+    table = common.stored(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "small")
+    for _ in range(50):  # they go in the background
+        if not files() - before:
+            break
+        time.sleep(0.1)
+    assert not files() - before
+    assert spark.conf.get(common.SHUFFLE_CLEANUP, "false") == setting and table.count() == 7
+    common.release(table)
