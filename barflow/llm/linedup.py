@@ -254,7 +254,8 @@ def _group_links(rows: Rows, at: np.ndarray, threshold: int) -> list[tuple[int,
 
 def line_classes(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """(node, component) of the distinct lines that are near another one. ``docs`` has text."""
-    rows = _rows_of(docs, settings)
+    # dealt by bucket once, for the count and for the join with it; the texts are read once
+    rows = _rows_of(docs, settings).repartition("bucket")
     # of different lines: copies of a line share all its buckets and are one node
     shared = rows.groupBy("bucket").agg(F.min("node").alias("n0"), F.max("node").alias("n1")).where("n0 <> n1")
     members = stored(rows.join(shared.select("bucket"), "bucket").distinct().withColumn("size", F.lit(0)), "buckets")

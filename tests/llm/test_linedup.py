@@ -95,3 +95,20 @@ def test_very_many_lines_take_linear_time(spark):
     rows = {r["doc_id"]: r for r in linedup.dedup_lines(df).collect()}
     assert len(rows[1]["places_removed"]) == 149_999 and rows[2]["text"] == "another line which is long enough"
     assert rows[1]["text"] == "the same line of this long text again and again" + "\n" * 150_000
+
+
+def test_buckets_are_made_once(spark, monkeypatch):
+    """The count of a bucket's lines and the join with it read one exchange."""
+    plans = {}
+
+    def kept(df, name):
+        if name == "buckets":
+            df.collect()
+            plans[name] = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        return stored(df, name)
+
+    stored = linedup.stored
+    monkeypatch.setattr(linedup, "stored", kept)
+    rows = [(i, f"line number {i % 7} that is shared by a few texts\nand one of its own: {i}") for i in range(40)]
+    linedup.line_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert plans["buckets"].count("MapInArrow") == 1 and "ReusedExchange" in plans["buckets"]
