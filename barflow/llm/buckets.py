@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -101,22 +102,29 @@ def bucket_components(members: DataFrame, confirm: Callable[[DataFrame], DataFra
     (a, b) that are links; ``alike``: a condition on size and other_size that every link meets; ``rest``
     gives the links between components within the buckets left, instead of confirming all their pairs."""
     alike = F.lit(True) if alike is None else alike
-    labelled, links, labels, found_links = members.withColumn("component", F.col("node")), None, None, []
+    labelled, labels, edges = members.withColumn("component", F.col("node")), None, []
     for turn in range(hub_rounds + 1):
         if turn < hub_rounds:
             found = confirm(_hub_pairs(labelled, alike, hubs, turn))
         else:
             found = rest(labelled) if rest else confirm(_left_pairs(labelled, alike))
         found = stored(found, "links")
-        found_links.append(found)
-        links = found if links is None else links.unionByName(found)
+        if labels is not None and found.isEmpty():
+            release(found)
+            continue
+        # the links before are known by the components they made
+        rays = [] if labels is None else [labels.where("node <> component").toDF("a", "b")]
+        last_edges = edges
         with tables() as edges:
-            labels = connected_components(links)
+            labels = connected_components(reduce(DataFrame.unionByName, rays, found))
+        release(found, *last_edges)
         if turn < hub_rounds:
             last = labelled
             labelled = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
             # buckets that lie in one component are done
             labelled = stored(labelled.join(_open_buckets(labelled), "bucket"), "labelled")
-            release(last, *edges)
-    release(labelled, *found_links)
+            release(last)
+            if labelled.isEmpty():
+                break
+    release(labelled)
     return labels

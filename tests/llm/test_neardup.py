@@ -47,6 +47,34 @@ def test_components(spark):
     assert components.connected_components(df.limit(0)).count() == 0
 
 
+def test_few_tables_for_the_components(spark, monkeypatch):
+    """Edges that one task reads are one table; rounds that find no link make none."""
+    written, stored = [], common.stored
+    for module in (buckets, components):
+        monkeypatch.setattr(module, "stored", lambda df, name: written.append(name) or stored(df, name))
+    chain = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(7, 7)], "a long, b long").coalesce(1)
+    got = {r["node"]: r["component"] for r in components.connected_components(chain).collect()}
+    assert got == dict.fromkeys(range(41), 0) and written == ["edges"]
+    written.clear()
+    members = spark.range(60).selectExpr("id % 2 AS bucket", "id AS node", "1 AS size")
+    got = buckets.bucket_components(members, lambda pairs: pairs.where("b - a > 1000"))
+    assert got.count() == 0 and written == ["links", "edges", "labelled", "links", "links"]
+
+
+def test_portions_of_edges(spark, monkeypatch):
+    """However the edges are cut into portions, components are those of all of them."""
+    monkeypatch.setattr(components, "PORTION_EDGES", 1)
+    rng = random.Random(6)
+    edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)]
+    least = {n: n for edge in edges for n in edge}
+    for _ in least:
+        for a, b in edges:
+            least[a] = least[b] = min(least[a], least[b])
+    df = spark.createDataFrame([e for e in edges if e[0] != e[1]], "a long, b long").repartition(7)
+    got = {r["node"]: r["component"] for r in components.connected_components(df).collect()}
+    assert got == {n: least[n] for e in edges if e[0] != e[1] for n in e}
+
+
 def test_bucket_rounds_find_every_component(spark):
     """Links only between neighbours in one large bucket."""
     members = spark.range(60).selectExpr("0L AS bucket", "id AS node", "1 AS size")
