@@ -14,6 +14,10 @@ and joins, and the texts' positions are joined with them by shuffle and summed b
 sent one bitmap of ``SKETCH_BITS`` bits an order: contexts outside it were seen too rarely, so their
 positions are not moved for that order; those wrongly inside are sorted out by the exact counts.
 
+The tokens are dealt into ``PARTS`` by the word before them, so that a context lies in one part with all
+that comes after it. Parts are learned and scored one after another and leave only the sums of their
+texts, so the disk holds the counts of one part; each part reads the texts again.
+
 ``fit`` learns a model that is bounded whatever the corpus (symbols and states with ``min_share`` of the
 tokens, counts with ``count_share``, all else in a rest symbol), for use in one process; texts are not
 scored by it.
@@ -28,6 +32,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +40,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barflow.llm.common import growing, small_batches, stored, text_or_empty
+from barflow.llm.common import cleaned, growing, release, small_batches, stored, text_or_empty
 from barflow.llm.wordcodes import Words, mixed, word_chunks
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -43,6 +48,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 END = mixed(np.array([0x656E64], dtype=np.uint64))[0]
 TALLY_KEYS = 1 << 21
 SKETCH_BITS = 26
+#: Parts of the tokens, by the word before each, that are learned and scored one after another.
+PARTS = 4
 
 
 @dataclass(frozen=True)
@@ -251,9 +258,9 @@ def _after(context: np.ndarray, codes: np.ndarray) -> np.ndarray:
     return mixed(mixed(context + np.uint64(0x9FB21C651E98DF25)) ^ codes)
 
 
-def _entries(codes: np.ndarray, starts: np.ndarray, sketches: list[np.ndarray]) -> Iterator[tuple]:
-    """For each order from 1, by token: (entry, entry one order down, context, whether it may be a candidate).
-    What lies before a text are ends."""
+def _entries(codes: np.ndarray, starts: np.ndarray, sketches: list[np.ndarray], part: int | None = None) -> Iterator[tuple]:
+    """For each order from 1, by token: (entry, entry one order down, context, whether it may be a candidate; with
+    ``part``, whether it lies in that part too). What lies before a text are ends."""
     lower, at_start, inside = codes, END, np.ones(len(codes), bool)
     for k in range(len(sketches) + 1):
         context = np.concatenate(([at_start], lower[:-1]))
@@ -263,6 +270,8 @@ def _entries(codes: np.ndarray, starts: np.ndarray, sketches: list[np.ndarray])
             seen = sketches[k - 1][bit >> np.uint64(6)] >> (bit & np.uint64(63)) & np.uint64(1) > 0
             seen[starts] = True
             inside = inside & seen
+        elif part is not None:
+            inside = context % np.uint64(PARTS) == part
         entry = _after(context, codes)
         yield entry, lower, context, inside
         lower, at_start = entry, _after(np.array([at_start]), np.array([END]))[0]
@@ -275,35 +284,37 @@ def _sketch(entries: DataFrame, min_count: int) -> np.ndarray:
         F.shiftright(bit, 6).alias("at"),
         F.call_function("shiftleft", F.lit(1).cast("bigint"), bit.bitwiseAND(F.lit(63)).cast("int")).alias("mask"),
     )
-    table = often.groupBy("at").agg(F.bit_or("mask").alias("mask")).toArrow()  # 2**SKETCH_BITS bits at most
+    bits = stored(often.groupBy("at").agg(F.bit_or("mask").alias("mask")), "sketch")
+    table = bits.toArrow()  # 2**SKETCH_BITS bits at most
+    release(bits)
     words = np.zeros(1 << (SKETCH_BITS - 6), np.uint64)
     words[table.column(0).to_numpy()] = table.column(1).to_numpy().view(np.uint64)
     return words
 
 
-def _count_entries(read: DataFrame, sketches: list[np.ndarray]) -> DataFrame:
-    """(entry, lower, context, n) of the highest order, over all texts; n counts training tokens only."""
+def _counted(read: DataFrame, keys_of: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, ...]], *names: str) -> DataFrame:
+    """The columns that ``keys_of`` (codes, row starts) gives, once for each value of the first, and n: how often over
+    all texts; n counts training tokens only."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fresh, size = [], 0
 
         def given() -> pa.RecordBatch:
-            entry, lower, context, n = (np.concatenate(part) for part in zip(*fresh, strict=True))
+            *keys, n = (np.concatenate(part) for part in zip(*fresh, strict=True))
             fresh.clear()
-            _, first, which = np.unique(entry, return_index=True, return_inverse=True)
+            _, first, which = np.unique(keys[0], return_index=True, return_inverse=True)
             total = np.bincount(which, n, len(first)).astype(np.int64)
-            columns = [pa.array(c[first].view(np.int64)) for c in (entry, lower, context)]
-            return pa.RecordBatch.from_arrays([*columns, pa.array(total)], names=["entry", "lower", "context", "n"])
+            columns = [pa.array(c[first].view(np.int64)) for c in keys]
+            return pa.RecordBatch.from_arrays([*columns, pa.array(total)], names=[*names, "n"])
 
         for batch in batches:
             train = batch.column(0).to_numpy(zero_copy_only=False)
             for words in word_chunks(batch.column(1)):
                 codes, bounds = tokens(words)
-                for entry, lower, context, inside in _entries(codes, bounds[:-1], sketches):
-                    pass
+                *keys, inside = keys_of(codes, bounds[:-1])
                 rows = len(bounds) - 1
                 n = np.repeat(train[words.first_row : words.first_row + rows], np.diff(bounds))
-                fresh.append((entry[inside], lower[inside], context[inside], n[inside]))
+                fresh.append(tuple(c[inside] for c in (*keys, n)))
                 size += len(fresh[-1][0])
                 if size >= TALLY_KEYS:
                     yield given()
@@ -311,10 +322,35 @@ def _count_entries(read: DataFrame, sketches: list[np.ndarray]) -> DataFrame:
         if fresh:
             yield given()
 
-    rows = read.select(~held_out("doc_id"), "text").mapInArrow(count, "entry long, lower long, context long, n long")
-    return rows.groupBy("entry").agg(
-        F.first("lower").alias("lower"), F.first("context").alias("context"), F.sum("n").alias("n")
-    )
+    rows = read.select(~held_out("doc_id"), "text").mapInArrow(count, ", ".join(f"{c} long" for c in (*names, "n")))
+    return rows.groupBy(names[0]).agg(*[F.first(c).alias(c) for c in names[1:]], F.sum("n").alias("n"))
+
+
+def _count_words(read: DataFrame) -> DataFrame:
+    """(entry, n) of all words and the end."""
+    return _counted(read, lambda codes, _: (codes, np.ones(len(codes), bool)), "entry")
+
+
+def _count_contexts(read: DataFrame, sketches: list[np.ndarray]) -> DataFrame:
+    """(entry, n) of the highest order."""
+
+    def keys_of(codes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, ...]:
+        for entry, _, _, inside in _entries(codes, starts, sketches):
+            pass
+        return entry, inside
+
+    return _counted(read, keys_of, "entry")
+
+
+def _count_entries(read: DataFrame, sketches: list[np.ndarray], part: int) -> DataFrame:
+    """(entry, lower, context, n) of the highest order, over the tokens of a part."""
+
+    def keys_of(codes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, ...]:
+        for found in _entries(codes, starts, sketches, part):
+            pass
+        return found
+
+    return _counted(read, keys_of, "entry", "lower", "context")
 
 
 def _learned(entries: DataFrame, below: DataFrame, n: int, min_count: int) -> DataFrame:
@@ -328,32 +364,39 @@ def _learned(entries: DataFrame, below: DataFrame, n: int, min_count: int) -> Da
     retained = states.where((F.col("total") >= min_count) & diverges).select("context", "total", "m")
     smoothed = (F.col("n") + F.col("m") * F.col("before")) / (F.col("total") + F.col("m"))
     joined = met.join(growing(retained), "context", "left")
-    return stored(joined.select("entry", F.coalesce(smoothed, "before").alias("p"), "base"), "learned")
+    learned = stored(joined.select("entry", F.coalesce(smoothed, "before").alias("p"), "base"), "learned")
+    release(met)
+    return learned
 
 
 def learn(read: DataFrame, settings: Settings = Settings()) -> tuple[int, int, list[np.ndarray], DataFrame]:
-    """N, V, the bitmaps and the table (entry, p, base) of all that occurs in the texts ``read`` (doc_id, text)."""
-    sketches: list[np.ndarray] = []
-    entries = stored(_count_entries(read, sketches), "entries")
-    words = stored(entries.groupBy(F.col("lower").alias("entry")).agg(F.sum("n").alias("n")), "words")
+    """N, V, the bitmaps of contexts and the base model (entry, p, base) of all words in the texts ``read`` (doc_id, text)."""
+    words = stored(_count_words(read), "words")
     n, v = words.agg(F.sum("n"), F.count_if(F.col("n") > 0)).first()
     n = n or 0
     base = ((F.col("n") + 1) / F.lit(float(n + v + 1))).alias("base")
-    level = _learned(entries, words.select("entry", base.alias("p"), base), n, settings.min_count)
-    table = level
+    sketches: list[np.ndarray] = []
     for _ in range(1, settings.max_order):
-        sketches.append(_sketch(entries, settings.min_count))
-        entries = stored(_count_entries(read, sketches), "entries")
-        level = _learned(entries, level, n, settings.min_count)
-        table = table.unionAll(level)
-    return n, v, sketches, table
+        sketches.append(_sketch(_count_contexts(read, sketches), settings.min_count))
+    return n, v, sketches, words.select("entry", base.alias("p"), base)
+
+
+def learn_part(read: DataFrame, part: int, n: int, sketches: list[np.ndarray], base: DataFrame,
+               settings: Settings = Settings()) -> list[DataFrame]:
+    """By order, the table (entry, p, base) of what occurs in the texts ``read`` after the words of a part."""
+    levels: list[DataFrame] = []
+    for k in range(settings.max_order):
+        entries = stored(_count_entries(read, sketches[:k], part), "entries")
+        levels.append(_learned(entries, levels[-1] if levels else base, n, settings.min_count))
+        release(entries)
+    return levels
 
 
 POSITIONS = "doc_id long, text_hash long, entry long, times long, copies long"
 
 
-def _positions(docs: DataFrame, sketches: list[np.ndarray]) -> DataFrame:
-    """By document, the entries of the highest order that may have their context, and how often; the
+def _positions(docs: DataFrame, sketches: list[np.ndarray], part: int) -> DataFrame:
+    """By document, the entries of a part of the highest order that may have their context, and how often; the
     end of the text counts the document's copies."""
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -361,11 +404,14 @@ def _positions(docs: DataFrame, sketches: list[np.ndarray]) -> DataFrame:
             for words in word_chunks(batch.column(2)):
                 codes, bounds = tokens(words)
                 starts, rows = bounds[:-1], len(bounds) - 1
-                best = np.zeros(0, np.uint64)
-                for entry, _, _, inside in _entries(codes, starts, sketches):
-                    best = np.where(inside, entry, best) if len(best) else entry
+                best = here = np.zeros(0, np.uint64)
+                for entry, _, _, inside in _entries(codes, starts, sketches, part):
+                    best, here = (np.where(inside, entry, best), here) if len(best) else (entry, inside)
                 row, end = np.repeat(np.arange(rows), np.diff(bounds)), np.zeros(len(codes), np.int64)
                 end[bounds[1:] - 1] = 1
+                best, row, end = best[here], row[here], end[here]
+                if not len(best):
+                    continue
                 by = np.lexsort((best, row))
                 best, row = best[by], row[by]
                 new = np.flatnonzero(np.append(True, (best[1:] != best[:-1]) | (row[1:] != row[:-1])))
@@ -381,19 +427,27 @@ def _positions(docs: DataFrame, sketches: list[np.ndarray]) -> DataFrame:
     return docs.mapInArrow(split, POSITIONS)
 
 
+@cleaned
 def score_texts(docs: DataFrame, settings: Settings = Settings(), id_column: str = "doc_id",
                 text: str = "text") -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every row."""
     read = small_batches(docs).select(F.col(id_column).cast("bigint").alias("doc_id"), text_or_empty(text).alias("text"))
-    n, v, sketches, table = learn(read, settings)
-    positions = _positions(read.select("doc_id", F.xxhash64("text").alias("text_hash"), "text"), sketches)
-    met = positions.join(growing(table), "entry")
+    n, v, sketches, base = learn(read, settings)
     known = F.col("base") > 1.5 / (n + v + 1)
-    summed = met.groupBy("doc_id", "text_hash").agg(
-        F.sum("copies").alias("copies"), F.sum("times").alias("n_tokens"),
-        F.sum(F.when(known, F.col("times")).otherwise(0)).alias("n_known"),
-        F.sum(F.col("times") * F.log10("base")).alias("base_score"), F.sum(F.col("times") * F.log10("p")).alias("score"),
-    )
+    named = read.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    sums = []
+    for part in range(PARTS):
+        levels = learn_part(read, part, n, sketches, base, settings)
+        met = _positions(named, sketches, part).join(growing(reduce(DataFrame.unionAll, levels)), "entry")
+        by_text = met.groupBy("doc_id", "text_hash").agg(
+            F.sum("copies").alias("copies"), F.sum("times").alias("n_tokens"),
+            F.sum(F.when(known, F.col("times")).otherwise(0)).alias("n_known"),
+            F.sum(F.col("times") * F.log10("base")).alias("base_score"), F.sum(F.col("times") * F.log10("p")).alias("score"),
+        )
+        sums.append(stored(by_text, "sums"))
+        release(*levels)
+    columns = ["copies", "n_tokens", "n_known", "base_score", "score"]
+    summed = reduce(DataFrame.unionAll, sums).groupBy("doc_id", "text_hash").agg(*[F.sum(c).alias(c) for c in columns])
     one = lambda c: F.col(c) / F.col("copies")
     return summed.select(
         "doc_id", held_out("doc_id").alias("held_out"), one("n_tokens").cast("bigint").alias("n_tokens"),

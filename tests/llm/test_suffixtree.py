@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 import brute
-from barflow.llm import suffixtree
+from barflow.llm import common, suffixtree
 from barflow.llm.queries import QUERIES
 
 
@@ -122,3 +122,19 @@ def test_rare_contexts_are_learned_whatever_the_share(spark):
     rows = filler + [(1000 + i, "alpha beta gamma " * 3) for i in range(5)] + [(2000, "alpha beta gamma"), (2001, "beta alpha gamma")]
     got = {r["doc_id"]: r for r in suffixtree.score_texts(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got[2000]["score"] > got[2001]["score"] + 2
+
+
+def test_parts_hold_all_tokens_once_and_leave_only_sums(spark):
+    """Each part has a share of the entries; their tables are gone when the result is read."""
+    df = common.table(spark, "/root/testdata/sf0.001", "documents")
+    read = df.select("doc_id", "text")
+    parts = [suffixtree._count_entries(read, [], part) for part in range(suffixtree.PARTS)]
+    counts = [{r["entry"]: r["n"] for r in part.collect()} for part in parts]
+    whole = {r["entry"]: r["n"] for r in suffixtree._count_contexts(read, []).collect()}
+    assert {k: n for part in counts for k, n in part.items()} == whole and sum(map(len, counts)) == len(whole)
+    assert max(map(len, counts)) < 0.5 * len(whole)
+    with common.tables() as held:
+        assert suffixtree.score_texts(df).count() == df.count()
+    left = [common._PATHS[t].rpartition("/")[2].rpartition("-")[0] for t in held if t in common._PATHS]
+    assert sorted(left) == ["sums"] * suffixtree.PARTS + ["words"]
+    common.release(*held)
