@@ -138,3 +138,26 @@ def test_parts_hold_all_tokens_once_and_leave_only_sums(spark):
     left = [common._PATHS[t].rpartition("/")[2].rpartition("-")[0] for t in held if t in common._PATHS]
     assert sorted(left) == ["sums"] * suffixtree.PARTS + ["words"]
     common.release(*held)
+
+
+def test_frequent_contexts_are_dealt_over_all_groups(spark, monkeypatch):
+    """Many small blocks and groups, most contexts hot: the scores stay those of the whole tree."""
+    for name, value in (("BLOCK_BYTES", 1 << 14), ("GROUP", 1 << 13), ("HOT", 8), ("PARTS", 2)):
+        monkeypatch.setattr(suffixtree, name, value)
+    docs = brute.documents("/root/testdata/sf0.001")
+    known, made = suffixtree.learn(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert made.count() > 2 and known.groups > 1 and known.hottest == 2
+    got = {r["doc_id"]: r["score"] for r in suffixtree.score_texts(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    for i, score in plain_scores(docs, 5)[0].items():
+        assert abs(got[i] - score) < 1e-8 * abs(score), i
+
+
+def test_no_row_moves_for_each_token(spark, monkeypatch):
+    """What is dealt to learn a part: one row for a block and group (one for every token before)."""
+    df = common.table(spark, "/root/testdata/sf0.01", "documents").select("doc_id", "text")
+    known, made = suffixtree.learn(df)
+    moved, plain = [], suffixtree.stored
+    monkeypatch.setattr(suffixtree, "stored", lambda answers, name: moved.append(plain(answers, name)) or moved[-1])
+    suffixtree.learn_part(known, made, 0)
+    assert len(moved) == 2 and made.agg({"n_tokens": "sum"}).first()[0] > 100_000
+    assert all(m.count() <= made.count() * known.groups + known.groups for m in moved)
