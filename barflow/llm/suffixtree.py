@@ -595,6 +595,8 @@ def _back(made: DataFrame, answers: DataFrame, use: Callable[[pa.Table, pa.Table
 
 def learn(read: DataFrame, settings: Settings = Settings()) -> tuple[Learning, DataFrame]:
     """What all parts share, and the stored blocks of the texts ``read`` (doc_id, text) with counts and marks."""
+    if settings.max_order > 15:
+        raise ValueError("max_order is 15 at most: a token's marks hold four bits for it")
     made = stored(blocks(read), "blocks")
     size, different = made.agg(F.sum("n_tokens"), F.sum("n_symbols")).first()
     groups = 1 + (different or 0) // GROUP

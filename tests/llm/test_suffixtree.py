@@ -161,3 +161,8 @@ def test_no_row_moves_for_each_token(spark, monkeypatch):
     suffixtree.learn_part(known, made, 0)
     assert len(moved) == 2 and made.agg({"n_tokens": "sum"}).first()[0] > 100_000
     assert all(m.count() <= made.count() * known.groups + known.groups for m in moved)
+
+
+def test_too_long_contexts_are_an_error(spark):
+    with pytest.raises(ValueError, match="max_order"):
+        suffixtree.score_texts(brute.empty_table(spark), suffixtree.Settings(max_order=16))
